@@ -1,0 +1,30 @@
+import os
+
+import pytest
+
+import __spark_entry__ as entry
+from tests.oracle_check import connect, spark_result, sql_result
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(SF_DIR)
+
+
+def test_every_query_has_its_sql():
+    assert entry.queries().keys() == entry.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_equals_sql(spark, duck, name):
+    mine = spark_result(entry.queries()[name](spark, SF_DIR))
+    assert mine == sql_result(duck, entry.oracle_sql()[name])
+
+
+def test_entry(spark):
+    df = entry.entry(spark)
+    assert df.columns[0] == "day" and df.count() > 0

@@ -1,0 +1,222 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions.coerce import run_timestamp
+from tidemark.operators.reconcile import (
+    apply_outcomes,
+    attempt_outcome,
+    publish_metrics,
+    publish_outcome,
+    reconcile,
+    to_upload,
+)
+from tidemark.plans.load import load_run
+from tidemark.plans.publish import publish_run, read_outcomes
+from tidemark.schemas import WALLPAPERS
+from tidemark.sources.blobs import list_contents
+from tidemark.sources.tables import ensure_table, read_table
+
+SPEC = WALLPAPERS.with_buckets(4)
+ITEM = "wallhaven_id string, url string, resolution string, category string, purity string, file_size bigint, pos int"
+
+
+def now(day=2):
+    return run_timestamp(f"2024-01-0{day} 00:00:00")
+
+
+def test_outcome_table(spark):
+    rows = [
+        (None, True, True, "download_failure"),
+        (0, True, True, "download_failure"),
+        (5, True, None, "already_there"),
+        (5, True, False, "already_there"),
+        (5, False, True, "uploaded"),
+        (5, None, True, "uploaded"),
+        (5, False, False, "upload_failure"),
+        (5, None, None, "upload_failure"),
+    ]
+    df = spark.createDataFrame(rows, "size long, there boolean, ok boolean, want string")
+    got = df.select("want", publish_outcome(F.col("size"), F.col("there"), F.col("ok")).alias("outcome"))
+    assert all(r.want == r.outcome for r in got.collect())
+    counts = publish_metrics(got.select("outcome")).first().asDict()
+    assert counts == {"images_uploaded": 4, "download_failures": 2, "upload_failures": 2}
+    none = publish_metrics(got.select("outcome").limit(0)).first()
+    assert tuple(none) == (0, 0, 0)
+
+
+def test_a_manifest_that_repeats_a_key_does_not_multiply_rows(spark):
+    rows = spark.createDataFrame([("a",), ("b",)], "s3_key string")
+    manifest = spark.createDataFrame([("a", 1), ("a", 2), ("z", 3)], "s3_key string, size int")
+    assert sorted(map(tuple, reconcile(rows, manifest, "s3_key").collect())) == [("a", True), ("b", False)]
+    assert [r[0] for r in to_upload(rows, manifest, "s3_key").collect()] == ["b"]
+
+
+def test_attempts_are_bounded(spark):
+    log = [("late", i, i == 5) for i in range(1, 7)] + [("third", i, i >= 3) for i in range(1, 5)]
+    log += [("never", 1, False), ("once", 1, True)]
+    df = spark.createDataFrame(log, "key string, at int, ok boolean")
+    got = {r.key: (r.ok, r.attempts, r.succeeded_at) for r in attempt_outcome(df, ["key"], ["at"], F.col("ok")).collect()}
+    assert got == {
+        "late": (False, 4, None),  # the fifth attempt does not count
+        "third": (True, 3, 3),
+        "never": (False, 1, None),
+        "once": (True, 1, 1),
+    }
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_only_successes_change_the_table(spark, small):
+    table = spark.createDataFrame(
+        [("a", None, 1), ("b", None, 1), ("c", "old", 1)], "id string, s3_key string, updated_at int"
+    )
+    outcomes = spark.createDataFrame(
+        [("a", "k/a", "uploaded"), ("b", "k/b", "upload_failure")], "id string, s3_key string, outcome string"
+    )
+    out = apply_outcomes(table, outcomes, ["id"], F.lit(2), broadcast_outcomes=small)
+    assert sorted(map(tuple, out.collect())) == [
+        ("a", "k/a", 2, "update"), ("b", None, 1, "keep"), ("c", "old", 1, "keep"),
+    ]
+
+
+class Store:
+    def __init__(self, spark, tmp_path):
+        self.spark, self.root = spark, tmp_path
+        self.contents, self.objects = str(tmp_path / "contents"), str(tmp_path / "objects")
+        self.table = str(tmp_path / "table")
+        os.makedirs(self.contents)
+        os.makedirs(self.objects)
+        ensure_table(spark, self.table, SPEC)
+
+    def load(self, *ids, run="load"):
+        rows = [(i, f"https://w.x.cc/full/{i}.PNG", None, None, None, None, n) for n, i in enumerate(ids)]
+        items = self.spark.createDataFrame(rows, ITEM)
+        load_run(items, SPEC, self.table, run, now(1), ["pos"], "wallhaven_id", "url").collect()
+
+    def stage(self, i, body=b"body"):
+        path = f"{self.contents}/w.x.cc/full/{i}.PNG"
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "wb") as f:
+            f.write(body)
+
+    def publish(self, run, limit=100, **more):
+        got = publish_run(
+            self.table, list_contents(self.spark, self.contents), self.objects, run, now(), limit=limit,
+            spec=SPEC, wait_s=0.0, **more,
+        )
+        return tuple(got.first())
+
+    def outcomes(self, run):
+        rows = read_outcomes(self.spark, self.table, run).collect()
+        return {r.wallhaven_id: (r.outcome, r.attempts, r.bytes) for r in rows}
+
+    def keys(self):
+        return {r.wallhaven_id: r.s3_key for r in read_table(self.spark, self.table, SPEC).collect()}
+
+    def object(self, i):
+        with open(f"{self.objects}/wallpapers/{i}.png", "rb") as f:
+            return f.read()
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return Store(spark, tmp_path)
+
+
+def test_publish_run(store):
+    store.load("a", "b", "c", "d")
+    big = os.urandom(9 * 1024 * 1024)  # more than one chunk
+    store.stage("a", big)
+    store.stage("b")
+    store.stage("c", b"")
+    os.makedirs(f"{store.objects}/wallpapers")
+    with open(f"{store.objects}/wallpapers/b.png", "wb") as f:
+        f.write(b"other bytes")
+    assert store.publish("p1") == (2, 2, 0)
+    assert store.outcomes("p1") == {
+        "a": ("uploaded", 1, len(big)),
+        "b": ("already_there", 0, 0),
+        "c": ("download_failure", 0, 0),
+        "d": ("download_failure", 0, 0),
+    }
+    assert store.object("a") == big
+    assert store.object("b") == b"other bytes"  # only the key is compared
+    assert store.keys() == {"a": "wallpapers/a.png", "b": "wallpapers/b.png", "c": None, "d": None}
+    types = {r.content_type for r in read_outcomes(store.spark, store.table, "p1").collect()}
+    assert types == {"image/png"}
+    # failed rows are picked again, published ones are not
+    store.stage("d")
+    assert store.publish("p2") == (1, 1, 0)
+    assert set(store.outcomes("p2")) == {"c", "d"}
+    assert not [f for f in os.listdir(f"{store.objects}/wallpapers") if f.endswith(".part")]
+
+
+def test_the_batch_is_bounded_and_can_rotate(store):
+    store.load("a", "b", "c", "d")
+    for i in "bcd":
+        store.stage(i)
+    assert store.publish("p1", limit=2) == (1, 1, 0)
+    assert set(store.outcomes("p1")) == {"a", "b"}
+    # "a" has no content and would come first for ever
+    assert store.publish("p2", limit=2, order_by=[F.col("wallhaven_id").desc()]) == (2, 0, 0)
+    assert set(store.outcomes("p2")) == {"c", "d"}
+
+
+def test_a_store_that_refuses_writes_is_tried_four_times(store):
+    store.load("a")
+    store.stage("a")
+    with open(f"{store.objects}/wallpapers", "w") as f:
+        f.write("a file where the folder should be")
+    assert store.publish("p1") == (0, 0, 1)
+    assert store.outcomes("p1") == {"a": ("upload_failure", 4, 0)}
+    assert store.keys() == {"a": None}
+
+
+def test_a_manifest_replaces_the_probe(store):
+    store.load("a", "b")
+    store.stage("a")
+    store.stage("b")
+    manifest = store.spark.createDataFrame([("wallpapers/a.png",), ("wallpapers/a.png",)], "s3_key string")
+    assert store.publish("p1", manifest=manifest) == (2, 0, 0)
+    assert store.outcomes("p1") == {"a": ("already_there", 0, 0), "b": ("uploaded", 1, 4)}
+
+
+def test_a_crash_between_put_and_mark_is_made_good(store, monkeypatch):
+    store.load("a")
+    store.stage("a")
+    with monkeypatch.context() as m:
+        m.setattr("tidemark.plans.publish.merge", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.publish("p1")
+    assert store.keys() == {"a": None} and store.object("a") == b"body"
+    assert store.publish("p2") == (1, 0, 0)
+    assert store.outcomes("p2") == {"a": ("already_there", 0, 0)}
+    assert store.keys() == {"a": "wallpapers/a.png"}
+
+
+def test_the_same_run_is_resumed_not_repeated(store):
+    store.load("a")
+    store.stage("a")
+    assert store.publish("p1") == (1, 0, 0)
+    store.load("b", run="more")
+    assert store.publish("p1") == (1, 0, 0)
+    assert store.keys()["b"] is None
+
+
+def test_keys_cannot_leave_the_store(store):
+    rows = [("../../x", "https://w.x.cc/full/a.PNG", None, None, None, None, 0)]
+    items = store.spark.createDataFrame(rows, ITEM)
+    load_run(items, SPEC, store.table, "load", now(1), ["pos"], "wallhaven_id", "url").collect()
+    store.stage("a")
+    assert store.publish("p1") == (0, 0, 1)
+
+
+def test_a_large_limit_gives_the_same_result(store, monkeypatch):
+    store.load(*[f"k{i:02d}" for i in range(30)])
+    for i in range(0, 30, 2):
+        store.stage(f"k{i:02d}")
+    monkeypatch.setattr("tidemark.operators.ordering.TOPK_ROWS", 0)
+    monkeypatch.setattr("tidemark.plans.publish.TOPK_ROWS", 0)
+    assert store.publish("p1", limit=11) == (6, 5, 0)
+    assert sorted(store.outcomes("p1")) == [f"k{i:02d}" for i in range(11)]

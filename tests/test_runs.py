@@ -1,0 +1,122 @@
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions.coerce import run_timestamp
+from tidemark.operators.audit import latest_runs
+from tidemark.plans.daily import daily_run
+from tidemark.plans.load import load_run
+from tidemark.schemas import RUN_AUDIT, WALLPAPERS
+from tidemark.sources.landing import extract_items, read_pages
+from tidemark.sources.tables import ensure_table, read_table
+
+SPEC = WALLPAPERS.with_buckets(4)
+
+
+class Site:
+    """Landed pages, staged contents and the tables of one ingest."""
+
+    def __init__(self, spark, root):
+        self.spark, self.root = spark, str(root)
+        for d in ("pages", "contents", "objects"):
+            os.makedirs(f"{self.root}/{d}")
+        self.table, self.audit = f"{self.root}/table", f"{self.root}/audit"
+
+    def page(self, name, ids, staged=()):
+        items = [{"id": i, "path": f"https://w.x.cc/{i}.jpg", "file_size": n} for n, i in enumerate(ids)]
+        with open(f"{self.root}/pages/{name}.json", "w") as f:
+            json.dump({"data": items}, f)
+        for i in staged:
+            os.makedirs(f"{self.root}/contents/w.x.cc", exist_ok=True)
+            with open(f"{self.root}/contents/w.x.cc/{i}.jpg", "w") as f:
+                f.write(i)
+
+    def run(self, name, page, day=1, **more):
+        stamp = run_timestamp(f"2024-01-0{day} 00:00:10")
+        record = daily_run(
+            self.spark, f"{self.root}/pages/{page}.json", f"{self.root}/contents", f"{self.root}/objects",
+            self.table, self.audit, "dag", name, F.lit(f"2024-01-0{day}").cast("timestamp"), stamp,
+            spec=SPEC, wait_s=0.0, **more,
+        ).first()
+        return (
+            record.metadata_inserted, record.metadata_updated, record.images_uploaded,
+            record.download_failures, record.upload_failures, record.missing_s3_after_run,
+        )
+
+    def rows(self):
+        return sorted(tuple(r) for r in read_table(self.spark, self.table, SPEC).drop("updated_at").collect())
+
+
+@pytest.fixture
+def site(spark, tmp_path):
+    return Site(spark, tmp_path)
+
+
+def test_daily_runs(spark, site):
+    site.page("one", ["a", "b", "c", "", "b"], staged=["a", "b"])
+    assert site.run("r1", "one") == (3, 0, 2, 1, 0, 1)
+    first = site.rows()
+    # the same input in a new run: the same rows, all of them counted as updated
+    assert site.run("r2", "one", day=2) == (0, 3, 0, 1, 0, 1)
+    assert site.rows() == first
+    # the same attempt again only resumes
+    assert site.run("r2", "one", day=2) == (0, 3, 0, 1, 0, 1)
+    site.page("two", ["c", "d"], staged=["c", "d"])
+    assert site.run("r3", "two", day=3) == (1, 1, 2, 0, 0, 0)
+    # repeating a run replaces its record
+    assert site.run("r3", "two", day=4, attempt=2) == (0, 2, 0, 0, 0, 0)
+    report = latest_runs(read_table(spark, site.audit, RUN_AUDIT)).collect()
+    assert [(r.run_id, r.metadata_inserted, r.duration_seconds) for r in report] == [
+        ("r3", 0, 10), ("r2", 0, 10), ("r1", 3, 10),
+    ]
+
+
+def test_limits_bound_a_run(site):
+    site.page("one", list("abcdefgh"), staged=list("abcdefgh"))
+    assert site.run("r1", "one", item_limit=5, batch_limit=2) == (5, 0, 2, 0, 0, 3)
+
+
+def test_bad_and_invalid_pages_touch_nothing(site):
+    with open(f"{site.root}/pages/bad.json", "w") as f:
+        f.write("<html>502</html>")
+    assert site.run("r1", "bad") == (0, 0, 0, 0, 0, 0)
+    site.page("invalid", ["", ""])
+    assert site.run("r2", "invalid") == (0, 0, 0, 0, 0, 0)
+    assert site.rows() == []
+
+
+def test_a_failed_run_leaves_no_record(spark, site, monkeypatch):
+    site.page("one", ["a"], staged=["a"])
+    with monkeypatch.context() as m:
+        m.setattr("tidemark.plans.daily.publish_run", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            site.run("r1", "one")
+    assert not os.path.exists(site.audit)
+    # the attempt is resumed with the counters of its first part
+    assert site.run("r1", "one") == (1, 0, 1, 0, 0, 0)
+
+
+def test_load_counters(spark, site):
+    site.page("one", ["a", "b", "b", "", "c"])
+    ensure_table(spark, site.table, SPEC)
+    items = extract_items(read_pages(spark, f"{site.root}/pages"))
+    args = (SPEC, site.table)
+    kw = dict(order_by=["page", "pos"], key="wallhaven_id", url="url")
+    got = load_run(items, *args, "l1", run_timestamp("2024-01-01"), **kw).first().asDict()
+    assert got == {"extracted": 5, "invalid": 1, "duplicates": 1, "inserted": 3, "updated": 0}
+    sizes = {r[0]: r[5] for r in site.rows()}
+    assert sizes == {"a": 0, "b": 2, "c": 4}
+    with pytest.raises(Exception, match="repeated key in batch: b"):
+        load_run(items, *args, "l2", run_timestamp("2024-01-01"), strict=True, **kw)
+    assert {r[0]: r[5] for r in site.rows()} == sizes
+
+
+def test_both_join_forms_load_the_same(spark, site, monkeypatch):
+    site.page("one", ["a", "b", "c"])
+    site.run("r1", "one")
+    site.page("two", ["c", "d"])
+    monkeypatch.setattr("tidemark.operators.upsert.BROADCAST_ROWS", 0)
+    assert site.run("r2", "two", day=2)[:2] == (1, 1)
+    assert [r[0] for r in site.rows()] == list("abcd")

@@ -1,0 +1,141 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions.coerce import run_timestamp
+from tidemark.operators.upsert import upsert
+from tidemark.schemas import WALLPAPERS
+from tidemark.sources import tables
+from tidemark.sources.tables import (
+    data_path,
+    ensure_table,
+    expire_stages,
+    merge,
+    merged_rows,
+    read_table,
+    stage_path,
+    touched_buckets,
+)
+
+SPEC = WALLPAPERS.with_buckets(16)
+ITEM = "wallhaven_id string, url string, resolution string, category string, purity string, file_size bigint"
+
+
+def _batch(spark, keys, size=1):
+    return spark.createDataFrame([(k, f"u/{k}", None, None, None, size) for k in keys], ITEM)
+
+
+def _merge(spark, path, run, keys, size=1, spec=SPEC):
+    now = run_timestamp("2024-01-02 00:00:00")
+    return merge(spark, path, spec, run, _batch(spark, keys, size), lambda t, b: upsert(t, b, spec, now))
+
+
+def _sizes(spark, path):
+    return {r.wallhaven_id: r.file_size for r in read_table(spark, path, SPEC).collect()}
+
+
+def _files(path):
+    return {
+        d: sorted(os.listdir(f"{data_path(path, SPEC)}/{d}"))
+        for d in os.listdir(data_path(path, SPEC))
+        if d.startswith("bucket=")
+    }
+
+
+KEYS = [f"k{i}" for i in range(40)]
+
+
+@pytest.fixture
+def path(spark, tmp_path):
+    p = str(tmp_path / "table")
+    ensure_table(spark, p, SPEC)
+    return p
+
+
+def test_a_new_table_is_empty_and_creating_it_again_changes_nothing(spark, path):
+    assert read_table(spark, path, SPEC).count() == 0
+    assert read_table(spark, path, SPEC).columns == SPEC.columns
+    _merge(spark, path, "r1", KEYS)
+    ensure_table(spark, path, SPEC)
+    assert len(_sizes(spark, path)) == 40
+
+
+def test_the_number_of_directories_cannot_change(spark, path):
+    with pytest.raises(ValueError, match="hash16"):
+        ensure_table(spark, path, WALLPAPERS.with_buckets(32))
+
+
+def test_only_touched_directories_are_rewritten(spark, path):
+    _merge(spark, path, "r1", KEYS)
+    before = _files(path)
+    _merge(spark, path, "r2", ["k3"], size=9)
+    after = _files(path)
+    touched = {f"bucket={b}" for b in touched_buckets(_batch(spark, ["k3"]), SPEC)}
+    assert {d for d in before if before[d] != after[d]} == touched
+    assert _sizes(spark, path) == {**{k: 1 for k in KEYS}, "k3": 9}
+
+
+def test_counters_come_from_the_staged_rows(spark, path):
+    _merge(spark, path, "r1", KEYS[:5])
+    _merge(spark, path, "r/2 :", KEYS[4:7])  # any text may name a run
+    ops = {r.op: r["count"] for r in merged_rows(spark, path, SPEC, "r/2 :").groupBy("op").count().collect()}
+    assert ops["insert"] == 2 and ops["update"] == 1
+
+
+def test_nothing_to_merge(spark, path):
+    assert _merge(spark, path, "r1", []) is False
+    assert not os.path.exists(stage_path(path, "r1"))
+
+
+def test_a_failing_merge_leaves_the_table_alone(spark, path):
+    _merge(spark, path, "r1", KEYS)
+    before = _files(path)
+    with pytest.raises(Exception, match="no such luck"):
+        merge(
+            spark, path, SPEC, "r2", _batch(spark, KEYS),
+            lambda t, b: upsert(t, b, SPEC, F.raise_error(F.lit("no such luck")).cast("timestamp")),
+        )
+    assert _files(path) == before
+    assert _merge(spark, path, "r2", KEYS, size=2)
+    assert set(_sizes(spark, path).values()) == {2}
+
+
+@pytest.mark.parametrize("next_run", ["r2", "r3"])
+def test_an_interrupted_commit_is_finished(spark, path, monkeypatch, next_run):
+    _merge(spark, path, "r1", KEYS)
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_commit", lost)
+        with pytest.raises(RuntimeError):
+            _merge(spark, path, "r2", KEYS[:20] + ["new"], size=2)
+    assert set(_sizes(spark, path).values()) == {1}
+    # the same run, or whichever comes next, completes it
+    _merge(spark, path, next_run, KEYS[20:] if next_run == "r3" else KEYS[:20] + ["new"], size=3)
+    want = {**{k: 2 for k in KEYS[:20]}, **{k: 3 if next_run == "r3" else 1 for k in KEYS[20:]}, "new": 2}
+    assert _sizes(spark, path) == want
+    ops = {r.op: r["count"] for r in merged_rows(spark, path, SPEC, "r2").groupBy("op").count().collect()}
+    assert ops["insert"] == 1 and ops["update"] == 20
+
+
+def test_a_merged_run_is_not_merged_again(spark, path):
+    _merge(spark, path, "r1", KEYS)
+    _merge(spark, path, "r2", ["k1"], size=5)
+    assert _merge(spark, path, "r1", KEYS)  # neither loads again nor puts old rows back
+    assert _sizes(spark, path)["k1"] == 5
+
+
+def test_committed_stages_can_be_dropped(spark, path):
+    _merge(spark, path, "r1", KEYS)
+    assert expire_stages(spark, path, older_than_ms=0) == 0
+    assert expire_stages(spark, path, older_than_ms=2**52) == 1
+    assert os.listdir(f"{path}/stage") == [] and len(_sizes(spark, path)) == 40
+
+
+def test_one_directory_holds_few_files(spark, path):
+    _merge(spark, path, "r1", [f"n{i}" for i in range(3000)])
+    parts = [[f for f in fs if f.endswith(".parquet")] for fs in _files(path).values()]
+    assert len(parts) == 16 and max(map(len, parts)) == 1

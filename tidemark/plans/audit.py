@@ -7,16 +7,18 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.coerce import UNKNOWN_RUN
 from tidemark.operators.audit import audit_rows, run_identity
 from tidemark.operators.upsert import upsert
 from tidemark.schemas import RUN_AUDIT, TableSpec
-from tidemark.sources.tables import ensure_table, merge, stage_path
+from tidemark.session import one_row
+from tidemark.sources.tables import ensure_table, merge
 
 
 def no_metrics(spark: SparkSession) -> DataFrame:
     """Stands for a task that returned nothing: every counter of the record becomes zero."""
     names = ["inserted", "updated", "images_uploaded", "download_failures", "upload_failures"]
-    return spark.range(1).select(*[F.lit(None).cast("bigint").alias(n) for n in names])
+    return one_row(spark).select(*[F.lit(None).cast("bigint").alias(n) for n in names])
 
 
 def audit_run(
@@ -39,9 +41,9 @@ def audit_run(
     ensure_table(spark, path, spec)
     text = lambda v: F.lit(v).cast("string")
     runs = run_identity(
-        spark.range(1), [text(dag_id)], [text(run_id)], logical_date, started_at, ended_at
+        one_row(spark), [text(dag_id)], [text(run_id)], logical_date, started_at, ended_at
     )
-    name = runs.select("run_id").first()[0]
+    name = run_id or UNKNOWN_RUN
     of_run = lambda m: (m if m is not None else no_metrics(spark)).withColumn("run_id", F.lit(name))
     record = audit_rows(
         runs,
@@ -49,16 +51,14 @@ def audit_run(
         of_run(publish).select("run_id", "images_uploaded", "download_failures", "upload_failures"),
         of_run(remaining).select("run_id", "pending"),
     )
-    attempt = f"{name}-{uuid.uuid4().hex}"  # recording twice is harmless, so no attempt is resumed
-    record_dir = f"{stage_path(path, attempt)}/record"
-    record.coalesce(1).write.mode("overwrite").parquet(record_dir)
-    record = spark.read.schema(record.schema).parquet(record_dir)
+    record = spark.createDataFrame(record.toArrow(), record.schema)  # one row, fixed from here on
     merge(
         spark,
         path,
         spec,
-        attempt,
+        f"{name}-{uuid.uuid4().hex}",  # recording twice is harmless, so no attempt is resumed
         record,
         lambda current, changes: upsert(current, changes, spec, run_ts, broadcast_batch=True),
+        touched=[0] if spec.buckets == 1 else None,
     )
     return record

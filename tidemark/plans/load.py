@@ -9,7 +9,8 @@ from tidemark.operators.dedupe import dedupe_last
 from tidemark.operators.upsert import fits_broadcast, upsert
 from tidemark.operators.validate import flag_valid
 from tidemark.schemas import TableSpec
-from tidemark.sources.tables import is_complete, merge, merged_rows, stage_path
+from tidemark.session import one_row
+from tidemark.sources.tables import bucket_of, is_complete, merge, merged_rows, stage_path
 
 
 def load_run(
@@ -52,13 +53,13 @@ def load_run(
             run,
             batch,
             lambda current, changes: upsert(current, changes, spec, run_ts, broadcast_batch=small),
-            touching=valid,
+            touched=counts["touched"],
         )
     return _metrics(spark, path, spec, run, counts)
 
 
-def _measure(staged: DataFrame, spec: TableSpec) -> dict[str, int]:
-    """Number of items, and rows and bytes of the valid ones, in one small job."""
+def _measure(staged: DataFrame, spec: TableSpec) -> dict:
+    """In one job: the number of items; rows, bytes and hash directories of the valid ones."""
     width = F.lit(0)
     for c in (*spec.keys, *spec.update_cols):
         width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + F.lit(16)
@@ -66,17 +67,18 @@ def _measure(staged: DataFrame, spec: TableSpec) -> dict[str, int]:
         F.count("*").alias("extracted"),
         F.count_if("valid").alias("valid"),
         F.coalesce(F.sum(F.when(F.col("valid"), width)), F.lit(0)).alias("valid_bytes"),
+        F.collect_set(F.when(F.col("valid"), bucket_of(spec))).alias("touched"),
     ).first()
     return row.asDict()
 
 
 def _metrics(
-    spark: SparkSession, path: str, spec: TableSpec, run: str, counts: dict[str, int]
+    spark: SparkSession, path: str, spec: TableSpec, run: str, counts: dict
 ) -> DataFrame:
     extracted, valid = (F.lit(counts[c]).cast("bigint") for c in ("extracted", "valid"))
     if not counts["valid"]:
         zero = F.lit(0).cast("bigint")
-        ops = spark.range(1).select(zero.alias("inserted"), zero.alias("updated"))
+        ops = one_row(spark).select(zero.alias("inserted"), zero.alias("updated"))
     else:
         ops = merged_rows(spark, path, spec, run).agg(
             F.count_if(F.col("op") == "insert").alias("inserted"),

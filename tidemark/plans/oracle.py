@@ -75,7 +75,8 @@ _RUNS = """
     FROM (
         SELECT strftime(ts, '%Y-%m-%d') AS day,
                min(ts) FILTER (WHERE value >= 200) AS started_at,
-               CASE WHEN arg_max(event_type, ts) <> 'error' THEN max(ts) END AS ended_at
+               CASE WHEN max(ts) > max(CASE WHEN event_type = 'error' THEN ts ELSE TIMESTAMP '1970-01-01' END)
+                    THEN max(ts) END AS ended_at
         FROM events GROUP BY 1
     )
 """

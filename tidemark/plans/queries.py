@@ -366,19 +366,24 @@ def q_code_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One run per day. It has a start if the day has a large event, an end unless its last event
-    is an error."""
-    events = _table(spark, sf_dir, "events").withColumn("day", _day())
-    last = F.max_by("event_type", F.struct("ts", "event_id"))
-    days = events.groupBy("day").agg(
-        F.min(F.when(F.col("value") >= 200, F.col("ts"))).alias("started"),
-        F.when(last != "error", F.max("ts")).alias("ended"),
+    """One run per day. It has a start if the day has a large event, an end unless it ends with
+    an error."""
+    ts, failed = F.col("ts"), F.col("event_type") == "error"
+    last_ok, last_failed = F.max(F.when(~failed, ts)), F.max(F.when(failed, ts))
+    days = (
+        _table(spark, sf_dir, "events")
+        .groupBy(F.to_date("ts").alias("date"))
+        .agg(
+            F.min(F.when(F.col("value") >= 200, ts)).alias("started"),
+            F.when(F.coalesce(last_ok > last_failed, last_failed.isNull()), last_ok).alias("ended"),
+        )
+        .withColumn("day", F.date_format("date", "yyyy-MM-dd"))
     )
     return run_identity(
         days,
         [F.lit(""), F.lit(DAG_ID)],
         [F.lit(None).cast("string"), F.concat(F.lit("scheduled__"), F.col("day"))],
-        F.to_timestamp_ntz("day", F.lit("yyyy-MM-dd")),
+        F.col("date").cast("timestamp_ntz"),
         F.col("started"),
         F.col("ended"),
     )
@@ -389,8 +394,9 @@ def q_run_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _table(spark, sf_dir, "events").select(*EVENT_KEY, "value", _day().alias("day"))
-    return run_history(events, "day", EVENT_KEY, F.col("value") >= PUBLISHABLE)
+    events = _table(spark, sf_dir, "events").select(*EVENT_KEY, "value", F.to_date("ts").alias("day"))
+    history = run_history(events, "day", EVENT_KEY, F.col("value") >= PUBLISHABLE)
+    return history.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
 def q_run_history(spark: SparkSession, sf_dir: str) -> DataFrame:

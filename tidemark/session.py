@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "tidemark") -> SparkSession:
@@ -24,6 +24,11 @@ def local_session(cores: int | str = "*", app: str = "tidemark") -> SparkSession
     return spark
 
 
+def one_row(spark: SparkSession) -> DataFrame:
+    """A frame of one row, to select constants from."""
+    return spark.sql("SELECT 1 AS one")
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 

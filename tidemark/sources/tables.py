@@ -96,6 +96,11 @@ def merged_rows(spark: SparkSession, path: str, spec: TableSpec, run: str) -> Da
     return _staged(spark, stage_path(path, run), spec).drop(BUCKET.name)
 
 
+def touched_buckets(changes: DataFrame, spec: TableSpec) -> list[int]:
+    """The hash directories of some rows: at most ``spec.buckets`` integers."""
+    return [r[0] for r in changes.select(bucket_of(spec)).distinct().collect()]
+
+
 def merge(
     spark: SparkSession,
     path: str,
@@ -103,14 +108,14 @@ def merge(
     run: str,
     changes: DataFrame,
     resolve: Resolve,
-    touching: DataFrame | None = None,
+    touched: list[int] | None = None,
 ) -> bool:
     """Merge ``changes`` (one row per key) into the table; False if there was nothing to merge.
 
     ``resolve(current, changes)`` returns the next rows of the touched directories with ``op``.
-    It must keep every current row: a directory is replaced as a whole. ``touching`` is any
-    cheaper frame with the same keys, to find the directories from; the changes themselves are
-    then computed once. A ``run`` that has been merged is not merged again.
+    It must keep every current row: a directory is replaced as a whole. ``touched`` are the
+    directories that the changes fall into; they are looked up in the changes if the caller does
+    not know them. A ``run`` that has been merged is not merged again.
     """
     stage = stage_path(path, run)
     if exists(spark, f"{stage}/_COMMITTED"):
@@ -118,8 +123,8 @@ def merge(
     finish_commits(spark, path, spec)
     if exists(spark, f"{stage}/_COMMITTED"):
         return True
-    hashed = (touching if touching is not None else changes).select(bucket_of(spec).alias("b"))
-    touched = [r[0] for r in hashed.distinct().collect()]  # at most spec.buckets integers
+    if touched is None:
+        touched = touched_buckets(changes, spec)
     if not touched:
         return False
     current = _read(spark, path, spec)

@@ -16,6 +16,7 @@ from tidemark.operators.pending import backlog
 from tidemark.plans.audit import audit_run
 from tidemark.plans.load import load_run
 from tidemark.schemas import RUN_AUDIT, TableSpec
+from tidemark.session import one_row
 from tidemark.sources.tables import ensure_table, is_complete, make_folder, read_table
 
 COUNTERS = ["extracted", "invalid", "duplicates", "inserted", "updated"]
@@ -72,7 +73,7 @@ def incremental_run(
     if spec.pending_col:
         remaining = backlog(read_table(spark, table_path, spec), spec.pending_col)
     else:
-        remaining = spark.range(1).select(F.lit(0).cast("bigint").alias("pending"))
+        remaining = one_row(spark).select(F.lit(0).cast("bigint").alias("pending"))
     return audit_run(
         spark,
         audit_path,
