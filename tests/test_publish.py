@@ -212,6 +212,29 @@ def test_keys_cannot_leave_the_store(store):
     assert store.publish("p1") == (0, 0, 1)
 
 
+def test_compressed_contents_are_copied_as_they_are(store):
+    import gzip
+
+    body = gzip.compress(b"text")
+    rows = [("z", "https://w.x.cc/z.gz", None, None, None, None, 0)]
+    load_run(
+        store.spark.createDataFrame(rows, ITEM), SPEC, store.table, "load", now(1), ["pos"], "wallhaven_id", "url"
+    ).collect()
+    os.makedirs(f"{store.contents}/w.x.cc")
+    with open(f"{store.contents}/w.x.cc/z.gz", "wb") as f:
+        f.write(body)
+    assert store.publish("p1") == (1, 0, 0)
+    with open(f"{store.objects}/wallpapers/z.gz", "rb") as f:
+        assert f.read() == body
+
+
+def test_store_paths():
+    from tidemark.sources.blobs import _open_fs, _open_root
+
+    assert _open_fs("/a/b?c")[1] == _open_fs("file:/a/b?c")[1] == _open_fs("file:///a/b?c")[1] == "/a/b?c"
+    assert _open_root("/objects")[1] == "/objects"
+
+
 def test_a_large_limit_gives_the_same_result(store, monkeypatch):
     store.load(*[f"k{i:02d}" for i in range(30)])
     for i in range(0, 30, 2):

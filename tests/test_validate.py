@@ -1,6 +1,6 @@
 import pytest
 
-from tidemark.operators.validate import constraint_report, enforce, flag_valid, valid_rows
+from tidemark.operators.validate import Check, constraint_report, enforce, flag_valid, valid_rows
 
 ROWS = [("a", "u"), (None, "u"), ("", "u"), ("a", None), ("a", ""), (" ", "u"), ("a", " ")]
 
@@ -15,15 +15,15 @@ def test_missing_and_empty_are_invalid_blanks_are_not(spark):
 
 def test_constraint_report_and_enforcement(spark):
     df = spark.createDataFrame([(1, "x"), (1, None), (2, "y"), (None, "z"), (None, None), (1, "w")], "k int, v string")
-    report = constraint_report(df, "t", ["k", "v"], ["k"])
+    report = constraint_report(Check(df, "t", ["k", "v"], ["k"]))
     got = {(r.check_name, r.column_name): r.violations for r in report.collect()}
     assert got == {("not_null", "k"): 2, ("not_null", "v"): 2, ("unique", "k"): 3}
     with pytest.raises(Exception, match="constraint violated: t"):
         enforce(report).collect()
-    sound = constraint_report(df.where("k = 2"), "t", ["k", "v"], ["k"])
+    sound = constraint_report(Check(df.where("k = 2"), "t", ["k", "v"], ["k"]))
     assert [r.violations for r in enforce(sound).collect()] == [0, 0, 0]
 
 
 def test_report_on_an_empty_table(spark):
     empty = spark.createDataFrame([], "k int, v string")
-    assert [r.violations for r in constraint_report(empty, "t", ["k"], ["k"]).collect()] == [0, 0]
+    assert [r.violations for r in constraint_report(Check(empty, "t", ["k"], ["k"])).collect()] == [0, 0]

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schemas import LOAD_COLUMNS
+from tidemark.session import one_row
 
 
 def is_valid(key: Column, url: Column) -> Column:
@@ -26,22 +28,13 @@ def valid_rows(flagged: DataFrame, columns: Sequence[str] = LOAD_COLUMNS) -> Dat
     return flagged.where("valid").select(*columns)
 
 
-def null_counts(df: DataFrame, table: str, required: Sequence[str]) -> DataFrame:
-    """One row per required column with the number of NULLs in it, without shuffling rows.
+class Check(NamedTuple):
+    """What a table should satisfy: columns without NULL, and a key that is unique."""
 
-    Only rows with a NULL are counted. That filter reaches the Parquet scan, where row groups
-    whose statistics show no NULL are skipped: on a sound table hardly any data is read.
-    """
-    null = [F.col(c).isNull() for c in required]
-    counted = df.where(reduce(Column.__or__, null)).agg(
-        *[F.count_if(n).alias(c) for c, n in zip(required, null)]
-    )
-    rows = [
-        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("violations")) for c in required
-    ]
-    return counted.select(F.inline(F.array(*rows))).select(
-        F.lit(table).alias("table_name"), F.lit("not_null").alias("check_name"), "column_name", "violations"
-    )
+    df: DataFrame
+    table: str
+    required: Sequence[str]
+    key: Sequence[str]
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -49,23 +42,46 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
 
 
-def surplus_rows(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
-    """Number of rows that a unique key would have refused."""
-    return (
-        duplicate_keys(df, key)
-        .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("violations"))
-        .select(
-            F.lit(table).alias("table_name"),
-            F.lit("unique").alias("check_name"),
-            F.lit(",".join(key)).alias("column_name"),
-            "violations",
-        )
+def _named(table: str, check: str, column: Column, violations: Column) -> list[Column]:
+    return [
+        F.lit(table).alias("table_name"),
+        F.lit(check).alias("check_name"),
+        column.alias("column_name"),
+        violations.cast("bigint").alias("violations"),
+    ]
+
+
+def _nulls(check: Check) -> DataFrame:
+    """One row per NULL. The filter reaches the Parquet scan, where row groups whose statistics
+    show no NULL are skipped: on a sound table hardly any data is read."""
+    null = [F.col(c).isNull() for c in check.required]
+    found = F.array_compact(F.array(*[F.when(n, F.lit(c)) for c, n in zip(check.required, null)]))
+    rows = check.df.where(reduce(Column.__or__, null)).select(F.explode(found).alias("column"))
+    return rows.select(*_named(check.table, "not_null", F.col("column"), F.lit(1)))
+
+
+def _surplus(check: Check) -> DataFrame:
+    """One row per repeated key, with the rows that a unique key would have refused."""
+    column = F.lit(",".join(check.key))
+    return duplicate_keys(check.df, check.key).select(
+        *_named(check.table, "unique", column, F.col("n") - 1)
     )
 
 
-def constraint_report(df: DataFrame, table: str, required: Sequence[str], key: Sequence[str]) -> DataFrame:
-    """NOT NULL and UNIQUE as counts of violating rows, one row per check."""
-    return null_counts(df, table, required).unionByName(surplus_rows(df, table, key))
+def constraint_report(*checks: Check) -> DataFrame:
+    """NOT NULL and UNIQUE as counts of violating rows, one row per check, in one aggregate."""
+    spark = checks[0].df.sparkSession
+    names = [(c.table, "not_null", r) for c in checks for r in c.required]
+    names += [(c.table, "unique", ",".join(c.key)) for c in checks]
+    listed = F.array(*[F.struct(*map(F.lit, n)) for n in names])
+    zeros = one_row(spark).select(F.inline(listed).alias("table_name", "check_name", "column_name"))
+    parts = [zeros.withColumn("violations", F.lit(0).cast("bigint"))]
+    parts += [_nulls(c) for c in checks] + [_surplus(c) for c in checks]
+    return (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("table_name", "check_name", "column_name")
+        .agg(F.sum("violations").alias("violations"))
+    )
 
 
 def enforce(report: DataFrame) -> DataFrame:
@@ -77,7 +93,3 @@ def enforce(report: DataFrame) -> DataFrame:
             F.raise_error(F.concat(F.lit("constraint violated: "), text)).cast("boolean"),
         ).otherwise(F.lit(True))
     )
-
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -27,8 +27,10 @@ def decide(batch: DataFrame, contents: DataFrame, manifest: DataFrame | None, sm
     """Join the batch with staged content and existing objects; ``outcome`` is set where no put
     is needed. Without a manifest every existence is unknown until the put step asks the store.
     """
-    keyed = batch.withColumn("s3_key", object_key(F.col(ITEM_KEY), F.col("url"))).withColumn(
-        "content_name", url_path(F.col("url"))
+    keyed = (
+        batch.withColumn("s3_key", object_key(F.col(ITEM_KEY), F.col("url")))
+        .withColumn("content_type", content_type(F.col("s3_key")))
+        .withColumn("content_name", url_path(F.col("url")))
     )
     if small:  # the batch is bounded by its limit, so the listings shrink before the joins
         contents = contents.join(F.broadcast(keyed.select("content_name").distinct()), "content_name", "left_semi")
@@ -75,12 +77,9 @@ def publish_run(
         table = read_table(spark, path, spec)
         batch = pending_batch(table, limit, [ITEM_KEY, "url"], ITEM_KEY, order_by=order_by)
         tasks = min(limit, 4 * spark.sparkContext.defaultParallelism)
-        put = put_objects(decide(batch, contents, manifest, small), object_root, [ITEM_KEY], tasks, wait_s)
-        (
-            put.withColumn("content_type", content_type(F.col("s3_key")))
-            .write.mode("overwrite")
-            .parquet(outcomes_dir)
-        )
+        decided = decide(batch, contents, manifest, small)
+        put = put_objects(decided, object_root, [ITEM_KEY], tasks, wait_s)
+        put.write.mode("overwrite").parquet(outcomes_dir)
     outcomes = read_outcomes(spark, path, run)
     done = outcomes.where(F.col("outcome").isin(*PUBLISHED))
     merge(

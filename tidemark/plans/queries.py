@@ -35,7 +35,7 @@ from tidemark.operators.reconcile import (
 )
 from tidemark.operators.search import search_page
 from tidemark.operators.upsert import load_metrics, op_counts, upsert
-from tidemark.operators.validate import constraint_report, flag_valid, union_all, valid_rows
+from tidemark.operators.validate import Check, constraint_report, flag_valid, valid_rows
 from tidemark.schemas import RUN_AUDIT, RUN_COUNTERS, TableSpec
 from tidemark.session import new_folder
 from tidemark.sources.landing import extract_items, page_metrics, read_pages
@@ -239,14 +239,12 @@ def q_constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conversations": (["conv_id", "turn"], ["conv_id", "turn"]),
         "embeddings": (["vec_id"], ["vec_id"]),
     }
-    reports = [
-        constraint_report(_table(spark, sf_dir, name), name, required, key)
-        for name, (required, key) in checks.items()
-    ]
     # a nullable column: documents without a label
     labelled = _documents(spark, sf_dir).select("doc_id", "quality")
-    reports.append(constraint_report(labelled, "documents_with_labels", ["quality"], ["doc_id"]))
-    return union_all(reports)
+    return constraint_report(
+        *[Check(_table(spark, sf_dir, name), name, *check) for name, check in checks.items()],
+        Check(labelled, "documents_with_labels", ["quality"], ["doc_id"]),
+    )
 
 
 # --- pending rows, keys, publishing ----------------------------------------------------------

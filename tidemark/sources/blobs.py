@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +25,7 @@ FIRST_WAIT_S = 1.0
 
 OUTCOME_FIELDS = [
     StructField("s3_key", StringType()),
+    StructField("content_type", StringType()),
     StructField("outcome", StringType()),
     StructField("attempts", LongType()),
     StructField("bytes", LongType()),
@@ -53,13 +55,36 @@ def list_contents(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=32)
+def _remote_fs(scheme: str, authority: str):
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(f"{scheme}://{authority}/x")
+    return store, path.removesuffix("x")
+
+
 def _open_fs(uri: str):
+    """The file system of a path, and the path on it; one client per store and Python worker."""
     from pyarrow import fs
 
     if "://" not in uri and not uri.startswith("file:"):
         return fs.LocalFileSystem(), uri
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    scheme, rest = uri.split("://", 1)
+    authority, _, path = rest.partition("/")
+    scheme = "s3" if scheme in ("s3a", "s3n") else scheme  # Hadoop's names of the same store
+    store, base = _remote_fs(scheme, authority)
+    return store, base + path
+
+
+def _open_root(uri: str):
+    """Like ``_open_fs`` for the object root, which may carry options such as
+    ``?endpoint_override=...``."""
+    if "://" not in uri or "?" not in uri:
+        return _open_fs(uri)
+    from pyarrow import fs
+
     return fs.FileSystem.from_uri(uri)
 
 
@@ -80,13 +105,18 @@ def _inside(root: str, key: str) -> str | None:
     return f"{root.rstrip('/')}/{key}"
 
 
-def _copy(source, source_path: str, store, path: str) -> int:
+def _copy(source, source_path: str, store, path: str, mime: str) -> int:
     """Copy in chunks to a name of its own, then rename: a key never shows half an object."""
     store.create_dir(path.rsplit("/", 1)[0], recursive=True)
     part = f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}.part"
     size = 0
     try:
-        with source.open_input_stream(source_path) as src, store.open_output_stream(part) as dst:
+        with (
+            source.open_input_stream(source_path, compression=None) as src,
+            store.open_output_stream(
+                part, compression=None, metadata={"Content-Type": mime}
+            ) as dst,
+        ):
             while chunk := src.read(CHUNK):
                 dst.write(chunk)
                 size += len(chunk)
@@ -103,7 +133,9 @@ def _copy(source, source_path: str, store, path: str) -> int:
     return size
 
 
-def _publish_one(store, root: str, key: str, content: str, wait_s: float) -> tuple[str, int, int]:
+def _publish_one(
+    store, root: str, key: str, content: str, mime: str, wait_s: float
+) -> tuple[str, int, int]:
     path = _inside(root, key)
     if path is None:
         return UPLOAD_FAILURE, 0, 0
@@ -117,9 +149,11 @@ def _publish_one(store, root: str, key: str, content: str, wait_s: float) -> tup
         return ALREADY_THERE, 0, 0
     for attempt in range(1, MAX_ATTEMPTS + 1):
         try:
-            size = _copy(source, source_path, store, path)
+            size = _copy(source, source_path, store, path, mime)
             return (UPLOADED, attempt, size) if size else (DOWNLOAD_FAILURE, attempt, 0)
         except OSError:
+            if _exists(store, path):  # a second run of the same task was faster
+                return ALREADY_THERE, attempt, 0
             if attempt < MAX_ATTEMPTS:
                 time.sleep(wait_s * 2 ** (attempt - 1))
     return UPLOAD_FAILURE, MAX_ATTEMPTS, 0
@@ -130,27 +164,27 @@ def put_objects(
 ) -> DataFrame:
     """Copy staged content to its object key, on the executors, one object at a time per task.
 
-    ``rows`` has the keys, ``s3_key``, ``content_path`` and ``outcome``; a row whose outcome is
-    already decided passes through. A task that is run again finds the objects of its first run
-    in place. Only names travel to Python, so the memory of a task does not depend on the
+    ``rows`` has the keys, ``s3_key``, ``content_type``, ``content_path`` and ``outcome``; a row
+    whose outcome is already decided passes through. A task that is run again finds the objects
+    of its first run in place. Only names travel to Python, so the memory of a task does not depend on the
     size of the objects.
     """
     fields = [rows.schema[k] for k in keys] + OUTCOME_FIELDS
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, base = _open_fs(root)
+        store, base = _open_root(root)
         for pdf in batches:
             done = [
                 (row.outcome, 0, 0)
                 if row.outcome is not None
-                else _publish_one(store, base, row.s3_key, row.content_path, wait_s)
+                else _publish_one(store, base, row.s3_key, row.content_path, row.content_type, wait_s)
                 for row in pdf.itertuples(index=False)
             ]
-            out = pdf[[*keys, "s3_key"]].copy()
+            out = pdf[[*keys, "s3_key", "content_type"]].copy()
             out["outcome"] = [d[0] for d in done]
             out["attempts"] = [d[1] for d in done]
             out["bytes"] = [d[2] for d in done]
             yield out
 
-    named = rows.select(*keys, "s3_key", "content_path", "outcome")
+    named = rows.select(*keys, "s3_key", "content_type", "content_path", "outcome")
     return named.repartition(tasks, *keys).mapInPandas(run, StructType(fields))
