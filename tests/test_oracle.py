@@ -3,6 +3,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.plans.inputs import INPUTS, read_input
 from tests.oracle_check import connect, spark_result, sql_result
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -25,6 +26,13 @@ def test_query_equals_sql(spark, duck, name):
     assert mine == sql_result(duck, entry.oracle_sql()[name])
 
 
+@pytest.mark.parametrize("name", sorted(INPUTS))
+def test_declared_schemas_are_those_of_the_files(spark, name):
+    plain = lambda df: [(f.name, f.dataType) for f in df.schema.fields]
+    inferred = spark.read.parquet(f"{SF_DIR}/{name}.parquet")
+    assert plain(read_input(spark, SF_DIR, name)) == plain(inferred)
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "day" and df.count() > 0

@@ -28,7 +28,8 @@ def reconcile(rows: DataFrame, manifest: DataFrame, key: str) -> DataFrame:
 
 
 def to_upload(rows: DataFrame, manifest: DataFrame, key: str) -> DataFrame:
-    return rows.join(manifest.select(key), key, "left_anti")
+    """Rows whose object is missing. Repeated manifest keys are dropped before the shuffle."""
+    return rows.join(manifest.select(key).distinct(), key, "left_anti")
 
 
 def attempt_outcome(

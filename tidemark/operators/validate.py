@@ -78,7 +78,7 @@ def constraint_report(*checks: Check) -> DataFrame:
     parts = [zeros.withColumn("violations", F.lit(0).cast("bigint"))]
     parts += [_nulls(c) for c in checks] + [_surplus(c) for c in checks]
     return (
-        reduce(DataFrame.unionByName, parts)
+        reduce(DataFrame.union, parts)
         .groupBy("table_name", "check_name", "column_name")
         .agg(F.sum("violations").alias("violations"))
     )

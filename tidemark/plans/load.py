@@ -10,7 +10,7 @@ from tidemark.operators.upsert import fits_broadcast, upsert
 from tidemark.operators.validate import flag_valid
 from tidemark.schemas import TableSpec
 from tidemark.session import one_row
-from tidemark.sources.tables import bucket_of, is_complete, merge, merged_rows, stage_path
+from tidemark.sources.tables import bucket_of, is_complete, merge, merged_ops, stage_path
 
 
 def load_run(
@@ -54,8 +54,9 @@ def load_run(
             batch,
             lambda current, changes: upsert(current, changes, spec, run_ts, broadcast_batch=small),
             touched=counts["touched"],
+            small=small,
         )
-    return _metrics(spark, path, spec, run, counts)
+    return _metrics(spark, path, run, counts)
 
 
 def _measure(staged: DataFrame, spec: TableSpec) -> dict:
@@ -72,18 +73,12 @@ def _measure(staged: DataFrame, spec: TableSpec) -> dict:
     return row.asDict()
 
 
-def _metrics(
-    spark: SparkSession, path: str, spec: TableSpec, run: str, counts: dict
-) -> DataFrame:
+def _metrics(spark: SparkSession, path: str, run: str, counts: dict) -> DataFrame:
     extracted, valid = (F.lit(counts[c]).cast("bigint") for c in ("extracted", "valid"))
-    if not counts["valid"]:
-        zero = F.lit(0).cast("bigint")
-        ops = one_row(spark).select(zero.alias("inserted"), zero.alias("updated"))
-    else:
-        ops = merged_rows(spark, path, spec, run).agg(
-            F.count_if(F.col("op") == "insert").alias("inserted"),
-            F.count_if(F.col("op") == "update").alias("updated"),
-        )
+    zero = F.lit(0).cast("bigint")
+    ops = one_row(spark).select(zero.alias("inserted"), zero.alias("updated"))
+    if counts["valid"]:
+        ops = merged_ops(spark, path, run)
     return ops.select(
         extracted.alias("extracted"),
         (extracted - valid).alias("invalid"),

@@ -91,6 +91,7 @@ def publish_run(
         lambda current, changes: apply_outcomes(
             current, changes, spec.keys, run_ts, broadcast_outcomes=small
         ),
+        small=small,
     )
     return publish_metrics(outcomes)
 

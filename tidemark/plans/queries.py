@@ -36,6 +36,7 @@ from tidemark.operators.reconcile import (
 from tidemark.operators.search import search_page
 from tidemark.operators.upsert import load_metrics, op_counts, upsert
 from tidemark.operators.validate import Check, constraint_report, flag_valid, valid_rows
+from tidemark.plans.inputs import read_input
 from tidemark.schemas import RUN_AUDIT, RUN_COUNTERS, TableSpec
 from tidemark.session import new_folder
 from tidemark.sources.landing import extract_items, page_metrics, read_pages
@@ -88,10 +89,6 @@ AUDIT_NTZ = TableSpec(
 )
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def _at(text: str) -> Column:
     return run_timestamp(text, ntz=True)
 
@@ -101,7 +98,7 @@ def _between(df: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def _delivery(spark: SparkSession, sf_dir: str, i: int) -> DataFrame:
-    return _between(_table(spark, sf_dir, "events"), DELIVERIES[i], DELIVERIES[i + 1])
+    return _between(read_input(spark, sf_dir, "events"), DELIVERIES[i], DELIVERIES[i + 1])
 
 
 def _day() -> Column:
@@ -113,7 +110,7 @@ def _day() -> Column:
 
 def q_search_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = search_page(
-        _table(spark, sf_dir, "orders"),
+        read_input(spark, sf_dir, "orders"),
         query="High",
         text="o_orderpriority",
         purity="O",
@@ -128,7 +125,7 @@ def q_search_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_extract_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     item = F.from_json("props", "k BIGINT, label STRING")
-    return _table(spark, sf_dir, "events").select(
+    return read_input(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("item_id"),
         F.col("event_type").alias("category"),
         F.col("value").alias("price"),
@@ -158,7 +155,7 @@ def _land_pages(spark: SparkSession, sf_dir: str) -> str:
         F.contains("url", F.lit("spam")), F.lit("<html>502</html>")
     ).otherwise(F.to_json(F.struct(data.alias("data"))))
     folder = new_folder(spark, "landed")
-    _table(spark, sf_dir, "pages").select(line.alias("value")).write.text(folder)
+    read_input(spark, sf_dir, "pages").select(line.alias("value")).write.text(folder)
     return folder
 
 
@@ -172,7 +169,7 @@ def q_page_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = _table(spark, sf_dir, "conversations")
+    turns = read_input(spark, sf_dir, "conversations")
     first = first_n(turns, ["conv_id"], [F.col("turn").asc()], 3)
     return first.select("conv_id", F.col("pos").cast("bigint").alias("pos"), "role", "text")
 
@@ -181,7 +178,7 @@ def q_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_valid_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = _table(spark, sf_dir, "pages").select(
+    items = read_input(spark, sf_dir, "pages").select(
         F.col("page_id").cast("string").alias("item_id"),
         F.regexp_extract("url", r"[^/]+\.html$", 0).alias("url"),
     )
@@ -242,7 +239,7 @@ def q_constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a nullable column: documents without a label
     labelled = _documents(spark, sf_dir).select("doc_id", "quality")
     return constraint_report(
-        *[Check(_table(spark, sf_dir, name), name, *check) for name, check in checks.items()],
+        *[Check(read_input(spark, sf_dir, name), name, *check) for name, check in checks.items()],
         Check(labelled, "documents_with_labels", ["quality"], ["doc_id"]),
     )
 
@@ -251,8 +248,8 @@ def q_constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
-    return _table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
+    labels = read_input(spark, sf_dir, "labels").select("doc_id", "quality")
+    return read_input(spark, sf_dir, "documents").join(labels, "doc_id", "left")
 
 
 def q_pending_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,20 +264,20 @@ def q_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_object_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     url, key = F.col("url"), F.col("page_id").cast("string")
-    return _table(spark, sf_dir, "pages").select(
+    return read_input(spark, sf_dir, "pages").select(
         "page_id", url_extension(url).alias("extension"), object_key(key, url).alias("s3_key")
     )
 
 
 def q_content_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    derived = _table(spark, sf_dir, "pages").select(
+    derived = read_input(spark, sf_dir, "pages").select(
         object_key(F.col("page_id").cast("string"), F.col("url")).alias("s3_key")
     )
     size = F.col("p_size")
     suffix = (
         F.when(size <= 10, ".PNG").when(size <= 20, ".webp").when(size <= 30, ".jpeg").when(size <= 40, ".JPG")
     ).otherwise(".gif")
-    made = _table(spark, sf_dir, "part").select(
+    made = read_input(spark, sf_dir, "part").select(
         F.concat(F.lit("parts/"), F.col("p_partkey").cast("string"), suffix).alias("s3_key")
     )
     keys = derived.unionByName(made)
@@ -288,17 +285,17 @@ def q_content_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _table(spark, sf_dir, "documents").select("doc_id", "source")
-    return reconcile(documents, _table(spark, sf_dir, "labels"), "doc_id")
+    documents = read_input(spark, sf_dir, "documents").select("doc_id", "source")
+    return reconcile(documents, read_input(spark, sf_dir, "labels"), "doc_id")
 
 
 def q_to_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _table(spark, sf_dir, "documents").select("doc_id", "source")
-    return to_upload(documents, _table(spark, sf_dir, "labels"), "doc_id")
+    documents = read_input(spark, sf_dir, "documents").select("doc_id", "source")
+    return to_upload(documents, read_input(spark, sf_dir, "labels"), "doc_id")
 
 
 def q_attempt_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _table(spark, sf_dir, "events").withColumn("day", _day())
+    log = read_input(spark, sf_dir, "events").withColumn("day", _day())
     ok = F.col("event_type") != "error"
     return attempt_outcome(log, ["user_id", "day"], ARRIVAL, ok)
 
@@ -313,7 +310,7 @@ def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("https://"), F.col("source"), F.lit(".example.com/"), F.col("doc_id").cast("string"),
         F.lit("."), F.col("lang"),
     )
-    rows = _table(spark, sf_dir, "documents").select(
+    rows = read_input(spark, sf_dir, "documents").select(
         "doc_id",
         "source",
         object_key(F.col("doc_id").cast("string"), url).alias("s3_key"),
@@ -321,10 +318,10 @@ def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .cast("bigint")
         .alias("content_size"),
     )
-    puts = _table(spark, sf_dir, "events").select(
+    puts = read_input(spark, sf_dir, "events").select(
         F.col("event_id").alias("doc_id"), (F.col("event_type") != "error").alias("put_ok")
     )
-    joined = reconcile(rows, _table(spark, sf_dir, "labels"), "doc_id").join(puts, "doc_id", "left")
+    joined = reconcile(rows, read_input(spark, sf_dir, "labels"), "doc_id").join(puts, "doc_id", "left")
     decided = publish_outcome(F.col("content_size"), F.col("object_exists"), F.col("put_ok"))
     return joined.select("doc_id", "source", "s3_key", "content_size", decided.alias("outcome"))
 
@@ -338,7 +335,7 @@ def q_publish_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_apply_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = _table(spark, sf_dir, "documents").select(
+    table = read_input(spark, sf_dir, "documents").select(
         "doc_id",
         "lang",
         F.lit(None).cast("string").alias("s3_key"),
@@ -355,7 +352,7 @@ def q_code_class(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "view", "NotFound")
         .otherwise(status.cast("string"))
     )
-    return _table(spark, sf_dir, "events").select(
+    return read_input(spark, sf_dir, "events").select(
         "event_id", code.alias("code"), probe_class(code).alias("probe"), is_retryable(status).alias("retryable")
     )
 
@@ -369,7 +366,7 @@ def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts, failed = F.col("ts"), F.col("event_type") == "error"
     last_ok, last_failed = F.max(F.when(~failed, ts)), F.max(F.when(failed, ts))
     days = (
-        _table(spark, sf_dir, "events")
+        read_input(spark, sf_dir, "events")
         .groupBy(F.to_date("ts").alias("date"))
         .agg(
             F.min(F.when(F.col("value") >= 200, ts)).alias("started"),
@@ -392,7 +389,7 @@ def q_run_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _table(spark, sf_dir, "events").select(*EVENT_KEY, "value", F.to_date("ts").alias("day"))
+    events = read_input(spark, sf_dir, "events").select(*EVENT_KEY, "value", F.to_date("ts").alias("day"))
     history = run_history(events, "day", EVENT_KEY, F.col("value") >= PUBLISHABLE)
     return history.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
@@ -421,7 +418,7 @@ def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_rows(
         _runs(spark, sf_dir),
         history.select(named, "inserted", "updated", F.col("backlog").alias("pending")),
-        _publish_counts(_table(spark, sf_dir, "events")),
+        _publish_counts(read_input(spark, sf_dir, "events")),
     )
 
 
@@ -463,7 +460,7 @@ def q_latest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _replay(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Deliver the events week by week to a stream, with one scheduled run per week."""
     base = new_folder(spark, "replay")
-    events = _table(spark, sf_dir, "events")
+    events = read_input(spark, sf_dir, "events")
     make_folder(spark, f"{base}/landing")
     items = spark.readStream.schema(events.schema).parquet(f"{base}/landing")
     for i, week in enumerate(DELIVERIES[:-1]):

@@ -1,14 +1,16 @@
-"""Keyed Parquet tables in hash directories, merged by rewriting the touched directories.
+"""Keyed Parquet tables in hash directories, merged by replacing the touched directories.
 
 A table has one writer at a time. Its folder holds the data and one folder per merge::
 
     path/hash64/bucket=17/...        the rows
-    path/stage/<run>/rows/...        what the merge of that run makes of the directories it touches
-    path/stage/<run>/_COMMITTED      those directories have been replaced
-
-A failed run leaves the data as it was until its staged rows are complete; from then on the merge
-can only go forward. Replacing a directory twice gives the same directory, so a commit that was
-interrupted is finished by the same run when it is called again, or by the next merge.
+    path/stage/<run>/rows/...        the next content of the directories that the run touches
+    path/stage/<run>/ops/...         how many rows it inserts, updates and keeps
+    path/stage/<run>/_COMMITTED      those directories are in place
+
+A failed run leaves the data as it was until its rows and counts are staged; from then on the
+merge can only go forward. Directories are moved, not copied, and a directory that has been moved
+is passed over, so a commit that was interrupted is finished by the same run when it is called
+again, or by the next merge.
 """
 
 from __future__ import annotations
@@ -16,10 +18,11 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructField, StructType
 
 from tidemark.schemas import BUCKET, TableSpec
 
@@ -58,7 +61,14 @@ def data_path(path: str, spec: TableSpec) -> str:
 
 
 def bucket_of(spec: TableSpec) -> Column:
-    return F.pmod(F.xxhash64(*spec.keys), F.lit(spec.buckets)).cast("int")
+    """The hash directory of a row: the partition that ``align`` puts it into."""
+    return F.pmod(F.hash(*spec.keys), F.lit(spec.buckets)).cast("int")
+
+
+def align(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """One partition per hash directory. Two aligned frames join without another shuffle, and
+    the result can be written without one."""
+    return df.repartition(spec.buckets, *spec.keys)
 
 
 def _nullable(schema: StructType) -> list[StructField]:
@@ -86,14 +96,12 @@ def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     return _read(spark, path, spec).select(*spec.columns)
 
 
-def _staged(spark: SparkSession, stage: str, spec: TableSpec) -> DataFrame:
-    schema = StructType([*_nullable(spec.schema), StructField("op", StringType()), BUCKET])
-    return spark.read.schema(schema).parquet(f"{stage}/rows")
-
-
-def merged_rows(spark: SparkSession, path: str, spec: TableSpec, run: str) -> DataFrame:
-    """The rows of the directories that ``run`` touched, with what it did to each."""
-    return _staged(spark, stage_path(path, run), spec).drop(BUCKET.name)
+def merged_ops(spark: SparkSession, path: str, run: str) -> DataFrame:
+    """inserted, updated and kept rows of a merged run, in one row; no row if nothing was merged."""
+    ops = f"{stage_path(path, run)}/ops"
+    if not is_complete(spark, ops):
+        make_folder(spark, ops)
+    return spark.read.schema("inserted bigint, updated bigint, kept bigint").parquet(ops)
 
 
 def touched_buckets(changes: DataFrame, spec: TableSpec) -> list[int]:
@@ -109,6 +117,7 @@ def merge(
     changes: DataFrame,
     resolve: Resolve,
     touched: list[int] | None = None,
+    small: bool = True,
 ) -> bool:
     """Merge ``changes`` (one row per key) into the table; False if there was nothing to merge.
 
@@ -116,6 +125,10 @@ def merge(
     It must keep every current row: a directory is replaced as a whole. ``touched`` are the
     directories that the changes fall into; they are looked up in the changes if the caller does
     not know them. A ``run`` that has been merged is not merged again.
+
+    Of ``small`` changes the touched rows are regrouped by directory before they are written.
+    Otherwise both sides are aligned with the directories first, so that the join's shuffle is
+    the only one; that needs as many directories as the session has shuffle partitions.
     """
     stage = stage_path(path, run)
     if exists(spark, f"{stage}/_COMMITTED"):
@@ -130,51 +143,73 @@ def merge(
     current = _read(spark, path, spec)
     if len(touched) < spec.buckets:
         current = current.where(F.col(BUCKET.name).isin(touched))
-    _write_staged(resolve(current.select(*spec.columns), changes), spec, stage)
+    current = current.select(*spec.columns)
+    aligned = not small and spec.buckets >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if aligned:
+        current, changes = align(current, spec), align(changes, spec)
+    rows = resolve(current, changes).withColumn(BUCKET.name, bucket_of(spec))
+    if not aligned:
+        # keeps the rows of a directory together, splits large ones and packs small ones
+        rows = rows.hint("rebalance", BUCKET.name)
+    _write_staged(spark, rows, spec, stage)
     _commit(spark, path, spec, stage)
     return True
 
 
-def _write_staged(rows: DataFrame, spec: TableSpec, stage: str) -> None:
-    # Rebalancing keeps the rows of a directory together, splits large ones and packs small ones.
+def _write_staged(spark: SparkSession, rows: DataFrame, spec: TableSpec, stage: str) -> None:
     # Pending rows come first in each file, so that row groups without any are skipped later.
     order = [F.col(BUCKET.name)]
     if spec.pending_col:
         order.append(F.col(spec.pending_col).isNotNull())
     (
-        rows.withColumn(BUCKET.name, bucket_of(spec))
-        .hint("rebalance", BUCKET.name)
-        .sortWithinPartitions(*order, *spec.keys)
+        rows.sortWithinPartitions(*order, *spec.keys)
         .write.mode("overwrite")
         .partitionBy(BUCKET.name)
         .parquet(f"{stage}/rows")
     )
-
-
-def _commit(spark: SparkSession, path: str, spec: TableSpec, stage: str) -> None:
+    # The counts are taken from the written rows: lost and repeated tasks cannot change them.
+    # ``op`` stays in the files; the declared schema does not read it.
+    op = F.col("op")
     (
-        _staged(spark, stage, spec)
-        .drop("op")
+        spark.read.schema("op string")
+        .parquet(f"{stage}/rows")
+        .agg(
+            F.count_if(op == "insert").alias("inserted"),
+            F.count_if(op == "update").alias("updated"),
+            F.count_if(op == "keep").alias("kept"),
+        )
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET.name)
-        .parquet(data_path(path, spec))
+        .parquet(f"{stage}/ops")
     )
+
+
+def _commit(spark: SparkSession, path: str, spec: TableSpec, stage: str) -> None:
+    fs, rows = _hadoop(spark, f"{stage}/rows")
+    names = [s.getPath().getName() for s in fs.listStatus(rows)]
+
+    def replace(name: str) -> None:
+        _, new = _hadoop(spark, f"{stage}/rows/{name}")
+        _, old = _hadoop(spark, f"{data_path(path, spec)}/{name}")
+        fs.delete(old, True)
+        if not fs.rename(new, old):
+            raise OSError(f"could not move {new} to {old}")
+
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(replace, [n for n in names if n.startswith(f"{BUCKET.name}=")]))
     make_folder(spark, f"{stage}/_COMMITTED")
 
 
 def _stages(spark: SparkSession, path: str, marker: str) -> set[str]:
     fs, p = _hadoop(spark, f"{path}/stage/*/{marker}")
-    depth = marker.count("/") + 1
     found = [s.getPath() for s in (fs.globStatus(p) or [])]
-    for _ in range(depth):
+    for _ in marker.split("/"):
         found = [f.getParent() for f in found]
     return {f.toString() for f in found}
 
 
 def finish_commits(spark: SparkSession, path: str, spec: TableSpec) -> None:
     """Finish a commit that was interrupted. There is at most one, as merges start with this."""
-    for stage in _stages(spark, path, "rows/_SUCCESS") - _stages(spark, path, "_COMMITTED"):
+    for stage in _stages(spark, path, "ops/_SUCCESS") - _stages(spark, path, "_COMMITTED"):
         _commit(spark, path, spec, stage)
 
 
