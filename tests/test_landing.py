@@ -42,16 +42,16 @@ def test_limit_keeps_the_first_items_of_each_page(spark, landing):
 
 def test_bad_pages_are_counted_also_empty_ones(spark, landing):
     pages = read_pages(spark, landing)
-    assert tuple(page_metrics(pages).first()) == (4, 1, 5)
+    assert tuple(page_metrics(pages).first()) == (4, 1, 5, 1)
     assert listed_files(pages) == 5
-    assert tuple(page_metrics(pages, listed_files(pages)).first()) == (5, 2, 5)
+    assert tuple(page_metrics(pages, listed_files(pages)).first()) == (5, 2, 5, 1)
 
 
 def test_only_bad_pages_give_no_items(spark, tmp_path):
     (tmp_path / "x.json").write_text("<html>")
     pages = read_pages(spark, str(tmp_path))
     assert extract_items(pages).count() == 0
-    assert tuple(page_metrics(pages).first()) == (1, 1, 0)
+    assert tuple(page_metrics(pages).first()) == (1, 1, 0, 0)
 
 
 def test_one_page_per_line(spark, tmp_path):
@@ -59,4 +59,4 @@ def test_one_page_per_line(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text("\n".join(lines))
     pages = read_pages(spark, str(tmp_path), lines=True)
     assert extract_items(pages).agg(F.sum("file_size")).first()[0] == sum(range(20))
-    assert tuple(page_metrics(pages).first()) == (21, 1, 20)
+    assert tuple(page_metrics(pages).first()) == (21, 1, 20, 0)

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.coerce import run_timestamp
 from tidemark.operators.audit import latest_runs
+from tidemark.operators.validate import constraint_report, enforce, table_check
 from tidemark.plans.daily import daily_run
 from tidemark.plans.load import load_run
 from tidemark.schemas import RUN_AUDIT, WALLPAPERS
 from tidemark.sources.landing import extract_items, read_pages
-from tidemark.sources.tables import ensure_table, read_table
+from tidemark.sources.tables import ensure_table, read_table, register
 
 SPEC = WALLPAPERS.with_buckets(4)
 
@@ -73,6 +74,29 @@ def test_daily_runs(spark, site):
     ]
 
 
+def test_the_reports_run_as_sql(spark, site):
+    site.page("one", ["a", "b", "c"], staged=["a"])
+    for day in range(1, 7):
+        site.run(f"r{day}", "one", day=day)
+    register(spark, "wallpapers", site.table, SPEC)
+    register(spark, "run_audit", site.audit, RUN_AUDIT)
+    assert spark.sql("SELECT COUNT(*) FROM wallpapers").first()[0] == 3
+    assert spark.sql("SELECT COUNT(*) FROM wallpapers WHERE s3_key IS NULL").first()[0] == 2
+    report = spark.sql(
+        """
+        SELECT dag_id, run_id, metadata_inserted, metadata_updated, images_uploaded, download_failures,
+               upload_failures, missing_s3_after_run, duration_seconds, ended_at
+        FROM run_audit ORDER BY ended_at DESC NULLS FIRST LIMIT 5
+        """
+    )
+    assert [r.run_id for r in report.collect()] == ["r6", "r5", "r4", "r3", "r2"]
+    sound = constraint_report(
+        table_check(spark.table("wallpapers"), "wallpapers", SPEC),
+        table_check(spark.table("run_audit"), "run_audit", RUN_AUDIT),
+    )
+    assert {r.violations for r in enforce(sound).collect()} == {0}
+
+
 def test_limits_bound_a_run(site):
     site.page("one", list("abcdefgh"), staged=list("abcdefgh"))
     assert site.run("r1", "one", item_limit=5, batch_limit=2) == (5, 0, 2, 0, 0, 3)

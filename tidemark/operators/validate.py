@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.schemas import LOAD_COLUMNS
+from tidemark.schemas import LOAD_COLUMNS, TableSpec
 from tidemark.session import one_row
 
 
@@ -37,6 +37,11 @@ class Check(NamedTuple):
     key: Sequence[str]
 
 
+def table_check(df: DataFrame, table: str, spec: TableSpec) -> Check:
+    """What a table's own declaration promises."""
+    return Check(df, table, [f.name for f in spec.schema.fields if not f.nullable], spec.keys)
+
+
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """The keys that occur more than once, with their row count."""
     return df.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")

@@ -199,7 +199,9 @@ def all_sql() -> dict[str, str]:
             SELECT 1, 'b' || page_id, NULL, NULL, host, NULL, NULL FROM p""",
         "q_page_metrics": """
             SELECT count(*) AS pages, count(*) FILTER (WHERE contains(url, 'spam')) AS bad_pages,
-                   3 * count(*) FILTER (WHERE NOT contains(url, 'spam')) AS items FROM pages""",
+                   3 * count(*) FILTER (WHERE NOT contains(url, 'spam')) AS items,
+                   count(*) FILTER (WHERE NOT contains(url, 'spam')) AS bad_sizes
+            FROM pages""",
         "q_first_n": """
             SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos, role, text
             FROM conversations QUALIFY pos <= 3""",

@@ -49,19 +49,22 @@ def extract_items(pages: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def page_metrics(pages: DataFrame, files: int | None = None) -> DataFrame:
-    """pages, bad_pages and the items on the readable ones, in one row.
+    """pages, bad_pages, and the items and bad_sizes on the readable ones, in one row.
 
+    A size that is not a whole number is loaded as NULL and counted in bad_sizes.
     A zero-length file yields no row at all. Give the number of listed files (``listed_files``)
     for one-page-per-file landings, and the files without a row count as bad pages too.
     """
     bad = F.col("_corrupt_record").isNotNull()
     seen, zero = F.count("*"), F.lit(0).cast("bigint")
     total = seen if files is None else F.lit(files).cast("bigint")
-    items = F.when(~bad, F.size(F.coalesce("data", F.array())))
+    data = F.when(~bad, F.col("data"))
+    not_whole = lambda i: i["file_size"].isNotNull() & i["file_size"].try_cast("bigint").isNull()
     return pages.agg(
         total.alias("pages"),
         (F.count_if(bad) + total - seen).alias("bad_pages"),
-        F.coalesce(F.sum(items), zero).alias("items"),
+        F.coalesce(F.sum(F.array_size(data)), zero).alias("items"),
+        F.coalesce(F.sum(F.array_size(F.filter(data, not_whole))), zero).alias("bad_sizes"),
     )
 
 

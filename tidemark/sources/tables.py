@@ -96,6 +96,11 @@ def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     return _read(spark, path, spec).select(*spec.columns)
 
 
+def register(spark: SparkSession, name: str, path: str, spec: TableSpec) -> None:
+    """Make the table known to SQL under ``name``, as it is now."""
+    read_table(spark, path, spec).createOrReplaceTempView(name)
+
+
 def merged_ops(spark: SparkSession, path: str, run: str) -> DataFrame:
     """inserted, updated and kept rows of a merged run, in one row; no row if nothing was merged."""
     ops = f"{stage_path(path, run)}/ops"
