@@ -240,6 +240,6 @@ def test_a_large_limit_gives_the_same_result(store, monkeypatch):
     for i in range(0, 30, 2):
         store.stage(f"k{i:02d}")
     monkeypatch.setattr("tidemark.operators.ordering.TOPK_ROWS", 0)
-    monkeypatch.setattr("tidemark.plans.publish.TOPK_ROWS", 0)
+    monkeypatch.setattr("tidemark.plans.publish.SMALL_BATCH", 0)
     assert store.publish("p1", limit=11) == (6, 5, 0)
     assert sorted(store.outcomes("p1")) == [f"k{i:02d}" for i in range(11)]

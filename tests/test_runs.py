@@ -97,6 +97,17 @@ def test_the_reports_run_as_sql(spark, site):
     assert {r.violations for r in enforce(sound).collect()} == {0}
 
 
+def test_a_run_as_a_job(site):
+    from tidemark.__main__ import main
+
+    site.page("one", list("abcdefgh"), staged=list("abcdefgh"))
+    args = f"--pages {site.root}/pages --contents {site.root}/contents --objects {site.root}/objects "
+    args += f"--table {site.table} --audit {site.audit} --dag-id d --run-id scheduled__2024-01-01T00:00:00+00:00 "
+    record = main((args + "--buckets 4").split())
+    assert (record["metadata_inserted"], record["images_uploaded"], record["missing_s3_after_run"]) == (8, 5, 3)
+    assert record["duration_seconds"] is None and record["run_id"].endswith("+00:00")
+
+
 def test_limits_bound_a_run(site):
     site.page("one", list("abcdefgh"), staged=list("abcdefgh"))
     assert site.run("r1", "one", item_limit=5, batch_limit=2) == (5, 0, 2, 0, 0, 3)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.coerce import run_timestamp
+from tidemark.operators.reconcile import apply_outcomes
 from tidemark.operators.upsert import upsert
 from tidemark.schemas import WALLPAPERS
 from tidemark.sources import tables
@@ -13,6 +14,7 @@ from tidemark.sources.tables import (
     expire_stages,
     merge,
     merged_ops,
+    read_pending,
     read_table,
     stage_path,
     touched_buckets,
@@ -38,9 +40,10 @@ def _sizes(spark, path):
 
 
 def _files(path):
+    root = data_path(path, SPEC)
     return {
-        d: sorted(os.listdir(f"{data_path(path, SPEC)}/{d}"))
-        for d in os.listdir(data_path(path, SPEC))
+        d: sorted(f for _, _, files in os.walk(f"{root}/{d}") for f in files)
+        for d in os.listdir(root)
         if d.startswith("bucket=")
     }
 
@@ -85,6 +88,28 @@ def test_counters_come_from_the_staged_rows(spark, path):
     assert merged_ops(spark, path, "unknown").first() is None
 
 
+def test_many_touched_directories_are_filtered_instead(spark, path, monkeypatch):
+    _merge(spark, path, "r1", KEYS)
+    monkeypatch.setattr(tables, "LISTED_DIRECTORIES", 0)
+    _merge(spark, path, "r2", ["k3", "k4", "n"], size=9)
+    assert _sizes(spark, path) == {**{k: 1 for k in KEYS}, "k3": 9, "k4": 9, "n": 9}
+    assert tuple(merged_ops(spark, path, "r2").first())[:2] == (1, 2)
+
+
+def test_pending_rows_are_found_by_their_folder(spark, path):
+    _merge(spark, path, "r1", KEYS)
+    outcomes = spark.createDataFrame(
+        [(k, f"o/{k}", "uploaded") for k in KEYS[:30]], "wallhaven_id string, s3_key string, outcome string"
+    )
+    now = run_timestamp("2024-01-03 00:00:00")
+    merge(spark, path, SPEC, "r2", outcomes, lambda t, o: apply_outcomes(t, o, SPEC.keys, now))
+    waiting = read_pending(spark, path, SPEC)
+    assert sorted(r.wallhaven_id for r in waiting.collect()) == sorted(KEYS[30:])
+    assert "PartitionFilters: [isnotnull(pending" in plan_of(waiting)
+    assert read_table(spark, path, SPEC).where("s3_key IS NULL").count() == 10
+    assert len(_sizes(spark, path)) == 40
+
+
 def test_nothing_to_merge(spark, path):
     assert _merge(spark, path, "r1", []) is False
     assert not os.path.exists(stage_path(path, "r1"))

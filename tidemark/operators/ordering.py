@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.session import work_dir
 
-# Up to this many rows a top-k (one small heap per task, one merge) is the cheaper plan.
-TOPK_ROWS = 10_000
+# Up to this many rows a top-k is the cheaper plan. Every task sends that many rows to the one
+# that merges them, so the bound is kept low.
+TOPK_ROWS = 1_000
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition here
 

@@ -12,7 +12,7 @@ from tidemark.plans.publish import publish_run
 from tidemark.schemas import ITEM_KEY, WALLPAPERS, TableSpec
 from tidemark.sources.blobs import FIRST_WAIT_S, list_contents
 from tidemark.sources.landing import extract_items, read_pages
-from tidemark.sources.tables import ensure_table, read_table
+from tidemark.sources.tables import ensure_table, read_pending
 
 
 def daily_run(
@@ -66,6 +66,6 @@ def daily_run(
         run_ts,
         load,
         publish,
-        backlog(read_table(spark, table_path, spec)),
+        backlog(read_pending(spark, table_path, spec)).select("pending"),
         run_ts,
     )

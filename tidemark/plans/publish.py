@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import content_type, object_key
-from tidemark.operators.ordering import TOPK_ROWS
 from tidemark.operators.pending import pending_batch
 from tidemark.operators.reconcile import (
     ALREADY_THERE,
@@ -20,7 +19,10 @@ from tidemark.operators.reconcile import (
 )
 from tidemark.schemas import ITEM_KEY, WALLPAPERS, TableSpec
 from tidemark.sources.blobs import FIRST_WAIT_S, put_objects, url_path
-from tidemark.sources.tables import is_complete, merge, read_table, stage_path
+from tidemark.sources.tables import is_complete, merge, read_pending, stage_path
+
+# A batch of at most this many rows (key, URL and object key) is broadcast.
+SMALL_BATCH = 20_000
 
 
 def decide(batch: DataFrame, contents: DataFrame, manifest: DataFrame | None, small: bool) -> DataFrame:
@@ -72,10 +74,10 @@ def publish_run(
     """
     spark = contents.sparkSession
     outcomes_dir = f"{stage_path(path, run)}/outcomes"
-    small = limit <= TOPK_ROWS
+    small = limit <= SMALL_BATCH
     if not is_complete(spark, outcomes_dir):
-        table = read_table(spark, path, spec)
-        batch = pending_batch(table, limit, [ITEM_KEY, "url"], ITEM_KEY, order_by=order_by)
+        waiting = read_pending(spark, path, spec)
+        batch = pending_batch(waiting, limit, [ITEM_KEY, "url"], ITEM_KEY, order_by=order_by)
         tasks = min(limit, 4 * spark.sparkContext.defaultParallelism)
         decided = decide(batch, contents, manifest, small)
         put = put_objects(decided, object_root, [ITEM_KEY], tasks, wait_s)

@@ -6,6 +6,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql.types import (
     ArrayType,
+    BooleanType,
     IntegerType,
     LongType,
     StringType,
@@ -76,7 +77,9 @@ RUN_AUDIT_SCHEMA = StructType(
     ]
 )
 
+# Columns of the folder names of a keyed table.
 BUCKET = StructField("bucket", IntegerType())
+PENDING = StructField("pending", BooleanType())
 
 
 @dataclass(frozen=True)
@@ -85,6 +88,7 @@ class TableSpec:
 
     ``update_cols`` are replaced by the batch; ``insert_stamps`` and ``update_stamps`` take the
     run's timestamp when a row is inserted or matched; everything else is kept.
+    ``pending_col`` is NULL in rows that wait to be published; those get files of their own.
     ``buckets`` is the number of hash directories. Pick it so that one directory stays near
     1 GB: a run rewrites only the directories its keys fall into.
     """
@@ -104,6 +108,10 @@ class TableSpec:
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
 
+    @property
+    def folders(self) -> list[StructField]:
+        return [BUCKET, PENDING] if self.pending_col else [BUCKET]
+
 
 WALLPAPERS = TableSpec(
     schema=WALLPAPERS_SCHEMA,

@@ -2,7 +2,7 @@
 
 A table has one writer at a time. Its folder holds the data and one folder per merge::
 
-    path/hash64/bucket=17/...        the rows
+    path/hash64/bucket=17/...        the rows; pending ones under pending=true
     path/stage/<run>/rows/...        the next content of the directories that the run touches
     path/stage/<run>/ops/...         how many rows it inserts, updates and keeps
     path/stage/<run>/_COMMITTED      those directories are in place
@@ -24,7 +24,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tidemark.schemas import BUCKET, TableSpec
+from tidemark.schemas import BUCKET, PENDING, TableSpec
+
+# Up to this many hash directories are read by name instead of listing all of them.
+LISTED_DIRECTORIES = 256
 
 Resolve = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -86,9 +89,25 @@ def ensure_table(spark: SparkSession, path: str, spec: TableSpec) -> None:
     make_folder(spark, data_path(path, spec))
 
 
+def _schema(spec: TableSpec) -> StructType:
+    return StructType([*_nullable(spec.schema), *spec.folders])
+
+
 def _read(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    schema = StructType([*_nullable(spec.schema), BUCKET])
-    return spark.read.schema(schema).parquet(data_path(path, spec))
+    return spark.read.schema(_schema(spec)).parquet(data_path(path, spec))
+
+
+def _read_directories(spark: SparkSession, path: str, spec: TableSpec, buckets: list[int]) -> DataFrame:
+    """Some hash directories. If they are few, the others are not even listed."""
+    if len(buckets) == spec.buckets:
+        return _read(spark, path, spec)
+    if len(buckets) > LISTED_DIRECTORIES:
+        return _read(spark, path, spec).where(F.col(BUCKET.name).isin(buckets))
+    root = data_path(path, spec)
+    found = [d for d in (f"{root}/{BUCKET.name}={b}" for b in buckets) if exists(spark, d)]
+    if not found:
+        return spark.createDataFrame([], _schema(spec))
+    return spark.read.schema(_schema(spec)).option("basePath", root).parquet(*found)
 
 
 def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
@@ -96,6 +115,11 @@ def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     return _read(spark, path, spec).select(*spec.columns)
 
 
+def read_pending(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    """The rows that wait to be published, without opening the files of the others."""
+    return _read(spark, path, spec).where(F.col(PENDING.name)).select(*spec.columns)
+
+
 def register(spark: SparkSession, name: str, path: str, spec: TableSpec) -> None:
     """Make the table known to SQL under ``name``, as it is now."""
     read_table(spark, path, spec).createOrReplaceTempView(name)
@@ -145,14 +169,13 @@ def merge(
         touched = touched_buckets(changes, spec)
     if not touched:
         return False
-    current = _read(spark, path, spec)
-    if len(touched) < spec.buckets:
-        current = current.where(F.col(BUCKET.name).isin(touched))
-    current = current.select(*spec.columns)
+    current = _read_directories(spark, path, spec, touched).select(*spec.columns)
     aligned = not small and spec.buckets >= int(spark.conf.get("spark.sql.shuffle.partitions"))
     if aligned:
         current, changes = align(current, spec), align(changes, spec)
     rows = resolve(current, changes).withColumn(BUCKET.name, bucket_of(spec))
+    if spec.pending_col:
+        rows = rows.withColumn(PENDING.name, F.col(spec.pending_col).isNull())
     if not aligned:
         # keeps the rows of a directory together, splits large ones and packs small ones
         rows = rows.hint("rebalance", BUCKET.name)
@@ -162,14 +185,11 @@ def merge(
 
 
 def _write_staged(spark: SparkSession, rows: DataFrame, spec: TableSpec, stage: str) -> None:
-    # Pending rows come first in each file, so that row groups without any are skipped later.
-    order = [F.col(BUCKET.name)]
-    if spec.pending_col:
-        order.append(F.col(spec.pending_col).isNotNull())
+    folders = [f.name for f in spec.folders]
     (
-        rows.sortWithinPartitions(*order, *spec.keys)
+        rows.sortWithinPartitions(*folders, *spec.keys)
         .write.mode("overwrite")
-        .partitionBy(BUCKET.name)
+        .partitionBy(*folders)
         .parquet(f"{stage}/rows")
     )
     # The counts are taken from the written rows: lost and repeated tasks cannot change them.

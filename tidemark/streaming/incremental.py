@@ -17,7 +17,7 @@ from tidemark.plans.audit import audit_run
 from tidemark.plans.load import load_run
 from tidemark.schemas import RUN_AUDIT, TableSpec
 from tidemark.session import one_row
-from tidemark.sources.tables import ensure_table, is_complete, make_folder, read_table
+from tidemark.sources.tables import ensure_table, is_complete, make_folder, read_pending
 
 COUNTERS = ["extracted", "invalid", "duplicates", "inserted", "updated"]
 
@@ -71,7 +71,7 @@ def incremental_run(
     loaded = spark.read.schema(f"{fields}, run_id string, batch bigint").parquet(counters)
     metrics = loaded.where(F.col("run_id") == run_id).agg(*[F.sum(c).alias(c) for c in COUNTERS])
     if spec.pending_col:
-        remaining = backlog(read_table(spark, table_path, spec), spec.pending_col)
+        remaining = backlog(read_pending(spark, table_path, spec), spec.pending_col).select("pending")
     else:
         remaining = one_row(spark).select(F.lit(0).cast("bigint").alias("pending"))
     return audit_run(
