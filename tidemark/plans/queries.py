@@ -102,7 +102,7 @@ def _delivery(spark: SparkSession, sf_dir: str, i: int) -> DataFrame:
 
 
 def _day() -> Column:
-    return F.date_format("ts", "yyyy-MM-dd")
+    return F.to_date("ts").cast("string")
 
 
 # --- sources ---------------------------------------------------------------------------------
@@ -372,7 +372,7 @@ def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.min(F.when(F.col("value") >= 200, ts)).alias("started"),
             F.when(F.coalesce(last_ok > last_failed, last_failed.isNull()), last_ok).alias("ended"),
         )
-        .withColumn("day", F.date_format("date", "yyyy-MM-dd"))
+        .withColumn("day", F.col("date").cast("string"))
     )
     return run_identity(
         days,
@@ -391,7 +391,7 @@ def q_run_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_input(spark, sf_dir, "events").select(*EVENT_KEY, "value", F.to_date("ts").alias("day"))
     history = run_history(events, "day", EVENT_KEY, F.col("value") >= PUBLISHABLE)
-    return history.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+    return history.withColumn("day", F.col("day").cast("string"))
 
 
 def q_run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
