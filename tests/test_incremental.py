@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.coerce import run_timestamp
 from tidemark.schemas import RUN_AUDIT, WALLPAPERS
-from tidemark.sources.landing import extract_items, stream_pages
+from tidemark.sources.landing import ARRIVAL, extract_items, stream_pages
 from tidemark.sources.tables import read_table
 from tidemark.streaming.incremental import incremental_run
 
@@ -25,11 +25,11 @@ class Feed:
             json.dump({"data": items}, f)
 
     def run(self, name, **source):
-        items = extract_items(stream_pages(self.spark, f"{self.root}/landing", **source))
+        pages = stream_pages(self.spark, f"{self.root}/landing", **source)
         r = incremental_run(
-            items, SPEC, f"{self.root}/table", f"{self.root}/audit", f"{self.root}/state", "dag", name,
+            pages, SPEC, f"{self.root}/table", f"{self.root}/audit", f"{self.root}/state", "dag", name,
             F.lit("2024-01-01").cast("timestamp"), run_timestamp("2024-01-01 00:01:00"),
-            ["page", "pos"], "wallhaven_id", "url",
+            ARRIVAL, "wallhaven_id", "url", prepare=extract_items,
         ).first()
         return r.metadata_inserted, r.metadata_updated, r.missing_s3_after_run
 

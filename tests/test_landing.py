@@ -3,7 +3,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.sources.landing import extract_items, listed_files, page_metrics, read_pages
+from tidemark.operators.dedupe import dedupe_last
+from tidemark.sources.landing import ARRIVAL, extract_items, listed_files, page_metrics, read_pages
 
 
 def _item(i, **more):
@@ -60,3 +61,18 @@ def test_one_page_per_line(spark, tmp_path):
     pages = read_pages(spark, str(tmp_path), lines=True)
     assert extract_items(pages).agg(F.sum("file_size")).first()[0] == sum(range(20))
     assert tuple(page_metrics(pages).first()) == (21, 1, 20, 0)
+
+
+def test_lines_keep_their_order_when_files_are_split(spark, tmp_path):
+    lines = [json.dumps({"data": [_item(f"k{i % 7}", file_size=i)]}) for i in range(500)]
+    (tmp_path / "x.jsonl").write_text("\n".join(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        pages = read_pages(spark, str(tmp_path), lines=True)
+        assert pages.select("block").distinct().count() > 5
+        items = extract_items(pages)
+        assert [r.file_size for r in items.orderBy(*ARRIVAL).collect()] == list(range(500))
+        last = dedupe_last(items, ["wallhaven_id"], ARRIVAL)
+        assert {r.file_size for r in last.collect()} == set(range(493, 500))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -10,7 +10,7 @@ from tidemark.operators.validate import constraint_report, enforce, table_check
 from tidemark.plans.daily import daily_run
 from tidemark.plans.load import load_run
 from tidemark.schemas import RUN_AUDIT, WALLPAPERS
-from tidemark.sources.landing import extract_items, read_pages
+from tidemark.sources.landing import ARRIVAL, extract_items, read_pages
 from tidemark.sources.tables import ensure_table, read_table, register
 
 SPEC = WALLPAPERS.with_buckets(4)
@@ -138,7 +138,7 @@ def test_load_counters(spark, site):
     ensure_table(spark, site.table, SPEC)
     items = extract_items(read_pages(spark, f"{site.root}/pages"))
     args = (SPEC, site.table)
-    kw = dict(order_by=["page", "pos"], key="wallhaven_id", url="url")
+    kw = dict(order_by=ARRIVAL, key="wallhaven_id", url="url")
     got = load_run(items, *args, "l1", run_timestamp("2024-01-01"), **kw).first().asDict()
     assert got == {"extracted": 5, "invalid": 1, "duplicates": 1, "inserted": 3, "updated": 0}
     sizes = {r[0]: r[5] for r in site.rows()}

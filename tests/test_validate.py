@@ -1,6 +1,6 @@
 import pytest
 
-from tidemark.operators.validate import Check, constraint_report, enforce, flag_valid, valid_rows
+from tidemark.operators.validate import Check, constraint_report, duplicate_keys, enforce, flag_valid, null_rows, valid_rows
 
 ROWS = [("a", "u"), (None, "u"), ("", "u"), ("a", None), ("a", ""), (" ", "u"), ("a", " ")]
 
@@ -20,6 +20,8 @@ def test_constraint_report_and_enforcement(spark):
     assert got == {("not_null", "k"): 2, ("not_null", "v"): 2, ("unique", "k"): 3}
     with pytest.raises(Exception, match="constraint violated: t"):
         enforce(report).collect()
+    assert {tuple(r) for r in null_rows(df, ["k", "v"]).collect()} == {(1, None), (None, "z"), (None, None)}
+    assert [tuple(r) for r in duplicate_keys(df.where("k IS NOT NULL"), ["k"]).collect()] == [(1, 3)]
     sound = constraint_report(Check(df.where("k = 2"), "t", ["k", "v"], ["k"]))
     assert [r.violations for r in enforce(sound).collect()] == [0, 0, 0]
 

@@ -42,6 +42,12 @@ def table_check(df: DataFrame, table: str, spec: TableSpec) -> Check:
     return Check(df, table, [f.name for f in spec.schema.fields if not f.nullable], spec.keys)
 
 
+def null_rows(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """The rows with a NULL in a required column. The filter reaches the Parquet scan, where row
+    groups whose statistics show no NULL are skipped: on a sound table hardly any data is read."""
+    return df.where(reduce(Column.__or__, [F.col(c).isNull() for c in required]))
+
+
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """The keys that occur more than once, with their row count."""
     return df.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
@@ -57,11 +63,9 @@ def _named(table: str, check: str, column: Column, violations: Column) -> list[C
 
 
 def _nulls(check: Check) -> DataFrame:
-    """One row per NULL. The filter reaches the Parquet scan, where row groups whose statistics
-    show no NULL are skipped: on a sound table hardly any data is read."""
-    null = [F.col(c).isNull() for c in check.required]
-    found = F.array_compact(F.array(*[F.when(n, F.lit(c)) for c, n in zip(check.required, null)]))
-    rows = check.df.where(reduce(Column.__or__, null)).select(F.explode(found).alias("column"))
+    """One row per NULL."""
+    found = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in check.required]))
+    rows = null_rows(check.df, check.required).select(F.explode(found).alias("column"))
     return rows.select(*_named(check.table, "not_null", F.col("column"), F.lit(1)))
 
 

@@ -11,7 +11,7 @@ from tidemark.plans.load import load_run
 from tidemark.plans.publish import publish_run
 from tidemark.schemas import ITEM_KEY, WALLPAPERS, TableSpec
 from tidemark.sources.blobs import FIRST_WAIT_S, list_contents
-from tidemark.sources.landing import extract_items, read_pages
+from tidemark.sources.landing import ARRIVAL, extract_items, read_pages
 from tidemark.sources.tables import ensure_table, read_pending
 
 
@@ -43,7 +43,7 @@ def daily_run(
     ensure_table(spark, table_path, spec)
     items = extract_items(read_pages(spark, pages, lines), item_limit)
     load = load_run(
-        items, spec, table_path, f"{run_id}-{attempt}-load", run_ts, ["page", "pos"], ITEM_KEY, "url"
+        items, spec, table_path, f"{run_id}-{attempt}-load", run_ts, ARRIVAL, ITEM_KEY, "url"
     )
     publish = publish_run(
         table_path,

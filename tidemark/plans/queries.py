@@ -161,7 +161,7 @@ def _land_pages(spark: SparkSession, sf_dir: str) -> str:
 
 def q_landed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_pages(spark, _land_pages(spark, sf_dir), lines=True)
-    return extract_items(pages, limit=2).drop("page").withColumn("pos", F.col("pos").cast("bigint"))
+    return extract_items(pages, limit=2).drop("page", "block", "line").withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def q_page_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,9 +295,10 @@ def q_to_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_attempt_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = read_input(spark, sf_dir, "events").withColumn("day", _day())
+    log = read_input(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
     ok = F.col("event_type") != "error"
-    return attempt_outcome(log, ["user_id", "day"], ARRIVAL, ok)
+    outcome = attempt_outcome(log, ["user_id", "day"], ARRIVAL, ok)
+    return outcome.withColumn("day", F.col("day").cast("string"))
 
 
 def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:

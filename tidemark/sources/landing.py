@@ -8,6 +8,18 @@ from pyspark.sql import functions as F
 from tidemark.schemas import ENVELOPE, ITEM_FIELDS
 
 
+# Arrival order of items: file, split of the file, page in the split, place on the page.
+ARRIVAL = ["page", "block", "line", "pos"]
+
+
+def _with_origin(pages: DataFrame) -> DataFrame:
+    return pages.select(
+        "*",
+        F.col("_metadata.file_path").alias("page"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+
+
 def _options(lines: bool) -> dict[str, str]:
     return {
         "multiLine": str(not lines).lower(),
@@ -17,23 +29,25 @@ def _options(lines: bool) -> dict[str, str]:
 
 
 def read_pages(spark: SparkSession, path: str | list[str], lines: bool = False) -> DataFrame:
-    """Response pages with the file each came from.
+    """Response pages with the file and split each came from.
 
     One page per file by default. ``lines=True`` reads one page per line; such files are split
     between tasks, so use it for large landings.
     """
-    pages = spark.read.schema(ENVELOPE).options(**_options(lines)).json(path)
-    return pages.select("*", F.col("_metadata.file_path").alias("page"))
+    return _with_origin(spark.read.schema(ENVELOPE).options(**_options(lines)).json(path))
 
 
 def stream_pages(spark: SparkSession, path: str, lines: bool = False, **source_options: str) -> DataFrame:
-    """The same frame as ``read_pages``, as a stream of the files that arrive."""
+    """The same frame as ``read_pages``, as a stream of the files that arrive.
+
+    Items are taken from it batch by batch: pass ``extract_items`` as ``prepare`` to the run.
+    """
     reader = spark.readStream.schema(ENVELOPE).options(**_options(lines), **source_options)
-    return reader.json(path).select("*", F.col("_metadata.file_path").alias("page"))
+    return _with_origin(reader.json(path))
 
 
 def extract_items(pages: DataFrame, limit: int | None = None) -> DataFrame:
-    """Items of all readable pages: the six fields, the page and the position on it.
+    """Items of all readable pages: the six fields and the columns of ``ARRIVAL``.
 
     A page without ``data``, or one that is not JSON, gives no items. ``limit`` keeps the first
     items of each page. ``file_size`` becomes NULL where it is not a whole number.
@@ -41,9 +55,11 @@ def extract_items(pages: DataFrame, limit: int | None = None) -> DataFrame:
     data = F.when(F.col("_corrupt_record").isNull(), F.col("data"))
     if limit is not None:
         data = F.slice(data, 1, limit)
-    items = pages.select("page", F.posexplode(data).alias("pos", "item"))
+    # within one split the ids rise in reading order, whichever task reads it
+    placed = pages.select("page", "block", F.monotonically_increasing_id().alias("line"), data.alias("data"))
+    items = placed.select("page", "block", "line", F.posexplode("data").alias("pos", "item"))
     fields = [F.col(f"item.{source}").alias(name) for source, name in ITEM_FIELDS.items()]
-    return items.select("page", "pos", *fields).withColumn(
+    return items.select(*ARRIVAL, *fields).withColumn(
         "file_size", F.col("file_size").try_cast("bigint")
     )
 

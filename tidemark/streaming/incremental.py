@@ -8,6 +8,7 @@ resumes under its own name and ends in the same table and the same counters.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ COUNTERS = ["extracted", "invalid", "duplicates", "inserted", "updated"]
 
 
 def incremental_run(
-    items: DataFrame,
+    arriving: DataFrame,
     spec: TableSpec,
     table_path: str,
     audit_path: str,
@@ -35,16 +36,19 @@ def incremental_run(
     order_by: list[str],
     key: str,
     url: str,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
     audit_spec: TableSpec = RUN_AUDIT,
 ) -> DataFrame:
-    """Load everything that is new in the streaming frame ``items``, then record the run.
+    """Load everything that is new in the stream, then record the run.
+
+    ``arriving`` holds items, or whatever ``prepare`` makes items from in each micro-batch.
 
     ``state`` holds the stream's checkpoint, and the counters of every micro-batch under the run
     that first loaded it; it stays the same from run to run. Returns
     the audit record. A run that finds nothing new records zeros; one that is started again
     under its name after a failure records all of its micro-batches.
     """
-    spark: SparkSession = items.sparkSession
+    spark: SparkSession = arriving.sparkSession
     ensure_table(spark, table_path, spec)
     counters = f"{state}/counters"
     make_folder(spark, counters)
@@ -54,14 +58,15 @@ def incremental_run(
         done = f"{counters}/batch={batch_id}"
         if is_complete(spark, done):
             return
+        items = prepare(batch) if prepare else batch
         metrics = load_run(
-            batch, spec, table_path, f"{stream}-{batch_id}", run_ts, order_by, key, url
+            items, spec, table_path, f"{stream}-{batch_id}", run_ts, order_by, key, url
         )
         named = metrics.withColumn("run_id", F.lit(run_id))
         named.coalesce(1).write.mode("overwrite").parquet(done)
 
     query = (
-        items.writeStream.trigger(availableNow=True)
+        arriving.writeStream.trigger(availableNow=True)
         .option("checkpointLocation", f"{state}/checkpoint")
         .foreachBatch(load)
         .start()
