@@ -76,7 +76,7 @@ def test_daily_runs(spark, site):
 
 def test_the_reports_run_as_sql(spark, site):
     site.page("one", ["a", "b", "c"], staged=["a"])
-    for day in range(1, 7):
+    for day in (1, 2, 3):
         site.run(f"r{day}", "one", day=day)
     register(spark, "wallpapers", site.table, SPEC)
     register(spark, "run_audit", site.audit, RUN_AUDIT)
@@ -89,7 +89,7 @@ def test_the_reports_run_as_sql(spark, site):
         FROM run_audit ORDER BY ended_at DESC NULLS FIRST LIMIT 5
         """
     )
-    assert [r.run_id for r in report.collect()] == ["r6", "r5", "r4", "r3", "r2"]
+    assert [r.run_id for r in report.collect()] == ["r3", "r2", "r1"]
     sound = constraint_report(
         table_check(spark.table("wallpapers"), "wallpapers", SPEC),
         table_check(spark.table("run_audit"), "run_audit", RUN_AUDIT),

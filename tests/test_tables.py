@@ -9,6 +9,7 @@ from tidemark.operators.upsert import upsert
 from tidemark.schemas import WALLPAPERS
 from tidemark.sources import tables
 from tidemark.sources.tables import (
+    count_pending,
     data_path,
     ensure_table,
     expire_stages,
@@ -107,6 +108,8 @@ def test_pending_rows_are_found_by_their_folder(spark, path):
     assert sorted(r.wallhaven_id for r in waiting.collect()) == sorted(KEYS[30:])
     assert "PartitionFilters: [isnotnull(pending" in plan_of(waiting)
     assert read_table(spark, path, SPEC).where("s3_key IS NULL").count() == 10
+    count = count_pending(spark, path, SPEC)
+    assert count.first()[0] == 10 and "ReadSchema: struct<>" in plan_of(count)
     assert len(_sizes(spark, path)) == 40
 
 
@@ -154,6 +157,18 @@ def test_a_merged_run_is_not_merged_again(spark, path):
     assert _sizes(spark, path)["k1"] == 5
 
 
+def test_a_marker_left_behind_does_no_harm(spark, path):
+    _merge(spark, path, "r1", KEYS)
+    name = os.path.basename(stage_path(path, "r1"))
+    os.makedirs(f"{path}/open/{name}")  # lost after the commit, before its marker was removed
+    _merge(spark, path, "r2", ["k1"], size=2)
+    assert os.listdir(f"{path}/open") == []
+    expire_stages(spark, path, older_than_ms=2**52)
+    os.makedirs(f"{path}/open/{name}")
+    _merge(spark, path, "r3", ["k2"], size=3)
+    assert _sizes(spark, path) == {**{k: 1 for k in KEYS}, "k1": 2, "k2": 3}
+
+
 def test_committed_stages_can_be_dropped(spark, path):
     _merge(spark, path, "r1", KEYS)
     assert expire_stages(spark, path, older_than_ms=0) == 0
@@ -192,6 +207,17 @@ def test_one_directory_holds_few_files(spark, path, small):
     assert tuple(merged_ops(spark, path, "r2").first()) == (1, 2000, 1000)
 
 
+def test_a_small_merge_regroups_the_touched_rows_only(spark, path, monkeypatch):
+    _merge(spark, path, "r1", KEYS)
+    plans = []
+    real = tables._write_staged
+    monkeypatch.setattr(tables, "_write_staged", lambda s, rows, *a: (plans.append(plan_of(rows)), real(s, rows, *a)))
+    _merge(spark, path, "r2", ["k3"])
+    physical = plans[0].split("== Physical Plan ==")[1]
+    assert "REBALANCE_PARTITIONS_BY_COL" in physical
+    assert physical.count("Exchange hashpartitioning") == 1
+
+
 def test_a_large_merge_shuffles_each_side_once(spark, path, monkeypatch):
     _merge(spark, path, "r1", KEYS)
     plans = []

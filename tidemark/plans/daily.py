@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.pending import backlog
 from tidemark.plans.audit import audit_run
 from tidemark.plans.load import load_run
 from tidemark.plans.publish import publish_run
 from tidemark.schemas import ITEM_KEY, WALLPAPERS, TableSpec
 from tidemark.sources.blobs import FIRST_WAIT_S, list_contents
 from tidemark.sources.landing import ARRIVAL, extract_items, read_pages
-from tidemark.sources.tables import ensure_table, read_pending
+from tidemark.sources.tables import count_pending, ensure_table
 
 
 def daily_run(
@@ -66,6 +65,6 @@ def daily_run(
         run_ts,
         load,
         publish,
-        backlog(read_pending(spark, table_path, spec)).select("pending"),
+        count_pending(spark, table_path, spec),
         run_ts,
     )

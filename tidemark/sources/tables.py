@@ -5,10 +5,11 @@ A table has one writer at a time. Its folder holds the data and one folder per m
     path/hash64/bucket=17/...        the rows; pending ones under pending=true
     path/stage/<run>/rows/...        the next content of the directories that the run touches
     path/stage/<run>/ops/...         how many rows it inserts, updates and keeps
-    path/stage/<run>/_COMMITTED      those directories are in place
+    path/open/<run>                  both are complete, and the directories are being replaced
+    path/stage/<run>/_COMMITTED      they are in place
 
-A failed run leaves the data as it was until its rows and counts are staged; from then on the
-merge can only go forward. Directories are moved, not copied, and a directory that has been moved
+A failed run leaves the data as it was until its merge is open; from then on the merge can only go
+forward. Directories are moved, not copied, and a directory that has been moved
 is passed over, so a commit that was interrupted is finished by the same run when it is called
 again, or by the next merge.
 """
@@ -120,6 +121,11 @@ def read_pending(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     return _read(spark, path, spec).where(F.col(PENDING.name)).select(*spec.columns)
 
 
+def count_pending(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    """The backlog in one row. No column is read: Parquet footers know the number of rows."""
+    return read_pending(spark, path, spec).agg(F.count("*").alias("pending"))
+
+
 def register(spark: SparkSession, name: str, path: str, spec: TableSpec) -> None:
     """Make the table known to SQL under ``name``, as it is now."""
     read_table(spark, path, spec).createOrReplaceTempView(name)
@@ -180,10 +186,15 @@ def merge(
         # keeps the rows of a directory together, splits large ones and packs small ones
         rows = rows.hint("rebalance", BUCKET.name)
     _write_staged(spark, rows, spec, stage)
+    make_folder(spark, f"{path}/open/{_name(stage)}")
     _commit(spark, path, spec, stage)
     return True
 
 
+def _name(stage: str) -> str:
+    return stage.rsplit("/", 1)[1]
+
+
 def _write_staged(spark: SparkSession, rows: DataFrame, spec: TableSpec, stage: str) -> None:
     folders = [f.name for f in spec.folders]
     (
@@ -210,7 +221,7 @@ def _write_staged(spark: SparkSession, rows: DataFrame, spec: TableSpec, stage:
 
 def _commit(spark: SparkSession, path: str, spec: TableSpec, stage: str) -> None:
     fs, rows = _hadoop(spark, f"{stage}/rows")
-    names = [s.getPath().getName() for s in fs.listStatus(rows)]
+    names = [s.getPath().getName() for s in fs.listStatus(rows)] if fs.exists(rows) else []
 
     def replace(name: str) -> None:
         _, new = _hadoop(spark, f"{stage}/rows/{name}")
@@ -222,20 +233,16 @@ def _commit(spark: SparkSession, path: str, spec: TableSpec, stage: str) -> None
     with ThreadPoolExecutor(16) as pool:
         list(pool.map(replace, [n for n in names if n.startswith(f"{BUCKET.name}=")]))
     make_folder(spark, f"{stage}/_COMMITTED")
-
-
-def _stages(spark: SparkSession, path: str, marker: str) -> set[str]:
-    fs, p = _hadoop(spark, f"{path}/stage/*/{marker}")
-    found = [s.getPath() for s in (fs.globStatus(p) or [])]
-    for _ in marker.split("/"):
-        found = [f.getParent() for f in found]
-    return {f.toString() for f in found}
+    _, marker = _hadoop(spark, f"{path}/open/{_name(stage)}")
+    fs.delete(marker, True)
 
 
 def finish_commits(spark: SparkSession, path: str, spec: TableSpec) -> None:
     """Finish a commit that was interrupted. There is at most one, as merges start with this."""
-    for stage in _stages(spark, path, "ops/_SUCCESS") - _stages(spark, path, "_COMMITTED"):
-        _commit(spark, path, spec, stage)
+    if exists(spark, f"{path}/open"):
+        fs, p = _hadoop(spark, f"{path}/open")
+        for s in fs.listStatus(p):
+            _commit(spark, path, spec, f"{path}/stage/{s.getPath().getName()}")
 
 
 def expire_stages(spark: SparkSession, path: str, older_than_ms: int) -> int:
@@ -243,9 +250,6 @@ def expire_stages(spark: SparkSession, path: str, older_than_ms: int) -> int:
 
     Their counters can no longer be read, and a run of the same name would be merged anew.
     """
-    gone = 0
-    for stage in _stages(spark, path, "_COMMITTED"):
-        fs, p = _hadoop(spark, stage)
-        if fs.getFileStatus(p).getModificationTime() < older_than_ms:
-            gone += bool(fs.delete(p, True))
-    return gone
+    fs, markers = _hadoop(spark, f"{path}/stage/*/_COMMITTED")
+    done = [m for m in (fs.globStatus(markers) or []) if m.getModificationTime() < older_than_ms]
+    return sum(bool(fs.delete(m.getPath().getParent(), True)) for m in done)

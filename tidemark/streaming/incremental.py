@@ -13,12 +13,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.pending import backlog
 from tidemark.plans.audit import audit_run
 from tidemark.plans.load import load_run
 from tidemark.schemas import RUN_AUDIT, TableSpec
 from tidemark.session import one_row
-from tidemark.sources.tables import ensure_table, is_complete, make_folder, read_pending
+from tidemark.sources.tables import count_pending, ensure_table, is_complete, make_folder
 
 COUNTERS = ["extracted", "invalid", "duplicates", "inserted", "updated"]
 
@@ -44,9 +43,9 @@ def incremental_run(
     ``arriving`` holds items, or whatever ``prepare`` makes items from in each micro-batch.
 
     ``state`` holds the stream's checkpoint, and the counters of every micro-batch under the run
-    that first loaded it; it stays the same from run to run. Returns
-    the audit record. A run that finds nothing new records zeros; one that is started again
-    under its name after a failure records all of its micro-batches.
+    that first loaded it; it stays the same from run to run. Returns the audit record. A run that
+    finds nothing new records zeros; one that is started again under its name after a failure
+    records all of its micro-batches.
     """
     spark: SparkSession = arriving.sparkSession
     ensure_table(spark, table_path, spec)
@@ -76,7 +75,7 @@ def incremental_run(
     loaded = spark.read.schema(f"{fields}, run_id string, batch bigint").parquet(counters)
     metrics = loaded.where(F.col("run_id") == run_id).agg(*[F.sum(c).alias(c) for c in COUNTERS])
     if spec.pending_col:
-        remaining = backlog(read_pending(spark, table_path, spec), spec.pending_col).select("pending")
+        remaining = count_pending(spark, table_path, spec)
     else:
         remaining = one_row(spark).select(F.lit(0).cast("bigint").alias("pending"))
     return audit_run(
