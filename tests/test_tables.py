@@ -2,11 +2,12 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.functions.coerce import run_timestamp
 from tidemark.operators.reconcile import apply_outcomes
 from tidemark.operators.upsert import upsert
-from tidemark.schemas import WALLPAPERS
+from tidemark.schemas import WALLPAPERS, TableSpec
 from tidemark.sources import tables
 from tidemark.sources.tables import (
     count_pending,
@@ -157,6 +158,18 @@ def test_a_merged_run_is_not_merged_again(spark, path):
     assert _sizes(spark, path)["k1"] == 5
 
 
+def test_keys_of_another_type_find_their_rows(spark, tmp_path):
+    fields = [StructField("k", LongType(), False), StructField("v", LongType())]
+    spec = TableSpec(StructType(fields), ("k",), ("v",), buckets=8)
+    path, now = str(tmp_path / "t"), run_timestamp("2024-01-01")
+    ensure_table(spark, path, spec)
+    for run, kind in (("r1", "bigint"), ("r2", "int"), ("r3", "string")):
+        batch = spark.range(20).select(F.col("id").cast(kind).alias("k"), F.col("id").cast(kind).alias("v"))
+        merge(spark, path, spec, run, batch, lambda t, b: upsert(t, b, spec, now))
+    assert sorted(map(tuple, read_table(spark, path, spec).collect())) == [(i, i) for i in range(20)]
+    assert tuple(merged_ops(spark, path, "r3").first()) == (0, 20, 0)
+
+
 def test_a_marker_left_behind_does_no_harm(spark, path):
     _merge(spark, path, "r1", KEYS)
     name = os.path.basename(stage_path(path, "r1"))

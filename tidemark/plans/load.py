@@ -34,7 +34,8 @@ def load_run(
     """
     spark = items.sparkSession
     items_dir = f"{stage_path(path, run)}/items"
-    kept = list(dict.fromkeys([*spec.keys, *spec.update_cols, *order_by]))
+    loaded = [*spec.keys, *spec.update_cols]
+    kept = [spec.typed(c) for c in loaded] + [F.col(c) for c in order_by if c not in loaded]
     flagged = flag_valid(items.select(*kept), key, url)
     if not is_complete(spark, items_dir):
         flagged.write.mode("overwrite").parquet(items_dir)

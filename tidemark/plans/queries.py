@@ -346,15 +346,24 @@ def q_apply_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_code_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
-    status = F.when(F.col("event_type") == "error", 500 + k).otherwise(400 + k)
-    code = (
-        F.when(F.col("event_type") == "signup", "NoSuchKey")
-        .when(F.col("event_type") == "view", "NotFound")
-        .otherwise(status.cast("string"))
+    failed, k = F.col("event_type") == "error", F.get_json_object("props", "$.k").cast("int")
+    codes = (
+        read_input(spark, sf_dir, "events")
+        .select("event_id", "event_type", (k + F.when(failed, 500).otherwise(400)).alias("status"))
+        .select(
+            "event_id",
+            "status",
+            F.when(F.col("event_type") == "signup", "NoSuchKey")
+            .when(F.col("event_type") == "view", "NotFound")
+            .otherwise(F.col("status").cast("string"))
+            .alias("code"),
+        )
     )
-    return read_input(spark, sf_dir, "events").select(
-        "event_id", code.alias("code"), probe_class(code).alias("probe"), is_retryable(status).alias("retryable")
+    return codes.select(
+        "event_id",
+        "code",
+        probe_class(F.col("code")).alias("probe"),
+        is_retryable(F.col("status")).alias("retryable"),
     )
 
 

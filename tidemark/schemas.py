@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
@@ -108,6 +110,10 @@ class TableSpec:
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
 
+    def typed(self, name: str) -> Column:
+        """A column as the table declares it. Key hashes depend on the type."""
+        return F.col(name).cast(self.schema[name].dataType).alias(name)
+
     @property
     def folders(self) -> list[StructField]:
         return [BUCKET, PENDING] if self.pending_col else [BUCKET]

@@ -171,6 +171,7 @@ def merge(
     finish_commits(spark, path, spec)
     if exists(spark, f"{stage}/_COMMITTED"):
         return True
+    changes = changes.withColumns({k: spec.typed(k) for k in spec.keys})
     if touched is None:
         touched = touched_buckets(changes, spec)
     if not touched:
@@ -179,7 +180,8 @@ def merge(
     aligned = not small and spec.buckets >= int(spark.conf.get("spark.sql.shuffle.partitions"))
     if aligned:
         current, changes = align(current, spec), align(changes, spec)
-    rows = resolve(current, changes).withColumn(BUCKET.name, bucket_of(spec))
+    rows = resolve(current, changes).select(*[spec.typed(c) for c in spec.columns], "op")
+    rows = rows.withColumn(BUCKET.name, bucket_of(spec))
     if spec.pending_col:
         rows = rows.withColumn(PENDING.name, F.col(spec.pending_col).isNull())
     if not aligned:
