@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +53,24 @@ def work_dir(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A folder name under the work folder that no other run uses."""
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that they need not find it
+    on their own path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
