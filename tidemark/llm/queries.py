@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing, quality, sharding, simhash, toxicity
+from tidemark.llm import bpe, fingerprints, neighbours, packing, quality, sharding, simhash, toxicity
 from tidemark.llm.common import fold_of
 from tidemark.session import ship_package
 
@@ -37,6 +37,15 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_pieces(table(spark, sf_dir, "documents"))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = neighbours.usable(table(spark, sf_dir, "embeddings"))
+    return neighbours.nearest(rows, F.col("vec_id") % 100 == 0)
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
