@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprints, neighbours, packing, quality, sharding, simhash, toxicity
+from tidemark.llm import (
+    bpe,
+    fingerprints,
+    license_scan,
+    lm_score,
+    neighbours,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    toxicity,
+)
 from tidemark.llm.common import fold_of
 from tidemark.session import ship_package
 
@@ -17,6 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -37,6 +52,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_pieces(table(spark, sf_dir, "documents"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = neighbours.usable(table(spark, sf_dir, "embeddings"))
     return neighbours.nearest(rows, F.col("vec_id") % 100 == 0)
