@@ -3,11 +3,12 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.functions.coerce import counter, duration_seconds, first_non_empty, run_timestamp
-from tidemark.operators.audit import REPORT_COLUMNS, latest_runs, run_history, run_identity
+from tidemark.operators.audit import REPORT_COLUMNS, audit_rows, latest_runs, run_history, run_identity
 from tidemark.operators.dedupe import dedupe_last
 from tidemark.operators.upsert import load_metrics, upsert
 from tidemark.operators.validate import flag_valid
 from tidemark.plans.audit import audit_run, no_metrics
+from tidemark.plans.queries import q_audit_row
 from tidemark.schemas import RUN_AUDIT, TableSpec
 from tidemark.session import one_row
 from tidemark.sources.tables import read_table
@@ -119,3 +120,28 @@ def test_history_equals_a_day_by_day_replay(spark):
         published |= new
         assert h.published == len(new)
         assert h.backlog == table.count() - len(published)
+
+
+def test_runs_of_two_dags_with_one_name_keep_their_own_counters(spark):
+    runs = spark.sql(
+        "SELECT d AS dag_id, 'r1' AS run_id, DATE'2024-01-01' AS logical_date, NULL AS started_at, NULL AS ended_at, "
+        "1 AS duration_seconds FROM VALUES ('a'), ('b') AS t(d)"
+    )
+    load = spark.sql("SELECT * FROM VALUES ('a', 'r1', 1, 2), ('b', 'r1', 3, 4) AS t(dag_id, run_id, inserted, updated)")
+    publish = spark.sql(
+        "SELECT * FROM VALUES ('a', 'r1', 5, 6, 7), ('b', 'r1', 8, 9, 10) "
+        "AS t(dag_id, run_id, images_uploaded, download_failures, upload_failures)"
+    )
+    pending = spark.sql("SELECT * FROM VALUES ('a', 'r1', 11), ('b', 'r1', 12) AS t(dag_id, run_id, pending)")
+    got = {r["dag_id"]: (r["metadata_inserted"], r["images_uploaded"], r["missing_s3_after_run"]) for r in audit_rows(runs, load, publish, pending).collect()}
+    assert got == {"a": (1, 5, 11), "b": (3, 8, 12)}
+
+
+def test_backlog_follows_from_the_counters_of_the_record(spark):
+    rows = q_audit_row(spark, "/root/testdata/sf0.001").orderBy("dag_id", "run_id").collect()
+    before = {}
+    for r in rows:
+        expected = before.get(r["dag_id"], 0) + r["metadata_inserted"] - r["images_uploaded"]
+        assert r["missing_s3_after_run"] == expected
+        before[r["dag_id"]] = expected
+    assert any(r["download_failures"] for r in rows) and any(r["upload_failures"] for r in rows)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.coerce import UNKNOWN_DAG, UNKNOWN_RUN, counter, duration_seconds, first_non_empty
 from tidemark.operators.ordering import rows_between
 
+RUN_KEY = ["dag_id", "run_id"]
+
 REPORT_COLUMNS = [
     "dag_id",
     "run_id",
@@ -42,14 +44,15 @@ def run_identity(
 
 
 def audit_rows(runs: DataFrame, *metrics: DataFrame) -> DataFrame:
-    """Run records from metric frames with one row per ``run_id``; what is missing counts as zero.
+    """Run records from metric frames with one row per run; what is missing counts as zero.
 
-    Between them the frames have inserted, updated, images_uploaded, download_failures,
+    A run is known by ``dag_id`` and ``run_id`` together: schedulers give several DAGs the same run
+    ids. Between them the frames have inserted, updated, images_uploaded, download_failures,
     upload_failures, and pending for the backlog after the run.
     """
     joined = runs
     for frame in metrics:
-        joined = joined.join(frame, "run_id", "left")
+        joined = joined.join(frame, RUN_KEY, "left")
     return joined.select(
         "dag_id",
         "run_id",
@@ -72,28 +75,45 @@ def latest_runs(audit: DataFrame, n: int = 5) -> DataFrame:
     return rows_between(audit.select(*REPORT_COLUMNS), order, n)
 
 
-def run_history(deliveries: DataFrame, run: str, keys: list[str], publishes: Column) -> DataFrame:
-    """Replay all runs in one pass: counters and backlog after each run.
+def run_history(
+    deliveries: DataFrame, run: str, keys: list[str], publishes: Column, by: list[str] | None = None
+) -> DataFrame:
+    """Replay all runs in one pass: counters and backlog after each run, for each table in ``by``.
 
     A key is inserted by the first run that delivers it, updated by every later one, and
     published by the first run in which one of its rows satisfies ``publishes``. Rows are counted
     per key and run before any key is gathered, so a key has at most one row per run from there
     on; the running sum at the end is over one row per run.
     """
-    per_key = deliveries.groupBy(*keys, run).agg(
+    by = by or []
+    per_key = deliveries.groupBy(*by, *keys, run).agg(
         F.count("*").alias("_n"), F.bool_or(publishes).alias("_pub")
     )
-    of_key = Window.partitionBy(*keys)
+    of_key = Window.partitionBy(*by, *keys)
     this = F.col(run)
     per_key = per_key.withColumn("_first", F.min(run).over(of_key)).withColumn(
         "_done", F.min(F.when(F.col("_pub"), this)).over(of_key)
     )
-    per_run = per_key.groupBy(run).agg(
+    per_run = per_key.groupBy(*by, run).agg(
         F.sum("_n").alias("extracted"),
         F.count("*").alias("distinct_keys"),
         F.count_if(this == F.col("_first")).alias("inserted"),
         F.count_if(this > F.col("_first")).alias("updated"),
         F.count_if(F.coalesce(this == F.col("_done"), F.lit(False))).alias("published"),
     )
-    so_far = Window.orderBy(run).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    so_far = Window.partitionBy(*by).orderBy(run).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return per_run.withColumn("backlog", F.sum(F.col("inserted") - F.col("published")).over(so_far))
+
+
+def run_outcomes(
+    deliveries: DataFrame, run: str, keys: list[str], publishes: Column, success: Column, failure: Column, by: list[str] | None = None
+) -> DataFrame:
+    """What became of each pending key in each run that delivers it, by the rule of ``run_history``:
+    ``success`` in the run that publishes it, ``failure`` before, no row afterwards. Both are
+    expressions of the keys."""
+    by = by or []
+    per_key = deliveries.groupBy(*by, *keys, run).agg(F.bool_or(publishes).alias("_pub"))
+    done = F.min(F.when(F.col("_pub"), F.col(run))).over(Window.partitionBy(*by, *keys))
+    waiting = per_key.withColumn("_done", done).where(F.col("_done").isNull() | (F.col(run) <= F.col("_done")))
+    outcome = F.when(F.col("_pub"), success).otherwise(failure)
+    return waiting.select(*by, *keys, run, outcome.alias("outcome"))

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.coerce import UNKNOWN_RUN
+from tidemark.functions.coerce import UNKNOWN_DAG, UNKNOWN_RUN
 from tidemark.operators.audit import audit_rows, run_identity
 from tidemark.operators.upsert import upsert
 from tidemark.schemas import RUN_AUDIT, TableSpec
@@ -43,13 +43,17 @@ def audit_run(
     runs = run_identity(
         one_row(spark), [text(dag_id)], [text(run_id)], logical_date, started_at, ended_at
     )
-    name = run_id or UNKNOWN_RUN
-    of_run = lambda m: (m if m is not None else no_metrics(spark)).withColumn("run_id", F.lit(name))
+    dag, name = dag_id or UNKNOWN_DAG, run_id or UNKNOWN_RUN
+
+    def of_run(metrics: DataFrame | None, *names: str) -> DataFrame:
+        metrics = metrics if metrics is not None else no_metrics(spark)
+        return metrics.select(F.lit(dag).alias("dag_id"), F.lit(name).alias("run_id"), *names)
+
     record = audit_rows(
         runs,
-        of_run(load).select("run_id", "inserted", "updated"),
-        of_run(publish).select("run_id", "images_uploaded", "download_failures", "upload_failures"),
-        of_run(remaining).select("run_id", "pending"),
+        of_run(load, "inserted", "updated"),
+        of_run(publish, "images_uploaded", "download_failures", "upload_failures"),
+        of_run(remaining, "pending"),
     )
     record = spark.createDataFrame(record.toArrow(), record.schema)  # one row, fixed from here on
     merge(

@@ -1,12 +1,11 @@
 """The queries of ``queries.py`` as SQL over the same tables."""
 
-_WEEK1 = "ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-08'"
-_WEEK2 = "ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15'"
-
 _LAST = """
-    SELECT * FROM events WHERE {week}
+    SELECT * FROM events WHERE {part}
     QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
 """
+_AFTER = "CASE user_id % 3 WHEN 0 THEN FALSE WHEN 1 THEN TRUE ELSE ts >= TIMESTAMP '2024-01-15' END"
+_BEFORE = f"NOT {_AFTER}"
 
 _LANDED = """
     SELECT page_id, url, strlen(html) AS size,
@@ -19,7 +18,7 @@ _EXTENSION = """
 """
 
 _UPSERTED = f"""
-    WITH t AS ({_LAST.format(week=_WEEK1)}), b AS ({_LAST.format(week=_WEEK2)})
+    WITH t AS ({_LAST.format(part=_BEFORE)}), b AS ({_LAST.format(part=_AFTER)})
     SELECT coalesce(t.user_id, b.user_id) AS user_id,
            coalesce(t.event_type, b.event_type) AS event_type,
            CASE WHEN b.user_id IS NULL THEN t.event_id ELSE b.event_id END AS event_id,
@@ -68,32 +67,41 @@ _HISTORY = """
     FROM per_day p LEFT JOIN ins ON ins.day = p.day LEFT JOIN pub ON pub.day = p.day
 """
 
-_RUNS = """
-    SELECT 'daily_ingest' AS dag_id, 'scheduled__' || day AS run_id,
-           CAST(day AS TIMESTAMP) AS logical_date, started_at, ended_at,
+_DAYS = """
+    SELECT *, CASE WHEN user_id % 2 = 0 THEN 'daily_ingest' ELSE 'other_ingest' END AS dag_id,
+           'scheduled__' || strftime(ts, '%Y-%m-%d') AS run_id
+    FROM events
+"""
+
+_RUNS = f"""
+    SELECT dag_id, run_id, logical_date, started_at, ended_at,
            CAST((epoch_us(ended_at) - epoch_us(started_at)) // 1000000 AS BIGINT) AS duration_seconds
     FROM (
-        SELECT strftime(ts, '%Y-%m-%d') AS day,
+        SELECT dag_id, run_id, CAST(min(date_trunc('day', ts)) AS TIMESTAMP) AS logical_date,
                min(ts) FILTER (WHERE value >= 200) AS started_at,
                CASE WHEN max(ts) > max(CASE WHEN event_type = 'error' THEN ts ELSE TIMESTAMP '1970-01-01' END)
                     THEN max(ts) END AS ended_at
-        FROM events GROUP BY 1
+        FROM ({_DAYS}) GROUP BY dag_id, run_id
     )
 """
 
 _AUDIT = f"""
-    SELECT r.*, h.inserted AS metadata_inserted, h.updated AS metadata_updated,
-           coalesce(p.up, 0) AS images_uploaded, coalesce(p.dl, 0) AS download_failures,
-           coalesce(p.ul, 0) AS upload_failures, h.backlog AS missing_s3_after_run
-    FROM ({_RUNS}) r
-    JOIN ({_HISTORY}) h ON 'scheduled__' || h.day = r.run_id
-    LEFT JOIN (
-        SELECT 'scheduled__' || strftime(ts, '%Y-%m-%d') AS run_id,
-               count(*) FILTER (WHERE event_type IN ('view', 'click', 'purchase')) AS up,
-               count(*) FILTER (WHERE event_type = 'error') AS dl,
-               count(*) FILTER (WHERE event_type = 'signup') AS ul
-        FROM events WHERE value >= 300 GROUP BY 1
-    ) p ON p.run_id = r.run_id
+    WITH k AS (
+        SELECT dag_id, run_id, user_id, event_type, bool_or(value >= 50) AS ok FROM ({_DAYS}) GROUP BY ALL
+    ), w AS (
+        SELECT *, min(run_id) OVER key AS born, min(CASE WHEN ok THEN run_id END) OVER key AS done
+        FROM k WINDOW key AS (PARTITION BY dag_id, user_id, event_type)
+    ), c AS (
+        SELECT dag_id, run_id, count(*) FILTER (WHERE run_id = born) AS ins, count(*) FILTER (WHERE run_id > born) AS upd,
+               count(*) FILTER (WHERE run_id = done) AS up,
+               count(*) FILTER (WHERE (done IS NULL OR run_id < done) AND event_type = 'error') AS dl,
+               count(*) FILTER (WHERE (done IS NULL OR run_id < done) AND event_type <> 'error') AS ul
+        FROM w GROUP BY dag_id, run_id
+    )
+    SELECT r.*, c.ins AS metadata_inserted, c.upd AS metadata_updated, c.up AS images_uploaded,
+           c.dl AS download_failures, c.ul AS upload_failures,
+           CAST(sum(c.ins - c.up) OVER (PARTITION BY c.dag_id ORDER BY c.run_id) AS BIGINT) AS missing_s3_after_run
+    FROM ({_RUNS}) r JOIN c ON c.dag_id = r.dag_id AND c.run_id = r.run_id
 """
 
 _AUDIT_TABLE = f"""
@@ -111,8 +119,9 @@ _AUDIT_TABLE = f"""
 """
 
 # week number of an event, and the run timestamp of a week
-_WEEK = "CAST(floor(date_diff('day', TIMESTAMP '2024-01-01', date_trunc('day', ts)) / 7) AS INTEGER)"
-_RUN_TS = "TIMESTAMP '2024-01-01 00:00:10.9' + to_days(7 * {week})"
+_FIRST = "(SELECT CAST(min(date_trunc('day', ts)) AS TIMESTAMP) FROM events)"
+_WEEK = f"CAST(floor(date_diff('day', {_FIRST}, date_trunc('day', ts)) / 7) AS INTEGER)"
+_RUN_TS = _FIRST + " + INTERVAL '10.9' SECOND + to_days(7 * {week})"
 
 _REPLAY = f"""
     SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id,
@@ -127,7 +136,7 @@ _REPLAY_AUDIT = f"""
     WITH e AS (SELECT DISTINCT user_id, event_type, {_WEEK} AS week FROM events),
     f AS (SELECT *, min(week) OVER (PARTITION BY user_id, event_type) AS first_week FROM e)
     SELECT 'daily_ingest' AS dag_id,
-           'scheduled__' || strftime(DATE '2024-01-01' + 7 * week, '%Y-%m-%d') AS run_id,
+           'scheduled__' || strftime({_FIRST} + to_days(7 * week), '%Y-%m-%d') AS run_id,
            CAST(9 AS BIGINT) AS duration_seconds,
            count(*) FILTER (WHERE week = first_week) AS metadata_inserted,
            count(*) FILTER (WHERE week > first_week) AS metadata_updated,
@@ -209,14 +218,19 @@ def all_sql() -> dict[str, str]:
             SELECT CAST(page_id AS VARCHAR) AS item_id, regexp_extract(url, '[^/]+\.html$', 0) AS url
             FROM pages WHERE coalesce(regexp_extract(url, '[^/]+\.html$', 0), '') <> ''""",
         "q_load_metrics": f"""
-            WITH t AS (SELECT DISTINCT user_id, event_type FROM events WHERE {_WEEK1}),
-            b AS (SELECT user_id, event_type, count(*) AS n FROM events WHERE {_WEEK2} GROUP BY ALL)
-            SELECT CAST(sum(n) AS BIGINT) AS extracted, CAST(0 AS BIGINT) AS invalid,
-                   CAST(sum(n - 1) AS BIGINT) AS duplicates,
-                   count(*) FILTER (WHERE t.user_id IS NULL) AS inserted,
-                   count(*) FILTER (WHERE t.user_id IS NOT NULL) AS updated
-            FROM b LEFT JOIN t ON t.user_id = b.user_id AND t.event_type = b.event_type""",
-        "q_dedupe_last": _LAST.format(week=_WEEK2),
+            WITH e AS (SELECT user_id, event_type, {_AFTER} AS later, event_type <> 'error' AS good FROM events),
+            t AS (SELECT DISTINCT user_id, event_type FROM e WHERE good AND NOT later),
+            b AS (
+                SELECT e.user_id, e.event_type, later, good, later AND t.user_id IS NOT NULL AS known, count(*) AS n
+                FROM e LEFT JOIN t ON t.user_id = e.user_id AND t.event_type = e.event_type GROUP BY ALL
+            )
+            SELECT CASE WHEN later THEN 'second' ELSE 'first' END AS load, CAST(sum(n) AS BIGINT) AS extracted,
+                   CAST(coalesce(sum(n) FILTER (WHERE NOT good), 0) AS BIGINT) AS invalid,
+                   CAST(coalesce(sum(n - 1) FILTER (WHERE good), 0) AS BIGINT) AS duplicates,
+                   count(*) FILTER (WHERE good AND NOT known) AS inserted,
+                   count(*) FILTER (WHERE good AND known) AS updated
+            FROM b GROUP BY later""",
+        "q_dedupe_last": _LAST.format(part="TRUE"),
         "q_upsert_rows": _UPSERTED,
         "q_upsert_ops": f"SELECT op, count(*) AS n FROM ({_UPSERTED}) GROUP BY op",
         "q_constraint_report": _constraints(),
@@ -262,11 +276,13 @@ def all_sql() -> dict[str, str]:
                    count(*) FILTER (WHERE outcome = 'upload_failure') AS upload_failures
             FROM ({_OUTCOMES}) GROUP BY source""",
         "q_apply_outcomes": f"""
-            SELECT d.doc_id, d.lang, o.s3_key,
-                   CASE WHEN o.s3_key IS NOT NULL THEN TIMESTAMP '2024-02-01' END AS updated_at,
+            SELECT d.doc_id, d.lang,
+                   CASE WHEN d.source = 'src3' THEN 'wallpapers/old-' || d.doc_id ELSE o.s3_key END AS s3_key,
+                   CASE WHEN d.source = 'src3' THEN TIMESTAMP '2024-01-31'
+                        WHEN o.s3_key IS NOT NULL THEN TIMESTAMP '2024-02-01' END AS updated_at,
                    CASE WHEN o.s3_key IS NOT NULL THEN 'update' ELSE 'keep' END AS op
             FROM documents d LEFT JOIN (
-                SELECT doc_id, s3_key FROM ({_OUTCOMES}) WHERE outcome IN ('uploaded', 'already_there')
+                SELECT doc_id, s3_key FROM ({_OUTCOMES}) WHERE outcome IN ('uploaded', 'already_there') AND source <> 'src3'
             ) o ON o.doc_id = d.doc_id""",
         "q_code_class": """
             WITH s AS (
@@ -280,14 +296,14 @@ def all_sql() -> dict[str, str]:
                    CASE WHEN code IN ('404', 'NoSuchKey', 'NotFound') THEN 'missing' ELSE 'unknown' END AS probe,
                    status IN (429, 500, 502, 503, 504) AS retryable
             FROM c""",
-        "q_run_duration": f"SELECT run_id, started_at, ended_at, duration_seconds FROM ({_RUNS})",
+        "q_run_duration": f"SELECT dag_id, run_id, started_at, ended_at, duration_seconds FROM ({_RUNS})",
         "q_run_history": _HISTORY,
         "q_audit_row": _AUDIT,
         "q_audit_upsert": _AUDIT_TABLE,
         "q_latest_runs": f"""
             SELECT dag_id, run_id, metadata_inserted, metadata_updated, images_uploaded, download_failures,
                    upload_failures, missing_s3_after_run, duration_seconds, ended_at
-            FROM ({_AUDIT_TABLE}) ORDER BY ended_at DESC NULLS FIRST, run_id LIMIT 5""",
+            FROM ({_AUDIT_TABLE}) ORDER BY ended_at DESC NULLS FIRST, run_id, dag_id LIMIT 5""",
         "q_incremental": _REPLAY,
         "q_incremental_audit": _REPLAY_AUDIT,
     }

@@ -8,6 +8,7 @@ key (user_id, event_type), or an attempt log, or runs; ``documents`` are rows of
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,10 +23,14 @@ from pyspark.sql.types import (
 
 from tidemark.functions.coerce import run_timestamp
 from tidemark.functions.keys import content_type, is_retryable, object_key, payload_size, probe_class, url_extension
-from tidemark.operators.audit import audit_rows, latest_runs, run_history, run_identity
+from tidemark.operators.audit import RUN_KEY, audit_rows, latest_runs, run_history, run_identity, run_outcomes
 from tidemark.operators.dedupe import dedupe_last, first_n
 from tidemark.operators.pending import backlog, pending_batch
 from tidemark.operators.reconcile import (
+    ALREADY_THERE,
+    DOWNLOAD_FAILURE,
+    UPLOAD_FAILURE,
+    UPLOADED,
     apply_outcomes,
     attempt_outcome,
     publish_metrics,
@@ -40,14 +45,15 @@ from tidemark.plans.inputs import read_input
 from tidemark.schemas import RUN_AUDIT, RUN_COUNTERS, TableSpec
 from tidemark.session import new_folder
 from tidemark.sources.landing import extract_items, page_metrics, read_pages
-from tidemark.sources.tables import make_folder, read_table
+from tidemark.sources.tables import ensure_table, make_folder, read_table
 from tidemark.streaming.incremental import incremental_run
 
 DAG_ID = "daily_ingest"
+OTHER_DAG_ID = "other_ingest"
 EVENT_KEY = ["user_id", "event_type"]
 ARRIVAL = ["ts", "event_id"]
 PUBLISHABLE = 50.0
-DELIVERIES = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-01-29", "2024-02-05"]
+CUT = "2024-01-15"
 
 EVENT_TABLE = TableSpec(
     schema=StructType(
@@ -93,16 +99,13 @@ def _at(text: str) -> Column:
     return run_timestamp(text, ntz=True)
 
 
-def _between(df: DataFrame, start: str, end: str) -> DataFrame:
-    return df.where((F.col("ts") >= _at(start)) & (F.col("ts") < _at(end)))
-
-
-def _delivery(spark: SparkSession, sf_dir: str, i: int) -> DataFrame:
-    return _between(read_input(spark, sf_dir, "events"), DELIVERIES[i], DELIVERIES[i + 1])
-
-
-def _day() -> Column:
-    return F.to_date("ts").cast("string")
+def _before_and_after(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All events: those that the table holds, and the batch that comes in. A third of the users is
+    only in the table, a third only in the batch, and the rest is cut in time."""
+    third = F.col("user_id") % 3
+    later = F.when(third == 0, False).when(third == 1, True).otherwise(F.col("ts") >= _at(CUT))
+    events = read_input(spark, sf_dir, "events")
+    return events.where(~later), events.where(later)
 
 
 # --- sources ---------------------------------------------------------------------------------
@@ -186,28 +189,34 @@ def q_valid_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch = _delivery(spark, sf_dir, 1).select(*EVENT_KEY)
-    known = _delivery(spark, sf_dir, 0).select(*EVENT_KEY)
-    return load_metrics(flag_valid(batch, *EVENT_KEY), known, EVENT_KEY)
+    """Two loads of all events, the second against what the first one left. Errors have no URL."""
+    loads, known = [], None
+    for name, part in zip(("first", "second"), _before_and_after(spark, sf_dir), strict=True):
+        items = part.select(*EVENT_KEY, F.nullif("event_type", F.lit("error")).alias("url"))
+        flagged = flag_valid(items, "user_id", "url")
+        keys = flagged.where("valid").select(*EVENT_KEY)
+        metrics = load_metrics(flagged, keys.limit(0) if known is None else known, EVENT_KEY)
+        loads.append(metrics.select(F.lit(name).alias("load"), "*"))
+        known = keys
+    return loads[0].unionByName(loads[1])
 
 
 def q_dedupe_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe_last(_delivery(spark, sf_dir, 1), EVENT_KEY, ARRIVAL)
+    return dedupe_last(read_input(spark, sf_dir, "events"), EVENT_KEY, ARRIVAL)
 
 
 def _upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = dedupe_last(_delivery(spark, sf_dir, 0), EVENT_KEY, ARRIVAL)
+    before, after = (dedupe_last(part, EVENT_KEY, ARRIVAL) for part in _before_and_after(spark, sf_dir))
     key = F.concat_ws("/", "event_type", "user_id")
-    target = first.select(
+    target = before.select(
         *EVENT_KEY,
         *EVENT_TABLE.update_cols,
         F.when(F.col("value") >= PUBLISHABLE, key).alias("s3_key"),
         _at("2024-01-08 00:00:00").alias("created_at"),
         _at("2024-01-08 06:00:00").alias("updated_at"),
     )
-    batch = dedupe_last(_delivery(spark, sf_dir, 1), EVENT_KEY, ARRIVAL)
     # an incoming NULL has to overwrite
-    batch = batch.withColumn("props", F.nullif(F.get_json_object("props", "$.k"), F.lit("7")))
+    batch = after.withColumn("props", F.nullif(F.get_json_object("props", "$.k"), F.lit("7")))
     return upsert(target, batch, EVENT_TABLE, _at("2024-01-15 00:00:00"))
 
 
@@ -336,13 +345,17 @@ def q_publish_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_apply_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One source has been published before; the others wait."""
+    published = F.col("source") == "src3"
+    key = F.concat(F.lit("wallpapers/old-"), F.col("doc_id").cast("string"))
     table = read_input(spark, sf_dir, "documents").select(
         "doc_id",
         "lang",
-        F.lit(None).cast("string").alias("s3_key"),
-        F.lit(None).cast("timestamp_ntz").alias("updated_at"),
+        F.when(published, key).alias("s3_key"),
+        F.when(published, _at("2024-01-31 00:00:00")).alias("updated_at"),
     )
-    return apply_outcomes(table, _outcomes(spark, sf_dir), ["doc_id"], _at("2024-02-01 00:00:00"))
+    outcomes = _outcomes(spark, sf_dir).where(~published)
+    return apply_outcomes(table, outcomes, ["doc_id"], _at("2024-02-01 00:00:00"))
 
 
 def q_code_class(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -369,25 +382,30 @@ def q_code_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- runs ------------------------------------------------------------------------------------
 
+def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the DAG and the run they belong to: two DAGs share the names of their runs."""
+    dag = F.when(F.col("user_id") % 2 == 0, DAG_ID).otherwise(OTHER_DAG_ID)
+    named = F.concat(F.lit("scheduled__"), F.to_date("ts").cast("string"))
+    return read_input(spark, sf_dir, "events").withColumns({"dag_id": dag, "run_id": named})
+
 
 def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One run per day. It has a start if the day has a large event, an end unless it ends with
-    an error."""
+    """One run per DAG and day. It has a start if the day has a large event, an end unless it ends
+    with an error."""
     ts, failed = F.col("ts"), F.col("event_type") == "error"
     last_ok, last_failed = F.max(F.when(~failed, ts)), F.max(F.when(failed, ts))
     days = (
-        read_input(spark, sf_dir, "events")
-        .groupBy(F.to_date("ts").alias("date"))
+        _days(spark, sf_dir)
+        .groupBy("dag_id", "run_id", F.to_date("ts").alias("date"))
         .agg(
             F.min(F.when(F.col("value") >= 200, ts)).alias("started"),
             F.when(F.coalesce(last_ok > last_failed, last_failed.isNull()), last_ok).alias("ended"),
         )
-        .withColumn("day", F.col("date").cast("string"))
     )
     return run_identity(
         days,
-        [F.lit(""), F.lit(DAG_ID)],
-        [F.lit(None).cast("string"), F.concat(F.lit("scheduled__"), F.col("day"))],
+        [F.lit(""), F.col("dag_id")],
+        [F.lit(None).cast("string"), F.col("run_id")],
         F.col("date").cast("timestamp_ntz"),
         F.col("started"),
         F.col("ended"),
@@ -395,40 +413,33 @@ def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_run_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _runs(spark, sf_dir).select("run_id", "started_at", "ended_at", "duration_seconds")
+    return _runs(spark, sf_dir).select("dag_id", "run_id", "started_at", "ended_at", "duration_seconds")
 
 
-def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_input(spark, sf_dir, "events").select(*EVENT_KEY, "value", F.to_date("ts").alias("day"))
     history = run_history(events, "day", EVENT_KEY, F.col("value") >= PUBLISHABLE)
     return history.withColumn("day", F.col("day").cast("string"))
 
 
-def q_run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _history(spark, sf_dir)
-
-
-def _publish_counts(events: DataFrame) -> DataFrame:
-    """Publish counters of the days that published: the large events, by type."""
-    kind = (
-        F.when(F.col("event_type") == "error", "download_failure")
-        .when(F.col("event_type") == "signup", "upload_failure")
-        .when(F.col("event_type") == "view", "already_there")
-        .otherwise("uploaded")
-    )
-    large = events.where(F.col("value") >= 300).select(
-        F.concat(F.lit("scheduled__"), _day()).alias("run_id"), kind.alias("outcome")
-    )
-    return publish_metrics(large, ["run_id"])
-
-
 def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = F.concat(F.lit("scheduled__"), F.col("day")).alias("run_id")
-    history = _history(spark, sf_dir)
+    """Load counters, backlog and publish counters of every run follow from the same rule."""
+    events = _days(spark, sf_dir).select("dag_id", "run_id", *EVENT_KEY, "value")
+    publishes, kind = F.col("value") >= PUBLISHABLE, F.col("event_type")
+    history = run_history(events, "run_id", EVENT_KEY, publishes, by=["dag_id"])
+    outcomes = run_outcomes(
+        events,
+        "run_id",
+        EVENT_KEY,
+        publishes,
+        success=F.when(kind == "view", ALREADY_THERE).otherwise(UPLOADED),
+        failure=F.when(kind == "error", DOWNLOAD_FAILURE).otherwise(UPLOAD_FAILURE),
+        by=["dag_id"],
+    )
     return audit_rows(
         _runs(spark, sf_dir),
-        history.select(named, "inserted", "updated", F.col("backlog").alias("pending")),
-        _publish_counts(read_input(spark, sf_dir, "events")),
+        history.select(*RUN_KEY, "inserted", "updated", F.col("backlog").alias("pending")),
+        publish_metrics(outcomes, RUN_KEY),
     )
 
 
@@ -467,14 +478,24 @@ def q_latest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- scheduled runs over a stream ------------------------------------------------------------
 
 
+def _weeks(spark: SparkSession, sf_dir: str) -> list[date]:
+    """The first day of every week from the first event to the last."""
+    first, last = read_input(spark, sf_dir, "events").agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    return [first + timedelta(days=d) for d in range(0, (last - first).days + 1, 7)] if first else []
+
+
 def _replay(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Deliver the events week by week to a stream, with one scheduled run per week."""
     base = new_folder(spark, "replay")
     events = read_input(spark, sf_dir, "events")
     make_folder(spark, f"{base}/landing")
+    ensure_table(spark, f"{base}/table", EVENT_TABLE)
+    ensure_table(spark, f"{base}/audit", AUDIT_NTZ)
     items = spark.readStream.schema(events.schema).parquet(f"{base}/landing")
-    for i, week in enumerate(DELIVERIES[:-1]):
-        _delivery(spark, sf_dir, i).write.mode("append").parquet(f"{base}/landing")
+    day = F.to_date("ts")
+    for week in _weeks(spark, sf_dir):
+        delivered = events.where((day >= F.lit(week)) & (day < F.lit(week + timedelta(days=7))))
+        delivered.write.mode("append").parquet(f"{base}/landing")
         incremental_run(
             items,
             EVENT_TABLE,
