@@ -10,7 +10,7 @@ from tidemark.sources.landing import ARRIVAL, extract_items, stream_pages
 from tidemark.sources.tables import read_table
 from tidemark.streaming.incremental import incremental_run
 
-SPEC = WALLPAPERS.with_buckets(4)
+SPEC = WALLPAPERS
 
 
 class Feed:

@@ -1,7 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import ordering
 from tidemark.operators.ordering import assign_ids, rows_between, with_row_index
 from tidemark.operators.pending import backlog, pending_batch
 from tidemark.operators.search import search_page
@@ -15,15 +14,13 @@ def _numbers(spark, n=5000):
 
 
 @pytest.mark.parametrize("offset,limit", [(0, 10), (1000, 777), (4990, 100), (6000, 5), (0, 5000)])
-def test_both_ways_give_the_same_rows(spark, monkeypatch, offset, limit):
+def test_both_ways_give_the_same_rows(spark, offset, limit):
     order = [F.col("v").desc(), F.col("id").asc()]
     df = _numbers(spark)
     want = [r.id for r in df.orderBy(*order).collect()][offset : offset + limit]
-    small = rows_between(df, order, limit, offset)
-    assert [r.id for r in small.orderBy(*order).collect()] == want
-    monkeypatch.setattr(ordering, "TOPK_ROWS", 0)
-    big = rows_between(df, order, limit, offset)
-    assert [r.id for r in big.orderBy(*order).collect()] == want
+    for lanes in (0, 7):
+        got = rows_between(df, order, limit, offset, lanes)
+        assert [r.id for r in got.collect()] == want
 
 
 def test_row_index_is_the_global_position(spark):
@@ -33,10 +30,18 @@ def test_row_index_is_the_global_position(spark):
     assert got == {v: i for i, v in enumerate(want)}
 
 
-def test_large_batches_are_not_sorted_in_one_task(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "TOPK_ROWS", 0)
-    plan = plan_of(rows_between(_numbers(spark), [F.col("id").asc()], 4000))
-    assert "TakeOrderedAndProject" not in plan and "GlobalLimit" not in plan
+def test_large_batches_need_no_job_and_no_folder(spark, monkeypatch):
+    monkeypatch.setattr("tidemark.operators.ordering.work_dir", lambda *_: 1 / 0)
+    table = _numbers(spark).select(F.col("id").cast("string").alias("id"), F.lit(None).cast("string").alias("s3_key"))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    batch = pending_batch(table, 1001, ["id"], "id")
+    page = rows_between(_numbers(spark), [F.col("id").asc()], 24, offset=1008, lanes=8)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == jobs
+    assert batch.count() == 1001 and "TakeOrderedAndProject" in plan_of(batch)
+    assert page.count() == 24
+    near = rows_between(_numbers(spark), [F.col("id").asc()], 24, offset=900, lanes=8)
+    plan = plan_of(near).split("== Physical Plan ==")[1]
+    assert plan.index("Final") < plan.index("Exchange hashpartitioning(_lane") < plan.index("Partial")
 
 
 def test_ids_continue_after_the_last_one(spark):

@@ -15,10 +15,9 @@ from tidemark.operators.reconcile import (
 from tidemark.plans.load import load_run
 from tidemark.plans.publish import publish_run, read_outcomes
 from tidemark.schemas import WALLPAPERS
-from tidemark.sources.blobs import list_contents
 from tidemark.sources.tables import ensure_table, read_table
 
-SPEC = WALLPAPERS.with_buckets(4)
+SPEC = WALLPAPERS
 ITEM = "wallhaven_id string, url string, resolution string, category string, purity string, file_size bigint, pos int"
 
 
@@ -102,8 +101,8 @@ class Store:
 
     def publish(self, run, limit=100, **more):
         got = publish_run(
-            self.table, list_contents(self.spark, self.contents), self.objects, run, now(), limit=limit,
-            spec=SPEC, wait_s=0.0, **more,
+            self.table, self.contents, self.objects, run, now(), limit=limit, spec=SPEC, wait_s=0.0,
+            spark=self.spark, **more,
         )
         return tuple(got.first())
 
@@ -159,8 +158,30 @@ def test_the_batch_is_bounded_and_can_rotate(store):
     assert store.publish("p1", limit=2) == (1, 1, 0)
     assert set(store.outcomes("p1")) == {"a", "b"}
     # "a" has no content and would come first for ever
-    assert store.publish("p2", limit=2, order_by=[F.col("wallhaven_id").desc()]) == (2, 0, 0)
+    assert store.publish("p2", limit=2) == (2, 0, 0)
     assert set(store.outcomes("p2")) == {"c", "d"}
+    store.load("e", "f", run="more")
+    assert store.publish("p3", limit=2, order_by=[F.col("wallhaven_id").desc()]) == (0, 2, 0)
+    assert set(store.outcomes("p3")) == {"e", "f"}
+
+
+def test_a_folder_of_the_keys_name_is_no_object(store):
+    store.load("a")
+    store.stage("a")
+    os.makedirs(f"{store.objects}/wallpapers/a.png")
+    assert store.publish("p1") == (0, 0, 1)
+    assert store.keys() == {"a": None}
+
+
+def test_keys_with_empty_segments_are_published(store):
+    rows = [("s", "https://x.com//p", None, None, None, None, 0), ("t", "https://x.com/q/", None, None, None, None, 1)]
+    items = store.spark.createDataFrame(rows, ITEM)
+    load_run(items, SPEC, store.table, "load", now(1), ["pos"], "wallhaven_id", "url").collect()
+    os.makedirs(f"{store.contents}/x.com")
+    with open(f"{store.contents}/x.com/p", "w") as f:
+        f.write("body")
+    assert store.publish("p1") == (1, 1, 0)
+    assert store.keys()["s"] == "wallpapers/s.com//p"
 
 
 def test_a_store_that_refuses_writes_is_tried_four_times(store):
@@ -239,7 +260,6 @@ def test_a_large_limit_gives_the_same_result(store, monkeypatch):
     store.load(*[f"k{i:02d}" for i in range(30)])
     for i in range(0, 30, 2):
         store.stage(f"k{i:02d}")
-    monkeypatch.setattr("tidemark.operators.ordering.TOPK_ROWS", 0)
     monkeypatch.setattr("tidemark.plans.publish.SMALL_BATCH", 0)
     assert store.publish("p1", limit=11) == (6, 5, 0)
     assert sorted(store.outcomes("p1")) == [f"k{i:02d}" for i in range(11)]

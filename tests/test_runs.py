@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.coerce import run_timestamp
 from tidemark.operators.audit import latest_runs
+from tidemark.operators.upsert import upsert
 from tidemark.operators.validate import constraint_report, enforce, table_check
 from tidemark.plans.daily import daily_run
 from tidemark.plans.load import load_run
@@ -13,7 +14,7 @@ from tidemark.schemas import RUN_AUDIT, WALLPAPERS
 from tidemark.sources.landing import ARRIVAL, extract_items, read_pages
 from tidemark.sources.tables import ensure_table, read_table, register
 
-SPEC = WALLPAPERS.with_buckets(4)
+SPEC = WALLPAPERS
 
 
 class Site:
@@ -39,8 +40,9 @@ class Site:
         record = daily_run(
             self.spark, f"{self.root}/pages/{page}.json", f"{self.root}/contents", f"{self.root}/objects",
             self.table, self.audit, "dag", name, F.lit(f"2024-01-0{day}").cast("timestamp"), stamp,
-            spec=SPEC, wait_s=0.0, **more,
+            spec=SPEC, wait_s=0.0, ended_at=stamp, **more,
         ).first()
+        self.told = (record.extracted, record.invalid, record.duplicates, record.pages, record.bad_pages)
         return (
             record.metadata_inserted, record.metadata_updated, record.images_uploaded,
             record.download_failures, record.upload_failures, record.missing_s3_after_run,
@@ -103,9 +105,62 @@ def test_a_run_as_a_job(site):
     site.page("one", list("abcdefgh"), staged=list("abcdefgh"))
     args = f"--pages {site.root}/pages --contents {site.root}/contents --objects {site.root}/objects "
     args += f"--table {site.table} --audit {site.audit} --dag-id d --run-id scheduled__2024-01-01T00:00:00+00:00 "
-    record = main((args + "--buckets 4").split())
+    record = main(args.split())
     assert (record["metadata_inserted"], record["images_uploaded"], record["missing_s3_after_run"]) == (8, 5, 3)
     assert record["duration_seconds"] is None and record["run_id"].endswith("+00:00")
+    assert record["extracted"] == 8 and record["ended_at"] is not None
+
+
+def test_times_without_an_offset_are_utc(spark, site):
+    from tidemark.__main__ import main
+
+    site.page("one", ["a"])
+    args = f"--pages {site.root}/pages --contents {site.root}/contents --objects {site.root}/objects "
+    args += f"--table {site.table} --audit {site.audit} --dag-id d --run-id r --started-at 2024-01-01T00:00:00"
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        record = main(args.split())
+        assert spark.sql("SELECT unix_timestamp(TIMESTAMP'2024-01-01 00:00:00')").first()[0] == 1704067200
+        assert record["duration_seconds"] > 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_rows_without_content_do_not_starve_the_others(site):
+    site.page("one", list("abcdef"), staged=["f"])
+    assert site.run("r1", "one")[2:] == (0, 5, 0, 6)
+    assert site.run("r2", "one", day=2)[2:] == (1, 4, 0, 5)
+
+
+def test_a_run_tells_what_it_saw(site):
+    site.page("one", ["a", "b", "b", "", "c"])
+    os.makedirs(f"{site.root}/pages/all")
+    os.rename(f"{site.root}/pages/one.json", f"{site.root}/pages/all/one.json")
+    with open(f"{site.root}/pages/all/bad.json", "w") as f:
+        f.write("<html>502</html>")
+    assert site.run("r1", "all/*")[:2] == (3, 0)
+    assert site.told == (5, 1, 1, 2, 1)
+
+
+def test_the_newer_page_wins(spark, site):
+    for name, size, age in (("page-2", 1, 100), ("page-10", 2, 0)):
+        with open(f"{site.root}/pages/{name}.json", "w") as f:
+            json.dump({"data": [{"id": "a", "path": "https://x/a.jpg", "file_size": size}]}, f)
+        when = 1_700_000_000 - age
+        os.utime(f"{site.root}/pages/{name}.json", (when, when))
+    site.run("r1", "*")
+    assert [r[5] for r in site.rows()] == [2]
+
+
+def test_the_batch_is_deduplicated_once(spark, site, monkeypatch):
+    from tests.conftest import plan_of
+
+    plans, real = [], upsert
+    monkeypatch.setattr("tidemark.plans.load.upsert", lambda *a, **k: (plans.append(out := real(*a, **k)), out)[1])
+    site.page("one", ["a", "b", "b"])
+    site.run("r1", "one")
+    assert "Window" not in plan_of(plans[0])
 
 
 def test_limits_bound_a_run(site):

@@ -5,26 +5,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.functions.coerce import run_timestamp
-from tidemark.operators.reconcile import apply_outcomes
-from tidemark.operators.upsert import upsert
+from tidemark.operators.reconcile import apply_outcomes, publish_statement
+from tidemark.operators.upsert import merge_statement, upsert
 from tidemark.schemas import WALLPAPERS, TableSpec
-from tidemark.sources import tables
 from tidemark.sources.tables import (
     count_pending,
-    data_path,
+    current_version,
+    drop_versions,
     ensure_table,
-    expire_stages,
     merge,
     merged_ops,
     read_pending,
     read_table,
-    stage_path,
-    touched_buckets,
+    version_of,
 )
 from tests.conftest import plan_of
 
-SPEC = WALLPAPERS.with_buckets(16)
+SPEC = WALLPAPERS
 ITEM = "wallhaven_id string, url string, resolution string, category string, purity string, file_size bigint"
+KEYS = [f"k{i}" for i in range(40)]
 
 
 def _batch(spark, keys, size=1):
@@ -33,26 +32,13 @@ def _batch(spark, keys, size=1):
 
 def _merge(spark, path, run, keys, size=1, small=True):
     now = run_timestamp("2024-01-02 00:00:00")
-    batch = _batch(spark, keys, size)
-    return merge(spark, path, SPEC, run, batch, lambda t, b: upsert(t, b, SPEC, now, small), small=small)
+    return merge(spark, path, SPEC, run, _batch(spark, keys, size), lambda t, b: upsert(t, b, SPEC, now, small))
 
 
 def _sizes(spark, path):
     return {r.wallhaven_id: r.file_size for r in read_table(spark, path, SPEC).collect()}
 
 
-def _files(path):
-    root = data_path(path, SPEC)
-    return {
-        d: sorted(f for _, _, files in os.walk(f"{root}/{d}") for f in files)
-        for d in os.listdir(root)
-        if d.startswith("bucket=")
-    }
-
-
-KEYS = [f"k{i}" for i in range(40)]
-
-
 @pytest.fixture
 def path(spark, tmp_path):
     p = str(tmp_path / "table")
@@ -68,34 +54,52 @@ def test_a_new_table_is_empty_and_creating_it_again_changes_nothing(spark, path)
     assert len(_sizes(spark, path)) == 40
 
 
-def test_the_number_of_directories_cannot_change(spark, path):
-    with pytest.raises(ValueError, match="hash16"):
-        ensure_table(spark, path, WALLPAPERS.with_buckets(32))
+@pytest.mark.parametrize("small", [True, False])
+def test_a_merge_writes_the_next_version(spark, path, small):
+    _merge(spark, path, "r1", KEYS, small=small)
+    before = current_version(spark, path)
+    _merge(spark, path, "r2", [*KEYS[:20], "x"], size=9, small=small)
+    assert current_version(spark, path) == version_of(spark, path, "r2") != before
+    assert _sizes(spark, path) == {**{k: 9 for k in KEYS[:20]}, **{k: 1 for k in KEYS[20:]}, "x": 9}
+    assert tuple(merged_ops(spark, path, "r2").first()) == (1, 20, 20)
 
 
-def test_only_touched_directories_are_rewritten(spark, path):
+def test_a_reader_has_the_old_rows_or_the_new_ones(spark, path, monkeypatch):
+    """Reads at every step of a merge, and of one that fails while it writes."""
     _merge(spark, path, "r1", KEYS)
-    before = _files(path)
-    _merge(spark, path, "r2", ["k3"], size=9)
-    after = _files(path)
-    touched = {f"bucket={b}" for b in touched_buckets(_batch(spark, ["k3"]), SPEC)}
-    assert {d for d in before if before[d] != after[d]} == touched
-    assert _sizes(spark, path) == {**{k: 1 for k in KEYS}, "k3": 9}
+    held, seen = read_table(spark, path, SPEC), []
+    now = run_timestamp("2024-01-02 00:00:00")
+
+    def resolve(current, changes):
+        seen.append(len(_sizes(spark, path)))
+        return upsert(current, changes, SPEC, now)
+
+    merge(spark, path, SPEC, "r2", _batch(spark, ["new"]), resolve)
+    seen.append(len(_sizes(spark, path)))
+    assert seen == [40, 41] and held.count() == 40
+    with pytest.raises(Exception, match="no such luck"):
+        merge(
+            spark, path, SPEC, "r3", _batch(spark, KEYS),
+            lambda t, b: upsert(t, b, SPEC, F.raise_error(F.lit("no such luck")).cast("timestamp")),
+        )
+    unfinished = sorted(n for n in os.listdir(path) if "-r3-" in n)
+    assert _sizes(spark, path) == {**{k: 1 for k in KEYS}, "new": 1}
+    assert _merge(spark, path, "r3", KEYS, size=2)
+    assert set(_sizes(spark, path).values()) == {1, 2} and len(unfinished) <= 1
 
 
-def test_counters_come_from_the_staged_rows(spark, path):
+def test_counters_come_from_the_written_rows(spark, path):
     _merge(spark, path, "r1", KEYS[:5])
     _merge(spark, path, "r/2 :", KEYS[4:7])  # any text may name a run
     assert tuple(merged_ops(spark, path, "r/2 :").first())[:2] == (2, 1)
     assert merged_ops(spark, path, "unknown").first() is None
 
 
-def test_many_touched_directories_are_filtered_instead(spark, path, monkeypatch):
+def test_a_merged_run_is_not_merged_again(spark, path):
     _merge(spark, path, "r1", KEYS)
-    monkeypatch.setattr(tables, "LISTED_DIRECTORIES", 0)
-    _merge(spark, path, "r2", ["k3", "k4", "n"], size=9)
-    assert _sizes(spark, path) == {**{k: 1 for k in KEYS}, "k3": 9, "k4": 9, "n": 9}
-    assert tuple(merged_ops(spark, path, "r2").first())[:2] == (1, 2)
+    _merge(spark, path, "r2", ["k1"], size=5)
+    assert _merge(spark, path, "r1", KEYS)  # neither loads again nor puts old rows back
+    assert _sizes(spark, path)["k1"] == 5
 
 
 def test_pending_rows_are_found_by_their_folder(spark, path):
@@ -115,52 +119,22 @@ def test_pending_rows_are_found_by_their_folder(spark, path):
 
 
 def test_nothing_to_merge(spark, path):
+    before = os.listdir(path)
     assert _merge(spark, path, "r1", []) is False
-    assert not os.path.exists(stage_path(path, "r1"))
+    assert os.listdir(path) == before
 
 
-def test_a_failing_merge_leaves_the_table_alone(spark, path):
-    _merge(spark, path, "r1", KEYS)
-    before = _files(path)
-    with pytest.raises(Exception, match="no such luck"):
-        merge(
-            spark, path, SPEC, "r2", _batch(spark, KEYS),
-            lambda t, b: upsert(t, b, SPEC, F.raise_error(F.lit("no such luck")).cast("timestamp")),
-        )
-    assert _files(path) == before
-    assert _merge(spark, path, "r2", KEYS, size=2)
-    assert set(_sizes(spark, path).values()) == {2}
-
-
-@pytest.mark.parametrize("next_run", ["r2", "r3"])
-def test_an_interrupted_commit_is_finished(spark, path, monkeypatch, next_run):
-    _merge(spark, path, "r1", KEYS)
-
-    def lost(*_):
-        raise RuntimeError("driver lost")
-
-    with monkeypatch.context() as m:
-        m.setattr(tables, "_commit", lost)
-        with pytest.raises(RuntimeError):
-            _merge(spark, path, "r2", KEYS[:20] + ["new"], size=2)
-    assert set(_sizes(spark, path).values()) == {1}
-    # the same run, or whichever comes next, completes it
-    _merge(spark, path, next_run, KEYS[20:] if next_run == "r3" else KEYS[:20] + ["new"], size=3)
-    want = {**{k: 2 for k in KEYS[:20]}, **{k: 3 if next_run == "r3" else 1 for k in KEYS[20:]}, "new": 2}
-    assert _sizes(spark, path) == want
-    assert tuple(merged_ops(spark, path, "r2").first())[:2] == (1, 20)
-
-
-def test_a_merged_run_is_not_merged_again(spark, path):
-    _merge(spark, path, "r1", KEYS)
-    _merge(spark, path, "r2", ["k1"], size=5)
-    assert _merge(spark, path, "r1", KEYS)  # neither loads again nor puts old rows back
-    assert _sizes(spark, path)["k1"] == 5
+def test_old_versions_can_be_dropped(spark, path):
+    for i in range(4):
+        _merge(spark, path, f"r{i}", KEYS[: i + 1])
+    assert drop_versions(spark, path, keep=2) == 3
+    assert len(_sizes(spark, path)) == 4 and version_of(spark, path, "r2") and not version_of(spark, path, "r1")
+    assert drop_versions(spark, path, keep=9) == 0
 
 
 def test_keys_of_another_type_find_their_rows(spark, tmp_path):
     fields = [StructField("k", LongType(), False), StructField("v", LongType())]
-    spec = TableSpec(StructType(fields), ("k",), ("v",), buckets=8)
+    spec = TableSpec(StructType(fields), ("k",), ("v",))
     path, now = str(tmp_path / "t"), run_timestamp("2024-01-01")
     ensure_table(spark, path, spec)
     for run, kind in (("r1", "bigint"), ("r2", "int"), ("r3", "string")):
@@ -170,72 +144,26 @@ def test_keys_of_another_type_find_their_rows(spark, tmp_path):
     assert tuple(merged_ops(spark, path, "r3").first()) == (0, 20, 0)
 
 
-def test_a_marker_left_behind_does_no_harm(spark, path):
-    _merge(spark, path, "r1", KEYS)
-    name = os.path.basename(stage_path(path, "r1"))
-    os.makedirs(f"{path}/open/{name}")  # lost after the commit, before its marker was removed
-    _merge(spark, path, "r2", ["k1"], size=2)
-    assert os.listdir(f"{path}/open") == []
-    expire_stages(spark, path, older_than_ms=2**52)
-    os.makedirs(f"{path}/open/{name}")
-    _merge(spark, path, "r3", ["k2"], size=3)
-    assert _sizes(spark, path) == {**{k: 1 for k in KEYS}, "k1": 2, "k2": 3}
-
-
-def test_committed_stages_can_be_dropped(spark, path):
-    _merge(spark, path, "r1", KEYS)
-    assert expire_stages(spark, path, older_than_ms=0) == 0
-    assert expire_stages(spark, path, older_than_ms=2**52) == 1
-    assert os.listdir(f"{path}/stage") == [] and len(_sizes(spark, path)) == 40
-
-
-def test_a_commit_lost_in_the_middle_is_finished(spark, path, monkeypatch):
-    _merge(spark, path, "r1", KEYS)
-    real, seen = tables._hadoop, []
-
-    def dies_half_way(session, name):
-        if "/hash16/bucket=" in name:
-            seen.append(name)
-            if len(seen) > 5:
-                raise RuntimeError("driver lost")
-        return real(session, name)
-
-    with monkeypatch.context() as m:
-        m.setattr(tables, "_hadoop", dies_half_way)
-        with pytest.raises(RuntimeError):
-            _merge(spark, path, "r2", KEYS, size=2)
-    assert _merge(spark, path, "r2", KEYS, size=2)
-    assert _sizes(spark, path) == {k: 2 for k in KEYS}
-    assert tuple(merged_ops(spark, path, "r2").first()) == (0, 40, 0)
-
-
-@pytest.mark.parametrize("small", [True, False])
-def test_one_directory_holds_few_files(spark, path, small):
-    keys = [f"n{i}" for i in range(3000)]
-    _merge(spark, path, "r1", keys, small=small)
-    _merge(spark, path, "r2", keys[:2000] + ["x"], size=2, small=small)
-    parts = [[f for f in fs if f.endswith(".parquet")] for fs in _files(path).values()]
-    assert len(parts) == 16 and max(map(len, parts)) == 1
-    assert _sizes(spark, path) == {**{k: 1 for k in keys}, **{k: 2 for k in keys[:2000]}, "x": 2}
-    assert tuple(merged_ops(spark, path, "r2").first()) == (1, 2000, 1000)
-
-
-def test_a_small_merge_regroups_the_touched_rows_only(spark, path, monkeypatch):
-    _merge(spark, path, "r1", KEYS)
-    plans = []
-    real = tables._write_staged
-    monkeypatch.setattr(tables, "_write_staged", lambda s, rows, *a: (plans.append(plan_of(rows)), real(s, rows, *a)))
-    _merge(spark, path, "r2", ["k3"])
-    physical = plans[0].split("== Physical Plan ==")[1]
-    assert "REBALANCE_PARTITIONS_BY_COL" in physical
-    assert physical.count("Exchange hashpartitioning") == 1
-
-
-def test_a_large_merge_shuffles_each_side_once(spark, path, monkeypatch):
-    _merge(spark, path, "r1", KEYS)
-    plans = []
-    real = tables._write_staged
-    monkeypatch.setattr(tables, "_write_staged", lambda s, rows, *a: (plans.append(plan_of(rows)), real(s, rows, *a)))
-    _merge(spark, path, "r2", KEYS, small=False)
-    physical = plans[0].split("== Physical Plan ==")[1]
-    assert physical.count("Exchange hashpartitioning(wallhaven_id") == physical.count("Exchange") == 2
+@pytest.mark.parametrize("statement", [
+    lambda t, s: merge_statement(t, s, SPEC), lambda t, s: publish_statement(t, s, SPEC.keys)
+])
+def test_a_catalog_table_is_merged_by_a_statement(spark, tmp_path, monkeypatch, statement):
+    """No table format here can run the statement; it is parsed, and its source and counts are real."""
+    known = _batch(spark, KEYS[:3])
+    monkeypatch.setattr("tidemark.sources.tables.state_path", lambda *_: str(tmp_path))
+    monkeypatch.setattr(type(spark), "table", lambda self, name: known)
+    real, ran = type(spark).sql, []
+
+    def parsed(self, text):
+        self._jsparkSession.sessionState().sqlParser().parsePlan(text)
+        source = text.split("USING ")[1].split(" ")[0]
+        ran.append((text, real(self, f"SELECT * FROM {source}").count()))
+
+    monkeypatch.setattr(type(spark), "sql", parsed)
+    changes = _batch(spark, KEYS[2:6]).withColumn("run_ts", run_timestamp("2024-01-02"))
+    for _ in range(2):  # a second time finds its counts in place
+        assert merge(spark, "catalog:db.t", SPEC, "r1", changes, None, statement)
+    assert [n for _, n in ran] == [4, 4] and ran[0][0].startswith("MERGE INTO db.t t USING")
+    monkeypatch.undo()
+    monkeypatch.setattr("tidemark.sources.tables.state_path", lambda *_: str(tmp_path))
+    assert tuple(merged_ops(spark, "catalog:db.t", "r1").first()) == (3, 1, 0)

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.coerce import run_timestamp
 from tidemark.plans.daily import daily_run
-from tidemark.schemas import WALLPAPERS
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -22,7 +21,6 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--attempt", type=int, default=1, help="a new number repeats the run, the same one resumes it")
     p.add_argument("--item-limit", type=int, help="first items of each page; all by default")
     p.add_argument("--batch-limit", type=int, default=5, help="pending rows to publish")
-    p.add_argument("--buckets", type=int, default=WALLPAPERS.buckets, help="hash directories of the table")
     p.add_argument("--lines", action="store_true", help="pages are lines, not files")
     return p.parse_args(argv)
 
@@ -31,6 +29,7 @@ def main(argv: list[str] | None = None) -> dict:
     a = arguments(argv)
     time = lambda text: F.lit(text).cast("timestamp")
     spark = SparkSession.builder.appName(f"tidemark {a.run_id}").getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # times without an offset are UTC
     record = daily_run(
         spark,
         a.pages,
@@ -46,7 +45,6 @@ def main(argv: list[str] | None = None) -> dict:
         item_limit=a.item_limit,
         batch_limit=a.batch_limit,
         attempt=a.attempt,
-        spec=WALLPAPERS.with_buckets(a.buckets),
         lines=a.lines,
     ).first()
     return record.asDict()

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemark.session import work_dir
 
-# Up to this many rows a top-k is the cheaper plan. Every task sends that many rows to the one
-# that merges them, so the bound is kept low.
-TOPK_ROWS = 1_000
-
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition here
 
 
@@ -44,13 +40,22 @@ def with_row_index(df: DataFrame, order: Sequence[Column], name: str) -> DataFra
     )
 
 
-def rows_between(df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0) -> DataFrame:
-    """Rows ``offset .. offset + limit`` of ``df`` in the given order."""
-    if offset + limit <= TOPK_ROWS:
-        return df.orderBy(*order).offset(offset).limit(limit)
-    indexed = with_row_index(df, order, "_index")
-    wanted = (F.col("_index") >= offset) & (F.col("_index") < offset + limit)
-    return indexed.where(wanted).drop("_index")
+def rows_between(
+    df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0, lanes: int = 0
+) -> DataFrame:
+    """Rows ``offset .. offset + limit`` of ``df`` in the given order: a top-k, for any k.
+
+    Every task sends its first k rows to the one that merges them. With very many tasks or a deep
+    page set ``lanes``: rows are then merged per lane first, by that many tasks, and the last one
+    gets k rows of each lane. Spark trims rows before that shuffle up to a k of
+    ``spark.sql.optimizer.windowGroupLimitThreshold``. ``order`` should end in a key.
+    """
+    if lanes:
+        lane = F.pmod(F.xxhash64(F.struct("*")), F.lit(lanes))
+        ranked = F.row_number().over(Window.partitionBy("_lane").orderBy(*order))
+        df = df.withColumn("_lane", lane).withColumn("_rank", ranked).where(F.col("_rank") <= offset + limit)
+        df = df.drop("_lane", "_rank")
+    return df.orderBy(*order).offset(offset).limit(limit)
 
 
 def assign_ids(new_rows: DataFrame, order: Sequence[Column], last_id: int, name: str = "id") -> DataFrame:

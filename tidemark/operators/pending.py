@@ -19,15 +19,15 @@ def pending_batch(
     limit: int,
     columns: Sequence[str],
     key: str,
-    pending_col: str = "s3_key",
+    pending_col: str | None = "s3_key",
     order_by: Sequence[Column] = (),
 ) -> DataFrame:
     """At most ``limit`` pending rows, in key order unless ``order_by`` rotates them.
 
-    With a fixed order, rows that can never be published may fill every batch; an order such as
+    Without ``pending_col`` all rows of ``table`` are pending. With a fixed order, rows that can never be published may fill every batch; an order such as
     "least attempted first" avoids that. The key breaks ties.
     """
-    waiting = pending(table, pending_col)
+    waiting = pending(table, pending_col) if pending_col else table
     if not order_by:
         waiting = waiting.select(*dict.fromkeys([*columns, key]))
     return rows_between(waiting, [*order_by, F.col(key).asc()], limit).select(*columns)

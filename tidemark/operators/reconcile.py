@@ -76,6 +76,16 @@ def publish_metrics(outcomes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def publish_statement(table: str, source: str, keys: Sequence[str], published_col: str = "s3_key", stamp: str = "updated_at") -> str:
+    """``apply_outcomes`` as ``MERGE INTO`` text. ``source`` is a view of the published rows, one per
+    key, with the object key and ``run_ts``."""
+    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    return (
+        f"MERGE INTO {table} t USING {source} s ON {on} "
+        f"WHEN MATCHED THEN UPDATE SET {published_col} = s.{published_col}, {stamp} = s.run_ts"
+    )
+
+
 def apply_outcomes(
     table: DataFrame,
     outcomes: DataFrame,

@@ -19,8 +19,12 @@ def search_page(
     key: str,
     page: int = 1,
     size: int = 24,
+    lanes: int = 0,
 ) -> DataFrame:
-    """Page ``page`` (from 1) of the rows that match, newest first, the key breaking ties."""
+    """Page ``page`` (from 1) of the rows that match, newest first, the key breaking ties.
+
+    ``lanes`` as for ``rows_between``: for deep pages of large tables.
+    """
     if page < 1:
         raise ValueError("pages are counted from 1")
     hits = df.where(
@@ -28,4 +32,4 @@ def search_page(
         & F.contains(F.lower(F.col(text)), F.lit(query.lower()))
     )
     newest = [F.col(added).desc(), F.col(key).asc()]
-    return rows_between(hits, newest, limit=size, offset=(page - 1) * size)
+    return rows_between(hits, newest, limit=size, offset=(page - 1) * size, lanes=lanes)

@@ -88,7 +88,8 @@ def op_counts(rows: DataFrame) -> DataFrame:
 def merge_statement(table: str, source: str, spec: TableSpec) -> str:
     """The same upsert as ``MERGE INTO`` text, for a catalog whose tables support it.
 
-    ``source`` is a view with one row per key, the update columns, and ``run_ts``.
+    ``source`` is a view with one row per key, the update columns, and ``run_ts``. Inserted rows get
+    the stamps of an insert, matched ones those of an update; running it again changes nothing else.
     """
     on = " AND ".join(f"t.{k} = s.{k}" for k in spec.keys)
     changed = [f"{c} = s.{c}" for c in spec.update_cols] + [f"{c} = s.run_ts" for c in spec.update_stamps]

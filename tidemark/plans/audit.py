@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.coerce import UNKNOWN_DAG, UNKNOWN_RUN
 from tidemark.operators.audit import audit_rows, run_identity
-from tidemark.operators.upsert import upsert
+from tidemark.operators.upsert import merge_statement, upsert
 from tidemark.schemas import RUN_AUDIT, TableSpec
 from tidemark.session import one_row
 from tidemark.sources.tables import ensure_table, merge
@@ -61,8 +61,8 @@ def audit_run(
         path,
         spec,
         f"{name}-{uuid.uuid4().hex}",  # recording twice is harmless, so no attempt is resumed
-        record,
+        record.withColumn("run_ts", run_ts),
         lambda current, changes: upsert(current, changes, spec, run_ts, broadcast_batch=True),
-        touched=[0] if spec.buckets == 1 else None,
+        lambda table, source: merge_statement(table, source, spec),
     )
     return record

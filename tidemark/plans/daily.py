@@ -9,8 +9,8 @@ from tidemark.plans.audit import audit_run
 from tidemark.plans.load import load_run
 from tidemark.plans.publish import publish_run
 from tidemark.schemas import ITEM_KEY, WALLPAPERS, TableSpec
-from tidemark.sources.blobs import FIRST_WAIT_S, list_contents
-from tidemark.sources.landing import ARRIVAL, extract_items, read_pages
+from tidemark.sources.blobs import FIRST_WAIT_S
+from tidemark.sources.landing import ARRIVAL, extract_items, page_metrics, read_pages
 from tidemark.sources.tables import count_pending, ensure_table
 
 
@@ -33,20 +33,25 @@ def daily_run(
     spec: TableSpec = WALLPAPERS,
     lines: bool = False,
     wait_s: float = FIRST_WAIT_S,
+    ended_at: Column | None = None,
 ) -> DataFrame:
-    """Run the four steps and return the audit record.
+    """Run the four steps and return the audit record, with what only the run knows beside it:
+    extracted, invalid, duplicates, pages and bad_pages.
+
+    ``run_ts`` stamps the rows; the run ends when its audit step starts, unless ``ended_at`` is given.
 
     A step that fails raises, so a failed run leaves no record. Calling again with the same
     ``attempt`` resumes; a new one repeats the run, and its record replaces the old one.
     """
     ensure_table(spark, table_path, spec)
-    items = extract_items(read_pages(spark, pages, lines), item_limit)
+    landed = read_pages(spark, pages, lines)
+    items = extract_items(landed, item_limit)
     load = load_run(
         items, spec, table_path, f"{run_id}-{attempt}-load", run_ts, ARRIVAL, ITEM_KEY, "url"
     )
     publish = publish_run(
         table_path,
-        list_contents(spark, content_root),
+        content_root,
         object_root,
         f"{run_id}-{attempt}-publish",
         run_ts,
@@ -54,17 +59,21 @@ def daily_run(
         manifest=manifest,
         spec=spec,
         wait_s=wait_s,
+        spark=spark,
     )
-    return audit_run(
+    record = audit_run(
         spark,
         audit_path,
         dag_id,
         run_id,
         logical_date if logical_date is not None else F.lit(None).cast("timestamp"),
         started_at,
-        run_ts,
+        ended_at if ended_at is not None else F.current_timestamp(),
         load,
         publish,
         count_pending(spark, table_path, spec),
         run_ts,
     )
+    counted = load.first().asDict() | page_metrics(landed).first().asDict()
+    told = ("extracted", "invalid", "duplicates", "pages", "bad_pages")
+    return record.withColumns({n: F.lit(counted[n]).cast("bigint") for n in told})

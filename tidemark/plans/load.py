@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedupe import dedupe_last
-from tidemark.operators.upsert import fits_broadcast, upsert
+from tidemark.operators.upsert import fits_broadcast, merge_statement, upsert
 from tidemark.operators.validate import flag_valid
 from tidemark.schemas import TableSpec
 from tidemark.session import one_row
-from tidemark.sources.tables import bucket_of, is_complete, merge, merged_ops, stage_path
+from tidemark.sources.tables import is_complete, merge, merged_ops, run_path
 
 
 def load_run(
@@ -28,25 +28,24 @@ def load_run(
 
     ``run`` names this attempt: calling again with the same name resumes it and gives the same
     counters, a new name loads the items again. The items are written first, flagged as valid or
-    not. The counters are read back from that folder and from the staged merge, never from
+    not. The counters are read back from that folder and from the written version, never from
     accumulators, so lost and repeated tasks cannot change them. With no valid item the table is
     not touched.
     """
     spark = items.sparkSession
-    items_dir = f"{stage_path(path, run)}/items"
+    folder = run_path(spark, path, run)
     loaded = [*spec.keys, *spec.update_cols]
     kept = [spec.typed(c) for c in loaded] + [F.col(c) for c in order_by if c not in loaded]
     flagged = flag_valid(items.select(*kept), key, url)
-    if not is_complete(spark, items_dir):
-        flagged.write.mode("overwrite").parquet(items_dir)
-    staged = spark.read.schema(flagged.schema).parquet(items_dir)
+    staged = _staged(flagged, f"{folder}/items")
     counts = _measure(staged, spec)
     if counts["valid"]:
-        small = fits_broadcast(counts["valid"], counts["valid_bytes"])
         # the update columns only break ties, so that a recomputed task picks the same row
         ties = [c for c in spec.update_cols if c not in order_by]
-        valid = staged.where("valid")
-        batch = dedupe_last(valid, spec.keys, [*order_by, *ties], strict)
+        unique = dedupe_last(staged.where("valid"), spec.keys, [*order_by, *ties], strict)
+        # Written once: the join forms read it up to three times.
+        batch = _staged(unique.select(*loaded), f"{folder}/batch").withColumn("run_ts", run_ts)
+        small = fits_broadcast(counts["valid"], counts["valid_bytes"])
         merge(
             spark,
             path,
@@ -54,14 +53,21 @@ def load_run(
             run,
             batch,
             lambda current, changes: upsert(current, changes, spec, run_ts, broadcast_batch=small),
-            touched=counts["touched"],
-            small=small,
+            lambda table, source: merge_statement(table, source, spec),
         )
     return _metrics(spark, path, run, counts)
 
 
+def _staged(df: DataFrame, folder: str) -> DataFrame:
+    """``df`` as written by this run, now or before it was resumed."""
+    spark = df.sparkSession
+    if not is_complete(spark, folder):
+        df.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def _measure(staged: DataFrame, spec: TableSpec) -> dict:
-    """In one job: the number of items; rows, bytes and hash directories of the valid ones."""
+    """In one job: the number of items; rows and bytes of the valid ones."""
     width = F.lit(0)
     for c in (*spec.keys, *spec.update_cols):
         width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + F.lit(16)
@@ -69,7 +75,6 @@ def _measure(staged: DataFrame, spec: TableSpec) -> dict:
         F.count("*").alias("extracted"),
         F.count_if("valid").alias("valid"),
         F.coalesce(F.sum(F.when(F.col("valid"), width)), F.lit(0)).alias("valid_bytes"),
-        F.collect_set(F.when(F.col("valid"), bucket_of(spec))).alias("touched"),
     ).first()
     return row.asDict()
 

@@ -195,6 +195,18 @@ def all_sql() -> dict[str, str]:
             SELECT o_orderkey, o_orderdate, o_orderpriority, o_totalprice FROM orders
             WHERE o_orderstatus = 'O' AND contains(lower(o_orderpriority), 'high')
             ORDER BY o_orderdate DESC, o_orderkey LIMIT 24 OFFSET 24""",
+        "q_search_deep_page": """
+            SELECT o_orderkey, o_orderdate, o_orderpriority, o_totalprice FROM orders
+            WHERE o_orderstatus = 'O' AND contains(lower(o_orderpriority), '-')
+            ORDER BY o_orderdate DESC, o_orderkey LIMIT 24 OFFSET 1008""",
+        "q_put_objects": """
+            WITH d AS (SELECT *, CASE WHEN doc_id % 10 = 3 OR coalesce(text, '') = '' THEN 'download_failure'
+                                      WHEN doc_id % 10 = 4 THEN 'already_there' ELSE 'uploaded' END AS outcome
+                       FROM documents)
+            SELECT doc_id, 'texts/' || doc_id || '.webp' AS s3_key, 'image/webp' AS content_type, outcome,
+                   CAST(CASE WHEN outcome = 'uploaded' THEN 1 ELSE 0 END AS BIGINT) AS attempts,
+                   CAST(CASE WHEN outcome = 'uploaded' THEN strlen(text) ELSE 0 END AS BIGINT) AS bytes
+            FROM d""",
         "q_extract_fields": """
             SELECT CAST(event_id AS VARCHAR) AS item_id, event_type AS category, value AS price,
                    CAST(props->>'k' AS BIGINT) AS k, props->>'label' AS label

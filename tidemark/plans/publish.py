@@ -10,80 +10,74 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import content_type, object_key
 from tidemark.operators.pending import pending_batch
 from tidemark.operators.reconcile import (
-    ALREADY_THERE,
-    DOWNLOAD_FAILURE,
     PUBLISHED,
     apply_outcomes,
     publish_metrics,
+    publish_statement,
     reconcile,
 )
 from tidemark.schemas import ITEM_KEY, WALLPAPERS, TableSpec
+from tidemark.session import ship_package
 from tidemark.sources.blobs import FIRST_WAIT_S, put_objects, url_path
-from tidemark.sources.tables import is_complete, merge, read_pending, stage_path
+from tidemark.sources.tables import is_complete, make_folder, merge, read_pending, run_name, state_path
 
-# A batch of at most this many rows (key, URL and object key) is broadcast.
+# A batch of at most this many rows and bytes (key, URL and object key) may be broadcast.
 SMALL_BATCH = 20_000
 
 
-def decide(batch: DataFrame, contents: DataFrame, manifest: DataFrame | None, small: bool) -> DataFrame:
-    """Join the batch with staged content and existing objects; ``outcome`` is set where no put
-    is needed. Without a manifest every existence is unknown until the put step asks the store.
-    """
-    keyed = (
-        batch.withColumn("s3_key", object_key(F.col(ITEM_KEY), F.col("url")))
-        .withColumn("content_type", content_type(F.col("s3_key")))
-        .withColumn("content_name", url_path(F.col("url")))
-    )
-    if small:  # the batch is bounded by its limit, so the listings shrink before the joins
-        contents = contents.join(F.broadcast(keyed.select("content_name").distinct()), "content_name", "left_semi")
-        if manifest is not None:
-            manifest = manifest.join(F.broadcast(keyed.select("s3_key")), "s3_key", "left_semi")
-    # one file per name, also when an inventory lists it twice
-    listed = contents.groupBy("content_name").agg(
-        F.max(F.struct("content_size", "content_path")).alias("_file")
-    ).select("content_name", "_file.*")
-    found = keyed.join(listed, "content_name", "left")
-    exists = F.lit(False)
-    if manifest is not None:
-        found = reconcile(found, manifest, "s3_key")
-        exists = F.col("object_exists")
-    no_bytes = F.coalesce("content_size", F.lit(0)) == 0
-    return found.withColumn(
-        "outcome", F.when(no_bytes, DOWNLOAD_FAILURE).when(exists, ALREADY_THERE)
+def decide(batch: DataFrame, content_root: str, manifest: DataFrame | None, small: bool) -> DataFrame:
+    """Names of the batch: object key, content type, and the place of the staged content, which
+    follows from the URL, so that no store is listed. ``object_exists`` is what the manifest says,
+    NULL without one: the put step asks the store then."""
+    keyed = batch.withColumn("s3_key", object_key(F.col(ITEM_KEY), F.col("url"))).withColumns(
+        {
+            "content_type": content_type(F.col("s3_key")),
+            "content_path": F.concat(F.lit(content_root.rstrip("/") + "/"), url_path(F.col("url"))),
+        }
     )
+    if manifest is None:
+        return keyed.withColumn("object_exists", F.lit(None).cast("boolean"))
+    if small:  # the batch is bounded by its limit, so the manifest shrinks before the join
+        manifest = manifest.join(F.broadcast(keyed.select("s3_key")), "s3_key", "left_semi")
+    return reconcile(keyed, manifest, "s3_key")
 
 
 def publish_run(
     path: str,
-    contents: DataFrame,
+    content_root: str,
     object_root: str,
     run: str,
     run_ts: Column,
     limit: int = 5,
     manifest: DataFrame | None = None,
-    order_by: Sequence[Column] = (),
+    order_by: Sequence[Column] | None = None,
     spec: TableSpec = WALLPAPERS,
     wait_s: float = FIRST_WAIT_S,
+    spark: SparkSession | None = None,
 ) -> DataFrame:
     """Publish at most ``limit`` pending rows and return one row of counters.
 
-    Objects are written first, then the outcomes, then the table: after a crash in between, the
-    next run finds the object in place and marks the row. Rows that failed stay pending.
-    The outcomes remain as the run's manifest (key, outcome, attempts, bytes, type); see
-    ``read_outcomes``. ``run`` names this attempt, as for a load.
+    Rows that failed least often come first, so that rows without content cannot fill every batch;
+    ``order_by`` gives another order. Objects are written first, then the outcomes, then the table:
+    after a crash in between, the next run finds the object in place and marks the row. Rows that
+    failed stay pending. The outcomes remain as the run's manifest (key, outcome, attempts, bytes,
+    type); see ``read_outcomes``. ``run`` names this attempt, as for a load.
     """
-    spark = contents.sparkSession
-    outcomes_dir = f"{stage_path(path, run)}/outcomes"
+    spark = spark or SparkSession.getActiveSession()
+    ship_package(spark)
+    outcomes_dir = _outcomes_dir(spark, path, run)
     small = limit <= SMALL_BATCH
     if not is_complete(spark, outcomes_dir):
-        waiting = read_pending(spark, path, spec)
-        batch = pending_batch(waiting, limit, [ITEM_KEY, "url"], ITEM_KEY, order_by=order_by)
+        waiting = read_pending(spark, path, spec).select(*([ITEM_KEY, "url"] if order_by is None else spec.columns))
+        if order_by is None:
+            waiting = waiting.join(failed_attempts(spark, path), ITEM_KEY, "left")
+            order_by = [F.coalesce("failed", F.lit(0)).asc()]
+        batch = pending_batch(waiting, limit, [ITEM_KEY, "url"], ITEM_KEY, pending_col=None, order_by=order_by)
         tasks = min(limit, 4 * spark.sparkContext.defaultParallelism)
-        decided = decide(batch, contents, manifest, small)
-        put = put_objects(decided, object_root, [ITEM_KEY], tasks, wait_s)
+        put = put_objects(decide(batch, content_root, manifest, small), object_root, [ITEM_KEY], tasks, wait_s)
         put.write.mode("overwrite").parquet(outcomes_dir)
     outcomes = read_outcomes(spark, path, run)
-    done = outcomes.where(F.col("outcome").isin(*PUBLISHED))
+    done = outcomes.where(F.col("outcome").isin(*PUBLISHED)).withColumn("run_ts", run_ts)
     merge(
         spark,
         path,
@@ -93,11 +87,27 @@ def publish_run(
         lambda current, changes: apply_outcomes(
             current, changes, spec.keys, run_ts, broadcast_outcomes=small
         ),
-        small=small,
+        lambda table, source: publish_statement(table, source, spec.keys),
     )
     return publish_metrics(outcomes)
 
 
+OUTCOMES = f"{ITEM_KEY} string, s3_key string, outcome string, attempts bigint, bytes bigint, content_type string"
+
+
+def _outcomes_dir(spark: SparkSession, path: str, run: str) -> str:
+    return f"{state_path(spark, path)}/outcomes/run={run_name(run)}"
+
+
 def read_outcomes(spark: SparkSession, path: str, run: str) -> DataFrame:
-    schema = f"{ITEM_KEY} string, s3_key string, outcome string, attempts bigint, bytes bigint, content_type string"
-    return spark.read.schema(schema).parquet(f"{stage_path(path, run)}/outcomes")
+    return spark.read.schema(OUTCOMES).parquet(_outcomes_dir(spark, path, run))
+
+
+def failed_attempts(spark: SparkSession, path: str) -> DataFrame:
+    """(key, failed): in how many publish runs a row has failed. Runs are bounded by their limit, so
+    this is far smaller than the table."""
+    root = f"{state_path(spark, path)}/outcomes"
+    make_folder(spark, root)
+    outcomes = spark.read.schema(OUTCOMES).parquet(root)
+    failed = outcomes.where(~F.col("outcome").isin(*PUBLISHED))
+    return failed.groupBy(ITEM_KEY).agg(F.count("*").alias("failed"))

@@ -43,7 +43,8 @@ from tidemark.operators.upsert import load_metrics, op_counts, upsert
 from tidemark.operators.validate import Check, constraint_report, flag_valid, valid_rows
 from tidemark.plans.inputs import read_input
 from tidemark.schemas import RUN_AUDIT, RUN_COUNTERS, TableSpec
-from tidemark.session import new_folder
+from tidemark.session import new_folder, ship_package
+from tidemark.sources.blobs import put_objects, write_contents
 from tidemark.sources.landing import extract_items, page_metrics, read_pages
 from tidemark.sources.tables import ensure_table, make_folder, read_table
 from tidemark.streaming.incremental import incremental_run
@@ -73,7 +74,6 @@ EVENT_TABLE = TableSpec(
     insert_stamps=("created_at",),
     update_stamps=("updated_at",),
     pending_col="s3_key",
-    buckets=8,
 )
 
 AUDIT_NTZ = TableSpec(
@@ -91,7 +91,6 @@ AUDIT_NTZ = TableSpec(
     update_cols=RUN_AUDIT.update_cols,
     insert_stamps=RUN_AUDIT.insert_stamps,
     update_stamps=RUN_AUDIT.update_stamps,
-    buckets=1,
 )
 
 
@@ -111,21 +110,30 @@ def _before_and_after(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
 # --- sources ---------------------------------------------------------------------------------
 
 
-def q_search_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _search(spark: SparkSession, sf_dir: str, query: str, page: int, lanes: int = 0) -> DataFrame:
     hits = search_page(
         read_input(spark, sf_dir, "orders"),
-        query="High",
+        query=query,
         text="o_orderpriority",
         purity="O",
         purity_col="o_orderstatus",
         added="o_orderdate",
         key="o_orderkey",
-        page=2,
+        page=page,
         size=24,
+        lanes=lanes,
     )
     return hits.select("o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice")
 
 
+def q_search_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _search(spark, sf_dir, "High", 2)
+
+
+def q_search_deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _search(spark, sf_dir, "-", 43, lanes=8)
+
+
 def q_extract_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     item = F.from_json("props", "k BIGINT, label STRING")
     return read_input(spark, sf_dir, "events").select(
@@ -164,7 +172,7 @@ def _land_pages(spark: SparkSession, sf_dir: str) -> str:
 
 def q_landed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_pages(spark, _land_pages(spark, sf_dir), lines=True)
-    return extract_items(pages, limit=2).drop("page", "block", "line").withColumn("pos", F.col("pos").cast("bigint"))
+    return extract_items(pages, limit=2).drop("landed", "page", "block", "line").withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def q_page_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -344,6 +352,29 @@ def q_publish_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish_metrics(_outcomes(spark, sf_dir), ["source"])
 
 
+def q_put_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Put every document's text: some have no staged content, some are in the store already."""
+    ship_package(spark)
+    base = new_folder(spark, "put")
+    kind, name = F.col("doc_id") % 10, F.col("doc_id").cast("string")
+    rows = read_input(spark, sf_dir, "documents").select(
+        "doc_id",
+        "text",
+        kind.alias("kind"),
+        F.concat(F.lit("texts/"), name, F.lit(".webp")).alias("s3_key"),
+        F.concat(F.lit(f"{base}/staged/"), name).alias("content_path"),
+    )
+    object_path = F.concat(F.lit(f"{base}/objects/"), F.col("s3_key"))
+    staged = rows.where(kind != 3).select(F.col("content_path").alias("path"), "text")
+    there = rows.where(kind == 4).select(object_path.alias("path"), F.lit("old").alias("text"))
+    write_contents(staged.unionByName(there)).agg(F.sum("bytes")).collect()  # one number
+    asked = rows.select(
+        "doc_id", "s3_key", content_type(F.col("s3_key")).alias("content_type"), "content_path",
+        F.lit(None).cast("boolean").alias("object_exists"),
+    )
+    return put_objects(asked, f"{base}/objects", ["doc_id"], 4 * spark.sparkContext.defaultParallelism)
+
+
 def q_apply_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One source has been published before; the others wait."""
     published = F.col("source") == "src3"

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
-    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -79,8 +78,7 @@ RUN_AUDIT_SCHEMA = StructType(
     ]
 )
 
-# Columns of the folder names of a keyed table.
-BUCKET = StructField("bucket", IntegerType())
+# Column of the folder names of a table with pending rows.
 PENDING = StructField("pending", BooleanType())
 
 
@@ -91,8 +89,6 @@ class TableSpec:
     ``update_cols`` are replaced by the batch; ``insert_stamps`` and ``update_stamps`` take the
     run's timestamp when a row is inserted or matched; everything else is kept.
     ``pending_col`` is NULL in rows that wait to be published; those get files of their own.
-    ``buckets`` is the number of hash directories. Pick it so that one directory stays near
-    1 GB: a run rewrites only the directories its keys fall into.
     """
 
     schema: StructType
@@ -101,23 +97,15 @@ class TableSpec:
     insert_stamps: tuple[str, ...] = ()
     update_stamps: tuple[str, ...] = ()
     pending_col: str | None = None
-    buckets: int = 64
-
-    def with_buckets(self, buckets: int) -> "TableSpec":
-        return replace(self, buckets=buckets)
 
     @property
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
 
     def typed(self, name: str) -> Column:
-        """A column as the table declares it. Key hashes depend on the type."""
+        """A column as the table declares it."""
         return F.col(name).cast(self.schema[name].dataType).alias(name)
 
-    @property
-    def folders(self) -> list[StructField]:
-        return [BUCKET, PENDING] if self.pending_col else [BUCKET]
-
 
 WALLPAPERS = TableSpec(
     schema=WALLPAPERS_SCHEMA,
@@ -134,5 +122,4 @@ RUN_AUDIT = TableSpec(
     update_cols=("logical_date", "started_at", "ended_at", "duration_seconds", *RUN_COUNTERS),
     insert_stamps=("created_at", "updated_at"),
     update_stamps=("updated_at",),
-    buckets=1,
 )

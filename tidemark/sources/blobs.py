@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -37,24 +37,6 @@ def url_path(url: Column) -> Column:
     return F.regexp_replace(url, "^[A-Za-z][A-Za-z0-9+.-]*://", "")
 
 
-def list_contents(spark: SparkSession, root: str) -> DataFrame:
-    """Staged files as (content_name, content_path, content_size); the bytes are not read.
-
-    Zero-length files do not show up, which is right here: they count as failed downloads. For
-    very large stores pass an inventory table of the same three columns instead.
-    """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    ).select("path", "length")
-    marker = root.split("://", 1)[-1].removeprefix("file:").rstrip("/") + "/"
-    start = F.instr(F.col("path"), marker) + F.lit(len(marker))
-    return files.select(
-        F.substring(F.col("path"), start, F.length("path")).alias("content_name"),
-        F.col("path").alias("content_path"),
-        F.col("length").alias("content_size"),
-    )
-
-
 @lru_cache(maxsize=32)
 def _remote_fs(scheme: str, authority: str):
     from pyarrow import fs
@@ -89,41 +71,33 @@ def _open_root(uri: str):
 
 
 def _exists(store, path: str) -> bool | None:
-    """True, False, or None when the store does not say."""
+    """Whether there is an object; a folder is none. None when the store does not say."""
     from pyarrow import fs
 
     try:
-        return store.get_file_info(path).type != fs.FileType.NotFound
+        return store.get_file_info(path).type == fs.FileType.File
     except OSError:
         return None
 
 
 def _inside(root: str, key: str) -> str | None:
     """The object's path, or None for a key that would leave the store."""
-    if any(part in ("", ".", "..") for part in key.split("/")):
+    if any(part in (".", "..") for part in key.split("/")):
         return None
     return f"{root.rstrip('/')}/{key}"
 
 
 def _copy(source, source_path: str, store, path: str, mime: str) -> int:
-    """Copy in chunks to a name of its own, then rename: a key never shows half an object."""
-    store.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    part = f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}.part"
-    size = 0
+    """Copy in chunks. A key never shows half an object: a put to an object store is whole or
+    nothing, and file systems get a name of its own first, which is then renamed."""
+    if store.type_name not in ("local", "hdfs"):
+        return _write(source, source_path, store, path, mime)
+    folder = path.rsplit("/", 1)[0]
+    store.create_dir(folder, recursive=True)
+    part = f"{folder}/.{uuid.uuid4().hex}.part"
     try:
-        with (
-            source.open_input_stream(source_path, compression=None) as src,
-            store.open_output_stream(
-                part, compression=None, metadata={"Content-Type": mime}
-            ) as dst,
-        ):
-            while chunk := src.read(CHUNK):
-                dst.write(chunk)
-                size += len(chunk)
-        if size:
-            store.move(part, path)
-        else:
-            store.delete_file(part)
+        size = _write(source, source_path, store, part, mime)
+        store.move(part, path)
     except BaseException:
         try:
             store.delete_file(part)
@@ -133,8 +107,20 @@ def _copy(source, source_path: str, store, path: str, mime: str) -> int:
     return size
 
 
+def _write(source, source_path: str, store, path: str, mime: str) -> int:
+    size = 0
+    with (
+        source.open_input_stream(source_path, compression=None) as src,
+        store.open_output_stream(path, compression=None, metadata={"Content-Type": mime}) as dst,
+    ):
+        while chunk := src.read(CHUNK):
+            dst.write(chunk)
+            size += len(chunk)
+    return size
+
+
 def _publish_one(
-    store, root: str, key: str, content: str, mime: str, wait_s: float
+    store, root: str, key: str, content: str, mime: str, there: bool | None, wait_s: float
 ) -> tuple[str, int, int]:
     path = _inside(root, key)
     if path is None:
@@ -145,12 +131,12 @@ def _publish_one(
             return DOWNLOAD_FAILURE, 0, 0
     except OSError:
         return DOWNLOAD_FAILURE, 0, 0
-    if _exists(store, path):
+    if _exists(store, path) if there is None else there:
         return ALREADY_THERE, 0, 0
     for attempt in range(1, MAX_ATTEMPTS + 1):
         try:
             size = _copy(source, source_path, store, path, mime)
-            return (UPLOADED, attempt, size) if size else (DOWNLOAD_FAILURE, attempt, 0)
+            return UPLOADED, attempt, size
         except OSError:
             if _exists(store, path):  # a second run of the same task was faster
                 return ALREADY_THERE, attempt, 0
@@ -164,10 +150,10 @@ def put_objects(
 ) -> DataFrame:
     """Copy staged content to its object key, on the executors, one object at a time per task.
 
-    ``rows`` has the keys, ``s3_key``, ``content_type``, ``content_path`` and ``outcome``; a row
-    whose outcome is already decided passes through. A task that is run again finds the objects
-    of its first run in place. Only names travel to Python, so the memory of a task does not depend on the
-    size of the objects.
+    ``rows`` has the keys, ``s3_key``, ``content_type``, ``content_path`` and ``object_exists``; where
+    the latter is NULL the store is asked. A task that is run again finds the objects of its first run
+    in place. Only names travel to Python, so the memory of a task does not depend on the size of the
+    objects.
     """
     fields = [rows.schema[k] for k in keys] + OUTCOME_FIELDS
 
@@ -175,9 +161,10 @@ def put_objects(
         store, base = _open_root(root)
         for pdf in batches:
             done = [
-                (row.outcome, 0, 0)
-                if row.outcome is not None
-                else _publish_one(store, base, row.s3_key, row.content_path, row.content_type, wait_s)
+                _publish_one(
+                    store, base, row.s3_key, row.content_path, row.content_type,
+                    None if pd.isna(row.object_exists) else bool(row.object_exists), wait_s,
+                )
                 for row in pdf.itertuples(index=False)
             ]
             out = pdf[[*keys, "s3_key", "content_type"]].copy()
@@ -186,5 +173,23 @@ def put_objects(
             out["bytes"] = [d[2] for d in done]
             yield out
 
-    named = rows.select(*keys, "s3_key", "content_type", "content_path", "outcome")
+    named = rows.select(*keys, "s3_key", "content_type", "content_path", "object_exists")
     return named.repartition(tasks, *keys).mapInPandas(run, StructType(fields))
+
+
+def write_contents(rows: DataFrame) -> DataFrame:
+    """Write each row's ``text`` to the file ``path`` and return path and bytes. Empty texts too."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            sizes = []
+            for path, text in zip(pdf["path"], pdf["text"], strict=True):
+                body = (text or "").encode()
+                store, at = _open_fs(path)
+                store.create_dir(at.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(at, compression=None) as out:
+                    out.write(body)
+                sizes.append(len(body))
+            yield pd.DataFrame({"path": pdf["path"], "bytes": sizes}, columns=["path", "bytes"])
+
+    return rows.select("path", "text").mapInPandas(run, "path string, bytes long")

@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from tidemark.schemas import ENVELOPE, ITEM_FIELDS
 
 
-# Arrival order of items: file, split of the file, page in the split, place on the page.
-ARRIVAL = ["page", "block", "line", "pos"]
+# Arrival order of items: when the file was written, file, split of the file, page in the split,
+# place on the page.
+ARRIVAL = ["landed", "page", "block", "line", "pos"]
 
 
 def _with_origin(pages: DataFrame) -> DataFrame:
     return pages.select(
         "*",
+        F.col("_metadata.file_modification_time").alias("landed"),
         F.col("_metadata.file_path").alias("page"),
         F.col("_metadata.file_block_start").alias("block"),
     )
@@ -56,8 +58,8 @@ def extract_items(pages: DataFrame, limit: int | None = None) -> DataFrame:
     if limit is not None:
         data = F.slice(data, 1, limit)
     # within one split the ids rise in reading order, whichever task reads it
-    placed = pages.select("page", "block", F.monotonically_increasing_id().alias("line"), data.alias("data"))
-    items = placed.select("page", "block", "line", F.posexplode("data").alias("pos", "item"))
+    placed = pages.select("landed", "page", "block", F.monotonically_increasing_id().alias("line"), data.alias("data"))
+    items = placed.select("landed", "page", "block", "line", F.posexplode("data").alias("pos", "item"))
     fields = [F.col(f"item.{source}").alias(name) for source, name in ITEM_FIELDS.items()]
     return items.select(*ARRIVAL, *fields).withColumn(
         "file_size", F.col("file_size").try_cast("bigint")

@@ -1,36 +1,35 @@
-"""Keyed Parquet tables in hash directories, merged by replacing the touched directories.
+"""Keyed tables: versions of Parquet files, or tables of a catalog that supports ``MERGE INTO``.
 
-A table has one writer at a time. Its folder holds the data and one folder per merge::
+A Parquet table is a folder with one folder per version, each the whole table::
 
-    path/hash64/bucket=17/...        the rows; pending ones under pending=true
-    path/stage/<run>/rows/...        the next content of the directories that the run touches
-    path/stage/<run>/ops/...         how many rows it inserts, updates and keeps
-    path/open/<run>                  both are complete, and the directories are being replaced
-    path/stage/<run>/_COMMITTED      they are in place
+    path/v00000007-<run>/...       the rows; pending ones under pending=true
+    path/runs/<run>/...            what a run keeps to be resumed: items, batch
+    path/outcomes/run=<run>/...    what became of the rows of a publish run
 
-A failed run leaves the data as it was until its merge is open; from then on the merge can only go
-forward. Directories are moved, not copied, and a directory that has been moved
-is passed over, so a commit that was interrupted is finished by the same run when it is called
-again, or by the next merge.
+A merge is one Spark job that writes the next version. A version counts once its ``_SUCCESS`` is there,
+so a reader has the old rows or the new ones, and a failed run leaves the old version. This rewrites the
+table once per run: for large tables give ``catalog:<name>`` instead of a path, and the same merge runs as
+``MERGE INTO`` on a table format that rewrites only what it must. A table has one writer at a time.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tidemark.schemas import BUCKET, PENDING, TableSpec
+from tidemark.schemas import PENDING, TableSpec
+from tidemark.session import work_dir
 
-# Up to this many hash directories are read by name instead of listing all of them.
-LISTED_DIRECTORIES = 256
+CATALOG = "catalog:"
 
 Resolve = Callable[[DataFrame, DataFrame], DataFrame]
+Statement = Callable[[str, str], str]
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -54,65 +53,89 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
 
-def stage_path(path: str, run: str) -> str:
-    """The folder of a run's merge. ``run`` may be any text."""
+def run_name(run: str) -> str:
+    """A folder name for a run, which may be any text."""
     readable = re.sub(r"[^A-Za-z0-9_.-]", "_", run)
-    return f"{path}/stage/{readable}-{hashlib.md5(run.encode()).hexdigest()[:8]}"
+    return f"{readable}-{hashlib.md5(run.encode()).hexdigest()[:8]}"
 
 
-def data_path(path: str, spec: TableSpec) -> str:
-    return f"{path}/hash{spec.buckets}"
+def state_path(spark: SparkSession, path: str) -> str:
+    """Where runs keep what they need to be resumed: beside the versions, or for a table of a
+    catalog below the work folder."""
+    if not path.startswith(CATALOG):
+        return path
+    return f"{work_dir(spark)}/tables/{path.removeprefix(CATALOG)}"
 
 
-def bucket_of(spec: TableSpec) -> Column:
-    """The hash directory of a row: the partition that ``align`` puts it into."""
-    return F.pmod(F.hash(*spec.keys), F.lit(spec.buckets)).cast("int")
+def run_path(spark: SparkSession, path: str, run: str) -> str:
+    return f"{state_path(spark, path)}/runs/{run_name(run)}"
 
 
-def align(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """One partition per hash directory. Two aligned frames join without another shuffle, and
-    the result can be written without one."""
-    return df.repartition(spec.buckets, *spec.keys)
+# ---- versions ------------------------------------------------------------------------------------
 
 
-def _nullable(schema: StructType) -> list[StructField]:
-    return [StructField(f.name, f.dataType) for f in schema.fields]
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of all versions, also of unfinished ones, the latest first."""
+    fs, p = _hadoop(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted((n for n in names if re.match(r"v\d{8}-", n)), reverse=True)
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder of the latest complete version."""
+    return next((f"{path}/{n}" for n in _versions(spark, path) if is_complete(spark, f"{path}/{n}")), None)
+
+
+def version_of(spark: SparkSession, path: str, run: str) -> str | None:
+    """The folder of the version that a run has written."""
+    own = [n for n in _versions(spark, path) if n.split("-", 1)[1] == run_name(run)]
+    return next((f"{path}/{n}" for n in own if is_complete(spark, f"{path}/{n}")), None)
+
+
+def drop_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Remove all but the latest ``keep`` complete versions, and unfinished ones below them.
+
+    Readers of a removed version fail, and its run, called again, is merged anew.
+    """
+    complete = [n for n in _versions(spark, path) if is_complete(spark, f"{path}/{n}")]
+    old = [n for n in _versions(spark, path) if complete[keep - 1 :] and n < complete[keep - 1]]
+    fs, _ = _hadoop(spark, path)
+    return sum(bool(fs.delete(_hadoop(spark, f"{path}/{n}")[1], True)) for n in old)
 
 
 def ensure_table(spark: SparkSession, path: str, spec: TableSpec) -> None:
-    """Create the empty table unless it exists. Its number of hash directories is fixed then."""
-    if exists(spark, path):
-        fs, p = _hadoop(spark, path)
-        made = [s.getPath().getName() for s in fs.listStatus(p)]
-        other = [n for n in made if n.startswith("hash") and n != f"hash{spec.buckets}"]
-        if other:
-            raise ValueError(f"{path} was created as {other[0]}, not as hash{spec.buckets}")
-    make_folder(spark, data_path(path, spec))
+    """Create the empty table unless it exists."""
+    if path.startswith(CATALOG):
+        name = path.removeprefix(CATALOG)
+        if not spark.catalog.tableExists(name):
+            spark.createDataFrame([], spec.schema).writeTo(name).create()
+    elif current_version(spark, path) is None:
+        empty = f"{path}/v00000000-empty"
+        make_folder(spark, empty)
+        fs, done = _hadoop(spark, f"{empty}/_SUCCESS")
+        fs.create(done, True).close()
 
 
-def _schema(spec: TableSpec) -> StructType:
-    return StructType([*_nullable(spec.schema), *spec.folders])
+# ---- reading -------------------------------------------------------------------------------------
 
 
-def _read(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    return spark.read.schema(_schema(spec)).parquet(data_path(path, spec))
+def _nullable(spec: TableSpec) -> StructType:
+    return StructType([StructField(f.name, f.dataType) for f in spec.schema.fields])
 
 
-def _read_directories(spark: SparkSession, path: str, spec: TableSpec, buckets: list[int]) -> DataFrame:
-    """Some hash directories. If they are few, the others are not even listed."""
-    if len(buckets) == spec.buckets:
-        return _read(spark, path, spec)
-    if len(buckets) > LISTED_DIRECTORIES:
-        return _read(spark, path, spec).where(F.col(BUCKET.name).isin(buckets))
-    root = data_path(path, spec)
-    found = [d for d in (f"{root}/{BUCKET.name}={b}" for b in buckets) if exists(spark, d)]
-    if not found:
-        return spark.createDataFrame([], _schema(spec))
-    return spark.read.schema(_schema(spec)).option("basePath", root).parquet(*found)
+def _read(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    if path.startswith(CATALOG):
+        table = spark.table(path.removeprefix(CATALOG))
+        return table.withColumn(PENDING.name, F.col(spec.pending_col).isNull()) if spec.pending_col else table
+    version = current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no table at {path}")
+    schema = StructType([*_nullable(spec).fields, *([PENDING] if spec.pending_col else [])])
+    return spark.read.schema(schema).parquet(version)
 
 
 def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """The table as last committed."""
+    """The table as it is now; a frame that has been read stays with its version."""
     return _read(spark, path, spec).select(*spec.columns)
 
 
@@ -132,16 +155,19 @@ def register(spark: SparkSession, name: str, path: str, spec: TableSpec) -> None
 
 
 def merged_ops(spark: SparkSession, path: str, run: str) -> DataFrame:
-    """inserted, updated and kept rows of a merged run, in one row; no row if nothing was merged."""
-    ops = f"{stage_path(path, run)}/ops"
-    if not is_complete(spark, ops):
-        make_folder(spark, ops)
-    return spark.read.schema("inserted bigint, updated bigint, kept bigint").parquet(ops)
+    """inserted, updated and kept rows of a merged run, in one row; no row if nothing was merged.
 
+    They are counted in what was written: lost and repeated tasks cannot change them.
+    """
+    op = F.col("op")
+    counts = [F.count_if(op == o).alias(n) for o, n in (("insert", "inserted"), ("update", "updated"), ("keep", "kept"))]
+    folder = f"{run_path(spark, path, run)}/ops" if path.startswith(CATALOG) else version_of(spark, path, run)
+    if folder is None:
+        return spark.range(0).select(F.lit("").alias("op")).groupBy("op").agg(*counts).drop("op")
+    return spark.read.schema("op string").parquet(folder).agg(*counts)
 
-def touched_buckets(changes: DataFrame, spec: TableSpec) -> list[int]:
-    """The hash directories of some rows: at most ``spec.buckets`` integers."""
-    return [r[0] for r in changes.select(bucket_of(spec)).distinct().collect()]
+
+# ---- merging -------------------------------------------------------------------------------------
 
 
 def merge(
@@ -151,107 +177,46 @@ def merge(
     run: str,
     changes: DataFrame,
     resolve: Resolve,
-    touched: list[int] | None = None,
-    small: bool = True,
+    statement: Statement | None = None,
 ) -> bool:
-    """Merge ``changes`` (one row per key) into the table; False if there was nothing to merge.
-
-    ``resolve(current, changes)`` returns the next rows of the touched directories with ``op``.
-    It must keep every current row: a directory is replaced as a whole. ``touched`` are the
-    directories that the changes fall into; they are looked up in the changes if the caller does
-    not know them. A ``run`` that has been merged is not merged again.
+    """Merge ``changes`` (one row per key) into the table; False if there is nothing to merge.
 
-    Of ``small`` changes the touched rows are regrouped by directory before they are written.
-    Otherwise both sides are aligned with the directories first, so that the join's shuffle is
-    the only one; that needs as many directories as the session has shuffle partitions.
+    ``resolve(current, changes)`` returns the next version's rows with ``op``, every current row among
+    them. For a table of a catalog ``statement(table, source)`` is the same merge as text. A ``run``
+    that has been merged is not merged again.
     """
-    stage = stage_path(path, run)
-    if exists(spark, f"{stage}/_COMMITTED"):
-        return True
-    finish_commits(spark, path, spec)
-    if exists(spark, f"{stage}/_COMMITTED"):
-        return True
     changes = changes.withColumns({k: spec.typed(k) for k in spec.keys})
-    if touched is None:
-        touched = touched_buckets(changes, spec)
-    if not touched:
+    if path.startswith(CATALOG):
+        return _merge_into(spark, path, spec, run, changes, statement)
+    if version_of(spark, path, run):
+        return True
+    if changes.isEmpty():
         return False
-    current = _read_directories(spark, path, spec, touched).select(*spec.columns)
-    aligned = not small and spec.buckets >= int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if aligned:
-        current, changes = align(current, spec), align(changes, spec)
-    rows = resolve(current, changes).select(*[spec.typed(c) for c in spec.columns], "op")
-    rows = rows.withColumn(BUCKET.name, bucket_of(spec))
+    rows = resolve(read_table(spark, path, spec), changes).select(*[spec.typed(c) for c in spec.columns], "op")
+    last = int(_versions(spark, path)[0][1:9])
+    writer = rows.write
     if spec.pending_col:
-        rows = rows.withColumn(PENDING.name, F.col(spec.pending_col).isNull())
-    if not aligned:
-        # keeps the rows of a directory together, splits large ones and packs small ones
-        rows = rows.hint("rebalance", BUCKET.name)
-    _write_staged(spark, rows, spec, stage)
-    make_folder(spark, f"{path}/open/{_name(stage)}")
-    _commit(spark, path, spec, stage)
+        writer = rows.withColumn(PENDING.name, F.col(spec.pending_col).isNull()).write.partitionBy(PENDING.name)
+    writer.mode("overwrite").parquet(f"{path}/v{last + 1:08d}-{run_name(run)}")
     return True
 
 
-def _name(stage: str) -> str:
-    return stage.rsplit("/", 1)[1]
-
-
-def _write_staged(spark: SparkSession, rows: DataFrame, spec: TableSpec, stage: str) -> None:
-    folders = [f.name for f in spec.folders]
-    (
-        rows.sortWithinPartitions(*folders, *spec.keys)
-        .write.mode("overwrite")
-        .partitionBy(*folders)
-        .parquet(f"{stage}/rows")
-    )
-    # The counts are taken from the written rows: lost and repeated tasks cannot change them.
-    # ``op`` stays in the files; the declared schema does not read it.
-    op = F.col("op")
-    (
-        spark.read.schema("op string")
-        .parquet(f"{stage}/rows")
-        .agg(
-            F.count_if(op == "insert").alias("inserted"),
-            F.count_if(op == "update").alias("updated"),
-            F.count_if(op == "keep").alias("kept"),
-        )
-        .write.mode("overwrite")
-        .parquet(f"{stage}/ops")
-    )
-
-
-def _commit(spark: SparkSession, path: str, spec: TableSpec, stage: str) -> None:
-    fs, rows = _hadoop(spark, f"{stage}/rows")
-    names = [s.getPath().getName() for s in fs.listStatus(rows)] if fs.exists(rows) else []
-
-    def replace(name: str) -> None:
-        _, new = _hadoop(spark, f"{stage}/rows/{name}")
-        _, old = _hadoop(spark, f"{data_path(path, spec)}/{name}")
-        fs.delete(old, True)
-        if not fs.rename(new, old):
-            raise OSError(f"could not move {new} to {old}")
-
-    with ThreadPoolExecutor(16) as pool:
-        list(pool.map(replace, [n for n in names if n.startswith(f"{BUCKET.name}=")]))
-    make_folder(spark, f"{stage}/_COMMITTED")
-    _, marker = _hadoop(spark, f"{path}/open/{_name(stage)}")
-    fs.delete(marker, True)
-
-
-def finish_commits(spark: SparkSession, path: str, spec: TableSpec) -> None:
-    """Finish a commit that was interrupted. There is at most one, as merges start with this."""
-    if exists(spark, f"{path}/open"):
-        fs, p = _hadoop(spark, f"{path}/open")
-        for s in fs.listStatus(p):
-            _commit(spark, path, spec, f"{path}/stage/{s.getPath().getName()}")
-
-
-def expire_stages(spark: SparkSession, path: str, older_than_ms: int) -> int:
-    """Remove the folders of committed merges from before a time; returns how many.
-
-    Their counters can no longer be read, and a run of the same name would be merged anew.
-    """
-    fs, markers = _hadoop(spark, f"{path}/stage/*/_COMMITTED")
-    done = [m for m in (fs.globStatus(markers) or []) if m.getModificationTime() < older_than_ms]
-    return sum(bool(fs.delete(m.getPath().getParent(), True)) for m in done)
+def _merge_into(
+    spark: SparkSession, path: str, spec: TableSpec, run: str, changes: DataFrame, statement: Statement | None
+) -> bool:
+    """What each change will do is written first; the statement is idempotent, so that a run that was
+    lost in between is merged again with the counts of its first time."""
+    if statement is None:
+        raise ValueError("a table of a catalog needs the merge as a statement")
+    table, ops = path.removeprefix(CATALOG), f"{run_path(spark, path, run)}/ops"
+    if changes.isEmpty():
+        return False
+    if not is_complete(spark, ops):
+        known = spark.table(table).select(*spec.keys).withColumn("_known", F.lit(True))
+        op = F.when(F.col("_known"), "update").otherwise("insert")
+        changes.select(*spec.keys).join(known, list(spec.keys), "left").select(op.alias("op")).write.mode("overwrite").parquet(ops)
+    view = f"changes_{uuid.uuid4().hex}"
+    changes.createOrReplaceTempView(view)
+    spark.sql(statement(table, view))
+    spark.catalog.dropTempView(view)
+    return True

@@ -37,8 +37,11 @@ def incremental_run(
     url: str,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     audit_spec: TableSpec = RUN_AUDIT,
+    publish: Callable[[], DataFrame] | None = None,
 ) -> DataFrame:
-    """Load everything that is new in the stream, then record the run.
+    """Load everything that is new in the stream, publish, then record the run.
+
+    ``publish`` is called after the load and returns the counters of a publish run.
 
     ``arriving`` holds items, or whatever ``prepare`` makes items from in each micro-batch.
 
@@ -74,6 +77,7 @@ def incremental_run(
     fields = ", ".join(f"{c} bigint" for c in COUNTERS)
     loaded = spark.read.schema(f"{fields}, run_id string, batch bigint").parquet(counters)
     metrics = loaded.where(F.col("run_id") == run_id).agg(*[F.sum(c).alias(c) for c in COUNTERS])
+    published = publish() if publish else None
     if spec.pending_col:
         remaining = count_pending(spark, table_path, spec)
     else:
@@ -87,7 +91,7 @@ def incremental_run(
         started_at,
         run_ts,
         metrics,
-        None,
+        published,
         remaining,
         run_ts,
         audit_spec,
