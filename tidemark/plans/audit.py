@@ -62,7 +62,8 @@ def audit_run(
         spec,
         f"{name}-{uuid.uuid4().hex}",  # recording twice is harmless, so no attempt is resumed
         record.withColumn("run_ts", run_ts),
-        lambda current, changes: upsert(current, changes, spec, run_ts, broadcast_batch=True),
+        lambda current, changes: upsert(current, changes, spec, run_ts),
         lambda table, source: merge_statement(table, source, spec),
+        may_be_empty=False,
     )
     return record

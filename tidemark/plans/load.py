@@ -54,6 +54,7 @@ def load_run(
             batch,
             lambda current, changes: upsert(current, changes, spec, run_ts, broadcast_batch=small),
             lambda table, source: merge_statement(table, source, spec),
+            may_be_empty=False,
         )
     return _metrics(spark, path, run, counts)
 

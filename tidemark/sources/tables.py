@@ -178,8 +178,10 @@ def merge(
     changes: DataFrame,
     resolve: Resolve,
     statement: Statement | None = None,
+    may_be_empty: bool = True,
 ) -> bool:
-    """Merge ``changes`` (one row per key) into the table; False if there is nothing to merge.
+    """Merge ``changes`` (one row per key) into the table; False if there is nothing to merge. A caller
+    that knows that there is something saves the look.
 
     ``resolve(current, changes)`` returns the next version's rows with ``op``, every current row among
     them. For a table of a catalog ``statement(table, source)`` is the same merge as text. A ``run``
@@ -190,7 +192,7 @@ def merge(
         return _merge_into(spark, path, spec, run, changes, statement)
     if version_of(spark, path, run):
         return True
-    if changes.isEmpty():
+    if may_be_empty and changes.isEmpty():
         return False
     rows = resolve(read_table(spark, path, spec), changes).select(*[spec.typed(c) for c in spec.columns], "op")
     last = int(_versions(spark, path)[0][1:9])
