@@ -128,6 +128,8 @@ def test_spans_are_offsets_of_the_text():
     p = np.array([0.1, 0.9, 0.8, 0.2, 0.7])
     text = "One two, three four five"
     assert [text[a:b] for a, b in toxicity.spans(text, p)] == ["two, three", "five"]
+    for odd in ("İstanbul İİ ΣΑΣ", "ẞ ǅ K Å ſ", "".join(chr(c) + " " for c in range(0x80, 0x3000))):
+        assert len(toxicity.words_of(odd)) == len(toxicity._word.findall(odd))
 
 
 # ---- 4: SimHash

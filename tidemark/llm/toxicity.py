@@ -34,10 +34,17 @@ TOXIC_FROM = 0.5
 SPAN_FROM = 0.5
 CHANCE = 1e-6
 
-_words = re.compile(r"\w+").findall
+_word = re.compile(r"\w+")
 _BLOCK = 512
 
 
+def words_of(text: str) -> list[str]:
+    """The words in lower case. Only U+0130 would fall apart if it were lower-cased first."""
+    if "İ" in text:
+        return [w.lower() for w in _word.findall(text)]
+    return _word.findall(text.lower())
+
+
 def word_features(word: str) -> list[str]:
     """The word and its beginnings of three to six characters."""
     return ["=" + word, *[word[:n] for n in range(3, min(6, len(word)) + 1)]]
@@ -152,7 +159,7 @@ def tag(texts: list[str], model: Crf) -> Iterator[np.ndarray]:
     """The toxic marginal of every word of each text."""
     lookup = _Lookup(model)
     for a, b in slices(texts):
-        words = [_words(t.lower()) for t in texts[a:b]]
+        words = [words_of(t) for t in texts[a:b]]
         sizes = np.array([len(w) for w in words])
         if not sizes.sum():
             yield from (np.empty(0) for _ in words)
@@ -185,9 +192,9 @@ def spans(text: str, p: np.ndarray) -> list[tuple[int, int]]:
     if not (p >= SPAN_FROM).any():
         return found
     # Lower-casing may change a text's length; offsets are those of the text as it is.
-    places = [m.span() for m in re.finditer(r"\w+", text)]
+    places = [m.span() for m in _word.finditer(text)]
     joined = False
-    for place, hit in zip(places, p >= SPAN_FROM, strict=False):
+    for place, hit in zip(places, p >= SPAN_FROM, strict=True):
         if hit and joined:
             found[-1] = (found[-1][0], place[1])
         elif hit:
@@ -229,7 +236,7 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = 30, rate: float = 0.
     """
     share = (labels.sum() + 0.5) / (len(labels) + 1) if len(labels) else 0.5
     untrained = Crf({}, {}, {}, -6.0, np.zeros(2), np.zeros((2, 2)), np.array([np.log(share / (1 - share)), 0, 0]))
-    words = [_words(t.lower()) for t in texts]
+    words = [words_of(t) for t in texts]
     sizes = np.array([len(w) for w in words], dtype=np.int64)
     if not sizes.sum() or len(set(labels > 0)) < 2:
         return untrained
