@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.coerce import run_timestamp
+from tidemark.plans.publish import publish_run
 from tidemark.schemas import RUN_AUDIT, WALLPAPERS
 from tidemark.sources.landing import ARRIVAL, extract_items, stream_pages
 from tidemark.sources.tables import read_table
@@ -24,12 +25,12 @@ class Feed:
         with open(f"{self.root}/landing/{self.n}.json", "w") as f:
             json.dump({"data": items}, f)
 
-    def run(self, name, **source):
+    def run(self, name, publish=None, **source):
         pages = stream_pages(self.spark, f"{self.root}/landing", **source)
         r = incremental_run(
             pages, SPEC, f"{self.root}/table", f"{self.root}/audit", f"{self.root}/state", "dag", name,
             F.lit("2024-01-01").cast("timestamp"), run_timestamp("2024-01-01 00:01:00"),
-            ARRIVAL, "wallhaven_id", "url", prepare=extract_items,
+            ARRIVAL, "wallhaven_id", "url", prepare=extract_items, publish=publish,
         ).first()
         return r.metadata_inserted, r.metadata_updated, r.missing_s3_after_run
 
@@ -86,3 +87,21 @@ def test_a_run_that_failed_before_its_record_is_recorded_in_full(feed, monkeypat
         with pytest.raises(ZeroDivisionError):
             feed.run("r1")
     assert feed.run("r1") == (2, 0, 2)
+
+
+def test_a_run_publishes_what_it_has_loaded(spark, feed):
+    os.makedirs(f"{feed.root}/contents/x")
+    for name in "ab":
+        with open(f"{feed.root}/contents/x/{name}.jpg", "w") as f:
+            f.write(name)
+
+    def publish():
+        return publish_run(
+            f"{feed.root}/table", f"{feed.root}/contents", f"{feed.root}/objects", "p1",
+            run_timestamp("2024-01-01 00:01:00"), spec=SPEC, wait_s=0.0, spark=spark,
+        )
+
+    feed.land("a", "b", "c")
+    assert feed.run("r1", publish) == (3, 0, 1)
+    record = read_table(spark, f"{feed.root}/audit", RUN_AUDIT).first()
+    assert (record.images_uploaded, record.download_failures) == (2, 1)
