@@ -215,50 +215,27 @@ def marked_words(at: np.ndarray, first: np.ndarray, toxic: np.ndarray, features:
     before, after = np.full(len(at), words), np.full(len(at), words)
     before[1:] = np.where(first[1:], words, at[:-1])
     after[:-1] = np.where(first[1:], words, at[1:])
-    seen = pd.DataFrame({"word": at, "before": before, "after": after, "toxic": toxic}).drop_duplicates()
+    around, where = np.unique(before * (words + 1) + after, return_inverse=True)
+    del before, after
+    seen, marked = np.divmod(np.unique(2 * (at * len(around) + where) + toxic), 2)
+    seen, marked = seen // len(around), marked > 0
     of_word, of_feature = features
-    a, b = (
-        np.bincount(of_feature, np.bincount(seen["word"][rows], minlength=words)[of_word])
-        for rows in (seen["toxic"], ~seen["toxic"])
-    )
+    a, b = (np.bincount(of_feature, np.bincount(seen[rows], minlength=words)[of_word]) for rows in (marked, ~marked))
     n = np.maximum(a + b, 1)
-    prior = float(np.clip(seen["toxic"].mean(), 1e-6, 1 - 1e-6))
+    prior = float(np.clip(marked.mean(), 1e-6, 1 - 1e-6))
     share = np.clip(a / n, 1e-9, 1 - 1e-9)
     surprise = n * (share * np.log(share / prior) + (1 - share) * np.log((1 - share) / (1 - prior)))
     hit = (surprise > -np.log(CHANCE)) & (share > (1 + prior) / 2)
     return np.bincount(of_word, hit[of_feature], words) > 0
 
 
-def fit(texts: list[str], labels: np.ndarray, rounds: int = 30, rate: float = 0.5) -> Crf:
-    """Fit the chain on words of labelled texts, then the document score on the texts' labels.
-
-    The chain sees every toxic text and as many others; the score sees all of them.
-    """
-    share = (labels.sum() + 0.5) / (len(labels) + 1) if len(labels) else 0.5
-    untrained = Crf({}, {}, {}, -6.0, np.zeros(2), np.zeros((2, 2)), np.array([np.log(share / (1 - share)), 0, 0]))
-    words = [words_of(t) for t in texts]
-    sizes = np.array([len(w) for w in words], dtype=np.int64)
-    if not sizes.sum() or len(set(labels > 0)) < 2:
-        return untrained
-    names: dict[str, int] = {}
-    at = np.fromiter((names.setdefault(w, len(names)) for ws in words for w in ws), np.int64, int(sizes.sum()))
-    first = np.zeros(len(at), dtype=bool)
-    first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
-    index: dict[str, int] = {}
-    pairs = [(i, index.setdefault(f, len(index))) for w, i in names.items() for f in word_features(w)]
-    of_word, of_feature = np.array(pairs).T
-    toxic = np.repeat(labels > 0, sizes)
-    y = marked_words(at, first, toxic, (of_word, of_feature), len(names))[at] & toxic
-    if not y.any():
-        return untrained
-    every = max(1, int((labels <= 0).sum()) // max(1, int((labels > 0).sum())))
-    chosen = (labels > 0) | (np.cumsum(labels <= 0) % every == 0)
-    used = np.repeat(chosen, sizes)
-    at, first, y = at[used], first[used], y[used]
-
+def _chain_weights(
+    at: np.ndarray, first: np.ndarray, y: np.ndarray, features: tuple[np.ndarray, np.ndarray], n_own: int, n_words: int, rounds: int, rate: float
+) -> list[np.ndarray]:
+    """Weights of features, left and right neighbours, bias, start and steps, climbing the likelihood of ``y``."""
+    of_word, of_feature = features
     inner = ~first[1:]
     prev, nxt = at[:-1][inner], at[1:][inner]
-    n_own, n_words = len(index), len(names)
     cuts = np.cumsum([n_own, n_words, n_words, 1, 2])
     damp = np.repeat([0.1, 1.0, 0.1], [n_own, 2 * n_words, 7])  # neighbours count only if they say much
     theta, m1, m2 = (np.zeros(len(damp)) for _ in range(3))
@@ -290,7 +267,40 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = 30, rate: float = 0.
         m1, m2 = 0.9 * m1 + 0.1 * slope, 0.99 * m2 + 0.01 * slope * slope
         pace = rate * min(1, 2 * (1 - t / (rounds + 1)))
         theta += pace * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.99**t)) + 1e-8)
-    own, left, right, bias, start, step = np.split(theta, cuts)
+    return np.split(theta, cuts)
+
+
+def fit(texts: list[str], labels: np.ndarray, rounds: int = 30, rate: float = 0.5) -> Crf:
+    """Fit the chain on words of labelled texts, then the document score on the texts' labels.
+
+    The chain sees every toxic text and as many others; the score sees all of them.
+    """
+    share = (labels.sum() + 0.5) / (len(labels) + 1) if len(labels) else 0.5
+    untrained = Crf({}, {}, {}, -6.0, np.zeros(2), np.zeros((2, 2)), np.array([np.log(share / (1 - share)), 0, 0]))
+    names: dict[str, int] = {}
+    # Numbers, text by text: the words of all texts would take many times their memory.
+    numbers = [np.array([names.setdefault(w, len(names)) for w in words_of(t)], dtype=np.int64) for t in texts]
+    sizes = np.array([len(x) for x in numbers], dtype=np.int64)
+    if not sizes.sum() or len(set(labels > 0)) < 2:
+        return untrained
+    at = np.concatenate(numbers)
+    del numbers
+    first = np.zeros(len(at), dtype=bool)
+    first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+    index: dict[str, int] = {}
+    pairs = [(i, index.setdefault(f, len(index))) for w, i in names.items() for f in word_features(w)]
+    of_word, of_feature = np.array(pairs).T
+    toxic = np.repeat(labels > 0, sizes)
+    y = marked_words(at, first, toxic, (of_word, of_feature), len(names))[at] & toxic
+    if not y.any():
+        return untrained
+    every = max(1, int((labels <= 0).sum()) // max(1, int((labels > 0).sum())))
+    chosen = (labels > 0) | (np.cumsum(labels <= 0) % every == 0)
+    used = np.repeat(chosen, sizes)
+    at, first, y = at[used], first[used], y[used]
+
+    own, left, right, bias, start, step = _chain_weights(at, first, y, (of_word, of_feature), len(index), len(names), rounds, rate)
+    del at, first, y, used, toxic
 
     def table(weights: np.ndarray, keys: dict[str, int]) -> dict[str, float]:
         return {k: float(weights[i]) for k, i in keys.items() if abs(weights[i]) >= 0.02}
