@@ -59,6 +59,15 @@ def test_stages_keep_columns(spark, odd, empty, stage):
     assert stage[1](spark, empty, "/root/testdata/sf0.01").count() == 0
 
 
+def test_last_stage_on_difficult_rows(spark, odd, empty):
+    pack = corpus_pipeline.STAGES[-1][1]
+    more = odd.withColumns({c: F.lit(7) for c in ("piece", "length", "ids", "sequence_id", "offset", "first", "low")})
+    rows = pack(spark, more, "/root/testdata/sf0.01").toPandas()
+    assert (rows["piece"] == 0).sum() == len(ROWS)
+    assert (rows.groupby("sequence_id")["length"].sum() <= packing.CAPACITY).all()
+    assert pack(spark, empty, "/root/testdata/sf0.01").count() == 0
+
+
 def test_labels_of_one_kind_give_the_share(spark, odd):
     one = spark.createDataFrame([(i, 1, 0) for i in range(1, 10)], "doc_id long, quality int, toxic int")
     scored = odd.select(quality.quality(F.col("text"), quality.train(odd, one))["score"].alias("s")).distinct().collect()

@@ -16,6 +16,7 @@ from tests.llm.conftest import SF
 from tidemark.llm import bpe, fingerprints, license_scan, lm_score, neighbours, packing, sharding, simhash, toxicity
 from tidemark.llm.common import vocabulary
 from tidemark.llm.components import components
+from tidemark.llm.labelled import training_rows
 from tidemark.llm.queries import llm_queries
 
 
@@ -124,6 +125,26 @@ def test_block_recursions_equal_plain_ones():
         z /= z.sum()
 
 
+def test_training_rows_are_bounded_and_count_once(spark):
+    docs = spark.createDataFrame([(i % 50, f"text {i % 50}") for i in range(200)] + [(None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i % 50, 1) for i in range(100)] + [(None, 1), (3, None)], "doc_id long, toxic int")
+    got = training_rows(docs, labels, "toxic", 1_000).distinct().collect()
+    assert sorted(r["doc_id"] for r in got) == [i for i in range(50) if zlib.crc32(str(i).encode()) % 5]
+    assert len(training_rows(docs, labels, "toxic", 10).distinct().collect()) < 25
+
+
+def test_surroundings_count_once():
+    rng = np.random.default_rng(5)
+    at, first, toxic = rng.integers(0, 6, 400), rng.random(400) < 0.1, rng.random(400) < 0.4
+    at[toxic & (rng.random(400) < 0.5)] = 6
+    at = np.concatenate([at, at])  # a copy of everything changes nothing but the border
+    first = np.concatenate([[True], first[1:], [True], first[1:]])
+    toxic = np.concatenate([toxic, toxic])
+    own = (np.arange(7), np.arange(7))
+    once = toxicity.marked_words(at[:400], first[:400], toxic[:400], own, 7)
+    assert once.tolist() == toxicity.marked_words(at, first, toxic, own, 7).tolist() == [False] * 6 + [True]
+
+
 def test_spans_are_offsets_of_the_text():
     p = np.array([0.1, 0.9, 0.8, 0.2, 0.7])
     text = "One two, three four five"
@@ -191,6 +212,20 @@ def test_components_of_a_long_path(spark):
     assert {(r["node"], r["component"]) for r in components(path).collect()} == {(i, 0) for i in range(1, 201)}
 
 
+def test_one_row_of_each_group_stays(spark):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(40)) for k in "abc")
+    rows = [(4, a, 1), (5, a, 2), (5, b, 3), (6, b, 4), (None, a, 5), (None, c, 6), (None, c, 7), (9, "", 8), (8, None, 9), (8, None, 9), (7, "plain", 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, bits int").withColumn("row", F.lit(0))
+    kept = simhash.keep_one(docs)
+    assert kept.schema == docs.schema
+    got = sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect())
+    assert got == sorted([(4, a), (5, b), (0, c), (8, ""), (7, "plain")])
+    # Two texts whose smallest id is the same are one group.
+    both = spark.createDataFrame([(1, a), (1, b), (2, a)], "doc_id long, text string")
+    assert [r["doc_id"] for r in simhash.keep_one(both).collect()] == [1]
+    assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
 # ---- 5: packing
 
 

@@ -7,8 +7,8 @@ A temperature, fitted on further copies, calibrates the probabilities. A family
 ``CONFIDENT`` on, and is confirmed if one of its templates shares at least ``CONFIRMED`` of the word
 pairs of the shorter one of the two.
 
-The corpus paragraphs for training are those of about ``SAMPLE_DOCS`` documents, chosen by a hash of the
-id, less those that compare well with any template. All paragraphs of all documents are scored.
+The corpus paragraphs for training are those of about ``SAMPLE_DOCS`` documents, chosen by a hash of
+id and text, less those that compare well with any template. All paragraphs of all documents are scored.
 
 Defined results: NULL and empty texts have no paragraphs with words and no findings. A document's
 licence is that of its surest confirmed finding, ties going to the alphabetically first family, and
@@ -246,7 +246,8 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Scanner:
     """Fit against paragraphs of a bounded sample of the documents."""
     step = 1 << 30
     share = min(1.0, sample_docs / max(1, docs.count()))
-    picked = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) < int(share * step))
+    # By id and text: NULL or equal ids do not come all together.
+    picked = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(step)) < int(share * step))
     lines = picked.select(F.explode(F.split("text", "\n")).alias("line")).distinct().toPandas()["line"]
     families = list(TEMPLATES)
     others = [w for w in (_words(x.lower()) for x in sorted(lines)) if w and best_overlap(w, families) < 0.5]

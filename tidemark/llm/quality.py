@@ -211,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Gam:
     """Fit on the statistics of a bounded labelled sample; only these numbers reach the driver."""
     run = text_udf(lambda texts: pd.DataFrame({"x": list(statistics(texts))}), "x array<double>")
     sample = training_rows(docs, labels, "quality", rows)
-    got = sample.select("doc_id", "label", run("text")["x"].alias("x")).toPandas().sort_values(["doc_id", "label"])
+    got = sample.select("doc_id", "label", run("text")["x"].alias("x")).distinct().toPandas().sort_values(["doc_id", "label"])
     x = np.array(got["x"].tolist(), dtype=float).reshape(len(got), len(FEATURES))
     return fit(x, got["label"].to_numpy(dtype=float))
 

@@ -13,12 +13,13 @@ most, however large a bucket is.
 
 Defined results: NULL and wordless texts have fingerprint 0. Rows without an id get a fingerprint and
 the component of their fingerprint, which is NULL if no row of it has an id. Repeated rows are one
-document. Equal ids with different texts join the components of both texts.
+document. Equal ids with different texts are members of both texts' components.
 """
 
 from __future__ import annotations
 
 from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -98,13 +99,26 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     return met.select(F.explode("who").alias("u"), F.array_min("who").alias("v")).where("u != v").distinct()
 
 
-def near_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, bits, component_id) of every row."""
+class Groups(NamedTuple):
+    """``prints`` (doc_id, bits) of every row, ``nodes`` (bits, node: its smallest id) and ``found``
+    (node, component) of the nodes that are not the smallest of their component."""
+
+    prints: DataFrame
+    nodes: DataFrame
+    found: DataFrame
+
+
+def _grouped(docs: DataFrame, shingle: int, radius: int) -> Groups:
     prints = settle(docs.select("doc_id", fingerprint(F.col("text"), shingle).alias("bits")), "prints")
     nodes = settle(
         prints.groupBy("bits").agg(F.min("doc_id").alias("node")).where(F.col("node").isNotNull()), "nodes"
     )
-    found = components(links(nodes, radius))
+    return Groups(prints, nodes, components(links(nodes, radius)))
+
+
+def near_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, bits, component_id) of every row."""
+    prints, nodes, found = _grouped(docs, shingle, radius)
     of_bits = nodes.join(found, "node", "left").select("bits", F.coalesce("component", "node").alias("component_id"))
     return prints.join(of_bits, "bits", "left").select("doc_id", "bits", "component_id")
 
@@ -114,10 +128,32 @@ def hex_bits(bits: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The document with the smallest id of each group, with its columns as they are.
+    """One row of each group, with its columns as they are: the one with the smallest id, of several
+    texts under that id the one with the smallest fingerprint, of repeated rows any.
 
-    Rows without an id cannot be chosen and stay.
+    Rows without an id go if a row with an id has their fingerprint; otherwise one of each fingerprint
+    stays.
     """
-    groups = near_groups(docs, shingle, radius)
-    dropped = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(settle(dropped, "dropped"), "doc_id", "left_anti").select(*docs.columns)
+    prints, nodes, found = _grouped(docs, shingle, radius)
+    chosen = nodes.join(found, "node", "left_anti").groupBy("node").agg(F.min("bits").alias("bits"))
+    seen = settle(prints.groupBy("bits", "doc_id").agg(F.count("*").alias("n")), "seen")
+    with_id = seen.where("doc_id IS NOT NULL").join(chosen.withColumnRenamed("node", "doc_id"), ["bits", "doc_id"], "left_anti")
+    without = seen.where("doc_id IS NULL").join(nodes, "bits", "left_semi")
+    gone = settle(with_id.unionByName(without).select("bits", "doc_id"), "gone")
+    repeated = seen.where("n > 1").select("bits", "doc_id").join(gone.toDF(*_KEY), _same(), "left_anti")
+    repeated = settle(repeated, "repeated")
+
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", fingerprint(F.col("text"), shingle).alias("bits"))
+    single = rows.join(gone.union(repeated).toDF(*_KEY), _same(), "left_anti")
+    if repeated.isEmpty():  # as it is where ids are unique; spares a second look at the texts
+        return single.select("row.*")
+    one = rows.join(repeated.toDF(*_KEY), _same(), "left_semi").dropDuplicates(["bits", "doc_id"])
+    return single.unionByName(one).select("row.*")
+
+
+_KEY = ("its_bits", "its_id")
+
+
+def _same() -> Column:
+    """Fingerprint and id are those of the other side; NULL ids are equal."""
+    return (F.col("bits") == F.col("its_bits")) & F.col("doc_id").eqNullSafe(F.col("its_id"))

@@ -324,7 +324,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, damp: float = 1.0) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Crf:
     """Fit on a bounded labelled sample; its texts are all that reaches the driver."""
-    got = training_rows(docs, labels, "toxic", rows).toPandas().sort_values(["doc_id", "label"])
+    got = training_rows(docs, labels, "toxic", rows).distinct().toPandas().sort_values(["doc_id", "label"])
     return fit([t or "" for t in got["text"]], got["label"].to_numpy(dtype=float))
 
 
