@@ -311,6 +311,18 @@ def test_steps_climb():
     assert lm_score.log_probabilities(tokens, at, net).mean() > before + 0.5
 
 
+def test_output_weights_are_not_cut():
+    units = lm_score.Units({"a": 1, "b": lm_score.UNITS // 2})
+    tokens, sizes = lm_score.numbered(["a b " * 40], units)
+    net, at = lm_score.initial(np.bincount(tokens, minlength=lm_score.UNITS)), lm_score._targets(sizes)
+    net.to_class[:] *= 0
+    net.to_class[:, 0], net.to_class[:, 1] = 40, -40
+    lm_score._step(tokens, at, net, lm_score.RATE)
+    assert net.to_class[:, 0].min() > 30 and net.to_class[:, 1].max() < -30
+    assert np.isfinite(lm_score.log_probabilities(tokens, at, net)).all()  # exponents of hundreds
+    assert lm_score.BATCH == 1_024  # steps per place
+
+
 # ---- 7: neighbours
 
 
