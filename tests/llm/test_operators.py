@@ -323,6 +323,28 @@ def test_output_weights_are_not_cut():
     assert lm_score.BATCH == 1_024  # steps per place
 
 
+def test_words_of_a_bucket_share_its_probability(spark):
+    units, of_bucket = lm_score.Units(), {}
+    for i in range(10_000):
+        first = of_bucket.setdefault(units[f"z{i}"], f"z{i}")
+        if first != f"z{i}":
+            break
+    filler = " ".join(f"w{j}" for j in range(4_000))
+    texts = [filler] * 5 + [f"w1 {first} w2"] + [f"w1 z{i} w2"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(lm_score.score(docs).collect())
+    assert len({r["log_prob"] for r in rows[6:]}) == 1 and len({r["log_prob"] for r in rows[:5]}) == 1
+    assert abs(rows[6]["log_prob"] - rows[5]["log_prob"] - np.log(3)) < 1e-4
+    assert abs(rows[6]["mean"] - rows[6]["log_prob"] / 3) < 1e-9
+
+
+def test_units_grow_with_the_words(spark):
+    docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(300_000)))], "doc_id long, text string")
+    units, of_unit = lm_score.vocabulary(docs)
+    assert len(units) > lm_score.UNITS and of_unit.sum() == 300_000
+    assert lm_score.unit_count(10**8) > lm_score.unit_count(10**6) > lm_score.UNITS
+
+
 # ---- 7: neighbours
 
 
