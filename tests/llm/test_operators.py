@@ -345,6 +345,14 @@ def test_units_grow_with_the_words(spark):
     assert lm_score.unit_count(10**8) > lm_score.unit_count(10**6) > lm_score.UNITS
 
 
+def test_every_place_is_trained_on(spark):
+    docs = spark.createDataFrame([(i, f"x{i} y{i}") for i in range(1_700)], "doc_id long, text string").coalesce(1)
+    units, net = lm_score.train(docs)
+    plain = lm_score.initial(lm_score.vocabulary(docs)[1])
+    moved = (net.embed != plain.embed).any(axis=1)[1 : len(units) + 1]
+    assert moved.sum() >= 3_400 - lm_score.BATCH  # the first step moves the output weights only
+
+
 # ---- 7: neighbours
 
 
