@@ -353,6 +353,26 @@ def test_every_place_is_trained_on(spark):
     assert moved.sum() >= 3_400 - lm_score.BATCH  # the first step moves the output weights only
 
 
+def test_training_follows_from_the_texts_not_the_splits(documents, monkeypatch):
+    monkeypatch.setattr(lm_score, "GROUP", 100_000)
+    (_, one), (_, many) = (lm_score.train(documents.repartition(n)) for n in (1, 16))
+    assert np.allclose(one.flat(), many.flat(), atol=1e-3)
+    assert lm_score.round_count(1) == 1 < lm_score.round_count(9) < lm_score.round_count(2_000)
+
+
+def test_a_row_moves_by_the_places_that_touched_it():
+    net = lm_score.initial(np.ones(lm_score.UNITS))
+    change = np.ones(net.flat().size, dtype=np.float32)
+    total = 0
+    for group in range(10):  # only the first has unit 7 and class 3
+        touched = np.full(lm_score.UNITS + lm_score.CLASSES + 1, 5.0)
+        touched[[7, lm_score.UNITS + 3]] *= group == 0
+        total = total + np.concatenate([change * lm_score._spread(touched, net), touched])
+    moved = lm_score._moved(net, total)
+    for was, now in zip(net, moved, strict=True):
+        assert np.allclose(now - was, 1, atol=1e-5)
+
+
 # ---- 7: neighbours
 
 
