@@ -47,6 +47,34 @@ def test_unseen_wordings_and_near_misses():
 # ---- 2: BPE
 
 
+SHORT_NOTICES = {
+    "MIT License": "MIT",
+    "License: MIT": "MIT",
+    "The MIT License (MIT)": "MIT",
+    "This package uses the MIT license": "MIT",
+    "Apache License": "Apache",
+    "Apache License 2.0": "Apache",
+    "Version 2.0, January 2004": "Apache",
+    "License: Apache-2.0": "Apache",
+    "GNU Lesser General Public License": "LGPL",
+    "GNU General Public License": "GPL",
+    "License: GPL-3.0": "GPL",
+    "BSD License": "BSD",
+    "Mozilla Public License": "MPL",
+    "License": "unknown",
+    "Version 2.0": "unknown",
+    "She studied at MIT": "unknown",
+    "The Apache helicopter": "unknown",
+}
+
+
+def test_short_notices(spark, documents):
+    scanner = license_scan.train(documents)
+    docs = spark.createDataFrame(list(enumerate(SHORT_NOTICES)), "doc_id long, text string")
+    rows = docs.select("text", license_scan.scan(F.col("text"), scanner).alias("s")).collect()
+    assert {r["text"]: r["s"]["license"] for r in rows} == SHORT_NOTICES
+
+
 def test_ids_and_text_equal_the_library(documents):
     path = vocabulary("word_bpe_49k.json")
     library, rows = Tokenizer.from_file(path), bpe.round_trip(documents).collect()

@@ -4,8 +4,9 @@ A paragraph is a line of text. Sparse features are its words and word pairs; a s
 each licence family and the class ``unknown`` a probability. It is trained on varied copies of the
 templates and, for ``unknown``, on paragraphs of the corpus and on sentences that only use the same words.
 A temperature, fitted on further copies, calibrates the probabilities. A family is reported from
-``CONFIDENT`` on, and is confirmed if one of its templates shares at least ``CONFIRMED`` of the word
-pairs of the shorter one of the two.
+``CONFIDENT`` on, and is confirmed if one of its templates or titles shares at least ``CONFIRMED`` of the
+word pairs of the shorter one of the two. Lines of up to ``SHORT`` words must be a template or title as a
+whole, or name the family; with a name, one title must have all their words.
 
 The corpus paragraphs for training are those of about ``SAMPLE_DOCS`` documents, chosen by a hash of
 id and text, less those that compare well with any template. All paragraphs of all documents are scored.
@@ -32,6 +33,7 @@ from tidemark.llm.common import text_udf
 UNKNOWN = "unknown"
 CONFIDENT = 0.5
 CONFIRMED = 0.8
+SHORT = 3
 SAMPLE_DOCS = 300
 COPIES = 40
 SEEN = 3  # examples that have a feature, at least
@@ -107,6 +109,38 @@ TEMPLATES = {
     ],
 }
 
+# Titles and short forms of the same licences.
+TITLES = {
+    "AGPL": ["GNU Affero General Public License", "GNU Affero General Public License v3.0", "GNU AGPL", "AGPL License", "AGPLv3", "AGPL v3", "AGPL-3.0", "AGPL-3.0-or-later"],
+    "Apache": ["The Apache License", "Apache License Version 2.0, January 2004", "Version 2.0, January 2004", "Apache License 2.0", "Apache 2.0 License", "Apache Software License", "Apache-2.0"],
+    "BSD": ["The BSD License", "BSD 3-Clause License", "BSD 2-Clause License", "3-Clause BSD License", "2-Clause BSD License", "New BSD License", "Simplified BSD License", "BSD-3-Clause", "BSD-2-Clause"],
+    "CC-BY": ["CC BY", "CC-BY-4.0", "CC BY 3.0", "Creative Commons Attribution 4.0 International", "Creative Commons Attribution License"],
+    "CC-BY-NC": ["CC BY-NC", "CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International", "Creative Commons Attribution-NonCommercial License"],
+    "CC-BY-SA": ["CC BY-SA", "CC-BY-SA-4.0", "CC BY-SA 3.0", "Creative Commons Attribution-ShareAlike 4.0 International", "Creative Commons Attribution-ShareAlike License"],
+    "CC0": ["CC0 License", "CC0-1.0", "CC0 1.0 Universal", "Creative Commons Zero", "Creative Commons CC0", "CC0 1.0 Universal Public Domain Dedication"],
+    "GPL": ["GNU General Public License", "GNU General Public License v3.0", "GNU General Public License v2.0", "GNU GPL", "GPL License", "GPLv2", "GPLv3", "GPL v2", "GPL v3", "GPL-2.0", "GPL-3.0", "GPL-3.0-only"],
+    "ISC": ["The ISC License", "ISC License", "License: ISC"],
+    "LGPL": ["GNU Lesser General Public License", "GNU Lesser General Public License v2.1", "GNU Lesser General Public License v3.0", "GNU Library General Public License", "GNU LGPL", "LGPL License", "LGPLv3", "LGPL v3", "LGPL-2.1", "LGPL-3.0"],
+    "MIT": ["The MIT License", "MIT License", "The MIT License (MIT)", "License: MIT", "MIT License (Expat)"],
+    "MPL": ["Mozilla Public License", "Mozilla Public License 2.0", "Mozilla Public License Version 2.0", "MPL License", "MPL 2.0", "MPL-2.0"],
+    "Proprietary": ["Proprietary License", "Proprietary and confidential", "License: Proprietary"],
+    "Unlicense": ["The Unlicense", "Unlicense License", "The Unlicense (Unlicense)"],
+}
+
+# Words that name a family.
+NAMES = {
+    "AGPL": {"agpl", "agplv3", "affero"},
+    "Apache": {"apache"},
+    "BSD": {"bsd"},
+    "CC0": {"cc0"},
+    "GPL": {"gpl", "gplv2", "gplv3"},
+    "ISC": {"isc"},
+    "LGPL": {"lgpl", "lgplv3"},
+    "MIT": {"mit"},
+    "MPL": {"mpl", "mozilla"},
+    "Unlicense": {"unlicense"},
+}
+
 # Sentences that use the words of licences without being one.
 OTHER_USES = [
     "He lost his driving licence after the second accident.",
@@ -119,6 +153,14 @@ OTHER_USES = [
     "The Apache helicopter is distributed among several units.",
     "MIT published a study on general education.",
     "The seats were reserved for the members of the foundation.",
+    "License",
+    "Public license",
+    "Version 2.0",
+    "January 2004",
+    "General public",
+    "Creative commons",
+    "The Mozilla developers met in January 2004.",
+    "She studied at MIT and wrote for the public.",
 ]
 
 _words = re.compile(r"\w+").findall
@@ -139,6 +181,19 @@ def best_overlap(words: list[str], families: list[str]) -> float:
     return max((overlap(words, _words(t.lower())) for f in families for t in TEMPLATES[f]), default=0.0)
 
 
+def confirmed(words: list[str], family: str) -> bool:
+    """A line has the words of one of the family's templates or titles."""
+    texts = [_words(t.lower()) for t in TEMPLATES[family] + TITLES[family]]
+    if words in texts:
+        return True
+    if len(words) <= SHORT:
+        if NAMES.get(family, set()).isdisjoint(words):
+            return False
+        if any(set(words) <= set(t) for t in texts):
+            return True
+    return max(overlap(words, t) for t in texts) >= CONFIRMED
+
+
 class Scanner(NamedTuple):
     families: list[str]  # ``unknown`` is the first
     words: dict[str, int]  # numbers from 1
@@ -178,7 +233,7 @@ def _examples(rng: random.Random, others: list[list[str]]) -> tuple[list[list[st
     families = [UNKNOWN, *sorted(TEMPLATES)]
     lines, labels = [], []
     for i, family in enumerate(families[1:], 1):
-        for text in TEMPLATES[family]:
+        for text in TEMPLATES[family] + TITLES[family]:
             lines += [_words(text.lower())] + [_varied(rng, text) for _ in range(COPIES)]
             labels += [i] * (COPIES + 1)
     for text in OTHER_USES:
@@ -250,7 +305,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Scanner:
     picked = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(step)) < int(share * step))
     lines = picked.select(F.explode(F.split("text", "\n")).alias("line")).distinct().toPandas()["line"]
     families = list(TEMPLATES)
-    others = [w for w in (_words(x.lower()) for x in sorted(lines)) if w and best_overlap(w, families) < 0.5]
+    others = [w for w in (_words(x.lower()) for x in sorted(lines)) if w and best_overlap(w, families) < 0.5 and not any(confirmed(w, f) for f in families)]
     return fit(others)
 
 
@@ -270,7 +325,7 @@ def scan(text: Column, scanner: Scanner) -> Column:
                 if best[at] and sure[at] >= CONFIDENT:
                     family = scanner.families[best[at]]
                     findings.append(
-                        {"paragraph": place, "family": family, "confidence": float(sure[at]), "confirmed": best_overlap(words, [family]) >= CONFIRMED}
+                        {"paragraph": place, "family": family, "confidence": float(sure[at]), "confirmed": confirmed(words, family)}
                     )
                 at += 1
             top = min((f for f in findings if f["confirmed"]), key=lambda f: (-f["confidence"], f["family"]), default=None)
