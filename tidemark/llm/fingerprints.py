@@ -9,7 +9,9 @@ A fingerprint is all anchors' hashes in order, eight hex digits each. Its likene
 number of anchors that they share over the number that either has, counting repeats.
 
 Defined results: a text without anchors (shorter than ``K``, mostly) has one anchor, itself; an empty or
-NULL text has none. Two empty fingerprints have likeness 1, an empty and another one 0.
+NULL text has none. Partial likeness needs a shared run of ``K`` characters that is an anchor: texts shorter
+than ``K`` are alike or not as a whole, and of texts whose last third is edited, those below 47 characters
+share no run, and those little longer few. Two empty fingerprints have likeness 1, an empty and another one 0.
 Characters are code points.
 
 ``successors`` gives every document its next one by descending id. Rows are dealt out by ranges of ids
