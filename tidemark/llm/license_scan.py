@@ -170,28 +170,37 @@ def pairs(words: list[str]) -> set[tuple[str, str]]:
     return set(zip(words, words[1:], strict=False))
 
 
-def overlap(words: list[str], template: list[str]) -> float:
-    """Share of the smaller set of word pairs that the other one has; 0 for fewer than two pairs."""
-    a, b = pairs(words), pairs(template)
+def _shared(a: set[tuple[str, str]], b: set[tuple[str, str]]) -> float:
     low = min(len(a), len(b))
     return len(a & b) / low if low >= 2 else 0.0
 
 
+def overlap(words: list[str], template: list[str]) -> float:
+    """Share of the smaller set of word pairs that the other one has; 0 for fewer than two pairs."""
+    return _shared(pairs(words), pairs(template))
+
+
+_TEXTS = {f: [_words(t.lower()) for t in TEMPLATES[f] + TITLES[f]] for f in TEMPLATES}
+_PAIRS = {f: [pairs(t) for t in _TEXTS[f]] for f in TEMPLATES}
+
+
 def best_overlap(words: list[str], families: list[str]) -> float:
-    return max((overlap(words, _words(t.lower())) for f in families for t in TEMPLATES[f]), default=0.0)
+    """With the templates, without the titles."""
+    own = pairs(words)
+    return max((_shared(own, t) for f in families for t in _PAIRS[f][: len(TEMPLATES[f])]), default=0.0)
 
 
 def confirmed(words: list[str], family: str) -> bool:
     """A line has the words of one of the family's templates or titles."""
-    texts = [_words(t.lower()) for t in TEMPLATES[family] + TITLES[family]]
-    if words in texts:
+    if words in _TEXTS[family]:
         return True
     if len(words) <= SHORT:
         if NAMES.get(family, set()).isdisjoint(words):
             return False
-        if any(set(words) <= set(t) for t in texts):
+        if any(set(words) <= set(t) for t in _TEXTS[family]):
             return True
-    return max(overlap(words, t) for t in texts) >= CONFIRMED
+    own = pairs(words)
+    return max(_shared(own, t) for t in _PAIRS[family]) >= CONFIRMED
 
 
 class Scanner(NamedTuple):
