@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.conftest import ROWS
-from tidemark.llm import bpe, fingerprints, license_scan, lm_score, neighbours, packing, quality, sharding, simhash, toxicity
+from tidemark.llm import bpe, fingerprints, lexical, license_scan, lm_score, neighbours, packing, periodic, quality, sharding, simhash, toxicity
 
 LABELS = [(i, i % 2, (i + 1) % 2) for i in range(1, 10)] + [(None, 1, 1), (1, None, None), (2, 1, 0)]
 
@@ -24,6 +24,7 @@ OPERATORS = {
     "lm": lambda d, lab: lm_score.score(d),
     "fingerprints": lambda d, lab: fingerprints.compare_with_next(d),
     "sharding": lambda d, lab: sharding.shard_documents(d),
+    "periodic": lambda d, lab: periodic.periodic_runs(d),
     "toxicity": lambda d, lab: d.select("doc_id", toxicity.toxicity(F.col("text"), toxicity.train(d, lab)).alias("t")),
 }
 
@@ -68,6 +69,14 @@ def test_last_stage_on_difficult_rows(spark, odd, empty):
     assert pack(spark, empty, "/root/testdata/sf0.01").count() == 0
 
 
+def test_search_beside_clashing_columns(spark, odd, empty):
+    items = spark.createDataFrame([(1, "the Quick brown"), (2, None), (None, "words")], "item_id long, text string")
+    rows = result(lexical.search(odd, items))
+    assert rows and result(lexical.search(empty, items)) == [] and result(lexical.search(odd, items.limit(0))) == []
+    clashing = {c: F.lit(7) for c in ("term", "terms", "tfs", "n", "score", "rank", "_lane")}
+    assert result(lexical.search(odd.withColumns(clashing), items.withColumns(clashing))) == rows
+
+
 def test_labels_of_one_kind_give_the_share(spark, odd):
     one = spark.createDataFrame([(i, 1, 0) for i in range(1, 10)], "doc_id long, quality int, toxic int")
     scored = odd.select(quality.quality(F.col("text"), quality.train(odd, one))["score"].alias("s")).distinct().collect()
