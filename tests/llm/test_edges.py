@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.conftest import ROWS
-from tidemark.llm import bpe, fingerprints, lexical, license_scan, lm_score, neighbours, packing, periodic, quality, sharding, simhash, toxicity
+from tidemark.llm import bpe, fingerprints, lexical, license_scan, lm_score, neighbours, packing, periodic, quality, repeats, sharding, simhash, toxicity
 
 LABELS = [(i, i % 2, (i + 1) % 2) for i in range(1, 10)] + [(None, 1, 1), (1, None, None), (2, 1, 0)]
 
@@ -24,6 +24,7 @@ OPERATORS = {
     "lm": lambda d, lab: lm_score.score(d),
     "fingerprints": lambda d, lab: fingerprints.compare_with_next(d),
     "sharding": lambda d, lab: sharding.shard_documents(d),
+    "repeats": lambda d, lab: repeats.remove_repeats(d),
     "periodic": lambda d, lab: periodic.periodic_runs(d),
     "toxicity": lambda d, lab: d.select("doc_id", toxicity.toxicity(F.col("text"), toxicity.train(d, lab)).alias("t")),
 }
@@ -35,7 +36,7 @@ def result(frame):
 
 @pytest.mark.parametrize("name", OPERATORS)
 def test_difficult_rows(spark, odd, odd_labels, name):
-    clashing = ["_r", "_s", "_q", "_p", "_t", "_lane", "_rank", "_own", "_range", "bits", "node", "score", "spans", "point", "length", "task"]
+    clashing = ["_r", "_s", "_q", "_p", "_t", "_lane", "_rank", "_own", "_range", "bits", "node", "score", "spans", "point", "length", "task", "key", "note", "anchor", "_whole"]
     rows = result(OPERATORS[name](odd, odd_labels))
     if name == "packing":
         assert sum(" piece=0," in r for r in rows) == len(ROWS)

@@ -1,0 +1,100 @@
+"""Suffix sorting and the removal of repeated passages, against plain Python."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tests.llm.conftest import SF
+from tidemark.llm import repeats
+from tidemark.llm.queries import op11_repeats
+from tidemark.llm.suffix_sort import common_prefixes, suffix_order
+
+
+def shared(a, b, most):
+    n = 0
+    while n < min(len(a), len(b), most) and a[n] == b[n]:
+        n += 1
+    return n
+
+
+def test_suffixes_of_random_bytes():
+    random.seed(2)
+    for _ in range(1_500):
+        n, high, depth = random.randint(1, 70), random.choice([1, 2, 3, 255]), random.choice([8, 16, 64])
+        text = bytes(random.randint(1, high) for _ in range(n))
+        if random.random() < 0.4:
+            text = (text[: random.randint(1, 12)] * 70)[:n]
+        data = np.frombuffer(text, np.uint8)
+        order = suffix_order(data, depth)
+        assert sorted(order.tolist()) == list(range(n))
+        suffixes = [text[i : i + depth] for i in order]
+        assert suffixes == sorted(suffixes)
+        told = common_prefixes(data, order, depth).tolist()
+        assert told == [0] + [shared(text[a:], text[b:], depth) for a, b in zip(order, order[1:], strict=False)]
+
+
+def test_only_rising_suffixes_are_sorted(monkeypatch):
+    from tidemark.llm import suffix_sort
+
+    sorted_directly = []
+    inner = suffix_sort._direct
+    monkeypatch.setattr(suffix_sort, "_direct", lambda places, *rest: sorted_directly.extend(places.tolist()) or inner(places, *rest))
+    text = b"a rising suffix is smaller than its successor" * 3
+    suffix_order(np.frombuffer(text, np.uint8), 64)
+    assert sorted(sorted_directly) == [i for i in range(len(text)) if text[i:] < text[i + 1 :]]
+
+
+def plain(texts, length=repeats.LENGTH):
+    """(n_bytes, n_removed, n_spans, kept) of every text."""
+    raw = [(t or "").encode() for t in texts]
+    seen = Counter(t[i : i + length] for t in raw for i in range(len(t) - length + 1))
+    out = []
+    for t in raw:
+        gone = np.zeros(len(t) + 1, dtype=int)
+        for i in range(len(t) - length + 1):
+            if seen[t[i : i + length]] > 1:
+                gone[i] += 1
+                gone[i + length] -= 1
+        gone = np.cumsum(gone)[: len(t)] > 0
+        spans = int((gone & ~np.append(False, gone[:-1])).sum()) if len(t) else 0
+        out.append((len(t), int(gone.sum()), spans, bytes(b for b, g in zip(t, gone.tolist(), strict=True) if not g)))
+    return out
+
+
+def random_texts():
+    random.seed(5)
+    words = [f"{chr(97 + i % 26)}é{i}" for i in range(300)]
+    prose = lambda n: " ".join(random.choices(words, k=n))
+    passages = [prose(n) for n in (10, 45, 48, 60, 150, 400)]
+    texts = []
+    for _ in range(60):
+        parts = [prose(random.randint(0, 80))]
+        for _ in range(random.randint(0, 3)):
+            parts += [random.choice(passages), prose(random.randint(0, 30))]
+        texts.append(" ".join(parts))
+    texts += texts[:5] + [texts[3]] * 4 + [t[:300] + "X" + t[301:] for t in texts[:8]]
+    texts += ["a" * 5_000, "ab" * 130, "b" * 199, "b" * 200, "c" * 201, None, "", "é" * 150, "日本" * 500, "x\x00" * 300]
+    return texts
+
+
+@pytest.mark.parametrize("small", [False, True], ids=["usual", "split"])
+def test_repeats_of_random_texts(spark, monkeypatch, small):
+    """Also with anchors split over groups, small groups, and segments that end within texts."""
+    if small:
+        monkeypatch.setattr(repeats, "GROUP_REGIONS", 2)
+        monkeypatch.setattr(repeats, "GROUP_BYTES", 20_000)
+        monkeypatch.setattr(repeats, "_SEGMENT", 3_000)
+    texts = random_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in repeats.remove_repeats(docs).collect()}
+    expected = plain(texts)
+    assert got == dict(enumerate(expected)) and sum(r[1] for r in expected) > 20_000
+
+
+def test_op11_against_plain_python(spark, documents):
+    rows = documents.select("doc_id", "text").collect()
+    expected = {r["doc_id"]: (*x[:3], hashlib.sha256(x[3]).hexdigest()) for r, x in zip(rows, plain([r["text"] for r in rows]), strict=True)}
+    assert {r["doc_id"]: tuple(r)[1:] for r in op11_repeats(spark, SF).collect()} == expected

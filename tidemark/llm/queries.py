@@ -18,6 +18,7 @@ from tidemark.llm import (
     packing,
     periodic,
     quality,
+    repeats,
     sharding,
     simhash,
     toxicity,
@@ -79,6 +80,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "_t.score", "_t.predicted", "_t.spans")
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
