@@ -37,10 +37,10 @@ from tidemark.llm.suffix_sort import common_prefixes, suffix_order
 
 LENGTH = 200
 GRAM = 48
-GROUP_BYTES = 2_000_000  # of regions sorted together, on average
-GROUP_REGIONS = 2_048  # of one anchor in a group, at most some more
+GROUP_BYTES = 400_000  # of regions sorted together, on average: sorting is fastest within the processor's cache
+GROUP_REGIONS = 1_024  # of one anchor in a group, at most some more
 
-_SEGMENT = 1 << 20  # windows are looked for so many bytes at a time
+_SEGMENT = 1 << 17  # windows are looked for so many bytes at a time
 _PLACE_BITS = 24
 
 _BASE = 0x9E3779B97F4A7C15
@@ -113,16 +113,23 @@ class Regions:
         place = np.arange(len(runs), dtype=np.uint64)
         low = np.uint64((1 << _PLACE_BITS) - 1)
         least = _least((runs & ~low) | place, LENGTH - GRAM + 1) & low
-        at = np.arange(len(least))
-        owner = np.searchsorted(ends, at + base, side="right")
-        whole = at + base + LENGTH <= ends[owner]
-        new = np.append(True, (least[1:] != least[:-1]) | (owner[1:] != owner[:-1]))
-        first = np.flatnonzero(new & whole)
         # Windows that leave their text come last in it, so a region ends at the next one or there.
-        stop = np.append(np.flatnonzero(new), len(least))
+        n = len(least)
+        cut = ends[np.searchsorted(ends, base, side="right") :] - base  # where texts end from here on
+        cut = cut[: np.searchsorted(cut, n + LENGTH)]
+        new = np.append(True, least[1:] != least[:-1])
+        new[cut[cut < n]] = True
+        leaving = np.zeros(n + 1, dtype=np.int32)
+        np.add.at(leaving, np.clip(cut - LENGTH + 1, 0, n), 1)
+        np.add.at(leaving, np.minimum(cut, n), -1)
+        whole = np.cumsum(leaving[:n]) == 0
+        begin = np.flatnonzero(new)
+        first = begin[whole[begin]]
+        stop = np.append(begin, n)
         last = stop[np.searchsorted(stop, first, side="right")]
-        last = np.minimum(last, ends[owner[first]] - base - LENGTH + 1)
-        return owner[first], first + base, last - first, runs[least[first].astype(np.int64)], hashes.of(first, last + LENGTH - 1)
+        owner = np.searchsorted(ends, first + base, side="right")
+        last = np.minimum(last, ends[owner] - base - LENGTH + 1)
+        return owner, first + base, last - first, runs[least[first].astype(np.int64)], hashes.of(first, last + LENGTH - 1)
 
 
 def _batches(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[bytes], Regions]]:
@@ -146,7 +153,8 @@ def _anchor_counts(texts: DataFrame) -> DataFrame:
 
 
 def _regions(texts: DataFrame) -> DataFrame:
-    """(key, anchor, body, windows, starts) of every distinct region of a text."""
+    """(key, anchor, body, windows, start, more) of every distinct region of a text: where it starts first,
+    and its further starts, NULL if there is none."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch, _, found in _batches(batches):
@@ -155,36 +163,36 @@ def _regions(texts: DataFrame) -> DataFrame:
             new = (owner[1:] != owner[:-1]) | (anchor[1:] != anchor[:-1]) | (body[1:] != body[:-1])
             first = np.flatnonzero(np.append(True, new)) if len(order) else order
             out = pd.DataFrame({"key": batch["key"].to_numpy()[owner[first]], "anchor": anchor[first], "body": body[first], "windows": found.windows[order][first]})
-            out["starts"] = np.split(found.start[order], first[1:]) if len(first) else []
+            start = found.start[order]
+            times = np.diff(np.append(first, len(order)))
+            more = np.full(len(first), None, dtype=object)
+            for i in np.flatnonzero(times > 1):
+                more[i] = start[first[i] + 1 : first[i] + times[i]]
+            out["start"], out["more"] = start[first], more
             yield out
 
-    return texts.select("key", "text").mapInPandas(work, "key binary, anchor long, body long, windows int, starts array<int>")
+    return texts.select("key", "text").mapInPandas(work, "key binary, anchor long, body long, windows int, start int, more array<int>")
 
 
 def _beside_texts(texts: DataFrame, lists: DataFrame, schema: str) -> DataFrame:
-    """One row (key, text, notes) for each distinct text that has rows in ``lists`` (key, note).
+    """One row (key, raw, notes) for each distinct text, as bytes, that has rows in ``lists`` (key, note).
 
     Copies of a text are one row before the shuffle already."""
-    none = F.lit(None).cast(schema)
-    both = texts.select("key", "text", none.alias("note")).unionByName(lists.select("key", F.lit(None).cast("string").alias("text"), "note"))
-    met = both.groupBy("key").agg(F.first("text", ignorenulls=True).alias("text"), F.collect_list("note").alias("notes"))
+    both = texts.select("key", F.col("text").cast("binary").alias("raw"), F.lit(None).cast(schema).alias("note"))
+    both = both.unionByName(lists.select("key", F.lit(None).cast("binary").alias("raw"), "note"))
+    met = both.groupBy("key").agg(F.first("raw", ignorenulls=True).alias("raw"), F.collect_list("note").alias("notes"))
     return met.where(F.size("notes") > 0)
 
 
 def _with_bytes(texts: DataFrame, chosen: DataFrame) -> DataFrame:
     """``chosen`` regions (key, start, windows, ...) with their bytes."""
-    note = "struct<anchor:long,body:long,copies:long,start:int,windows:int,part:int>"
-    lists = chosen.select("key", F.struct("anchor", "body", "copies", "start", "windows", "part").alias("note"))
-
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for text, notes in zip(batch["text"], batch["notes"], strict=True):
-                raw = text.encode()
-                out = pd.DataFrame(list(notes), columns=["anchor", "body", "copies", "start", "windows", "part"])
-                out["bytes"] = [raw[a : a + n + LENGTH - 1] for a, n in zip(out["start"], out["windows"], strict=True)]
-                yield out.drop(columns=["start"])
-
-    return _beside_texts(texts, lists, note).select("text", "notes").mapInPandas(work, "anchor long, body long, copies long, windows int, part int, bytes binary")
+    told = ["anchor", "body", "copies", "part"]
+    note = "struct<anchor:long,body:long,copies:long,part:int,start:int,windows:int>"
+    lists = chosen.select("key", F.struct(*told, "start", "windows").alias("note"))
+    cut = F.transform(
+        "notes", lambda n: F.struct(*[n[c].alias(c) for c in told], F.substring("raw", n["start"] + 1, n["windows"] + LENGTH - 1).alias("bytes"))
+    )
+    return _beside_texts(texts, lists, note).select(F.inline(cut))
 
 
 # ---- groups --------------------------------------------------------------------------------------
@@ -267,8 +275,7 @@ def _cut(texts: DataFrame, lists: DataFrame) -> DataFrame:
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for key, text, notes in zip(batch["key"], batch["text"], batch["notes"], strict=True):
-                raw = text.encode()
+            for key, raw, notes in zip(batch["key"], batch["raw"], batch["notes"], strict=True):
                 spans = merged(notes)
                 kept, at = [], 0
                 for low, high in spans:
@@ -277,14 +284,15 @@ def _cut(texts: DataFrame, lists: DataFrame) -> DataFrame:
                 out.append((key, sum(b - a for a, b in spans), len(spans), b"".join([*kept, raw[at:]])))
             yield pd.DataFrame(out, columns=["key", "n_removed", "n_spans", "kept"])
 
-    note = "struct<starts:array<int>,low:int,high:int>"
-    return _beside_texts(texts, lists.select("key", F.struct("starts", "low", "high").alias("note")), note).mapInPandas(work, "key binary, n_removed long, n_spans long, kept binary")
+    note = "struct<start:int,more:array<int>,low:int,high:int>"
+    return _beside_texts(texts, lists.select("key", F.struct("start", "more", "low", "high").alias("note")), note).mapInPandas(work, "key binary, n_removed long, n_spans long, kept binary")
 
 
 def merged(notes) -> list[tuple[int, int]]:
-    """Stretches of windows (starts of regions, low, high) as spans of bytes, joined where they meet."""
+    """Stretches of windows (a region's starts, low, high) as spans of bytes, joined where they meet."""
     spans: list[tuple[int, int]] = []
-    windows = [(at + x["low"], at + x["high"] + LENGTH - 1) for x in notes for at in x["starts"]]
+    starts = lambda x: [x["start"], *(x["more"] if x["more"] is not None else ())]
+    windows = [(at + x["low"], at + x["high"] + LENGTH - 1) for x in notes for at in starts(x)]
     for low, high in sorted(windows):
         if spans and low <= spans[-1][1]:
             spans[-1] = (spans[-1][0], max(high, spans[-1][1]))
@@ -306,8 +314,9 @@ def remove_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     again = settle(_anchor_counts(keyed).groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"), "anchors")
     regions = settle(_regions(keyed).join(again, "anchor", "left_semi"), "regions")
 
-    first = F.min(F.struct("key", F.element_at("starts", 1).alias("start"), "windows"))
-    bodies = settle(regions.groupBy("anchor", "body").agg(F.sum(F.size("starts")).alias("copies"), first.alias("first")), "bodies")
+    first = F.min(F.struct("key", "start", "windows")).alias("first")
+    copies = F.sum(F.coalesce(F.array_size("more"), F.lit(0)) + 1).alias("copies")
+    bodies = settle(regions.groupBy("anchor", "body").agg(copies, first), "bodies")
     crowded = bodies.groupBy("anchor").agg(F.count("*").alias("m")).where(F.col("m") > GROUP_REGIONS)
     parts = F.ceil(F.col("m") / GROUP_REGIONS)
     part = F.coalesce(F.pmod(F.col("body"), parts), F.lit(-1)).cast("int").alias("part")
