@@ -43,16 +43,34 @@ def test_limit_keeps_the_first_items_of_each_page(spark, landing):
 
 def test_bad_pages_are_counted_also_empty_ones(spark, landing):
     pages = read_pages(spark, landing)
-    assert tuple(page_metrics(pages).first()) == (4, 1, 5, 1)
+    assert tuple(page_metrics(pages).first()) == (4, 1, 5, 1, 0)
     assert listed_files(pages) == 5
-    assert tuple(page_metrics(pages, listed_files(pages)).first()) == (5, 2, 5, 1)
+    assert tuple(page_metrics(pages, listed_files(pages)).first()) == (5, 2, 5, 1, 0)
+
+
+def test_an_odd_item_costs_its_page_nothing(spark, tmp_path):
+    ok, odd = _item("a", file_size=1), {"id": {"deep": 1}, "path": ["p"], "file_size": 7.5, "more": {}}
+    for name, data in enumerate([[ok, 5], [ok, None], [ok, odd], [ok, ["q"]], [ok, ok], ["{", True, ok, "{}x"]]):
+        (tmp_path / f"{name}.json").write_text(json.dumps({"data": data}))
+    (tmp_path / "7.json").write_text(json.dumps({"data": 5}))
+    (tmp_path / "8.json").write_text("")
+    (tmp_path / "9.json").write_text('{"data": [{"id": "d", "id": "e", "path": "p"}]}')
+    pages = read_pages(spark, str(tmp_path))
+    assert listed_files(pages) == 9
+    rows = extract_items(pages).collect()
+    assert sorted(str(r.wallhaven_id) for r in rows) == ["None"] + ["a"] * 7 + ["e", '{"deep":1}']
+    assert [r.url for r in rows if r.wallhaven_id == '{"deep":1}'] == ['["p"]']
+    # the page whose data is no array, and the empty file
+    assert tuple(page_metrics(pages, listed_files(pages)).first()) == (9, 2, 10, 1, 5)
+    limited = extract_items(pages, limit=1)
+    assert limited.where("wallhaven_id = 'a'").count() == 5
 
 
 def test_only_bad_pages_give_no_items(spark, tmp_path):
     (tmp_path / "x.json").write_text("<html>")
     pages = read_pages(spark, str(tmp_path))
     assert extract_items(pages).count() == 0
-    assert tuple(page_metrics(pages).first()) == (1, 1, 0, 0)
+    assert tuple(page_metrics(pages).first()) == (1, 1, 0, 0, 0)
 
 
 def test_one_page_per_line(spark, tmp_path):
@@ -60,7 +78,7 @@ def test_one_page_per_line(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text("\n".join(lines))
     pages = read_pages(spark, str(tmp_path), lines=True)
     assert extract_items(pages).agg(F.sum("file_size")).first()[0] == sum(range(20))
-    assert tuple(page_metrics(pages).first()) == (21, 1, 20, 0)
+    assert tuple(page_metrics(pages).first()) == (21, 1, 20, 0, 0)
 
 
 def test_lines_keep_their_order_when_files_are_split(spark, tmp_path):

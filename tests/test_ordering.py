@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import assign_ids, rows_between, with_row_index
+from tidemark.operators.ordering import By, assign_ids, place_of, rows_between, with_row_index
 from tidemark.operators.pending import backlog, pending_batch
 from tidemark.operators.search import search_page
 from tests.conftest import plan_of
@@ -18,8 +18,8 @@ def test_both_ways_give_the_same_rows(spark, offset, limit):
     order = [F.col("v").desc(), F.col("id").asc()]
     df = _numbers(spark)
     want = [r.id for r in df.orderBy(*order).collect()][offset : offset + limit]
-    for lanes in (0, 7):
-        got = rows_between(df, order, limit, offset, lanes)
+    by = [By("v", descending=True), By("id")]
+    for got in (rows_between(df, order, limit, offset), rows_between(df, by, limit, offset, deep=0)):
         assert [r.id for r in got.collect()] == want
 
 
@@ -35,13 +35,54 @@ def test_large_batches_need_no_job_and_no_folder(spark, monkeypatch):
     table = _numbers(spark).select(F.col("id").cast("string").alias("id"), F.lit(None).cast("string").alias("s3_key"))
     jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
     batch = pending_batch(table, 1001, ["id"], "id")
-    page = rows_between(_numbers(spark), [F.col("id").asc()], 24, offset=1008, lanes=8)
+    page = rows_between(_numbers(spark), [By("id")], 24, offset=1008)
     assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == jobs
     assert batch.count() == 1001 and "TakeOrderedAndProject" in plan_of(batch)
     assert page.count() == 24
-    near = rows_between(_numbers(spark), [F.col("id").asc()], 24, offset=900, lanes=8)
-    plan = plan_of(near).split("== Physical Plan ==")[1]
-    assert plan.index("Final") < plan.index("Exchange hashpartitioning(_lane") < plan.index("Partial")
+
+
+KINDS = {
+    "long": "CAST(id % 5000 AS BIGINT)",
+    "hot": "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 101 END",
+    "string": "concat('k', id % 900)",
+    "double": "CASE id % 11 WHEN 0 THEN NULL WHEN 1 THEN double('NaN') ELSE id / 7 END",
+    "timestamp": "timestamp_seconds(1711846800 + id * 61)",
+    "timestamp_ntz": "cast(timestamp_seconds(1711846800 + (id % 700) * 61) as timestamp_ntz)",
+    "date": "CASE WHEN id % 4 = 0 THEN NULL ELSE date_add(DATE'2024-01-01', cast(id % 90 as int)) END",
+}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+@pytest.mark.parametrize("down", [False, True])
+def test_places_in_columns_of_any_kind(spark, monkeypatch, kind, down):
+    """Also with NULLs and NaN, few rows to sort at the end, and many equal ones."""
+    monkeypatch.setattr("tidemark.operators.ordering.FEW", 50)
+    monkeypatch.setattr("tidemark.operators.ordering.CUTS", 8)
+    df = spark.range(0, 3000, 1, 6).selectExpr("id", f"{KINDS[kind]} AS v")
+    by = [By("v", down), By("id", not down)]
+    want = [r.id for r in df.orderBy(*[b.order for b in by]).collect()]
+    for rank in (0, 1, 1499, 2998):
+        assert [r.id for r in rows_between(df, by, 2, rank, deep=0).collect()] == want[rank : rank + 2]
+    place = place_of(df.select("v"), by[:1], 1500)
+    values = [r.v for r in df.orderBy(by[0].order).collect()]
+    same = [str(v) == str(values[1500]) for v in values]
+    assert (place.before, place.upto) == (same.index(True), same.index(True) + sum(same))
+    assert place_of(df, by, 3000) is None
+
+
+def test_a_deep_page_moves_only_itself(spark, tmp_path):
+    """The plan sorts what the bounds leave, and they reach the scan."""
+    path = str(tmp_path / "t")
+    spark.range(0, 200_000, 1, 8).selectExpr("id", "id * 7 % 100003 AS v", "'x' AS more").write.parquet(path)
+    df = spark.read.parquet(path)
+    page = rows_between(df, [By("v", True), By("id")], 24, 100_000)
+    plan = plan_of(page)
+    assert "limit=24," in plan.replace(" ", "") or "TakeOrderedAndProject(limit=24" in plan
+    assert "LessThanOrEqual(v," in plan
+    assert [r.id for r in page.collect()] == [r.id for r in df.orderBy(F.desc("v"), "id").offset(100_000).limit(24).collect()]
+    batch = rows_between(df, [By("v"), By("id")], 50_000)
+    assert "TakeOrdered" not in plan_of(batch) and "Limit" not in plan_of(batch).split("== Physical Plan ==")[1]
+    assert batch.count() == 50_000
 
 
 def test_ids_continue_after_the_last_one(spark):

@@ -13,8 +13,9 @@ from tidemark.operators.reconcile import (
     to_upload,
 )
 from tidemark.plans.load import load_run
-from tidemark.plans.publish import publish_run, read_outcomes
+from tidemark.plans.publish import publish_run
 from tidemark.schemas import WALLPAPERS
+from tidemark.sources.log import read_outcomes
 from tidemark.sources.tables import ensure_table, read_table
 
 SPEC = WALLPAPERS
@@ -107,7 +108,7 @@ class Store:
         return tuple(got.first())
 
     def outcomes(self, run):
-        rows = read_outcomes(self.spark, self.table, run).collect()
+        rows = read_outcomes(self.spark, self.table, run, SPEC).collect()
         return {r.wallhaven_id: (r.outcome, r.attempts, r.bytes) for r in rows}
 
     def keys(self):
@@ -142,7 +143,7 @@ def test_publish_run(store):
     assert store.object("a") == big
     assert store.object("b") == b"other bytes"  # only the key is compared
     assert store.keys() == {"a": "wallpapers/a.png", "b": "wallpapers/b.png", "c": None, "d": None}
-    types = {r.content_type for r in read_outcomes(store.spark, store.table, "p1").collect()}
+    types = {r.content_type for r in read_outcomes(store.spark, store.table, "p1", SPEC).collect()}
     assert types == {"image/png"}
     # failed rows are picked again, published ones are not
     store.stage("d")
@@ -207,7 +208,7 @@ def test_a_crash_between_put_and_mark_is_made_good(store, monkeypatch):
     store.load("a")
     store.stage("a")
     with monkeypatch.context() as m:
-        m.setattr("tidemark.plans.publish.merge", lambda *a, **k: 1 / 0)
+        m.setattr("tidemark.sources.log.append", lambda spark, path, spec, run, put, run_ts: put.collect() and 1 / 0)
         with pytest.raises(ZeroDivisionError):
             store.publish("p1")
     assert store.keys() == {"a": None} and store.object("a") == b"body"
@@ -233,6 +234,48 @@ def test_keys_cannot_leave_the_store(store):
     assert store.publish("p1") == (0, 0, 1)
 
 
+ESCAPES = [
+    "http://../../etc/x.txt", "https://h/../../secret.txt", "https://h/a/%2e%2e/%2E%2e/secret.txt", "https://h/..%2f..%2fsecret.txt",
+    "https://h/.%2e/secret.txt", "file:///etc/secret.txt", "/etc/secret.txt", "../secret.txt", "https:///secret.txt",
+    "file:/etc/secret.txt", "..\\secret.txt", "https://h/a\0/secret.txt", "https://h/x/..",
+]
+
+
+def test_contents_cannot_leave_their_root(store, monkeypatch):
+    """URLs come from the remote side: such rows fail like those without content, and nothing is read."""
+    from tidemark.sources import blobs
+
+    with open(f"{store.root}/secret.txt", "w") as f:
+        f.write("secret")
+    rows = [(f"k{n:02d}", u, None, None, None, None, n) for n, u in enumerate(ESCAPES)]
+    rows += [("dots", "https://w.x.cc/a..b/..c/d...PNG", None, None, None, None, 98)]
+    load_run(
+        store.spark.createDataFrame(rows, ITEM), SPEC, store.table, "load", now(1), ["pos"], "wallhaven_id", "url"
+    ).collect()
+    os.makedirs(f"{store.contents}/w.x.cc/a..b/..c")
+    with open(f"{store.contents}/w.x.cc/a..b/..c/d...PNG", "w") as f:
+        f.write("x")
+    assert store.publish("p1") == (1, len(ESCAPES), 0)
+    assert store.outcomes("p1")["dots"] == ("uploaded", 1, 1)
+    frame = store.spark.createDataFrame([(u,) for u in ESCAPES], "url string")
+    assert frame.select(blobs.staged_path("/root", F.col("url"))).distinct().collect() == [(None,)]
+
+
+def test_names_that_arrow_refuses_fail_alone(store):
+    rows = [("a", "https://w.x.cc/full/a.PNG", None, None, None, None, 0), ("b", "https://w.x.cc/b\x01%zz.PNG", None, None, None, None, 1)]
+    load_run(
+        store.spark.createDataFrame(rows, ITEM), SPEC, store.table, "load", now(1), ["pos"], "wallhaven_id", "url"
+    ).collect()
+    store.stage("a")
+    assert store.publish("p1") == (1, 1, 0)
+    from tidemark.sources.blobs import DOWNLOAD_FAILURE, _publish_one
+    from pyarrow import fs
+
+    local = fs.LocalFileSystem()
+    for content in ("nosuch://h/x", "s3://", None):
+        assert _publish_one(local, store.objects, "k", content, "", None, 0.0)[0] == DOWNLOAD_FAILURE
+
+
 def test_compressed_contents_are_copied_as_they_are(store):
     import gzip
 

@@ -195,7 +195,7 @@ def test_load_counters(spark, site):
     args = (SPEC, site.table)
     kw = dict(order_by=ARRIVAL, key="wallhaven_id", url="url")
     got = load_run(items, *args, "l1", run_timestamp("2024-01-01"), **kw).first().asDict()
-    assert got == {"extracted": 5, "invalid": 1, "duplicates": 1, "inserted": 3, "updated": 0}
+    assert got == {"extracted": 5, "invalid": 1, "duplicates": 1, "inserted": 3, "updated": 0, "stale": 0}
     sizes = {r[0]: r[5] for r in site.rows()}
     assert sizes == {"a": 0, "b": 2, "c": 4}
     with pytest.raises(Exception, match="repeated key in batch: b"):

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.schemas import TableSpec
+
 # What can become of a pending row.
 DOWNLOAD_FAILURE = "download_failure"
 ALREADY_THERE = "already_there"
@@ -16,6 +18,9 @@ PUBLISHED = (UPLOADED, ALREADY_THERE)
 
 MAX_ATTEMPTS = 4
 
+# A row that always fails is tried again after 64 times the first wait at the latest.
+MAX_DOUBLINGS = 6
+
 
 def reconcile(rows: DataFrame, manifest: DataFrame, key: str) -> DataFrame:
     """Flag every row whose object exists. A key listed twice does not multiply the row."""
@@ -100,10 +105,19 @@ def apply_outcomes(
     ``outcomes`` has one row per key. Set ``broadcast_outcomes`` only for a measured batch.
     """
     done = outcomes.where(F.col("outcome").isin(*PUBLISHED)).select(
-        *keys, F.col(published_col).alias("_published")
+        *keys, F.col(published_col).alias("s3_key"), run_ts.alias("run_ts")
     )
-    if broadcast_outcomes:
-        done = F.broadcast(done)
+    return _marked(table, F.broadcast(done) if broadcast_outcomes else done, keys, published_col, stamp)
+
+
+def apply_published(table: DataFrame, done: DataFrame, spec: TableSpec) -> DataFrame:
+    """The table's rows with the object keys of ``done`` (key, s3_key, run_ts; one row per key)."""
+    stamp = spec.update_stamps[0] if spec.update_stamps else None
+    return _marked(table, done, spec.keys, spec.pending_col, stamp).drop("op")
+
+
+def _marked(table: DataFrame, done: DataFrame, keys: Sequence[str], published_col: str, stamp: str | None) -> DataFrame:
+    done = done.select(*keys, F.col("s3_key").alias("_published"), F.col("run_ts").alias("_at"))
     joined = table.join(done, list(keys), "left")
     hit = F.col("_published").isNotNull()
     out = []
@@ -111,7 +125,19 @@ def apply_outcomes(
         if c == published_col:
             out.append(F.coalesce("_published", c).alias(c))
         elif c == stamp:
-            out.append(F.when(hit, run_ts).otherwise(F.col(c)).alias(c))
+            out.append(F.when(hit, F.col("_at")).otherwise(F.col(c)).alias(c))
         else:
             out.append(F.col(c))
     return joined.select(*out, F.when(hit, "update").otherwise("keep").alias("op"))
+
+
+def due_at(created: Column, failed: Column, tried: Column, retry_s: int) -> Column:
+    """When a waiting row should be tried: a new one as soon as it is there, one that has failed ``retry_s``
+    after the last time, twice that after the second, and so on.
+
+    Rows that are due longest come first, so every row has only so many before it, however many new
+    ones arrive, and rows that never succeed take an ever smaller share.
+    """
+    doublings = F.least(failed - 1, F.lit(MAX_DOUBLINGS))
+    wait = (F.lit(retry_s) * F.pow(F.lit(2), doublings)).cast("int")
+    return F.when(F.coalesce(failed, F.lit(0)) > 0, F.timestamp_add("SECOND", wait, tried)).otherwise(created)

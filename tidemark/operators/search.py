@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import rows_between
+from tidemark.operators.ordering import By, rows_between
+
+DEEP_PAGE = 1_000  # hits before which a page is found without counting
 
 
 def search_page(
@@ -19,11 +21,10 @@ def search_page(
     key: str,
     page: int = 1,
     size: int = 24,
-    lanes: int = 0,
 ) -> DataFrame:
     """Page ``page`` (from 1) of the rows that match, newest first, the key breaking ties.
 
-    ``lanes`` as for ``rows_between``: for deep pages of large tables.
+    A deep page is found by counts (``rows_between``): the hits before it are not moved.
     """
     if page < 1:
         raise ValueError("pages are counted from 1")
@@ -31,5 +32,4 @@ def search_page(
         (F.col(purity_col) == purity)
         & F.contains(F.lower(F.col(text)), F.lit(query.lower()))
     )
-    newest = [F.col(added).desc(), F.col(key).asc()]
-    return rows_between(hits, newest, limit=size, offset=(page - 1) * size, lanes=lanes)
+    return rows_between(hits, [By(added, descending=True), By(key)], size, (page - 1) * size, deep=DEEP_PAGE)

@@ -22,9 +22,19 @@ def fits_broadcast(rows: int, size: int) -> bool:
     return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
-def _resolve(joined: DataFrame, target_cols: Sequence[str], spec: TableSpec, run_ts: Column) -> DataFrame:
+def is_stale(mine: Column, incoming: Column) -> Column:
+    """Whether an incoming row is older than the one in place. A row without event time never replaces
+    one that has it, and always one that has none."""
+    return mine.isNotNull() & F.coalesce(incoming < mine, F.lit(True))
+
+
+def _resolve(joined: DataFrame, target_cols: Sequence[str], spec: TableSpec, run_ts: Column, newer_by: str | None) -> DataFrame:
     """Columns of the next table version from a join with ``_t.*`` and ``_b.*`` sides."""
-    in_target, in_batch = F.col("_t._in").isNotNull(), F.col("_b._in").isNotNull()
+    in_target, given = F.col("_t._in").isNotNull(), F.col("_b._in").isNotNull()
+    stale = F.lit(False)
+    if newer_by:
+        stale = in_target & given & is_stale(F.col(f"_t.{newer_by}"), F.col(f"_b.{newer_by}"))
+    in_batch = given & ~stale
     inserted, updated = ~in_target, in_target & in_batch
     out = []
     for c in target_cols:
@@ -39,7 +49,7 @@ def _resolve(joined: DataFrame, target_cols: Sequence[str], spec: TableSpec, run
             if c in spec.insert_stamps:
                 value = F.when(inserted, run_ts).otherwise(value)
         out.append(value.alias(c))
-    op = F.when(inserted, "insert").when(in_batch, "update").otherwise("keep")
+    op = F.when(inserted, "insert").when(in_batch, "update").when(stale, "stale").otherwise("keep")
     return joined.select(*out, op.alias("op"))
 
 
@@ -57,8 +67,12 @@ def upsert(
     spec: TableSpec,
     run_ts: Column,
     broadcast_batch: bool = False,
+    newer_by: str | None = None,
 ) -> DataFrame:
-    """Next version of ``target`` after ``batch``, with ``op`` = insert, update or keep.
+    """Next version of ``target`` after ``batch``, with ``op`` = insert, update, stale or keep.
+
+    Whatever arrives last wins, unless ``newer_by`` names an event time among the update columns: a row
+    then replaces only one that is not newer, and ``stale`` marks the rows that kept what they had.
 
     ``target`` and ``batch`` hold one row per key each (see ``dedupe_last``), so the join has no
     skewed key. ``broadcast_batch`` may be set only for a batch that ``fits_broadcast``; the
@@ -71,21 +85,21 @@ def upsert(
     b = batch.withColumn("_in", F.lit(True))
     if not broadcast_batch:
         joined = t.alias("_t").join(b.alias("_b"), _on(keys), "full_outer")
-        return _resolve(joined, cols, spec, run_ts)
+        return _resolve(joined, cols, spec, run_ts, newer_by)
 
     old = t.alias("_t").join(F.broadcast(b).alias("_b"), _on(keys), "left")
     matched = target.select(*keys).join(F.broadcast(batch.select(*keys)), keys, "left_semi")
     fresh = b.join(F.broadcast(matched), keys, "left_anti")
     absent = t.limit(0)
     new = fresh.alias("_b").join(F.broadcast(absent).alias("_t"), _on(keys), "left")
-    return _resolve(old, cols, spec, run_ts).unionByName(_resolve(new, cols, spec, run_ts))
+    return _resolve(old, cols, spec, run_ts, newer_by).unionByName(_resolve(new, cols, spec, run_ts, newer_by))
 
 
 def op_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("op").agg(F.count("*").alias("n"))
 
 
-def merge_statement(table: str, source: str, spec: TableSpec) -> str:
+def merge_statement(table: str, source: str, spec: TableSpec, newer_by: str | None = None) -> str:
     """The same upsert as ``MERGE INTO`` text, for a catalog whose tables support it.
 
     ``source`` is a view with one row per key, the update columns, and ``run_ts``. Inserted rows get
@@ -95,9 +109,10 @@ def merge_statement(table: str, source: str, spec: TableSpec) -> str:
     changed = [f"{c} = s.{c}" for c in spec.update_cols] + [f"{c} = s.run_ts" for c in spec.update_stamps]
     names = [*spec.keys, *spec.update_cols, *spec.insert_stamps]
     values = [f"s.{c}" for c in (*spec.keys, *spec.update_cols)] + ["s.run_ts"] * len(spec.insert_stamps)
+    guard = f" AND (t.{newer_by} IS NULL OR s.{newer_by} >= t.{newer_by})" if newer_by else ""
     return (
         f"MERGE INTO {table} t USING {source} s ON {on} "
-        f"WHEN MATCHED THEN UPDATE SET {', '.join(changed)} "
+        f"WHEN MATCHED{guard} THEN UPDATE SET {', '.join(changed)} "
         f"WHEN NOT MATCHED THEN INSERT ({', '.join(names)}) VALUES ({', '.join(values)})"
     )
 

@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.audit import audit_run
 from tidemark.plans.load import load_run
-from tidemark.plans.publish import publish_run
+from tidemark.plans.publish import RETRY_S, publish_run
 from tidemark.schemas import ITEM_KEY, WALLPAPERS, TableSpec
 from tidemark.sources.blobs import FIRST_WAIT_S
-from tidemark.sources.landing import ARRIVAL, extract_items, page_metrics, read_pages
-from tidemark.sources.tables import count_pending, ensure_table
+from tidemark.sources.landing import ARRIVAL, extract_items, listed_files, page_metrics, read_pages
+from tidemark.sources.tables import clean, count_pending, ensure_table
+
+# Beside the audit record.
+TOLD = ("extracted", "invalid", "duplicates", "stale", "pages", "bad_pages", "bad_items")
 
 
 def daily_run(
@@ -34,11 +37,15 @@ def daily_run(
     lines: bool = False,
     wait_s: float = FIRST_WAIT_S,
     ended_at: Column | None = None,
+    newer_by: str | None = None,
+    retry_s: int = RETRY_S,
+    keep: int | None = None,
 ) -> DataFrame:
-    """Run the four steps and return the audit record, with what only the run knows beside it:
-    extracted, invalid, duplicates, pages and bad_pages.
+    """Run the four steps and return the audit record, with what only the run knows beside it: ``TOLD``.
 
     ``run_ts`` stamps the rows; the run ends when its audit step starts, unless ``ended_at`` is given.
+    ``newer_by`` as for a load, ``retry_s`` as for a publish. With ``keep``, only so many versions of both
+    tables remain, and what they do not need is removed (``tables.clean``).
 
     A step that fails raises, so a failed run leaves no record. Calling again with the same
     ``attempt`` resumes; a new one repeats the run, and its record replaces the old one.
@@ -47,7 +54,7 @@ def daily_run(
     landed = read_pages(spark, pages, lines)
     items = extract_items(landed, item_limit)
     load = load_run(
-        items, spec, table_path, f"{run_id}-{attempt}-load", run_ts, ARRIVAL, ITEM_KEY, "url"
+        items, spec, table_path, f"{run_id}-{attempt}-load", run_ts, ARRIVAL, ITEM_KEY, "url", newer_by=newer_by
     )
     publish = publish_run(
         table_path,
@@ -60,6 +67,7 @@ def daily_run(
         spec=spec,
         wait_s=wait_s,
         spark=spark,
+        retry_s=retry_s,
     )
     record = audit_run(
         spark,
@@ -74,6 +82,9 @@ def daily_run(
         count_pending(spark, table_path, spec),
         run_ts,
     )
-    counted = load.first().asDict() | page_metrics(landed).first().asDict()
-    told = ("extracted", "invalid", "duplicates", "pages", "bad_pages")
-    return record.withColumns({n: F.lit(counted[n]).cast("bigint") for n in told})
+    files = None if lines else listed_files(landed)
+    counted = load.first().asDict() | page_metrics(landed, files).first().asDict()
+    if keep is not None:
+        for path in (table_path, audit_path):
+            clean(spark, path, keep)
+    return record.withColumns({n: F.lit(counted[n]).cast("bigint") for n in TOLD})

@@ -10,7 +10,8 @@ from tidemark.operators.upsert import fits_broadcast, merge_statement, upsert
 from tidemark.operators.validate import flag_valid
 from tidemark.schemas import TableSpec
 from tidemark.session import one_row
-from tidemark.sources.tables import is_complete, merge, merged_ops, run_path
+from tidemark.sources.folders import is_complete
+from tidemark.sources.tables import merge, merged_ops, run_path
 
 
 def load_run(
@@ -23,6 +24,7 @@ def load_run(
     key: str,
     url: str,
     strict: bool = False,
+    newer_by: str | None = None,
 ) -> DataFrame:
     """Merge items into the table at ``path`` and return one row of counters.
 
@@ -31,6 +33,9 @@ def load_run(
     not. The counters are read back from that folder and from the written version, never from
     accumulators, so lost and repeated tasks cannot change them. With no valid item the table is
     not touched.
+
+    With ``newer_by``, an update column with an event time, the newest row of a key wins within the batch
+    and against the table; rows that come too late are counted as stale.
     """
     spark = items.sparkSession
     folder = run_path(spark, path, run)
@@ -41,8 +46,9 @@ def load_run(
     counts = _measure(staged, spec)
     if counts["valid"]:
         # the update columns only break ties, so that a recomputed task picks the same row
-        ties = [c for c in spec.update_cols if c not in order_by]
-        unique = dedupe_last(staged.where("valid"), spec.keys, [*order_by, *ties], strict)
+        order = [newer_by, *order_by] if newer_by else order_by
+        ties = [c for c in spec.update_cols if c not in order]
+        unique = dedupe_last(staged.where("valid"), spec.keys, [*order, *ties], strict)
         # Written once: the join forms read it up to three times.
         batch = _staged(unique.select(*loaded), f"{folder}/batch").withColumn("run_ts", run_ts)
         small = fits_broadcast(counts["valid"], counts["valid_bytes"])
@@ -52,9 +58,10 @@ def load_run(
             spec,
             run,
             batch,
-            lambda current, changes: upsert(current, changes, spec, run_ts, broadcast_batch=small),
-            lambda table, source: merge_statement(table, source, spec),
+            lambda current, changes: upsert(current, changes, spec, run_ts, small, newer_by),
+            lambda table, source: merge_statement(table, source, spec, newer_by),
             may_be_empty=False,
+            newer_by=newer_by,
         )
     return _metrics(spark, path, run, counts)
 
@@ -83,13 +90,14 @@ def _measure(staged: DataFrame, spec: TableSpec) -> dict:
 def _metrics(spark: SparkSession, path: str, run: str, counts: dict) -> DataFrame:
     extracted, valid = (F.lit(counts[c]).cast("bigint") for c in ("extracted", "valid"))
     zero = F.lit(0).cast("bigint")
-    ops = one_row(spark).select(zero.alias("inserted"), zero.alias("updated"))
+    ops = one_row(spark).select(zero.alias("inserted"), zero.alias("updated"), zero.alias("stale"))
     if counts["valid"]:
         ops = merged_ops(spark, path, run)
     return ops.select(
         extracted.alias("extracted"),
         (extracted - valid).alias("invalid"),
-        (valid - F.col("inserted") - F.col("updated")).alias("duplicates"),
+        (valid - F.col("inserted") - F.col("updated") - F.col("stale")).alias("duplicates"),
         "inserted",
         "updated",
+        "stale",
     )

@@ -123,29 +123,51 @@ _FIRST = "(SELECT CAST(min(date_trunc('day', ts)) AS TIMESTAMP) FROM events)"
 _WEEK = f"CAST(floor(date_diff('day', {_FIRST}, date_trunc('day', ts)) / 7) AS INTEGER)"
 _RUN_TS = _FIRST + " + INTERVAL '10.9' SECOND + to_days(7 * {week})"
 
+# a key is published in the week that brings it, if there is content for its user
 _REPLAY = f"""
     SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id,
            arg_max(value, (ts, event_id)) AS value, arg_max(props, (ts, event_id)) AS props,
-           CAST(NULL AS VARCHAR) AS s3_key,
+           CASE WHEN user_id % 4 <> 0 THEN 'wallpapers/' || event_type || '-' || user_id || '.png' END AS s3_key,
            {_RUN_TS.format(week="min(week)")} AS created_at,
-           CASE WHEN max(week) > min(week) THEN {_RUN_TS.format(week="max(week)")} END AS updated_at
+           CASE WHEN user_id % 4 <> 0 OR max(week) > min(week) THEN {_RUN_TS.format(week="max(week)")} END AS updated_at
     FROM (SELECT *, {_WEEK} AS week FROM events) GROUP BY user_id, event_type
 """
 
 _REPLAY_AUDIT = f"""
     WITH e AS (SELECT DISTINCT user_id, event_type, {_WEEK} AS week FROM events),
-    f AS (SELECT *, min(week) OVER (PARTITION BY user_id, event_type) AS first_week FROM e)
+    f AS (SELECT *, min(week) OVER (PARTITION BY user_id, event_type) AS first_week, user_id % 4 = 0 AS none FROM e),
+    w AS (
+        SELECT week, count(*) FILTER (WHERE week = first_week) AS ins, count(*) FILTER (WHERE week > first_week) AS upd,
+               count(*) FILTER (WHERE week = first_week AND NOT none) AS up, count(*) FILTER (WHERE week = first_week AND none) AS bad
+        FROM f GROUP BY week
+    )
     SELECT 'daily_ingest' AS dag_id,
            'scheduled__' || strftime({_FIRST} + to_days(7 * week), '%Y-%m-%d') AS run_id,
-           CAST(9 AS BIGINT) AS duration_seconds,
-           count(*) FILTER (WHERE week = first_week) AS metadata_inserted,
-           count(*) FILTER (WHERE week > first_week) AS metadata_updated,
-           CAST(0 AS BIGINT) AS images_uploaded, CAST(0 AS BIGINT) AS download_failures,
+           CAST(9 AS BIGINT) AS duration_seconds, ins AS metadata_inserted, upd AS metadata_updated,
+           up AS images_uploaded, CAST(sum(bad) OVER (ORDER BY week) AS BIGINT) AS download_failures,
            CAST(0 AS BIGINT) AS upload_failures,
-           CAST(sum(count(*) FILTER (WHERE week = first_week)) OVER (ORDER BY week) AS BIGINT) AS missing_s3_after_run,
+           CAST(sum(bad) OVER (ORDER BY week) AS BIGINT) AS missing_s3_after_run,
            {_RUN_TS.format(week="week")} AS created_at,
            {_RUN_TS.format(week="week")} AS updated_at
-    FROM f GROUP BY week
+    FROM w
+"""
+
+_GUARDED = f"""
+    WITH t AS ({_LAST.format(part="event_id % 3 <> 0")}), l AS ({_LAST.format(part="event_id % 3 = 0")}),
+    b AS (SELECT user_id, event_type, CASE WHEN user_id % 7 <> 0 THEN ts END AS ts, event_id, value FROM l),
+    j AS (
+        SELECT coalesce(t.user_id, b.user_id) AS user_id, coalesce(t.event_type, b.event_type) AS event_type,
+               CASE WHEN t.user_id IS NULL THEN 'insert' WHEN b.user_id IS NULL THEN 'keep'
+                    WHEN b.ts >= t.ts THEN 'update' ELSE 'stale' END AS op,
+               t.ts AS tts, b.ts AS bts, t.event_id AS tid, b.event_id AS bid, t.value AS tv, b.value AS bv
+        FROM t FULL JOIN b ON t.user_id = b.user_id AND t.event_type = b.event_type
+    )
+    SELECT user_id, event_type, CASE WHEN op IN ('insert', 'update') THEN bts ELSE tts END AS ts,
+           CASE WHEN op IN ('insert', 'update') THEN bid ELSE tid END AS event_id,
+           CASE WHEN op IN ('insert', 'update') THEN bv ELSE tv END AS value,
+           CASE WHEN op = 'insert' THEN TIMESTAMP '2024-02-02' ELSE TIMESTAMP '2024-02-01' END AS created_at,
+           CASE WHEN op = 'update' THEN TIMESTAMP '2024-02-02' END AS updated_at, op
+    FROM j
 """
 
 _CHECKS = {
@@ -220,8 +242,10 @@ def all_sql() -> dict[str, str]:
             SELECT 1, 'b' || page_id, NULL, NULL, host, NULL, NULL FROM p""",
         "q_page_metrics": """
             SELECT count(*) AS pages, count(*) FILTER (WHERE contains(url, 'spam')) AS bad_pages,
-                   3 * count(*) FILTER (WHERE NOT contains(url, 'spam')) AS items,
-                   count(*) FILTER (WHERE NOT contains(url, 'spam')) AS bad_sizes
+                   count(*) FILTER (WHERE NOT contains(url, 'spam') AND page_id % 5 = 2)
+                   + 3 * count(*) FILTER (WHERE NOT contains(url, 'spam')) AS items,
+                   count(*) FILTER (WHERE NOT contains(url, 'spam')) AS bad_sizes,
+                   count(*) FILTER (WHERE NOT contains(url, 'spam') AND page_id % 5 IN (0, 1, 3)) AS bad_items
             FROM pages""",
         "q_first_n": """
             SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos, role, text
@@ -249,6 +273,18 @@ def all_sql() -> dict[str, str]:
         "q_pending_batch": """
             SELECT d.doc_id, lang, source FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
             WHERE l.quality IS NULL ORDER BY d.doc_id LIMIT 5""",
+        "q_fair_batch": """
+            WITH e AS (SELECT user_id, count(*) AS failed, max(ts) AS tried FROM events WHERE event_type = 'error' GROUP BY user_id),
+            w AS (
+                SELECT d.doc_id, e.failed, TIMESTAMP '2024-01-01' + to_days(CAST(d.doc_id % 40 AS INTEGER)) AS created, e.tried
+                FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id LEFT JOIN e ON e.user_id = d.doc_id
+                WHERE l.quality IS NULL
+            )
+            SELECT doc_id, failed, created,
+                   CASE WHEN failed > 0 THEN tried + to_days(CAST(pow(2, least(failed - 1, 6)) AS INTEGER)) ELSE created END AS due
+            FROM w ORDER BY due, created, doc_id LIMIT 300""",
+        "q_guarded_upsert": _GUARDED,
+        "q_guarded_ops": f"SELECT op, count(*) AS n FROM ({_GUARDED}) GROUP BY op",
         "q_backlog": """
             SELECT count(*) AS total, count(*) FILTER (WHERE l.quality IS NULL) AS pending
             FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",

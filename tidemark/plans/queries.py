@@ -22,9 +22,10 @@ from pyspark.sql.types import (
 )
 
 from tidemark.functions.coerce import run_timestamp
-from tidemark.functions.keys import content_type, is_retryable, object_key, payload_size, probe_class, url_extension
+from tidemark.functions.keys import KEY_PREFIX, content_type, is_retryable, object_key, payload_size, probe_class, url_extension
 from tidemark.operators.audit import RUN_KEY, audit_rows, latest_runs, run_history, run_identity, run_outcomes
 from tidemark.operators.dedupe import dedupe_last, first_n
+from tidemark.operators.ordering import By
 from tidemark.operators.pending import backlog, pending_batch
 from tidemark.operators.reconcile import (
     ALREADY_THERE,
@@ -33,6 +34,7 @@ from tidemark.operators.reconcile import (
     UPLOADED,
     apply_outcomes,
     attempt_outcome,
+    due_at,
     publish_metrics,
     publish_outcome,
     reconcile,
@@ -42,17 +44,20 @@ from tidemark.operators.search import search_page
 from tidemark.operators.upsert import load_metrics, op_counts, upsert
 from tidemark.operators.validate import Check, constraint_report, flag_valid, valid_rows
 from tidemark.plans.inputs import read_input
+from tidemark.plans.publish import RETRY_S, publish_run
 from tidemark.schemas import RUN_AUDIT, RUN_COUNTERS, TableSpec
 from tidemark.session import new_folder, ship_package
 from tidemark.sources.blobs import put_objects, write_contents
 from tidemark.sources.landing import extract_items, page_metrics, read_pages
-from tidemark.sources.tables import ensure_table, make_folder, read_table
+from tidemark.sources.folders import make_folder
+from tidemark.sources.tables import ensure_table, read_table
 from tidemark.streaming.incremental import incremental_run
 
 DAG_ID = "daily_ingest"
 OTHER_DAG_ID = "other_ingest"
 EVENT_KEY = ["user_id", "event_type"]
 ARRIVAL = ["ts", "event_id"]
+EVENT_HOST = "events.example.com"
 PUBLISHABLE = 50.0
 CUT = "2024-01-15"
 
@@ -76,6 +81,25 @@ EVENT_TABLE = TableSpec(
     pending_col="s3_key",
 )
 
+# The same with the time of the event, by which rows that come late are told.
+TIMED_TABLE = TableSpec(
+    schema=StructType(
+        [
+            StructField("user_id", LongType(), False),
+            StructField("event_type", StringType(), False),
+            StructField("ts", TimestampNTZType()),
+            StructField("event_id", LongType()),
+            StructField("value", DoubleType()),
+            StructField("created_at", TimestampNTZType(), False),
+            StructField("updated_at", TimestampNTZType()),
+        ]
+    ),
+    keys=("user_id", "event_type"),
+    update_cols=("ts", "event_id", "value"),
+    insert_stamps=("created_at",),
+    update_stamps=("updated_at",),
+)
+
 AUDIT_NTZ = TableSpec(
     schema=StructType(
         [
@@ -110,7 +134,7 @@ def _before_and_after(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
 # --- sources ---------------------------------------------------------------------------------
 
 
-def _search(spark: SparkSession, sf_dir: str, query: str, page: int, lanes: int = 0) -> DataFrame:
+def _search(spark: SparkSession, sf_dir: str, query: str, page: int) -> DataFrame:
     hits = search_page(
         read_input(spark, sf_dir, "orders"),
         query=query,
@@ -121,7 +145,6 @@ def _search(spark: SparkSession, sf_dir: str, query: str, page: int, lanes: int
         key="o_orderkey",
         page=page,
         size=24,
-        lanes=lanes,
     )
     return hits.select("o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice")
 
@@ -131,7 +154,7 @@ def q_search_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_search_deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _search(spark, sf_dir, "-", 43, lanes=8)
+    return _search(spark, sf_dir, "-", 43)
 
 
 def q_extract_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,7 +169,8 @@ def q_extract_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _land_pages(spark: SparkSession, sf_dir: str) -> str:
-    """Write each web page as one response line: three items, or no JSON at all for spam."""
+    """Write each web page as one response line: three items and mostly something odd behind them (no
+    object, or NULL), or no JSON at all for spam."""
     field = lambda value, name: value.cast("string").alias(name)
     item = lambda key, path, size: F.struct(
         field(key, "id"),
@@ -162,9 +186,11 @@ def _land_pages(spark: SparkSession, sf_dir: str) -> str:
         item(F.concat(F.lit("b"), F.col("page_id")), nothing, F.lit("7.5")),
         item(F.col("page_id"), F.col("url"), size),
     )
-    line = F.when(
-        F.contains("url", F.lit("spam")), F.lit("<html>502</html>")
-    ).otherwise(F.to_json(F.struct(data.alias("data"))))
+    kind = F.col("page_id") % 5
+    odd = F.when(kind == 0, ",5]}").when(kind == 1, ',["q"]]}').when(kind == 2, ",null]}").when(kind == 3, ',"no object"]}').otherwise("]}")
+    good = F.to_json(F.struct(data.alias("data")))
+    good = F.concat(F.substr(good, F.lit(1), F.length(good) - 2), odd)
+    line = F.when(F.contains("url", F.lit("spam")), F.lit("<html>502</html>")).otherwise(good)
     folder = new_folder(spark, "landed")
     read_input(spark, sf_dir, "pages").select(line.alias("value")).write.text(folder)
     return folder
@@ -236,6 +262,27 @@ def q_upsert_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op_counts(_upserted(spark, sf_dir))
 
 
+def _guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the events came late: they are the batch, whatever their time."""
+    events, late = read_input(spark, sf_dir, "events"), F.col("event_id") % 3 == 0
+    target = dedupe_last(events.where(~late), EVENT_KEY, ARRIVAL).withColumns(
+        {"created_at": _at("2024-02-01 00:00:00"), "updated_at": F.lit(None).cast("timestamp_ntz")}
+    )
+    # events of one user without a time: never newer than what has one
+    batch = dedupe_last(events.where(late), EVENT_KEY, ARRIVAL)
+    batch = batch.withColumn("ts", F.when(F.col("user_id") % 7 != 0, F.col("ts")))
+    rows = target.select(*TIMED_TABLE.columns)
+    return upsert(rows, batch, TIMED_TABLE, _at("2024-02-02 00:00:00"), newer_by="ts")
+
+
+def q_guarded_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _guarded(spark, sf_dir)
+
+
+def q_guarded_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op_counts(_guarded(spark, sf_dir))
+
+
 def q_constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     checks = {
         "region": (["r_regionkey", "r_name"], ["r_regionkey"]),
@@ -275,6 +322,19 @@ def q_pending_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_fair_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without a label wait, the errors of the user of the same number are their failed tries.
+    The batch is large enough for tries to matter at every size."""
+    waiting = _documents(spark, sf_dir).where("quality IS NULL")
+    created = _at("2024-01-01 00:00:00") + F.make_dt_interval(days=(F.col("doc_id") % 40).cast("int"))
+    errors = read_input(spark, sf_dir, "events").where("event_type = 'error'").groupBy(F.col("user_id").alias("doc_id"))
+    tried = waiting.join(errors.agg(F.count("*").alias("failed"), F.max("ts").alias("tried")), "doc_id", "left")
+    due = due_at(created, F.col("failed"), F.col("tried"), RETRY_S)
+    order = [By("due"), By("created")]
+    rows = tried.withColumns({"created": created, "due": due})
+    return pending_batch(rows, 300, ["doc_id", "failed", "created", "due"], "doc_id", pending_col=None, order_by=order)
+
+
 def q_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backlog(_documents(spark, sf_dir), "quality")
 
@@ -480,7 +540,9 @@ def q_audit_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _audit_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit table after all runs, and then a second run of the days 10 to 20."""
-    first = _audit(spark, sf_dir)
+    folder = new_folder(spark, "audit")
+    _audit(spark, sf_dir).write.parquet(folder)  # one row per run, read twice
+    first = spark.read.parquet(folder)
     created = _at("2024-02-01 00:00:00")
     target = first.select(
         *[
@@ -515,18 +577,32 @@ def _weeks(spark: SparkSession, sf_dir: str) -> list[date]:
     return [first + timedelta(days=d) for d in range(0, (last - first).days + 1, 7)] if first else []
 
 
+def _stage_contents(events: DataFrame, name: Column, base: str) -> None:
+    """Contents of the events' keys: a fourth of the users has none, and for another the objects are there."""
+    kind = F.col("user_id") % 4
+    keys = events.select(*EVENT_KEY).distinct().select(kind.alias("kind"), name.alias("name"))
+    content, key = F.concat(F.lit(f"{base}/contents/{EVENT_HOST}/"), "name", F.lit(".png")), F.concat(F.lit(f"{base}/objects/{KEY_PREFIX}/"), "name", F.lit(".png"))
+    staged = keys.where("kind <> 0").select(content.alias("path"), F.col("name").alias("text"))
+    there = keys.where("kind = 1").select(key.alias("path"), F.lit("old").alias("text"))
+    write_contents(staged.unionByName(there)).agg(F.sum("bytes")).collect()  # one number
+
+
 def _replay(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Deliver the events week by week to a stream, with one scheduled run per week."""
+    """Deliver the events week by week to a stream, with one scheduled run per week that loads what came,
+    publishes what waits, and records both."""
+    ship_package(spark)
     base = new_folder(spark, "replay")
     events = read_input(spark, sf_dir, "events")
     make_folder(spark, f"{base}/landing")
     ensure_table(spark, f"{base}/table", EVENT_TABLE)
     ensure_table(spark, f"{base}/audit", AUDIT_NTZ)
     items = spark.readStream.schema(events.schema).parquet(f"{base}/landing")
-    day = F.to_date("ts")
+    day, name = F.to_date("ts"), F.concat_ws("-", "event_type", "user_id")
+    _stage_contents(events, name, base)
     for week in _weeks(spark, sf_dir):
         delivered = events.where((day >= F.lit(week)) & (day < F.lit(week + timedelta(days=7))))
         delivered.write.mode("append").parquet(f"{base}/landing")
+        run_ts = _at(f"{week} 00:00:10.900")
         incremental_run(
             items,
             EVENT_TABLE,
@@ -536,11 +612,23 @@ def _replay(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
             dag_id=DAG_ID,
             run_id=f"scheduled__{week}",
             started_at=_at(f"{week} 00:00:00.950"),
-            run_ts=_at(f"{week} 00:00:10.900"),
+            run_ts=run_ts,
             order_by=ARRIVAL,
             key="user_id",
             url="event_type",
             audit_spec=AUDIT_NTZ,
+            publish=lambda week=week, run_ts=run_ts: publish_run(
+                f"{base}/table",
+                f"{base}/contents",
+                f"{base}/objects",
+                f"publish-{week}",
+                run_ts,
+                limit=2_000_000_000,  # everything that waits
+                spec=EVENT_TABLE,
+                spark=spark,
+                name=name,
+                url=F.concat(F.lit(f"https://{EVENT_HOST}/"), name, F.lit(".png")),
+            ),
         )
     return f"{base}/table", f"{base}/audit"
 

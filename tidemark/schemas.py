@@ -28,17 +28,10 @@ ITEM_FIELDS = {
 ITEM_KEY = "wallhaven_id"
 LOAD_COLUMNS = list(ITEM_FIELDS.values())
 
-# Every item field is read as a string. A quoted file_size under a bigint field would
-# flag its whole page as corrupt, so the cast comes after the read.
-ENVELOPE = StructType(
-    [
-        StructField(
-            "data",
-            ArrayType(StructType([StructField(name, StringType()) for name in ITEM_FIELDS])),
-        ),
-        StructField("_corrupt_record", StringType()),
-    ]
-)
+# An item stays the text that it is on its page until it is taken apart, so that an odd one costs its page
+# nothing. Every field is read as a string: a quoted file_size under a bigint field would make its item bad.
+ENVELOPE = StructType([StructField("data", ArrayType(StringType())), StructField("_corrupt_record", StringType())])
+ITEM = StructType([*[StructField(name, StringType()) for name in ITEM_FIELDS], StructField("_corrupt_record", StringType())])
 
 WALLPAPERS_SCHEMA = StructType(
     [

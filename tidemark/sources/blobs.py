@@ -32,9 +32,24 @@ OUTCOME_FIELDS = [
 ]
 
 
+# A segment of a path that names its folder or the one above, also with escaped dots or separators.
+_DOT, _CUT = r"(\.|%2[eE])", r"(/|\\|%2[fF]|%5[cC])"
+_LEAVES = rf"(^|{_CUT}){_DOT}{{1,2}}({_CUT}|$)"
+
+
 def url_path(url: Column) -> Column:
-    """Where the content of a URL is staged below the content root: the URL without its scheme."""
-    return F.regexp_replace(url, "^[A-Za-z][A-Za-z0-9+.-]*://", "")
+    """Where the content of a URL is staged below the content root: the URL without its scheme.
+
+    NULL for a URL whose path would leave the root, or that has no host: URLs come from the remote side.
+    """
+    path = F.regexp_replace(url, "^[A-Za-z][A-Za-z0-9+.-]*:(//)?", "")
+    unsafe = F.rlike(path, F.lit(_LEAVES)) | F.rlike(path, F.lit(rf"^({_CUT}|$)")) | F.contains(path, F.lit("\0"))
+    return F.when(~unsafe, path)
+
+
+def staged_path(root: str, url: Column) -> Column:
+    """The staged content of a URL, or NULL where there can be none."""
+    return F.concat(F.lit(root.rstrip("/") + "/"), url_path(url))
 
 
 @lru_cache(maxsize=32)
@@ -76,7 +91,7 @@ def _exists(store, path: str) -> bool | None:
 
     try:
         return store.get_file_info(path).type == fs.FileType.File
-    except OSError:
+    except (OSError, ValueError):
         return None
 
 
@@ -120,16 +135,18 @@ def _write(source, source_path: str, store, path: str, mime: str) -> int:
 
 
 def _publish_one(
-    store, root: str, key: str, content: str, mime: str, there: bool | None, wait_s: float
+    store, root: str, key: str, content: str | None, mime: str, there: bool | None, wait_s: float
 ) -> tuple[str, int, int]:
     path = _inside(root, key)
     if path is None:
         return UPLOAD_FAILURE, 0, 0
-    source, source_path = _open_fs(content)
-    try:
+    if not isinstance(content, str):
+        return DOWNLOAD_FAILURE, 0, 0
+    try:  # Arrow's errors about names and URIs are ValueErrors
+        source, source_path = _open_fs(content)
         if not source.get_file_info(source_path).size:
             return DOWNLOAD_FAILURE, 0, 0
-    except OSError:
+    except (OSError, ValueError):
         return DOWNLOAD_FAILURE, 0, 0
     if _exists(store, path) if there is None else there:
         return ALREADY_THERE, 0, 0
@@ -137,7 +154,7 @@ def _publish_one(
         try:
             size = _copy(source, source_path, store, path, mime)
             return UPLOADED, attempt, size
-        except OSError:
+        except (OSError, ValueError):
             if _exists(store, path):  # a second run of the same task was faster
                 return ALREADY_THERE, attempt, 0
             if attempt < MAX_ATTEMPTS:

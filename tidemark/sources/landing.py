@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.schemas import ENVELOPE, ITEM_FIELDS
+from tidemark.schemas import ENVELOPE, ITEM, ITEM_FIELDS
 
 
 # Arrival order of items: when the file was written, file, split of the file, page in the split,
@@ -48,18 +48,36 @@ def stream_pages(spark: SparkSession, path: str, lines: bool = False, **source_o
     return _with_origin(reader.json(path))
 
 
+def _readable(pages: DataFrame) -> Column:
+    """The items of a page as texts; NULL for a page that is not JSON or whose ``data`` is no array."""
+    return F.when(F.col("_corrupt_record").isNull(), F.col("data"))
+
+
+def _parsed(item: Column) -> Column:
+    """An item's fields; NULL for what is not an object. (A string that is an object's JSON passes for one.)"""
+    return F.when(F.startswith(item, F.lit("{")) & F.endswith(item, F.lit("}")), F.from_json(item, ITEM))
+
+
+def _is_odd(item: Column) -> Column:
+    """What stands among the items and is neither an object nor NULL, which is an item without fields."""
+    fields = _parsed(item)
+    return item.isNotNull() & (fields.isNull() | fields["_corrupt_record"].isNotNull())
+
+
 def extract_items(pages: DataFrame, limit: int | None = None) -> DataFrame:
     """Items of all readable pages: the six fields and the columns of ``ARRIVAL``.
 
     A page without ``data``, or one that is not JSON, gives no items. ``limit`` keeps the first
-    items of each page. ``file_size`` becomes NULL where it is not a whole number.
+    items of each page. Bad items are left out (``page_metrics`` counts them); NULL is an
+    item without fields. ``file_size`` becomes NULL where it is not a whole number.
     """
-    data = F.when(F.col("_corrupt_record").isNull(), F.col("data"))
+    data = _readable(pages)
     if limit is not None:
         data = F.slice(data, 1, limit)
     # within one split the ids rise in reading order, whichever task reads it
     placed = pages.select("landed", "page", "block", F.monotonically_increasing_id().alias("line"), data.alias("data"))
-    items = placed.select("landed", "page", "block", "line", F.posexplode("data").alias("pos", "item"))
+    items = placed.select("landed", "page", "block", "line", F.posexplode("data").alias("pos", "text"))
+    items = items.where(~_is_odd(F.col("text"))).withColumn("item", _parsed(F.col("text")))
     fields = [F.col(f"item.{source}").alias(name) for source, name in ITEM_FIELDS.items()]
     return items.select(*ARRIVAL, *fields).withColumn(
         "file_size", F.col("file_size").try_cast("bigint")
@@ -67,25 +85,34 @@ def extract_items(pages: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def page_metrics(pages: DataFrame, files: int | None = None) -> DataFrame:
-    """pages, bad_pages, and the items and bad_sizes on the readable ones, in one row.
+    """pages, bad_pages, and the items, bad_sizes and bad_items on the readable ones, in one row.
 
-    A size that is not a whole number is loaded as NULL and counted in bad_sizes.
-    A zero-length file yields no row at all. Give the number of listed files (``listed_files``)
-    for one-page-per-file landings, and the files without a row count as bad pages too.
+    What is neither an object nor NULL is a bad item and no item. A size that is not a whole number is loaded as NULL and counted in
+    bad_sizes. A zero-length file yields no row at all. Give the number of listed files
+    (``listed_files``) for one-page-per-file landings, and the files without a row count as bad pages too.
     """
     bad = F.col("_corrupt_record").isNotNull()
     seen, zero = F.count("*"), F.lit(0).cast("bigint")
     total = seen if files is None else F.lit(files).cast("bigint")
-    data = F.when(~bad, F.col("data"))
-    not_whole = lambda i: i["file_size"].isNotNull() & i["file_size"].try_cast("bigint").isNull()
-    return pages.agg(
+    size = lambda t: _parsed(t)["file_size"]
+    not_whole = lambda t: size(t).isNotNull() & size(t).try_cast("bigint").isNull()
+    items, odd = _readable(pages), F.filter(_readable(pages), _is_odd)
+    counted = pages.select(
+        bad.alias("bad"),
+        (F.array_size(items) - F.array_size(odd)).alias("items"),
+        F.array_size(odd).alias("odd"),
+        F.array_size(F.filter(items, not_whole)).alias("sizes"),
+    )
+    return counted.agg(
         total.alias("pages"),
-        (F.count_if(bad) + total - seen).alias("bad_pages"),
-        F.coalesce(F.sum(F.array_size(data)), zero).alias("items"),
-        F.coalesce(F.sum(F.array_size(F.filter(data, not_whole))), zero).alias("bad_sizes"),
+        (F.count_if("bad") + total - seen).alias("bad_pages"),
+        F.coalesce(F.sum("items"), zero).alias("items"),
+        F.coalesce(F.sum("sizes"), zero).alias("bad_sizes"),
+        F.coalesce(F.sum("odd"), zero).alias("bad_items"),
     )
 
 
 def listed_files(pages: DataFrame) -> int:
-    """Number of files in the listing behind a page frame, empty ones included."""
-    return len(pages.inputFiles())
+    """Number of files in the listing behind a page frame, empty ones included. The names stay in the JVM,
+    where the listing is anyway."""
+    return len(pages._jdf.inputFiles())

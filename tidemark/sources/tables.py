@@ -1,72 +1,41 @@
 """Keyed tables: versions of Parquet files, or tables of a catalog that supports ``MERGE INTO``.
 
-A Parquet table is a folder with one folder per version, each the whole table::
-
-    path/v00000007-<run>/...       the rows; pending ones under pending=true
-    path/runs/<run>/...            what a run keeps to be resumed: items, batch
-    path/outcomes/run=<run>/...    what became of the rows of a publish run
-
-A merge is one Spark job that writes the next version. A version counts once its ``_SUCCESS`` is there,
-so a reader has the old rows or the new ones, and a failed run leaves the old version. This rewrites the
-table once per run: for large tables give ``catalog:<name>`` instead of a path, and the same merge runs as
-``MERGE INTO`` on a table format that rewrites only what it must. A table has one writer at a time.
+A Parquet table is a folder with one folder per version, each the whole table, and the log of its publish
+runs (see ``log``)::
+
+    path/v00000007.00000012-<run>/...    the rows; pending ones under pending=true
+    path/runs/<run>/...                  what a run keeps to be resumed: items, batch
+    path/log/..., path/folded/...        what publish runs did since
+
+The second number is the last publish run whose keys the version holds; what later ones published is joined
+from the log. So a publish writes no table file, and a merge is one Spark job that writes the next version.
+A version counts once its ``_SUCCESS`` is there: a reader has the old rows or the new ones, and a failed run
+leaves the old version. A load rewrites the table once: for large tables give ``catalog:<name>`` instead of a
+path, and the same merge runs as ``MERGE INTO`` on a table format that rewrites only what it must. A table
+has one writer at a time.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 import uuid
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from tidemark.operators.reconcile import apply_published
+from tidemark.operators.upsert import is_stale
 from tidemark.schemas import PENDING, TableSpec
-from tidemark.session import work_dir
-
-CATALOG = "catalog:"
+from tidemark.sources import log
+from tidemark.sources.folders import CATALOG, hadoop, is_complete, make_folder, names_in, remove, run_name, state_path
 
 Resolve = Callable[[DataFrame, DataFrame], DataFrame]
 Statement = Callable[[str, str], str]
 
 
-def _hadoop(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _hadoop(spark, path)
-    return fs.exists(p)
-
-
-def make_folder(spark: SparkSession, path: str) -> None:
-    fs, p = _hadoop(spark, path)
-    fs.mkdirs(p)
-
-
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether a write job to ``path`` has committed."""
-    return exists(spark, f"{path}/_SUCCESS")
-
-
-def run_name(run: str) -> str:
-    """A folder name for a run, which may be any text."""
-    readable = re.sub(r"[^A-Za-z0-9_.-]", "_", run)
-    return f"{readable}-{hashlib.md5(run.encode()).hexdigest()[:8]}"
-
-
-def state_path(spark: SparkSession, path: str) -> str:
-    """Where runs keep what they need to be resumed: beside the versions, or for a table of a
-    catalog below the work folder."""
-    if not path.startswith(CATALOG):
-        return path
-    return f"{work_dir(spark)}/tables/{path.removeprefix(CATALOG)}"
-
-
 def run_path(spark: SparkSession, path: str, run: str) -> str:
     return f"{state_path(spark, path)}/runs/{run_name(run)}"
 
@@ -74,22 +43,36 @@ def run_path(spark: SparkSession, path: str, run: str) -> str:
 # ---- versions ------------------------------------------------------------------------------------
 
 
-def _versions(spark: SparkSession, path: str) -> list[str]:
-    """Names of all versions, also of unfinished ones, the latest first."""
-    fs, p = _hadoop(spark, path)
-    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
-    return sorted((n for n in names if re.match(r"v\d{8}-", n)), reverse=True)
+class Version(NamedTuple):
+    number: int
+    taken: int  # the last publish run whose keys it holds
+    run: str
+    folder: str
+
 
+def _versions(spark: SparkSession, path: str) -> list[Version]:
+    """All versions, also unfinished ones, the latest first."""
+    found = [re.fullmatch(r"v(\d{8})\.(\d{8})-(.*)", n) for n in names_in(spark, path)]
+    return [Version(int(m[1]), int(m[2]), m[3], f"{path}/{m[0]}") for m in reversed(found) if m]
 
-def current_version(spark: SparkSession, path: str) -> str | None:
-    """The folder of the latest complete version."""
-    return next((f"{path}/{n}" for n in _versions(spark, path) if is_complete(spark, f"{path}/{n}")), None)
+
+def current_version(spark: SparkSession, path: str) -> Version | None:
+    """The latest complete version."""
+    return next((v for v in _versions(spark, path) if is_complete(spark, v.folder)), None)
 
 
 def version_of(spark: SparkSession, path: str, run: str) -> str | None:
     """The folder of the version that a run has written."""
-    own = [n for n in _versions(spark, path) if n.split("-", 1)[1] == run_name(run)]
-    return next((f"{path}/{n}" for n in own if is_complete(spark, f"{path}/{n}")), None)
+    own = [v for v in _versions(spark, path) if v.run == run_name(run)]
+    return next((v.folder for v in own if is_complete(spark, v.folder)), None)
+
+
+def taken_in(spark: SparkSession, path: str) -> int:
+    """The last publish run whose keys the table itself holds. A table of a catalog holds them all."""
+    if path.startswith(CATALOG):
+        return log.current_log(spark, path).last
+    version = current_version(spark, path)
+    return version.taken if version else 0
 
 
 def drop_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
@@ -97,10 +80,19 @@ def drop_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
 
     Readers of a removed version fail, and its run, called again, is merged anew.
     """
-    complete = [n for n in _versions(spark, path) if is_complete(spark, f"{path}/{n}")]
-    old = [n for n in _versions(spark, path) if complete[keep - 1 :] and n < complete[keep - 1]]
-    fs, _ = _hadoop(spark, path)
-    return sum(bool(fs.delete(_hadoop(spark, f"{path}/{n}")[1], True)) for n in old)
+    complete = [v.number for v in _versions(spark, path) if is_complete(spark, v.folder)]
+    old = [v.folder for v in _versions(spark, path) if complete[keep - 1 :] and v.number < complete[keep - 1]]
+    return remove(spark, old)
+
+
+def clean(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Remove what the latest ``keep`` versions do not need: older ones, the folders of runs that wrote none
+    of the kept, and outcomes that are folded. A removed run cannot be resumed; it would run anew."""
+    if path.startswith(CATALOG):
+        return log.clean(spark, path, keep)
+    gone = drop_versions(spark, path, keep) + log.clean(spark, path, keep)
+    kept = {v.run for v in _versions(spark, path)}
+    return gone + remove(spark, [f"{path}/runs/{n}" for n in names_in(spark, f"{path}/runs") if n not in kept])
 
 
 def ensure_table(spark: SparkSession, path: str, spec: TableSpec) -> None:
@@ -110,9 +102,9 @@ def ensure_table(spark: SparkSession, path: str, spec: TableSpec) -> None:
         if not spark.catalog.tableExists(name):
             spark.createDataFrame([], spec.schema).writeTo(name).create()
     elif current_version(spark, path) is None:
-        empty = f"{path}/v00000000-empty"
+        empty = f"{path}/v{0:08d}.{0:08d}-empty"
         make_folder(spark, empty)
-        fs, done = _hadoop(spark, f"{empty}/_SUCCESS")
+        fs, done = hadoop(spark, f"{empty}/_SUCCESS")
         fs.create(done, True).close()
 
 
@@ -123,30 +115,53 @@ def _nullable(spec: TableSpec) -> StructType:
     return StructType([StructField(f.name, f.dataType) for f in spec.schema.fields])
 
 
-def _read(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    if path.startswith(CATALOG):
-        table = spark.table(path.removeprefix(CATALOG))
-        return table.withColumn(PENDING.name, F.col(spec.pending_col).isNull()) if spec.pending_col else table
+def _version(spark: SparkSession, path: str) -> Version:
     version = current_version(spark, path)
     if version is None:
         raise FileNotFoundError(f"no table at {path}")
+    return version
+
+
+def _files(spark: SparkSession, version: Version, spec: TableSpec) -> DataFrame:
     schema = StructType([*_nullable(spec).fields, *([PENDING] if spec.pending_col else [])])
-    return spark.read.schema(schema).parquet(version)
+    return spark.read.schema(schema).parquet(version.folder)
+
+
+def _since(spark: SparkSession, path: str, version: Version, spec: TableSpec) -> DataFrame | None:
+    """Rows published since the version was written."""
+    return log.published(spark, log.current_log(spark, path), spec, version.taken) if spec.pending_col else None
 
 
 def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     """The table as it is now; a frame that has been read stays with its version."""
-    return _read(spark, path, spec).select(*spec.columns)
+    if path.startswith(CATALOG):
+        return spark.table(path.removeprefix(CATALOG)).select(*spec.columns)
+    version = _version(spark, path)
+    rows, done = _files(spark, version, spec).select(*spec.columns), _since(spark, path, version, spec)
+    return rows if done is None else apply_published(rows, done, spec)
 
 
 def read_pending(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     """The rows that wait to be published, without opening the files of the others."""
-    return _read(spark, path, spec).where(F.col(PENDING.name)).select(*spec.columns)
+    if path.startswith(CATALOG):
+        return read_table(spark, path, spec).where(F.col(spec.pending_col).isNull())
+    version = _version(spark, path)
+    rows, done = _files(spark, version, spec).where(F.col(PENDING.name)), _since(spark, path, version, spec)
+    rows = rows.select(*spec.columns)
+    return rows if done is None else rows.join(done.select(*spec.keys), list(spec.keys), "left_anti")
 
 
 def count_pending(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """The backlog in one row. No column is read: Parquet footers know the number of rows."""
-    return read_pending(spark, path, spec).agg(F.count("*").alias("pending"))
+    """The backlog in one row. No column is read: Parquet footers know the number of rows, and what the
+    log has published since is taken off."""
+    if path.startswith(CATALOG):
+        return read_pending(spark, path, spec).agg(F.count("*").alias("pending"))
+    version = _version(spark, path)
+    rows, done = _files(spark, version, spec).where(F.col(PENDING.name)), _since(spark, path, version, spec)
+    counted = rows.agg(F.count("*").alias("pending"))
+    if done is None:
+        return counted
+    return counted.unionByName(done.agg((-F.count("*")).alias("pending"))).agg(F.sum("pending").alias("pending"))
 
 
 def register(spark: SparkSession, name: str, path: str, spec: TableSpec) -> None:
@@ -155,12 +170,12 @@ def register(spark: SparkSession, name: str, path: str, spec: TableSpec) -> None
 
 
 def merged_ops(spark: SparkSession, path: str, run: str) -> DataFrame:
-    """inserted, updated and kept rows of a merged run, in one row; no row if nothing was merged.
+    """inserted, updated, kept and stale rows of a merged run, in one row; no row if nothing was merged.
 
     They are counted in what was written: lost and repeated tasks cannot change them.
     """
     op = F.col("op")
-    counts = [F.count_if(op == o).alias(n) for o, n in (("insert", "inserted"), ("update", "updated"), ("keep", "kept"))]
+    counts = [F.count_if(op == o).alias(n) for o, n in (("insert", "inserted"), ("update", "updated"), ("keep", "kept"), ("stale", "stale"))]
     folder = f"{run_path(spark, path, run)}/ops" if path.startswith(CATALOG) else version_of(spark, path, run)
     if folder is None:
         return spark.range(0).select(F.lit("").alias("op")).groupBy("op").agg(*counts).drop("op")
@@ -179,32 +194,34 @@ def merge(
     resolve: Resolve,
     statement: Statement | None = None,
     may_be_empty: bool = True,
+    newer_by: str | None = None,
 ) -> bool:
     """Merge ``changes`` (one row per key) into the table; False if there is nothing to merge. A caller
     that knows that there is something saves the look.
 
     ``resolve(current, changes)`` returns the next version's rows with ``op``, every current row among
     them. For a table of a catalog ``statement(table, source)`` is the same merge as text. A ``run``
-    that has been merged is not merged again.
+    that has been merged is not merged again. ``newer_by`` is the event time that both may be guarded by.
     """
     changes = changes.withColumns({k: spec.typed(k) for k in spec.keys})
     if path.startswith(CATALOG):
-        return _merge_into(spark, path, spec, run, changes, statement)
+        return _merge_into(spark, path, spec, run, changes, statement, newer_by)
     if version_of(spark, path, run):
         return True
     if may_be_empty and changes.isEmpty():
         return False
+    taken = log.current_log(spark, path).last if spec.pending_col else 0
     rows = resolve(read_table(spark, path, spec), changes).select(*[spec.typed(c) for c in spec.columns], "op")
-    last = int(_versions(spark, path)[0][1:9])
+    last = _versions(spark, path)[0].number
     writer = rows.write
     if spec.pending_col:
         writer = rows.withColumn(PENDING.name, F.col(spec.pending_col).isNull()).write.partitionBy(PENDING.name)
-    writer.mode("overwrite").parquet(f"{path}/v{last + 1:08d}-{run_name(run)}")
+    writer.mode("overwrite").parquet(f"{path}/v{last + 1:08d}.{taken:08d}-{run_name(run)}")
     return True
 
 
 def _merge_into(
-    spark: SparkSession, path: str, spec: TableSpec, run: str, changes: DataFrame, statement: Statement | None
+    spark: SparkSession, path: str, spec: TableSpec, run: str, changes: DataFrame, statement: Statement | None, newer_by: str | None
 ) -> bool:
     """What each change will do is written first; the statement is idempotent, so that a run that was
     lost in between is merged again with the counts of its first time."""
@@ -214,9 +231,11 @@ def _merge_into(
     if changes.isEmpty():
         return False
     if not is_complete(spark, ops):
-        known = spark.table(table).select(*spec.keys).withColumn("_known", F.lit(True))
-        op = F.when(F.col("_known"), "update").otherwise("insert")
-        changes.select(*spec.keys).join(known, list(spec.keys), "left").select(op.alias("op")).write.mode("overwrite").parquet(ops)
+        time = F.col(newer_by) if newer_by else F.lit(None)
+        known = spark.table(table).select(*spec.keys, F.lit(True).alias("_known"), time.alias("_mine"))
+        given = changes.select(*spec.keys, time.alias("_given")).join(known, list(spec.keys), "left")
+        op = F.when(F.col("_known").isNull(), "insert").when(is_stale(F.col("_mine"), F.col("_given")), "stale").otherwise("update")
+        given.select(op.alias("op")).write.mode("overwrite").parquet(ops)
     view = f"changes_{uuid.uuid4().hex}"
     changes.createOrReplaceTempView(view)
     spark.sql(statement(table, view))

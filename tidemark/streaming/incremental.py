@@ -17,9 +17,10 @@ from tidemark.plans.audit import audit_run
 from tidemark.plans.load import load_run
 from tidemark.schemas import RUN_AUDIT, TableSpec
 from tidemark.session import one_row
-from tidemark.sources.tables import count_pending, ensure_table, is_complete, make_folder
+from tidemark.sources.folders import is_complete, make_folder
+from tidemark.sources.tables import count_pending, ensure_table
 
-COUNTERS = ["extracted", "invalid", "duplicates", "inserted", "updated"]
+COUNTERS = ["extracted", "invalid", "duplicates", "inserted", "updated", "stale"]
 
 
 def incremental_run(
@@ -38,10 +39,12 @@ def incremental_run(
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     audit_spec: TableSpec = RUN_AUDIT,
     publish: Callable[[], DataFrame] | None = None,
+    newer_by: str | None = None,
 ) -> DataFrame:
     """Load everything that is new in the stream, publish, then record the run.
 
-    ``publish`` is called after the load and returns the counters of a publish run.
+    ``publish`` is called after the load and returns the counters of a publish run. ``newer_by`` is as for a
+    load: a row that arrives late then does not replace a newer one.
 
     ``arriving`` holds items, or whatever ``prepare`` makes items from in each micro-batch.
 
@@ -62,7 +65,7 @@ def incremental_run(
             return
         items = prepare(batch) if prepare else batch
         metrics = load_run(
-            items, spec, table_path, f"{stream}-{batch_id}", run_ts, order_by, key, url
+            items, spec, table_path, f"{stream}-{batch_id}", run_ts, order_by, key, url, newer_by=newer_by
         )
         named = metrics.withColumn("run_id", F.lit(run_id))
         named.coalesce(1).write.mode("overwrite").parquet(done)
