@@ -69,6 +69,24 @@ def audit_rows(runs: DataFrame, *metrics: DataFrame) -> DataFrame:
     )
 
 
+def expected_backlog(before: Column, inserted: Column, uploaded: Column) -> Column:
+    """The backlog after a run as it follows from the one before: rows only come by inserts, and only wait no
+    longer by being published."""
+    return before + inserted - uploaded
+
+
+def backlog_drift(audit: DataFrame) -> DataFrame:
+    """Each run with the backlog that follows from the run before it, and by how much the counted one differs.
+
+    Runs follow each other by ``run_id`` within their DAG. Where a run left no record, or a repeated one has
+    replaced its counters, the next record shows what is missing. NULL for the first run.
+    """
+    by_run = Window.partitionBy("dag_id").orderBy("run_id")
+    expected = expected_backlog(F.lag("missing_s3_after_run").over(by_run), F.col("metadata_inserted"), F.col("images_uploaded"))
+    told = audit.select(*RUN_KEY, "missing_s3_after_run", expected.alias("expected_backlog"))
+    return told.withColumn("backlog_drift", F.col("missing_s3_after_run") - F.col("expected_backlog"))
+
+
 def latest_runs(audit: DataFrame, n: int = 5) -> DataFrame:
     """The last ``n`` runs by end. A run without an end sorts first; ``run_id`` breaks ties."""
     order = [F.col("ended_at").desc_nulls_first(), F.col("run_id").asc(), F.col("dag_id").asc()]

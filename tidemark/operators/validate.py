@@ -29,7 +29,7 @@ def valid_rows(flagged: DataFrame, columns: Sequence[str] = LOAD_COLUMNS) -> Dat
 
 
 class Check(NamedTuple):
-    """What a table should satisfy: columns without NULL, and a key that is unique."""
+    """What a table should satisfy: columns without NULL, and a key that is unique; either may be empty."""
 
     df: DataFrame
     table: str
@@ -42,6 +42,16 @@ def table_check(df: DataFrame, table: str, spec: TableSpec) -> Check:
     return Check(df, table, [f.name for f in spec.schema.fields if not f.nullable], spec.keys)
 
 
+def touched_checks(rows: DataFrame, keys: DataFrame, table: str, spec: TableSpec) -> list[Check]:
+    """What the rows that a merge has touched should satisfy: ``rows`` is the new version with ``op``, ``keys``
+    has the keys of the batch. Rows that the merge kept were checked when they came, so a sound version
+    stays sound, and the work goes with the batch: of the others only the keys are read."""
+    changed = rows.where(F.col("op").isin("insert", "update"))
+    required = [f.name for f in spec.schema.fields if not f.nullable]
+    met = rows.select(*spec.keys).join(keys.select(*spec.keys), list(spec.keys), "left_semi")
+    return [Check(changed, table, required, ()), Check(met, table, (), spec.keys)]
+
+
 def null_rows(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """The rows with a NULL in a required column. The filter reaches the Parquet scan, where row
     groups whose statistics show no NULL are skipped: on a sound table hardly any data is read."""
@@ -81,11 +91,11 @@ def constraint_report(*checks: Check) -> DataFrame:
     """NOT NULL and UNIQUE as counts of violating rows, one row per check, in one aggregate."""
     spark = checks[0].df.sparkSession
     names = [(c.table, "not_null", r) for c in checks for r in c.required]
-    names += [(c.table, "unique", ",".join(c.key)) for c in checks]
+    names += [(c.table, "unique", ",".join(c.key)) for c in checks if c.key]
     listed = F.array(*[F.struct(*map(F.lit, n)) for n in names])
     zeros = one_row(spark).select(F.inline(listed).alias("table_name", "check_name", "column_name"))
     parts = [zeros.withColumn("violations", F.lit(0).cast("bigint"))]
-    parts += [_nulls(c) for c in checks] + [_surplus(c) for c in checks]
+    parts += [_nulls(c) for c in checks if c.required] + [_surplus(c) for c in checks if c.key]
     return (
         reduce(DataFrame.union, parts)
         .groupBy("table_name", "check_name", "column_name")

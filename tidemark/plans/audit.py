@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.coerce import UNKNOWN_DAG, UNKNOWN_RUN
-from tidemark.operators.audit import audit_rows, run_identity
+from tidemark.operators.audit import audit_rows, expected_backlog, run_identity
+from tidemark.operators.ordering import By, rows_between
 from tidemark.operators.upsert import merge_statement, upsert
 from tidemark.schemas import RUN_AUDIT, TableSpec
 from tidemark.session import one_row
-from tidemark.sources.tables import ensure_table, merge
+from tidemark.sources.tables import ensure_table, merge, read_table
 
 
 def no_metrics(spark: SparkSession) -> DataFrame:
@@ -37,6 +38,9 @@ def audit_run(
 ) -> DataFrame:
     """Write the record of one run and return it. ``load``, ``publish`` and ``remaining`` are
     one-row metric frames; a run that is recorded again replaces its record.
+
+    The returned record also has ``backlog_drift``: by how much the counted backlog differs from that of the
+    run recorded last before, with what this one inserted and published; NULL without such a record.
     """
     ensure_table(spark, path, spec)
     text = lambda v: F.lit(v).cast("string")
@@ -56,6 +60,8 @@ def audit_run(
         of_run(remaining, "pending"),
     )
     record = spark.createDataFrame(record.toArrow(), record.schema)  # one row, fixed from here on
+    others = read_table(spark, path, spec).where((F.col("dag_id") == dag) & (F.col("run_id") != name))
+    before = rows_between(others, [By("updated_at", True), By("run_id", True)], 1).select("missing_s3_after_run").first()
     merge(
         spark,
         path,
@@ -66,4 +72,6 @@ def audit_run(
         lambda table, source: merge_statement(table, source, spec),
         may_be_empty=False,
     )
-    return record
+    known = F.lit(before[0] if before else None).cast("bigint")
+    expected = expected_backlog(known, F.col("metadata_inserted"), F.col("images_uploaded"))
+    return record.withColumn("backlog_drift", F.col("missing_s3_after_run") - expected)

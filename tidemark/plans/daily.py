@@ -40,12 +40,14 @@ def daily_run(
     newer_by: str | None = None,
     retry_s: int = RETRY_S,
     keep: int | None = None,
+    check: bool = False,
 ) -> DataFrame:
     """Run the four steps and return the audit record, with what only the run knows beside it: ``TOLD``.
 
     ``run_ts`` stamps the rows; the run ends when its audit step starts, unless ``ended_at`` is given.
     ``newer_by`` as for a load, ``retry_s`` as for a publish. With ``keep``, only so many versions of both
-    tables remain, and what they do not need is removed (``tables.clean``).
+    tables remain, and what they do not need is removed (``tables.clean``). With ``check``, a load that
+    would break what the table declares raises, and the table stays as it was.
 
     A step that fails raises, so a failed run leaves no record. Calling again with the same
     ``attempt`` resumes; a new one repeats the run, and its record replaces the old one.
@@ -54,7 +56,7 @@ def daily_run(
     landed = read_pages(spark, pages, lines)
     items = extract_items(landed, item_limit)
     load = load_run(
-        items, spec, table_path, f"{run_id}-{attempt}-load", run_ts, ARRIVAL, ITEM_KEY, "url", newer_by=newer_by
+        items, spec, table_path, f"{run_id}-{attempt}-load", run_ts, ARRIVAL, ITEM_KEY, "url", newer_by=newer_by, check=check
     )
     publish = publish_run(
         table_path,

@@ -25,6 +25,7 @@ def load_run(
     url: str,
     strict: bool = False,
     newer_by: str | None = None,
+    check: bool = False,
 ) -> DataFrame:
     """Merge items into the table at ``path`` and return one row of counters.
 
@@ -35,7 +36,7 @@ def load_run(
     not touched.
 
     With ``newer_by``, an update column with an event time, the newest row of a key wins within the batch
-    and against the table; rows that come too late are counted as stale.
+    and against the table; rows that come too late are counted as stale. ``check``: see ``tables.merge``.
     """
     spark = items.sparkSession
     folder = run_path(spark, path, run)
@@ -62,6 +63,7 @@ def load_run(
             lambda table, source: merge_statement(table, source, spec, newer_by),
             may_be_empty=False,
             newer_by=newer_by,
+            check=check,
         )
     return _metrics(spark, path, run, counts)
 

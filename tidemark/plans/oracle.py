@@ -303,6 +303,17 @@ def all_sql() -> dict[str, str]:
                                 WHEN lower(s3_key) LIKE '%.jpeg' OR lower(s3_key) LIKE '%.jpg' THEN 'image/jpeg'
                                 ELSE 'application/octet-stream' END AS content_type
             FROM k""",
+        "q_sql_functions": f"""
+            WITH k AS (SELECT *, 'wallpapers/' || page_id || '.' || {_EXTENSION} AS s3_key FROM pages
+                       WHERE coalesce(url, '') <> '' AND page_id IS NOT NULL AND NOT contains(lower(url), 'spam'))
+            SELECT page_id, {_EXTENSION} AS extension, s3_key,
+                   CASE WHEN lower(s3_key) LIKE '%.png' THEN 'image/png' WHEN lower(s3_key) LIKE '%.webp' THEN 'image/webp'
+                        WHEN lower(s3_key) LIKE '%.jpeg' OR lower(s3_key) LIKE '%.jpg' THEN 'image/jpeg'
+                        ELSE 'application/octet-stream' END AS content_type,
+                   page_id % 10 + 495 IN (429, 500, 502, 503, 504) AS retryable,
+                   CASE WHEN page_id % 10 + 400 = 404 THEN 'missing' ELSE 'unknown' END AS probe,
+                   CASE WHEN page_id % 3 = 0 THEN 'unknown_run' ELSE CAST(page_id % 3 AS VARCHAR) END AS run
+            FROM k""",
         "q_reconcile": """
             SELECT doc_id, source, doc_id IN (SELECT doc_id FROM labels) AS object_exists FROM documents""",
         "q_to_upload": """
@@ -348,6 +359,23 @@ def all_sql() -> dict[str, str]:
         "q_run_history": _HISTORY,
         "q_audit_row": _AUDIT,
         "q_audit_upsert": _AUDIT_TABLE,
+        "q_backlog_drift": f"""
+            WITH a AS (SELECT * FROM ({_AUDIT}) WHERE day(logical_date) % 7 <> 3), e AS (
+                SELECT dag_id, run_id, missing_s3_after_run, lag(missing_s3_after_run)
+                       OVER (PARTITION BY dag_id ORDER BY run_id) + metadata_inserted - images_uploaded AS expected_backlog
+                FROM a
+            )
+            SELECT *, missing_s3_after_run - expected_backlog AS backlog_drift FROM e""",
+        "q_touched_report": f"""
+            WITH u AS ({_UPSERTED}), r AS (
+                SELECT * REPLACE (CASE WHEN user_id % 11 <> 5 THEN created_at END AS created_at) FROM u
+                UNION ALL
+                SELECT * REPLACE (CASE WHEN user_id % 11 <> 5 THEN created_at END AS created_at) FROM u WHERE user_id % 13 = 4
+            ), touched AS (SELECT * FROM r WHERE op <> 'keep')
+            SELECT 'events' AS table_name, 'not_null' AS check_name, 'user_id' AS column_name, count(*) FILTER (WHERE user_id IS NULL) AS violations FROM touched
+            UNION ALL SELECT 'events', 'not_null', 'event_type', count(*) FILTER (WHERE event_type IS NULL) FROM touched
+            UNION ALL SELECT 'events', 'not_null', 'created_at', count(*) FILTER (WHERE created_at IS NULL) FROM touched
+            UNION ALL SELECT 'events', 'unique', 'user_id,event_type', count(*) - count(DISTINCT (user_id, event_type)) FROM touched""",
         "q_latest_runs": f"""
             SELECT dag_id, run_id, metadata_inserted, metadata_updated, images_uploaded, download_failures,
                    upload_failures, missing_s3_after_run, duration_seconds, ended_at

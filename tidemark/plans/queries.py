@@ -22,8 +22,9 @@ from pyspark.sql.types import (
 )
 
 from tidemark.functions.coerce import run_timestamp
+from tidemark.functions.sql import register_functions
 from tidemark.functions.keys import KEY_PREFIX, content_type, is_retryable, object_key, payload_size, probe_class, url_extension
-from tidemark.operators.audit import RUN_KEY, audit_rows, latest_runs, run_history, run_identity, run_outcomes
+from tidemark.operators.audit import RUN_KEY, audit_rows, backlog_drift, latest_runs, run_history, run_identity, run_outcomes
 from tidemark.operators.dedupe import dedupe_last, first_n
 from tidemark.operators.ordering import By
 from tidemark.operators.pending import backlog, pending_batch
@@ -42,7 +43,7 @@ from tidemark.operators.reconcile import (
 )
 from tidemark.operators.search import search_page
 from tidemark.operators.upsert import load_metrics, op_counts, upsert
-from tidemark.operators.validate import Check, constraint_report, flag_valid, valid_rows
+from tidemark.operators.validate import Check, constraint_report, flag_valid, touched_checks, valid_rows
 from tidemark.plans.inputs import read_input
 from tidemark.plans.publish import RETRY_S, publish_run
 from tidemark.schemas import RUN_AUDIT, RUN_COUNTERS, TableSpec
@@ -308,6 +309,18 @@ def q_constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_touched_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge gone wrong: some rows have lost their stamp, some keys come twice, among kept rows too, which
+    only a look at the whole table would find."""
+    rows = _upserted(spark, sf_dir)
+    no_stamp = F.when(F.col("user_id") % 11 != 5, F.col("created_at"))
+    twice = F.when(F.col("user_id") % 13 == 4, 2).otherwise(1)
+    broken = rows.withColumn("created_at", no_stamp).withColumn("_n", F.explode(F.sequence(F.lit(1), twice))).drop("_n")
+    _, after = _before_and_after(spark, sf_dir)
+    keys = after.select(*EVENT_KEY).distinct()
+    return constraint_report(*touched_checks(broken, keys, "events", EVENT_TABLE))
+
+
 # --- pending rows, keys, publishing ----------------------------------------------------------
 
 
@@ -361,6 +374,23 @@ def q_content_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.select("s3_key", content_type(F.col("s3_key")).alias("content_type"))
 
 
+def q_sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules as SQL functions, in one statement over web pages."""
+    register_functions(spark)
+    pages = read_input(spark, sf_dir, "pages")
+    return spark.sql(
+        """
+        SELECT page_id, url_extension(url) AS extension, object_key(string(page_id), url) AS s3_key,
+               content_type(object_key(string(page_id), url)) AS content_type,
+               is_retryable(int(page_id % 10 + 495)) AS retryable, probe_class(string(page_id % 10 + 400)) AS probe,
+               run_name(nullif(string(page_id % 3), '0'), '') AS run
+        FROM {pages}
+        WHERE is_valid_item(string(page_id), url) AND NOT matches_search(url, 'SPAM')
+        """,
+        pages=pages,
+    )
+
+
 def q_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_input(spark, sf_dir, "documents").select("doc_id", "source")
     return reconcile(documents, read_input(spark, sf_dir, "labels"), "doc_id")
@@ -564,6 +594,12 @@ def q_audit_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _audit_table(spark, sf_dir)
 
 
+def q_backlog_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every seventh day have failed and left no record."""
+    recorded = _audit(spark, sf_dir).where(F.dayofmonth("logical_date") % 7 != 3)
+    return backlog_drift(recorded)
+
+
 def q_latest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_runs(_audit_table(spark, sf_dir), 5)
 

@@ -46,6 +46,11 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
 
+def mark_complete(spark: SparkSession, path: str) -> None:
+    fs, done = hadoop(spark, f"{path}/_SUCCESS")
+    fs.create(done, True).close()
+
+
 def run_name(run: str) -> str:
     """A folder name for a run, which may be any text."""
     readable = re.sub(r"[^A-Za-z0-9_.-]", "_", run)

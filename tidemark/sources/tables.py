@@ -28,9 +28,15 @@ from pyspark.sql.types import StructField, StructType
 
 from tidemark.operators.reconcile import apply_published
 from tidemark.operators.upsert import is_stale
+from tidemark.operators.validate import constraint_report, touched_checks
 from tidemark.schemas import PENDING, TableSpec
 from tidemark.sources import log
-from tidemark.sources.folders import CATALOG, hadoop, is_complete, make_folder, names_in, remove, run_name, state_path
+from tidemark.sources.folders import CATALOG, is_complete, make_folder, mark_complete, names_in, remove, run_name, state_path
+
+
+class ConstraintViolated(ValueError):
+    """A merge would have left rows that break what the table declares."""
+
 
 Resolve = Callable[[DataFrame, DataFrame], DataFrame]
 Statement = Callable[[str, str], str]
@@ -104,8 +110,7 @@ def ensure_table(spark: SparkSession, path: str, spec: TableSpec) -> None:
     elif current_version(spark, path) is None:
         empty = f"{path}/v{0:08d}.{0:08d}-empty"
         make_folder(spark, empty)
-        fs, done = hadoop(spark, f"{empty}/_SUCCESS")
-        fs.create(done, True).close()
+        mark_complete(spark, empty)
 
 
 # ---- reading -------------------------------------------------------------------------------------
@@ -122,9 +127,13 @@ def _version(spark: SparkSession, path: str) -> Version:
     return version
 
 
-def _files(spark: SparkSession, version: Version, spec: TableSpec) -> DataFrame:
+def _plain(spark: SparkSession, folder: str, spec: TableSpec, more: str = "") -> DataFrame:
     schema = StructType([*_nullable(spec).fields, *([PENDING] if spec.pending_col else [])])
-    return spark.read.schema(schema).parquet(version.folder)
+    return spark.read.schema(f"{schema.toDDL()}, {more}" if more else schema).parquet(folder)
+
+
+def _files(spark: SparkSession, version: Version, spec: TableSpec) -> DataFrame:
+    return _plain(spark, version.folder, spec)
 
 
 def _since(spark: SparkSession, path: str, version: Version, spec: TableSpec) -> DataFrame | None:
@@ -195,6 +204,7 @@ def merge(
     statement: Statement | None = None,
     may_be_empty: bool = True,
     newer_by: str | None = None,
+    check: bool = False,
 ) -> bool:
     """Merge ``changes`` (one row per key) into the table; False if there is nothing to merge. A caller
     that knows that there is something saves the look.
@@ -202,10 +212,17 @@ def merge(
     ``resolve(current, changes)`` returns the next version's rows with ``op``, every current row among
     them. For a table of a catalog ``statement(table, source)`` is the same merge as text. A ``run``
     that has been merged is not merged again. ``newer_by`` is the event time that both may be guarded by.
+
+    With ``check`` the rows that the merge has touched must satisfy what the table declares. A version that
+    breaks it never counts, and the merge raises; a table of a catalog can only be looked at afterwards.
     """
     changes = changes.withColumns({k: spec.typed(k) for k in spec.keys})
     if path.startswith(CATALOG):
-        return _merge_into(spark, path, spec, run, changes, statement, newer_by)
+        merged = _merge_into(spark, path, spec, run, changes, statement, newer_by)
+        if merged and check:
+            rows = read_table(spark, path, spec).join(changes.select(*spec.keys), list(spec.keys), "left_semi")
+            _must_hold(rows.withColumn("op", F.lit("update")), changes, path, spec)
+        return merged
     if version_of(spark, path, run):
         return True
     if may_be_empty and changes.isEmpty():
@@ -213,11 +230,29 @@ def merge(
     taken = log.current_log(spark, path).last if spec.pending_col else 0
     rows = resolve(read_table(spark, path, spec), changes).select(*[spec.typed(c) for c in spec.columns], "op")
     last = _versions(spark, path)[0].number
+    folder = f"{path}/v{last + 1:08d}.{taken:08d}-{run_name(run)}"
+    _write(rows, folder, spec, marked=not check)
+    if check:
+        written = _plain(spark, folder, spec, "op string")
+        _must_hold(written, changes, path, spec)
+        mark_complete(spark, folder)
+    return True
+
+
+def _write(rows: DataFrame, folder: str, spec: TableSpec, marked: bool) -> None:
     writer = rows.write
     if spec.pending_col:
         writer = rows.withColumn(PENDING.name, F.col(spec.pending_col).isNull()).write.partitionBy(PENDING.name)
-    writer.mode("overwrite").parquet(f"{path}/v{last + 1:08d}.{taken:08d}-{run_name(run)}")
-    return True
+    # This option of Hadoop's committer leaves _SUCCESS to us.
+    writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(marked).lower()).mode("overwrite").parquet(folder)
+
+
+def _must_hold(rows: DataFrame, changes: DataFrame, name: str, spec: TableSpec) -> None:
+    report = constraint_report(*touched_checks(rows, changes, name, spec))
+    broken = report.where("violations > 0").collect()  # a row per constraint
+    if broken:
+        found = ", ".join(f"{r.check_name} {r.column_name}: {r.violations}" for r in broken)
+        raise ConstraintViolated(f"{name}: {found}")
 
 
 def _merge_into(
