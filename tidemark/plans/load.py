@@ -52,7 +52,8 @@ def load_run(
         unique = dedupe_last(staged.where("valid"), spec.keys, [*order, *ties], strict)
         # Written once: the join forms read it up to three times.
         batch = _staged(unique.select(*loaded), f"{folder}/batch").withColumn("run_ts", run_ts)
-        small = fits_broadcast(counts["valid"], counts["valid_bytes"])
+        # A bucketed table is not moved either way, and its rows stay in their buckets without a broadcast.
+        small = not spec.buckets and fits_broadcast(counts["valid"], counts["valid_bytes"])
         merge(
             spark,
             path,

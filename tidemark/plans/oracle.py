@@ -268,6 +268,7 @@ def all_sql() -> dict[str, str]:
             FROM b GROUP BY later""",
         "q_dedupe_last": _LAST.format(part="TRUE"),
         "q_upsert_rows": _UPSERTED,
+        "q_bucketed_upsert": _UPSERTED,
         "q_upsert_ops": f"SELECT op, count(*) AS n FROM ({_UPSERTED}) GROUP BY op",
         "q_constraint_report": _constraints(),
         "q_pending_batch": """

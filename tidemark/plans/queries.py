@@ -50,6 +50,7 @@ from tidemark.schemas import RUN_AUDIT, RUN_COUNTERS, TableSpec
 from tidemark.session import new_folder, ship_package
 from tidemark.sources.blobs import put_objects, write_contents
 from tidemark.sources.landing import extract_items, page_metrics, read_pages
+from tidemark.sources.buckets import read_bucketed, write_bucketed
 from tidemark.sources.folders import make_folder
 from tidemark.sources.tables import ensure_table, read_table
 from tidemark.streaming.incremental import incremental_run
@@ -240,7 +241,7 @@ def q_dedupe_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_last(read_input(spark, sf_dir, "events"), EVENT_KEY, ARRIVAL)
 
 
-def _upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _upsert_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     before, after = (dedupe_last(part, EVENT_KEY, ARRIVAL) for part in _before_and_after(spark, sf_dir))
     key = F.concat_ws("/", "event_type", "user_id")
     target = before.select(
@@ -251,14 +252,26 @@ def _upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
         _at("2024-01-08 06:00:00").alias("updated_at"),
     )
     # an incoming NULL has to overwrite
-    batch = after.withColumn("props", F.nullif(F.get_json_object("props", "$.k"), F.lit("7")))
-    return upsert(target, batch, EVENT_TABLE, _at("2024-01-15 00:00:00"))
+    return target, after.withColumn("props", F.nullif(F.get_json_object("props", "$.k"), F.lit("7")))
+
+
+def _upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upsert(*_upsert_sides(spark, sf_dir), EVENT_TABLE, _at("2024-01-15 00:00:00"))
 
 
 def q_upsert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upserted(spark, sf_dir)
 
 
+def q_bucketed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merge against a table that is bucketed by its key: only the batch is moved."""
+    target, batch = _upsert_sides(spark, sf_dir)
+    folder, buckets = new_folder(spark, "bucketed"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_bucketed(target, folder, EVENT_KEY, buckets)
+    table = read_bucketed(spark, folder, target.schema, EVENT_KEY, buckets)
+    return upsert(table, batch, EVENT_TABLE, _at("2024-01-15 00:00:00"))
+
+
 def q_upsert_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op_counts(_upserted(spark, sf_dir))
 

@@ -82,6 +82,8 @@ class TableSpec:
     ``update_cols`` are replaced by the batch; ``insert_stamps`` and ``update_stamps`` take the
     run's timestamp when a row is inserted or matched; everything else is kept.
     ``pending_col`` is NULL in rows that wait to be published; those get files of their own.
+    With ``buckets`` the versions of a table are bucketed by its keys, so that a merge moves only the
+    batch, however large it is; as many buckets as a join of the table should have tasks.
     """
 
     schema: StructType
@@ -90,6 +92,7 @@ class TableSpec:
     insert_stamps: tuple[str, ...] = ()
     update_stamps: tuple[str, ...] = ()
     pending_col: str | None = None
+    buckets: int = 0
 
     @property
     def columns(self) -> list[str]:

@@ -24,13 +24,14 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.operators.reconcile import apply_published
 from tidemark.operators.upsert import is_stale
 from tidemark.operators.validate import constraint_report, touched_checks
 from tidemark.schemas import PENDING, TableSpec
 from tidemark.sources import log
+from tidemark.sources.buckets import forget, read_bucketed, write_bucketed
 from tidemark.sources.folders import CATALOG, is_complete, make_folder, mark_complete, names_in, remove, run_name, state_path
 
 
@@ -88,6 +89,8 @@ def drop_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
     """
     complete = [v.number for v in _versions(spark, path) if is_complete(spark, v.folder)]
     old = [v.folder for v in _versions(spark, path) if complete[keep - 1 :] and v.number < complete[keep - 1]]
+    for folder in old:
+        forget(spark, folder)
     return remove(spark, old)
 
 
@@ -133,6 +136,10 @@ def _plain(spark: SparkSession, folder: str, spec: TableSpec, more: str = "") ->
 
 
 def _files(spark: SparkSession, version: Version, spec: TableSpec) -> DataFrame:
+    if spec.buckets and version.number:
+        split = [PENDING.name] if spec.pending_col else []
+        schema = StructType([*_nullable(spec).fields, StructField("op", StringType()), *([PENDING] if spec.pending_col else [])])
+        return read_bucketed(spark, version.folder, schema, spec.keys, spec.buckets, split)
     return _plain(spark, version.folder, spec)
 
 
@@ -231,7 +238,7 @@ def merge(
     rows = resolve(read_table(spark, path, spec), changes).select(*[spec.typed(c) for c in spec.columns], "op")
     last = _versions(spark, path)[0].number
     folder = f"{path}/v{last + 1:08d}.{taken:08d}-{run_name(run)}"
-    _write(rows, folder, spec, marked=not check)
+    _write(rows, folder, spec, marked=not check, dealt=last > 0)
     if check:
         written = _plain(spark, folder, spec, "op string")
         _must_hold(written, changes, path, spec)
@@ -239,10 +246,14 @@ def merge(
     return True
 
 
-def _write(rows: DataFrame, folder: str, spec: TableSpec, marked: bool) -> None:
-    writer = rows.write
+def _write(rows: DataFrame, folder: str, spec: TableSpec, marked: bool, dealt: bool) -> None:
+    split = []
     if spec.pending_col:
-        writer = rows.withColumn(PENDING.name, F.col(spec.pending_col).isNull()).write.partitionBy(PENDING.name)
+        rows, split = rows.withColumn(PENDING.name, F.col(spec.pending_col).isNull()), [PENDING.name]
+    if spec.buckets:
+        write_bucketed(rows, folder, spec.keys, spec.buckets, split, marked, dealt)
+        return
+    writer = rows.write.partitionBy(*split) if split else rows.write
     # This option of Hadoop's committer leaves _SUCCESS to us.
     writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(marked).lower()).mode("overwrite").parquet(folder)
 
