@@ -111,6 +111,21 @@ def test_a_run_as_a_job(site):
     assert record["extracted"] == 8 and record["ended_at"] is not None
 
 
+def test_a_streamed_run_as_a_job(spark, site):
+    from tidemark.__main__ import main
+
+    args = f"--pages {site.root}/pages --contents {site.root}/contents --objects {site.root}/objects --stream {site.root}/state "
+    args += f"--table {site.table} --audit {site.audit} --dag-id d --keep 2 --check --logical-date 2024-01-01 --run-id "
+    site.page("one", ["a", "b", "b"], staged=["a"])
+    record = main((args + "r1").split())
+    assert (record["metadata_inserted"], record["images_uploaded"], record["missing_s3_after_run"]) == (2, 1, 1)
+    site.page("two", ["b", "c"], staged=["c"])
+    record = main((args + "r2").split())
+    assert (record["metadata_inserted"], record["metadata_updated"], record["images_uploaded"]) == (1, 1, 1)
+    assert record["backlog_drift"] == 0 and str(record["logical_date"]).startswith("2024-01-01")
+    assert sum(n.startswith("v0") for n in os.listdir(site.table)) == 2 and [r[0] for r in site.rows()] == list("abc")
+
+
 def test_times_without_an_offset_are_utc(spark, site):
     from tidemark.__main__ import main
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.coerce import run_timestamp
 from tidemark.plans.daily import daily_run
+from tidemark.schemas import WALLPAPERS
+from tidemark.streaming.incremental import streamed_run
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -22,6 +24,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--item-limit", type=int, help="first items of each page; all by default")
     p.add_argument("--batch-limit", type=int, default=5, help="pending rows to publish")
     p.add_argument("--lines", action="store_true", help="pages are lines, not files")
+    p.add_argument("--stream", metavar="STATE", help="take what has come to the folder --pages since the last run; STATE keeps how far that was")
+    p.add_argument("--newer-by", choices=WALLPAPERS.update_cols, help="an older row never replaces a newer one by this column")
+    p.add_argument("--check", action="store_true", help="a load that would break a constraint fails and changes nothing")
+    p.add_argument("--keep", type=int, help="versions to keep of both tables; all by default")
     return p.parse_args(argv)
 
 
@@ -30,7 +36,9 @@ def main(argv: list[str] | None = None) -> dict:
     time = lambda text: F.lit(text).cast("timestamp")
     spark = SparkSession.builder.appName(f"tidemark {a.run_id}").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")  # times without an offset are UTC
-    record = daily_run(
+    run = streamed_run if a.stream else daily_run
+    more = {"state": a.stream} if a.stream else {"attempt": a.attempt}
+    record = run(
         spark,
         a.pages,
         a.contents,
@@ -44,8 +52,11 @@ def main(argv: list[str] | None = None) -> dict:
         logical_date=time(a.logical_date),
         item_limit=a.item_limit,
         batch_limit=a.batch_limit,
-        attempt=a.attempt,
         lines=a.lines,
+        newer_by=a.newer_by,
+        check=a.check,
+        keep=a.keep,
+        **more,
     ).first()
     return record.asDict()
 

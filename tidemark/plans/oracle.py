@@ -120,7 +120,7 @@ _AUDIT_TABLE = f"""
 
 # week number of an event, and the run timestamp of a week
 _FIRST = "(SELECT CAST(min(date_trunc('day', ts)) AS TIMESTAMP) FROM events)"
-_WEEK = f"CAST(floor(date_diff('day', {_FIRST}, date_trunc('day', ts)) / 7) AS INTEGER)"
+_WEEK = f"coalesce(CAST(floor(date_diff('day', {_FIRST}, date_trunc('day', ts)) / 7) AS INTEGER), 0)"
 _RUN_TS = _FIRST + " + INTERVAL '10.9' SECOND + to_days(7 * {week})"
 
 # a key is published in the week that brings it, if there is content for its user
@@ -270,6 +270,14 @@ def all_sql() -> dict[str, str]:
         "q_upsert_rows": _UPSERTED,
         "q_bucketed_upsert": _UPSERTED,
         "q_upsert_ops": f"SELECT op, count(*) AS n FROM ({_UPSERTED}) GROUP BY op",
+        "q_rerun_ops": f"""
+            SELECT * REPLACE (CASE WHEN op = 'keep' THEN 'keep' ELSE 'update' END AS op,
+                              CASE WHEN op = 'keep' THEN updated_at ELSE TIMESTAMP '2024-01-16' END AS updated_at)
+            FROM ({_UPSERTED})""",
+        "q_empty_loads": """
+            SELECT 'none' AS load, CAST(0 AS BIGINT) AS extracted, CAST(0 AS BIGINT) AS invalid, CAST(0 AS BIGINT) AS duplicates,
+                   CAST(0 AS BIGINT) AS inserted, CAST(0 AS BIGINT) AS updated
+            UNION ALL SELECT 'invalid', count(*), count(*), 0, 0, 0 FROM events""",
         "q_constraint_report": _constraints(),
         "q_pending_batch": """
             SELECT d.doc_id, lang, source FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id

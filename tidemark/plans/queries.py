@@ -297,6 +297,23 @@ def q_guarded_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op_counts(_guarded(spark, sf_dir))
 
 
+def q_rerun_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batch a second time: the same rows, and all that the batch has count as updated."""
+    target, batch = _upsert_sides(spark, sf_dir)
+    first = upsert(target, batch, EVENT_TABLE, _at("2024-01-15 00:00:00")).drop("op")
+    return upsert(first, batch, EVENT_TABLE, _at("2024-01-16 00:00:00"))
+
+
+def q_empty_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches without items, and without valid ones, against all keys of the events."""
+    events = read_input(spark, sf_dir, "events")
+    items = events.select(*EVENT_KEY, F.nullif("event_type", F.col("event_type")).alias("url"))
+    flagged, known = flag_valid(items, "user_id", "url"), events.select(*EVENT_KEY)
+    kinds = {"none": flagged.where("user_id < 0"), "invalid": flagged}
+    loads = [load_metrics(f, known, EVENT_KEY).select(F.lit(n).alias("load"), "*") for n, f in kinds.items()]
+    return loads[0].unionByName(loads[1])
+
+
 def q_constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     checks = {
         "region": (["r_regionkey", "r_name"], ["r_regionkey"]),
@@ -648,8 +665,10 @@ def _replay(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     items = spark.readStream.schema(events.schema).parquet(f"{base}/landing")
     day, name = F.to_date("ts"), F.concat_ws("-", "event_type", "user_id")
     _stage_contents(events, name, base)
-    for week in _weeks(spark, sf_dir):
-        delivered = events.where((day >= F.lit(week)) & (day < F.lit(week + timedelta(days=7))))
+    weeks = _weeks(spark, sf_dir)
+    for week in weeks:
+        here = (day >= F.lit(week)) & (day < F.lit(week + timedelta(days=7)))
+        delivered = events.where(here | day.isNull() if week == weeks[0] else here)
         delivered.write.mode("append").parquet(f"{base}/landing")
         run_ts = _at(f"{week} 00:00:10.900")
         incremental_run(

@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.audit import audit_run
 from tidemark.plans.load import load_run
-from tidemark.schemas import RUN_AUDIT, TableSpec
+from tidemark.plans.publish import publish_run
+from tidemark.schemas import ITEM_KEY, RUN_AUDIT, WALLPAPERS, TableSpec
 from tidemark.session import one_row
+from tidemark.sources.blobs import FIRST_WAIT_S
 from tidemark.sources.folders import is_complete, make_folder
-from tidemark.sources.tables import count_pending, ensure_table
+from tidemark.sources.landing import ARRIVAL, extract_items, stream_pages
+from tidemark.sources.tables import clean, count_pending, ensure_table
 
 COUNTERS = ["extracted", "invalid", "duplicates", "inserted", "updated", "stale"]
 
@@ -40,11 +43,13 @@ def incremental_run(
     audit_spec: TableSpec = RUN_AUDIT,
     publish: Callable[[], DataFrame] | None = None,
     newer_by: str | None = None,
+    check: bool = False,
+    logical_date: Column | None = None,
 ) -> DataFrame:
     """Load everything that is new in the stream, publish, then record the run.
 
     ``publish`` is called after the load and returns the counters of a publish run. ``newer_by`` is as for a
-    load: a row that arrives late then does not replace a newer one.
+    load: a row that arrives late then does not replace a newer one. ``check`` too.
 
     ``arriving`` holds items, or whatever ``prepare`` makes items from in each micro-batch.
 
@@ -65,7 +70,7 @@ def incremental_run(
             return
         items = prepare(batch) if prepare else batch
         metrics = load_run(
-            items, spec, table_path, f"{stream}-{batch_id}", run_ts, order_by, key, url, newer_by=newer_by
+            items, spec, table_path, f"{stream}-{batch_id}", run_ts, order_by, key, url, newer_by=newer_by, check=check
         )
         named = metrics.withColumn("run_id", F.lit(run_id))
         named.coalesce(1).write.mode("overwrite").parquet(done)
@@ -90,7 +95,7 @@ def incremental_run(
         audit_path,
         dag_id,
         run_id,
-        F.lit(None).cast(audit_spec.schema["logical_date"].dataType),
+        (F.lit(None) if logical_date is None else logical_date).cast(audit_spec.schema["logical_date"].dataType),
         started_at,
         run_ts,
         metrics,
@@ -99,3 +104,54 @@ def incremental_run(
         run_ts,
         audit_spec,
     )
+
+
+def streamed_run(
+    spark: SparkSession,
+    pages: str,
+    content_root: str,
+    object_root: str,
+    table_path: str,
+    audit_path: str,
+    dag_id: str,
+    run_id: str,
+    started_at: Column,
+    run_ts: Column,
+    state: str,
+    logical_date: Column | None = None,
+    item_limit: int | None = None,
+    batch_limit: int = 5,
+    spec: TableSpec = WALLPAPERS,
+    lines: bool = False,
+    wait_s: float = FIRST_WAIT_S,
+    newer_by: str | None = None,
+    check: bool = False,
+    keep: int | None = None,
+) -> DataFrame:
+    """``daily_run`` over a folder that pages keep coming to: a run takes the files that are new since the one
+    before, publishes and records. ``state`` remembers which those were. Returns the audit record."""
+    record = incremental_run(
+        stream_pages(spark, pages, lines),
+        spec,
+        table_path,
+        audit_path,
+        state,
+        dag_id,
+        run_id,
+        started_at,
+        run_ts,
+        ARRIVAL,
+        ITEM_KEY,
+        "url",
+        prepare=lambda batch: extract_items(batch, item_limit),
+        publish=lambda: publish_run(
+            table_path, content_root, object_root, f"{run_id}-publish", run_ts, batch_limit, spec=spec, wait_s=wait_s, spark=spark
+        ),
+        newer_by=newer_by,
+        check=check,
+        logical_date=logical_date,
+    )
+    if keep is not None:
+        for path in (table_path, audit_path):
+            clean(spark, path, keep)
+    return record
