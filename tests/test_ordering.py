@@ -56,7 +56,8 @@ KINDS = {
 def test_places_in_columns_of_any_kind(spark, monkeypatch, kind, down):
     """Also with NULLs and NaN, few rows to sort at the end, and many equal ones."""
     monkeypatch.setattr("tidemark.operators.ordering.FEW", 90)
-    monkeypatch.setattr("tidemark.operators.ordering.CUTS", 12)
+    monkeypatch.setattr("tidemark.operators.ordering.SAMPLE", 60)
+    monkeypatch.setattr("tidemark.operators.ordering.MARGIN", 4)
     df = spark.range(0, 3000, 1, 3).selectExpr("id", f"{KINDS[kind]} AS v")
     by = [By("v", down), By("id", not down)]
     want = [r.id for r in df.orderBy(*[b.order for b in by]).collect()]

@@ -63,7 +63,8 @@ class Place(NamedTuple):
 
 DEEP = 10_000  # rows that every task may send to one
 FEW = 20_000  # rows whose sort columns the driver sorts at the end
-CUTS = 16  # places that are looked at in one pass
+SAMPLE = 1_024  # rows from which the cuts of a pass are chosen
+MARGIN = 48  # rows of the sample on either side, three deviations of where the rank may be
 
 
 def _beyond(by: Sequence[By], at: Sequence[Column | None], or_at: bool = False) -> Column:
@@ -100,9 +101,9 @@ def _until(df: DataFrame, by: Sequence[By], at: Sequence[Column | None], or_at:
 def place_of(df: DataFrame, by: Sequence[By], rank: int) -> Place | None:
     """Where the row number ``rank`` (from 0) of ``df`` stands in the order; None if there are fewer.
 
-    Each pass takes some rows at random as cuts and counts the rows before and up to each of them, in one
-    aggregate: no row is moved. What lies between the two cuts around the rank is looked at next, some
-    ten times less each time, until the rank is at a cut, as it is in a heap of equal rows, or so few
+    Each pass takes a few cuts from a random sample, one where the rank should be and one on either side, and
+    counts the rows before and up to each of them, in one aggregate: no row is moved. What lies between the
+    two cuts around the rank is looked at next, some ten times less each time, until the rank is at a cut, as it is in a heap of equal rows, or so few
     rows remain (``FEW``) that their sort columns go to the driver.
     """
     kinds = [df.schema[b.column].dataType for b in by]
@@ -127,8 +128,10 @@ def place_of(df: DataFrame, by: Sequence[By], rank: int) -> Place | None:
             while last < len(rows) and rows[last] == rows[first]:
                 last += 1
             return Place(places(rows[here : here + 1])[0], before + first, before + max(last, here + 1))
-        some = keys.orderBy(F.rand(rank)).limit(CUTS)
-        cuts = places(some.distinct().orderBy(*order).select(*shown).collect())
+        some = keys.orderBy(F.rand(rank)).limit(SAMPLE).orderBy(*order).select(*shown).collect()
+        middle = here * len(some) // size
+        chosen = {some[min(max(i, 0), len(some) - 1)]: None for i in (middle - MARGIN, middle, middle + MARGIN)}
+        cuts = places(list(chosen))
         counts = [F.count_if(_beyond(by, c, or_at)).alias(f"n{i}{or_at}") for i, c in enumerate(cuts) for or_at in (True, False)]
         counted = list(keys.agg(*counts).first())
         ranked = [(size - a, size - b, c) for a, b, c in zip(counted[::2], counted[1::2], cuts, strict=True)]
