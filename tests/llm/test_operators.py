@@ -75,6 +75,23 @@ def test_short_notices(spark, documents):
     assert {r["text"]: r["s"]["license"] for r in rows} == SHORT_NOTICES
 
 
+def test_code_points_of_all_planes():
+    """Every 29th code point in the suite; all of them, in two surroundings, were compared once."""
+    path = vocabulary("word_bpe_49k.json")
+    library, mine = Tokenizer.from_file(path), bpe.WordBpe(path)
+    newer = [0x558, 0x88F, 0x10940, 0x11DB0, 0x16EA0, 0x18D09, 0x323E7, 0x333A6, 0x3D98A, 0x1F600, 0xFFFD, 0x10FFFF]
+    codes = newer + [c for c in range(1, 0x110000, 29) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{chr(c)}b !{chr(c)}?" for c in codes]
+    wrong = [hex(c) for c, t, e in zip(codes, texts, library.encode_batch(texts, add_special_tokens=False), strict=True) if mine.encode(t) != e.ids]
+    assert not wrong
+    assert {chr(0x10940), chr(0x323E7)} <= mine.disputed and not any(map("aéЖ日".__contains__, mine.disputed))
+
+
+def test_long_words_are_not_kept():
+    words = bpe.Recent(lambda w: (len(w),))
+    assert words["x" * 64] == (64,) and words["x" * 65] == (65,) and list(words) == ["x" * 64]
+
+
 def test_ids_and_text_equal_the_library(documents):
     path = vocabulary("word_bpe_49k.json")
     library, rows = Tokenizer.from_file(path), bpe.round_trip(documents).collect()

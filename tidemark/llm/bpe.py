@@ -34,8 +34,13 @@ from tidemark.llm.common import text_udf, vocabulary
 
 END = "\0"  # stands for the end-of-word suffix; the byte alphabet does not contain it
 CACHED_WORDS = 200_000
+CACHED_CHARS = 64  # longer strings are worked out each time, so that a cache is bounded in characters too
 CACHED_PAIRS = 400_000
 
+# Below this code point all tables of letters agree.
+_SETTLED = "\u0250"
+_PLANES = (0, 1, 2, 3, 14)  # the others have no letters
+
 # Bytes that stand for themselves in a byte-level vocabulary; the others follow from 256.
 PLAIN_BYTES = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
 
@@ -47,7 +52,8 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class Recent(dict):
-    """Ids of strings, worked out when first asked for. What was not used for a while goes."""
+    """Ids of strings, worked out when first asked for. What was not used for a while goes, and long
+    strings are not kept."""
 
     def __init__(self, encode):
         super().__init__()
@@ -55,6 +61,8 @@ class Recent(dict):
         self.older: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, text: str) -> tuple[int, ...]:
+        if len(text) > CACHED_CHARS:
+            return self.encode(text)
         if len(self) >= CACHED_WORDS:
             self.older = dict(self)
             self.clear()
@@ -90,13 +98,42 @@ class WordBpe:
             self.made[i] = steps[-1]
         self.matcher.make_automaton()
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.pieces = regex.compile(pattern).findall
+        self.matches = regex.compile(pattern).findall
+        self.splitter = Tokenizer.from_file(path).pre_tokenizer
+        self.disputed: frozenset[str] | None = None
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split
         self.normalizer = Tokenizer.from_file(path).normalizer
         self.pairs: dict[tuple[int, int], bool] = {}
         self.words = Recent(lambda w: tuple(self.encode_word(w)))
         self.chunks = Recent(lambda c: tuple(chain.from_iterable(map(self.words.__getitem__, self.pieces(c)))))
 
+    def split(self, chunk: str) -> list[str]:
+        """A chunk's pieces as the vocabulary file's own splitter gives them."""
+        return [chunk[a:b] for _, (a, b) in self.splitter.pre_tokenize_str(chunk)]
+
+    def pieces(self, chunk: str) -> list[str]:
+        """The same by the pattern, which is faster, but knows letters by tables of another age: a chunk with
+        a character on which the two differ goes to the splitter. Which those are is found when the first
+        character beyond the settled ones comes."""
+        if chunk.isascii() or max(chunk) < _SETTLED:
+            return self.matches(chunk)
+        if self.disputed is None:
+            self.disputed = self._disputed()
+        return self.matches(chunk) if self.disputed.isdisjoint(chunk) else self.split(chunk)
+
+    def _disputed(self) -> frozenset[str]:
+        found: set[str] = set()
+        for plane in _PLANES:
+            # A letter joins the one before it, a symbol the one after it, a number neither.
+            codes = [c for c in range(plane << 16, (plane + 1) << 16) if not 0xD800 <= c < 0xE000]
+            probes = [f"a{chr(c)}!" for c in codes]
+            text = " ".join(probes)
+            starts = np.cumsum([0, *[len(p) + 1 for p in probes[:-1]]])
+            cuts = [{a for _, (a, _) in self.splitter.pre_tokenize_str(text)}, {m.start() for m in self.matches.__self__.finditer(text)}]
+            differ = np.array(sorted(cuts[0] ^ cuts[1]), dtype=np.int64)
+            found.update(chr(codes[i]) for i in np.searchsorted(starts, differ, side="right") - 1)
+        return frozenset(found)
+
     def merged(self, symbols: str, steps: list | None = None) -> list[int]:
         """BPE by its definition: apply the lowest merge, leftmost first, until none applies."""
         ids = [self.inner[s] for s in re.findall(f".{END}?", symbols, re.DOTALL)]
