@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.audit import audit_run
-from tidemark.plans.load import load_run
+from tidemark.plans.load import load_run, staged
 from tidemark.plans.publish import RETRY_S, publish_run
 from tidemark.schemas import ITEM_KEY, WALLPAPERS, TableSpec
 from tidemark.sources.blobs import FIRST_WAIT_S
-from tidemark.sources.landing import ARRIVAL, extract_items, listed_files, page_metrics, read_pages
-from tidemark.sources.tables import clean, count_pending, ensure_table
+from tidemark.sources.landing import ARRIVAL, items_of, listed_files, metrics_of, parsed_pages, read_pages
+from tidemark.sources.tables import clean, count_pending, ensure_table, run_path
 
 # Beside the audit record.
 TOLD = ("extracted", "invalid", "duplicates", "stale", "pages", "bad_pages", "bad_items")
@@ -53,10 +53,12 @@ def daily_run(
     ``attempt`` resumes; a new one repeats the run, and its record replaces the old one.
     """
     ensure_table(spark, table_path, spec)
+    load_name = f"{run_id}-{attempt}-load"
     landed = read_pages(spark, pages, lines)
-    items = extract_items(landed, item_limit)
+    folder = run_path(spark, table_path, load_name)
+    parsed = staged(parsed_pages(landed, item_limit), f"{folder}/pages")
     load = load_run(
-        items, spec, table_path, f"{run_id}-{attempt}-load", run_ts, ARRIVAL, ITEM_KEY, "url", newer_by=newer_by, check=check
+        items_of(parsed), spec, table_path, load_name, run_ts, ARRIVAL, ITEM_KEY, "url", newer_by=newer_by, check=check
     )
     publish = publish_run(
         table_path,
@@ -85,7 +87,7 @@ def daily_run(
         run_ts,
     )
     files = None if lines else listed_files(landed)
-    counted = load.first().asDict() | page_metrics(landed, files).first().asDict()
+    counted = load.first().asDict() | metrics_of(parsed, files).first().asDict()
     if keep is not None:
         for path in (table_path, audit_path):
             clean(spark, path, keep)

@@ -43,15 +43,15 @@ def load_run(
     loaded = [*spec.keys, *spec.update_cols]
     kept = [spec.typed(c) for c in loaded] + [F.col(c) for c in order_by if c not in loaded]
     flagged = flag_valid(items.select(*kept), key, url)
-    staged = _staged(flagged, f"{folder}/items")
-    counts = _measure(staged, spec)
+    items = staged(flagged, f"{folder}/items")
+    counts = _measure(items, spec)
     if counts["valid"]:
         # the update columns only break ties, so that a recomputed task picks the same row
         order = [newer_by, *order_by] if newer_by else order_by
         ties = [c for c in spec.update_cols if c not in order]
-        unique = dedupe_last(staged.where("valid"), spec.keys, [*order, *ties], strict)
+        unique = dedupe_last(items.where("valid"), spec.keys, [*order, *ties], strict)
         # Written once: the join forms read it up to three times.
-        batch = _staged(unique.select(*loaded), f"{folder}/batch").withColumn("run_ts", run_ts)
+        batch = staged(unique.select(*loaded), f"{folder}/batch").withColumn("run_ts", run_ts)
         # A bucketed table is not moved either way, and its rows stay in their buckets without a broadcast.
         small = not spec.buckets and fits_broadcast(counts["valid"], counts["valid_bytes"])
         merge(
@@ -69,7 +69,7 @@ def load_run(
     return _metrics(spark, path, run, counts)
 
 
-def _staged(df: DataFrame, folder: str) -> DataFrame:
+def staged(df: DataFrame, folder: str) -> DataFrame:
     """``df`` as written by this run, now or before it was resumed."""
     spark = df.sparkSession
     if not is_complete(spark, folder):
@@ -77,12 +77,12 @@ def _staged(df: DataFrame, folder: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def _measure(staged: DataFrame, spec: TableSpec) -> dict:
+def _measure(items: DataFrame, spec: TableSpec) -> dict:
     """In one job: the number of items; rows and bytes of the valid ones."""
     width = F.lit(0)
     for c in (*spec.keys, *spec.update_cols):
         width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + F.lit(16)
-    row = staged.agg(
+    row = items.agg(
         F.count("*").alias("extracted"),
         F.count_if("valid").alias("valid"),
         F.coalesce(F.sum(F.when(F.col("valid"), width)), F.lit(0)).alias("valid_bytes"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -26,6 +28,13 @@ def local_session(cores: int | str = "*", app: str = "tidemark") -> SparkSession
     return spark
 
 
+def _own_folder() -> str:
+    """A folder on the driver's disk that goes when Python ends."""
+    folder = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def one_row(spark: SparkSession) -> DataFrame:
     """A frame of one row, to select constants from."""
     return spark.sql("SELECT 1 AS one")
@@ -46,7 +55,7 @@ def work_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        sc.setCheckpointDir(_own_folder())
     return sc.getCheckpointDir().rstrip("/")
 
 
@@ -65,7 +74,7 @@ def ship_package(spark: SparkSession) -> None:
     if sc.applicationId in _shipped:
         return
     package = os.path.dirname(os.path.abspath(__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark.zip")
+    path = os.path.join(_own_folder(), "tidemark.zip")
     with zipfile.ZipFile(path, "w") as z:
         for folder, _, names in os.walk(package):
             for name in names:

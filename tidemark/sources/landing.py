@@ -64,6 +64,47 @@ def _is_odd(item: Column) -> Column:
     return item.isNotNull() & (fields.isNull() | fields["_corrupt_record"].isNotNull())
 
 
+def parsed_pages(pages: DataFrame, limit: int | None = None) -> DataFrame:
+    """One row per page: where it comes from, whether it is ``bad``, its ``items`` (place and fields) and
+    the numbers of good items, of bad ones and of sizes that are no whole number.
+
+    Everything else about a landing follows from this, so a run that keeps it reads and parses the pages
+    once, and tells the same when it is resumed. ``limit`` keeps the first items of each page; the
+    numbers are of all.
+    """
+    # within one split the ids rise in reading order, whichever task reads it
+    placed = pages.select(
+        "landed",
+        "page",
+        "block",
+        F.monotonically_increasing_id().alias("line"),
+        F.col("_corrupt_record").isNotNull().alias("bad"),
+        F.transform(_readable(pages), lambda t, i: F.struct(i.alias("pos"), _is_odd(t).alias("odd"), _parsed(t).alias("item"))).alias("data"),
+    )
+    size = lambda x: x["item"]["file_size"]
+    not_whole = lambda x: size(x).isNotNull() & size(x).try_cast("bigint").isNull()
+    first = F.col("data") if limit is None else F.slice("data", 1, limit)
+    count = lambda test: F.coalesce(F.array_size(F.filter("data", test)), F.lit(0)).cast("bigint")
+    return placed.select(
+        "landed",
+        "page",
+        "block",
+        "line",
+        "bad",
+        F.transform(F.filter(first, lambda x: ~x["odd"]), lambda x: x.dropFields("odd")).alias("items"),
+        count(lambda x: ~x["odd"]).alias("n_items"),
+        count(lambda x: x["odd"]).alias("n_odd"),
+        count(not_whole).alias("n_sizes"),
+    )
+
+
+def items_of(parsed: DataFrame) -> DataFrame:
+    """The items of ``parsed_pages``: the six fields and the columns of ``ARRIVAL``."""
+    items = parsed.select("landed", "page", "block", "line", F.explode("items").alias("x")).select("landed", "page", "block", "line", "x.*")
+    fields = [F.col(f"item.{source}").alias(name) for source, name in ITEM_FIELDS.items()]
+    return items.select(*ARRIVAL, *fields).withColumn("file_size", F.col("file_size").try_cast("bigint"))
+
+
 def extract_items(pages: DataFrame, limit: int | None = None) -> DataFrame:
     """Items of all readable pages: the six fields and the columns of ``ARRIVAL``.
 
@@ -71,45 +112,30 @@ def extract_items(pages: DataFrame, limit: int | None = None) -> DataFrame:
     items of each page. Bad items are left out (``page_metrics`` counts them); NULL is an
     item without fields. ``file_size`` becomes NULL where it is not a whole number.
     """
-    data = _readable(pages)
-    if limit is not None:
-        data = F.slice(data, 1, limit)
-    # within one split the ids rise in reading order, whichever task reads it
-    placed = pages.select("landed", "page", "block", F.monotonically_increasing_id().alias("line"), data.alias("data"))
-    items = placed.select("landed", "page", "block", "line", F.posexplode("data").alias("pos", "text"))
-    items = items.where(~_is_odd(F.col("text"))).withColumn("item", _parsed(F.col("text")))
-    fields = [F.col(f"item.{source}").alias(name) for source, name in ITEM_FIELDS.items()]
-    return items.select(*ARRIVAL, *fields).withColumn(
-        "file_size", F.col("file_size").try_cast("bigint")
+    return items_of(parsed_pages(pages, limit))
+
+
+def metrics_of(parsed: DataFrame, files: int | None = None) -> DataFrame:
+    """``page_metrics`` of ``parsed_pages``."""
+    seen, zero = F.count("*"), F.lit(0).cast("bigint")
+    total = seen if files is None else F.lit(files).cast("bigint")
+    return parsed.agg(
+        total.alias("pages"),
+        (F.count_if("bad") + total - seen).alias("bad_pages"),
+        F.coalesce(F.sum("n_items"), zero).alias("items"),
+        F.coalesce(F.sum("n_sizes"), zero).alias("bad_sizes"),
+        F.coalesce(F.sum("n_odd"), zero).alias("bad_items"),
     )
 
 
 def page_metrics(pages: DataFrame, files: int | None = None) -> DataFrame:
     """pages, bad_pages, and the items, bad_sizes and bad_items on the readable ones, in one row.
 
-    What is neither an object nor NULL is a bad item and no item. A size that is not a whole number is loaded as NULL and counted in
-    bad_sizes. A zero-length file yields no row at all. Give the number of listed files
+    What is neither an object nor NULL is a bad item and no item. A size that is not a whole number is
+    loaded as NULL and counted in bad_sizes. A zero-length file yields no row at all. Give the number of listed files
     (``listed_files``) for one-page-per-file landings, and the files without a row count as bad pages too.
     """
-    bad = F.col("_corrupt_record").isNotNull()
-    seen, zero = F.count("*"), F.lit(0).cast("bigint")
-    total = seen if files is None else F.lit(files).cast("bigint")
-    size = lambda t: _parsed(t)["file_size"]
-    not_whole = lambda t: size(t).isNotNull() & size(t).try_cast("bigint").isNull()
-    items, odd = _readable(pages), F.filter(_readable(pages), _is_odd)
-    counted = pages.select(
-        bad.alias("bad"),
-        (F.array_size(items) - F.array_size(odd)).alias("items"),
-        F.array_size(odd).alias("odd"),
-        F.array_size(F.filter(items, not_whole)).alias("sizes"),
-    )
-    return counted.agg(
-        total.alias("pages"),
-        (F.count_if("bad") + total - seen).alias("bad_pages"),
-        F.coalesce(F.sum("items"), zero).alias("items"),
-        F.coalesce(F.sum("sizes"), zero).alias("bad_sizes"),
-        F.coalesce(F.sum("odd"), zero).alias("bad_items"),
-    )
+    return metrics_of(parsed_pages(pages), files)
 
 
 def listed_files(pages: DataFrame) -> int:
