@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -44,6 +45,67 @@ def test_unseen_wordings_and_near_misses():
     assert np.allclose(p.sum(axis=1), 1)
 
 
+LONG_NOTICES = {
+    "MIT": ["Released under the MIT License.", "This project is licensed under the terms of the MIT license."],
+    "Apache": ["Licensed under the Apache License, Version 2.0"],
+    "GPL": ["This work is licensed under the GNU General Public License, version 3."],
+    "CC-BY": ["This work is licensed under CC BY 4.0"],
+    "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+}
+
+
+def test_notices_within_long_lines(spark, documents):
+    """Twenty lines for each family and length of the prose around it; the prose alone names none."""
+    rng = random.Random(4)
+    lines = [x for r in documents.where("doc_id < 200 and lang = 'en'").collect() for x in r["text"].split("\n")]
+    prose = [w for x in lines if not re.search("licen[sc]e|reserved", x, re.IGNORECASE) for w in x.split()]
+    scanner = license_scan.train(documents)
+    rows = []
+    for family, notices in LONG_NOTICES.items():
+        for n in (0, 10, 40, 160):
+            for i in range(20):
+                start = rng.randrange(len(prose) - 200)
+                words, at = prose[start : start + n], rng.randint(0, n)
+                rows.append((family, n, " ".join([*words[:at], notices[i % len(notices)], *words[at:]])))
+    for i in range(300):
+        start = rng.randrange(len(prose) - 200)
+        rows.append(("unknown", 180, " ".join(prose[start : start + 180])))
+    found = spark.createDataFrame(rows, "family string, n int, text string").select("*", license_scan.scan(F.col("text"), scanner).alias("s")).collect()
+    missed = Counter((r["family"], r["n"], r["s"]["license"]) for r in found if r["s"]["license"] != r["family"])
+    assert not missed
+
+
+def test_two_licences_in_one_line(spark, documents):
+    scanner = license_scan.train(documents)
+    text = "This program is dual licensed under the MIT License and the Apache License, Version 2.0, as you like, by its many authors."
+    docs = spark.createDataFrame([(text,)], "text string")
+    findings = docs.select(license_scan.scan(F.col("text"), scanner)["findings"].alias("f")).first()["f"]
+    assert {f["family"] for f in findings if f["confirmed"]} == {"MIT", "Apache"}
+
+
+def test_probabilities_and_overlap_written_out():
+    """The classifier's sum over words and pairs, and the share of pairs, one by one."""
+    scanner = license_scan.fit([["some", "plain", "words"]] * 50)
+    rng = random.Random(9)
+    vocabulary = [*scanner.words, "unseen", "others"]
+    lines = [rng.choices(vocabulary, k=rng.randint(1, 30)) for _ in range(40)]
+    lines += [license_scan._words(t.lower()) for t in license_scan.TEMPLATES["MIT"]]
+    got = scanner.probabilities(lines)
+    pairs = {int(k): w for k, w in zip(scanner.pair_keys, scanner.pair_weights, strict=True)}
+    for line, p in zip(lines, got, strict=True):
+        ids = [scanner.words.get(w, 0) for w in line]
+        total = sum(scanner.word_weights[i] for i in ids)
+        for a, b in zip(ids, ids[1:], strict=False):
+            if a and b:
+                total = total + pairs.get(a * len(scanner.word_weights) + b, 0)
+        z = (total / (2 * len(line) - 1) ** 0.5 + scanner.bias) / scanner.temperature
+        assert np.allclose(p, np.exp(z) / np.exp(z).sum())
+    for a, b in zip(lines, lines[1:], strict=False):
+        own, other = set(zip(a, a[1:], strict=False)), set(zip(b, b[1:], strict=False))
+        low = min(len(own), len(other))
+        assert license_scan.overlap(a, b) == (sum(x in other for x in own) / low if low > 1 else 0.0)
+
+
 # ---- 2: BPE
 
 

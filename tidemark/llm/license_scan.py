@@ -8,6 +8,10 @@ A temperature, fitted on further copies, calibrates the probabilities. A family
 word pairs of the shorter one of the two. Lines of up to ``SHORT`` words must be a template or title as a
 whole, or name the family; with a name, one title must have all their words.
 
+A line of more than ``LONG`` words is also looked at in parts (``passages``), by the same classifier and
+templates, so that a notice is found within prose, and two licences in one line. A line's family
+is reported once, with its surest confirmed finding.
+
 The corpus paragraphs for training are those of about ``SAMPLE_DOCS`` documents, chosen by a hash of
 id and text, less those that compare well with any template. All paragraphs of all documents are scored.
 
@@ -34,6 +38,8 @@ UNKNOWN = "unknown"
 CONFIDENT = 0.5
 CONFIRMED = 0.8
 SHORT = 3
+LONG = 12  # words of a line from which on its passages are looked at too
+GAP = 6  # words between two pairs of templates in one passage, at most
 SAMPLE_DOCS = 300
 COPIES = 40
 SEEN = 3  # examples that have a feature, at least
@@ -184,6 +190,26 @@ _TEXTS = {f: [_words(t.lower()) for t in TEMPLATES[f] + TITLES[f]] for f in TEMP
 _PAIRS = {f: [pairs(t) for t in _TEXTS[f]] for f in TEMPLATES}
 
 
+_KNOWN = frozenset().union(*(t for ts in _PAIRS.values() for t in ts))
+_NAMED = frozenset().union(*NAMES.values())
+
+
+def passages(words: list[str]) -> list[list[str]]:
+    """The parts of a long line that may be a notice: where pairs of words of templates stand close together,
+    with a few words around them, and the nearest words of a licence's name."""
+    if len(words) <= LONG:
+        return []
+    hits = [i for i, p in enumerate(zip(words, words[1:], strict=False)) if p in _KNOWN]
+    spans = [(i - 2, i + 3) for i, w in enumerate(words) if w in _NAMED]
+    start = 0
+    for k in range(1, len(hits) + 1):
+        if k == len(hits) or hits[k] - hits[k - 1] > GAP:
+            if k - start > 1:
+                spans.append((hits[start] - 2, hits[k - 1] + 4))
+            start = k
+    return [words[max(0, a) : b] for a, b in spans]
+
+
 def best_overlap(words: list[str], families: list[str]) -> float:
     """With the templates, without the titles."""
     own = pairs(words)
@@ -322,23 +348,24 @@ def scan(text: Column, scanner: Scanner) -> Column:
     """Struct of ``paragraphs``, ``license``, ``confidence`` and all ``findings``."""
 
     def work(texts: list[str]) -> pd.DataFrame:
-        split = [[(i, w) for i, w in enumerate(map(_words, t.lower().split("\n"))) if w] for t in texts]
+        whole = [[(i, w) for i, w in enumerate(map(_words, t.lower().split("\n"))) if w] for t in texts]
+        split = [[(i, part) for i, w in doc for part in (w, *passages(w))] for doc in whole]
         lines = [w for doc in split for _, w in doc]
         p = scanner.probabilities(lines) if lines else np.empty((0, len(scanner.families)))
         best = p.argmax(axis=1)
         sure = p[np.arange(len(p)), best]
         rows, at = [], 0
-        for doc in split:
-            findings = []
+        for doc, paragraphs in zip(split, whole, strict=True):
+            found: dict[tuple[int, str], tuple[bool, float]] = {}
             for place, words in doc:
                 if best[at] and sure[at] >= CONFIDENT:
                     family = scanner.families[best[at]]
-                    findings.append(
-                        {"paragraph": place, "family": family, "confidence": float(sure[at]), "confirmed": confirmed(words, family)}
-                    )
+                    finding = (confirmed(words, family), float(sure[at]))
+                    found[place, family] = max(finding, found.get((place, family), finding))
                 at += 1
+            findings = [{"paragraph": p, "family": f, "confidence": c, "confirmed": ok} for (p, f), (ok, c) in found.items()]
             top = min((f for f in findings if f["confirmed"]), key=lambda f: (-f["confidence"], f["family"]), default=None)
-            rows.append((len(doc), top["family"] if top else UNKNOWN, top["confidence"] if top else 0.0, findings))
+            rows.append((len(paragraphs), top["family"] if top else UNKNOWN, top["confidence"] if top else 0.0, findings))
         return pd.DataFrame(rows, columns=["paragraphs", "license", "confidence", "findings"])
 
     found = "array<struct<paragraph:int,family:string,confidence:double,confirmed:boolean>>"
