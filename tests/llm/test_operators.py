@@ -124,6 +124,9 @@ SHORT_NOTICES = {
     "BSD License": "BSD",
     "Mozilla Public License": "MPL",
     "License": "unknown",
+    "Mit.": "unknown",
+    "Apache": "unknown",
+    "GPLv3": "GPL",
     "Version 2.0": "unknown",
     "She studied at MIT": "unknown",
     "The Apache helicopter": "unknown",

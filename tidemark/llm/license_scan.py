@@ -6,7 +6,7 @@ templates and, for ``unknown``, on paragraphs of the corpus and on sentences tha
 A temperature, fitted on further copies, calibrates the probabilities. A family is reported from
 ``CONFIDENT`` on, and is confirmed if one of its templates or titles shares at least ``CONFIRMED`` of the
 word pairs of the shorter one of the two. Lines of up to ``SHORT`` words must be a template or title as a
-whole, or name the family; with a name, one title must have all their words.
+whole, or name the family; with a name and another word, one title must have all their words.
 
 A line of more than ``LONG`` words is also looked at in parts (``passages``), by the same classifier and
 templates, so that a notice is found within prose, and two licences in one line. A line's family
@@ -223,7 +223,8 @@ def confirmed(words: list[str], family: str) -> bool:
     if len(words) <= SHORT:
         if NAMES.get(family, set()).isdisjoint(words):
             return False
-        if any(set(words) <= set(t) for t in _TEXTS[family]):
+        # A name alone is a notice only as a title: "mit" is a word of other languages too.
+        if len(words) > 1 and any(set(words) <= set(t) for t in _TEXTS[family]):
             return True
     own = pairs(words)
     return max(_shared(own, t) for t in _PAIRS[family]) >= CONFIRMED
