@@ -483,6 +483,30 @@ def test_a_row_moves_by_the_places_that_touched_it():
         assert np.allclose(now - was, 1, atol=1e-5)
 
 
+def test_copies_of_a_row_are_dealt_to_several_groups(spark, documents):
+    """Half the rows are one notice without an id; no group has all of them, and all rows are there."""
+    some = documents.select("doc_id", "text").where("doc_id < 200")
+    n = some.count()
+    docs = some.unionByName(spark.range(n).selectExpr("cast(null as long) AS doc_id", f"'{'all rights reserved ' * 60}' AS text"))
+    rows = lm_score.dealt(docs, docs.selectExpr("sum(size(split(text, ' ')))").first()[0], 3, 12).collect()
+    assert len(rows) == 2 * n and {r["round"] for r in rows} <= {0, 1, 2} and {r["group"] for r in rows} <= {0, 1, 2, 3}
+    copies = Counter((r["round"], r["group"]) for r in rows if r["doc_id"] is None)
+    assert len(copies) > 6 and max(copies.values()) < n / 3
+    again = {r["doc_id"]: (r["round"], r["group"]) for r in lm_score.dealt(docs.repartition(7), 10**6, 3, 12).collect() if r["doc_id"] is not None}
+    assert again == {r["doc_id"]: (r["round"], r["group"]) for r in rows if r["doc_id"] is not None}
+
+
+def test_exponents_with_and_without_the_row_maximum(monkeypatch):
+    rng = np.random.default_rng(2)
+    tokens = rng.integers(1, lm_score.UNITS, 500)
+    net = lm_score.initial(np.arange(lm_score.UNITS))
+    net = net.shaped(net.flat() + rng.normal(size=net.flat().size).astype(np.float32))
+    at = np.arange(2, 490)
+    plain = lm_score.log_probabilities(tokens, at, net)
+    monkeypatch.setattr(lm_score, "LARGE", 0.0)
+    assert np.allclose(plain, lm_score.log_probabilities(tokens, at, net), atol=1e-3)
+
+
 # ---- 7: neighbours
 
 
@@ -518,6 +542,59 @@ def test_copies_and_split_groups(spark, monkeypatch):
         assert own.sort_values("rank")["vec_id"].tolist() == best
 
 
+def recall_and_share(x, asked, bits, count, k=10):
+    """Recall of the ``k`` nearest of some rows, and the share of all rows that their probes meet."""
+    at, hit = neighbours.buckets(x, bits), np.zeros((len(asked), len(x)), dtype=bool)
+    for t, of_table in enumerate(neighbours.probes(x[asked], bits, count=count)):
+        for i, wanted in enumerate(of_table):
+            hit[i] |= np.isin(at[:, t], wanted)
+    near = [np.argsort(((x - x[q]) ** 2).sum(axis=1))[1 : k + 1] for q in asked]
+    return np.mean([h[n].mean() for h, n in zip(hit, near, strict=True)]), hit.mean()
+
+
+def test_the_share_of_rows_met_falls_as_rows_are_added():
+    rng = np.random.default_rng(3)
+    found = []
+    for n in (2_000, 32_000):  # families of 20 at a cosine of about 0.6
+        x = np.repeat(rng.normal(size=(n // 20, 64)), 20, axis=0) + 0.8 * rng.normal(size=(n, 64))
+        found.append(recall_and_share(x, np.arange(0, n, n // 25), neighbours.bucket_bits(n, 64), neighbours.PROBES))
+    (recall, share), (of_more, share_of_more) = found
+    assert min(recall, of_more) >= 0.9 and share_of_more < 0.7 * share
+
+
+def test_best_buckets_are_those_of_all_sums():
+    rng = np.random.default_rng(5)
+    fits = [rng.normal(size=n) for n in (8, 8, 4)]
+    sums = (fits[0][:, None, None] + fits[1][None, :, None] + fits[2]).ravel()
+    for count in (1, 7, 100, 256):
+        assert neighbours._best(fits, count).tolist() == sorted(np.argsort(-sums)[:count].tolist())
+
+
+def test_the_index_is_fitted_to_far_neighbours(spark, monkeypatch):
+    """Random vectors have no near ones: buckets are halved to two functions, then probes doubled."""
+    x = np.random.default_rng(6).normal(size=(1_500, 16))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "query long, v array<double>")
+    monkeypatch.setattr(neighbours, "bucket_bits", lambda rows, width: 13)
+    bits, count = neighbours.fitted(rows, rows, len(x), 10, neighbours.TABLES, 2)
+    assert bits == 2 * neighbours.axis_bits(16) == 10 and count > 2
+    assert recall_and_share(x, np.arange(0, 1_500, 15), bits, count)[0] >= 0.9
+    near = np.repeat(x[:15], 100, axis=0) + 0.01 * np.random.default_rng(7).normal(size=(1_500, 16))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(near)], "query long, v array<double>")
+    assert neighbours.fitted(rows, rows, len(near), 10, neighbours.TABLES, 8) == (13, 8)
+
+
+def test_brute_force_of_the_sample(spark):
+    x = np.random.default_rng(8).normal(size=(300, 8))
+    x[100:200] = x[0]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, v array<double>").repartition(5)
+    near, owner = neighbours._nearest_of_sample(rows, x[:3], 4)
+    other = np.unique(x, axis=0)
+    for i in range(3):
+        d = np.sort(((other - x[i]) ** 2).sum(axis=1))
+        got = ((near[owner == i] - x[i]) ** 2).sum(axis=1)
+        assert np.allclose(np.sort(got), d[d > 0][:4])
+
+
 # ---- 8: fingerprints
 
 
