@@ -1,6 +1,8 @@
 import pytest
 
+from tidemark.operators import validate
 from tidemark.operators.validate import Check, constraint_report, duplicate_keys, enforce, flag_valid, null_rows, valid_rows
+from tidemark.sources.folders import input_bytes
 
 ROWS = [("a", "u"), (None, "u"), ("", "u"), ("a", None), ("a", ""), (" ", "u"), ("a", " ")]
 
@@ -29,3 +31,21 @@ def test_constraint_report_and_enforcement(spark):
 def test_report_on_an_empty_table(spark):
     empty = spark.createDataFrame([], "k int, v string")
     assert [r.violations for r in constraint_report(Check(empty, "t", ["k"], ["k"])).collect()] == [0, 0]
+
+
+def test_keys_of_a_large_input_are_dealt_out_by_its_size(spark, tmp_path, monkeypatch):
+    rows = [(k, k % 3) for k in range(3000)] + [(7, 1)] * 2000 + [(None, 2)] * 1500
+    spark.createDataFrame(rows, "k long, v int").repartition(6).write.parquet(str(tmp_path / "a b"))
+    df = spark.read.schema("k long, v int").parquet(str(tmp_path / "a b"))
+    want = {7: 2001, None: 1500}
+    assert {r.k: r.n for r in duplicate_keys(df, ["k"]).collect()} == want  # too small to be dealt
+    size = input_bytes(df)
+    monkeypatch.setattr(validate, "SHARE", -(-size // 40))
+    dealt = duplicate_keys(df, ["k"])
+    assert dealt.rdd.getNumPartitions() >= 39  # AQE would make one task of it
+    assert {r.k: r.n for r in dealt.collect()} == want
+    monkeypatch.setattr(validate, "SHARE", -(-size // 10))
+    assert 9 <= duplicate_keys(df, ["k"]).rdd.getNumPartitions() <= 10
+    report = constraint_report(Check(df, "t", ["k"], ["k"]), Check(df, "t", [], ["k", "v"]))
+    got = {(r.check_name, r.column_name): r.violations for r in report.collect()}
+    assert got == {("not_null", "k"): 1500, ("unique", "k"): 2000 + 1499, ("unique", "k,v"): 2000 + 1499}

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from tidemark.schemas import LOAD_COLUMNS, TableSpec
 from tidemark.session import one_row
+from tidemark.sources.folders import input_bytes
+
+SHARE = 8 * 1024 * 1024  # bytes of input whose keys one task counts
+SPREAD = 16  # tasks that count the rows of one key first
 
 
 def is_valid(key: Column, url: Column) -> Column:
@@ -59,7 +63,17 @@ def null_rows(df: DataFrame, required: Sequence[str]) -> DataFrame:
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The keys that occur more than once, with their row count."""
+    """The keys that occur more than once, with their row count.
+
+    Spark merges the shuffle of a plain grouping to so many bytes a task, and keys in order shrink to a few
+    bytes each: millions of them in one map. So a large input is dealt out by its size. The rows of one key
+    are counted in several tasks first, as nothing is counted before they are dealt.
+    """
+    shares = -(-input_bytes(df) // SHARE)
+    if shares > 1:
+        rows = df.select(*key, (F.spark_partition_id() % SPREAD).alias("_from"))
+        some = rows.repartition(shares, *key, "_from").groupBy(*key, "_from").agg(F.count("*").alias("n"))
+        return some.repartition(shares, *key).groupBy(*key).agg(F.sum("n").alias("n")).where("n > 1")
     return df.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
 
 

@@ -6,7 +6,7 @@ import hashlib
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import work_dir
 
@@ -41,6 +41,13 @@ def remove(spark: SparkSession, paths: Iterable[str]) -> int:
     return sum(bool(hadoop(spark, x)[0].delete(hadoop(spark, x)[1], True)) for x in paths)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that a frame is read from; 0 for rows that come from no file."""
+    uri = df.sparkSession.sparkContext._jvm.java.net.URI
+    found = [hadoop(df.sparkSession, uri(x)) for x in df.inputFiles()]
+    return sum(fs.getFileStatus(p).getLen() for fs, p in found)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a write job to ``path`` has committed."""
     return exists(spark, f"{path}/_SUCCESS")
