@@ -306,3 +306,64 @@ def test_a_large_limit_gives_the_same_result(store, monkeypatch):
     monkeypatch.setattr("tidemark.plans.publish.SMALL_BATCH", 0)
     assert store.publish("p1", limit=11) == (6, 5, 0)
     assert sorted(store.outcomes("p1")) == [f"k{i:02d}" for i in range(11)]
+
+
+class Flaky:
+    """A local store whose renames fail so many times for each object."""
+
+    type_name = "local"
+
+    def __init__(self, fails):
+        from pyarrow import fs
+
+        self.inner, self.fails = fs.LocalFileSystem(), dict(fails)
+
+    def __getattr__(self, name):
+        return getattr(self.inner, name)
+
+    def move(self, part, path):
+        name = os.path.basename(path)
+        if self.fails.get(name, 0):
+            self.fails[name] -= 1
+            raise OSError("busy")
+        self.inner.move(part, path)
+
+
+def test_rows_that_fail_share_their_waits(tmp_path, monkeypatch):
+    from tidemark.sources import blobs
+
+    names, waits = [f"o{i}" for i in range(50)], []
+    for n in names:
+        (tmp_path / n).write_bytes(b"body")
+    monkeypatch.setattr(blobs.time, "sleep", waits.append)
+    store, root = Flaky({n: i % 6 for i, n in enumerate(names)}), str(tmp_path / "objects")
+    folders = blobs._Folders(store)
+    rows = [blobs._Row(f"t/{n}", str(tmp_path / n), "", None) for n in names]
+    rows += [rows[1], rows[0], blobs._Row("t/none", None, "", None), blobs._Row("t/lost", str(tmp_path / "lost"), "", None)]
+    done = blobs._publish_all(store, root, rows, 1.0, folders)
+    folders.close()
+    assert waits == [1.0, 2.0, 4.0]  # and not so for each of the rows
+    for i, d in enumerate(done[1:50], 1):
+        if i > 1:  # the other row of its key was faster
+            assert d == (("uploaded", i % 6 + 1, 4) if i % 6 < 4 else ("upload_failure", 4, 0))
+    assert done[1] == ("already_there", 1, 0) and done[50] == ("uploaded", 1, 4) and done[51] == ("already_there", 0, 0)
+    assert [d[0] for d in done[52:]] == ["download_failure"] * 2
+    put = {f"o{i}" for i in range(50) if i % 6 < 4}
+    assert set(os.listdir(f"{root}/t")) == put  # no parts, nor their folders
+
+
+def test_more_objects_are_more_tasks_not_longer_ones(spark):
+    from tidemark.sources.blobs import OBJECTS, put_tasks
+
+    assert put_tasks(spark, 10) == put_tasks(spark, 0) == 4 * spark.sparkContext.defaultParallelism
+    for n in (10**6, 6 * 10**6):
+        assert n / OBJECTS <= put_tasks(spark, n) < n / OBJECTS + 1
+
+
+def test_objects_are_put_without_parts_left_over(spark, tmp_path):
+    store = Store(spark, tmp_path)
+    store.load("a", "b", "c")
+    for i in "ab":
+        store.stage(i)
+    assert store.publish("r1", limit=10**9) == (2, 1, 0)
+    assert sorted(os.listdir(f"{store.objects}/wallpapers")) == ["a.png", "b.png"]

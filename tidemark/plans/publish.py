@@ -20,9 +20,9 @@ from tidemark.operators.reconcile import (
 from tidemark.schemas import ITEM_KEY, WALLPAPERS, TableSpec
 from tidemark.session import ship_package
 from tidemark.sources import log
-from tidemark.sources.blobs import FIRST_WAIT_S, put_objects, staged_path
+from tidemark.sources.blobs import FIRST_WAIT_S, OBJECTS, put_objects, put_tasks, staged_path
 from tidemark.sources.folders import CATALOG
-from tidemark.sources.tables import merge, read_pending, taken_in
+from tidemark.sources.tables import count_pending, merge, read_pending, taken_in
 
 # A batch of at most this many rows and bytes (key, URL and object key) may be broadcast.
 SMALL_BATCH = 20_000
@@ -93,7 +93,10 @@ def publish_run(
         named = {"_name": F.col(ITEM_KEY) if name is None else name, "_url": F.col("url") if url is None else url}
         order = [*order_by, *[By(k) for k in keys[:-1]]]
         batch = pending_batch(waiting.withColumns(named), limit, [*keys, *named], keys[-1], pending_col=None, order_by=order)
-        tasks = min(limit, 4 * spark.sparkContext.defaultParallelism)
+        tasks = put_tasks(spark, 0)
+        if limit > tasks * OBJECTS:
+            tasks = put_tasks(spark, min(limit, count_pending(spark, path, spec).first()[0]))
+        tasks = min(limit, tasks)
         batch = batch.withColumnsRenamed({"_name": "name", "_url": "url"})
         put = put_objects(decide(batch, content_root, manifest, small), object_root, keys, tasks, wait_s)
         log.append(spark, path, spec, run, put, run_ts)

@@ -48,7 +48,7 @@ from tidemark.plans.inputs import read_input
 from tidemark.plans.publish import RETRY_S, publish_run
 from tidemark.schemas import RUN_AUDIT, RUN_COUNTERS, TableSpec
 from tidemark.session import new_folder, ship_package
-from tidemark.sources.blobs import put_objects, write_contents
+from tidemark.sources.blobs import put_objects, put_tasks, spread, staged_path, write_contents
 from tidemark.sources.landing import extract_items, page_metrics, read_pages
 from tidemark.sources.buckets import read_bucketed, write_bucketed
 from tidemark.sources.folders import make_folder
@@ -477,22 +477,25 @@ def q_put_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     base = new_folder(spark, "put")
     kind, name = F.col("doc_id") % 10, F.col("doc_id").cast("string")
-    rows = read_input(spark, sf_dir, "documents").select(
+    documents = read_input(spark, sf_dir, "documents")
+    rows = documents.select(
         "doc_id",
         "text",
         kind.alias("kind"),
         F.concat(F.lit("texts/"), name, F.lit(".webp")).alias("s3_key"),
-        F.concat(F.lit(f"{base}/staged/"), name).alias("content_path"),
+        F.concat(F.lit(f"{base}/staged/"), spread(name), F.lit("/"), name).alias("content_path"),
     )
     object_path = F.concat(F.lit(f"{base}/objects/"), F.col("s3_key"))
     staged = rows.where(kind != 3).select(F.col("content_path").alias("path"), "text")
     there = rows.where(kind == 4).select(object_path.alias("path"), F.lit("old").alias("text"))
-    write_contents(staged.unionByName(there)).agg(F.sum("bytes")).collect()  # one number
+    tasks = put_tasks(spark, documents.count())
+    files = staged.unionByName(there).repartition(tasks, "path")  # however the input lies in its files
+    write_contents(files).agg(F.sum("bytes")).collect()  # one number
     asked = rows.select(
         "doc_id", "s3_key", content_type(F.col("s3_key")).alias("content_type"), "content_path",
         F.lit(None).cast("boolean").alias("object_exists"),
     )
-    return put_objects(asked, f"{base}/objects", ["doc_id"], 4 * spark.sparkContext.defaultParallelism)
+    return put_objects(asked, f"{base}/objects", ["doc_id"], tasks)
 
 
 def q_apply_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -643,14 +646,20 @@ def _weeks(spark: SparkSession, sf_dir: str) -> list[date]:
     return [first + timedelta(days=d) for d in range(0, (last - first).days + 1, 7)] if first else []
 
 
+def _event_url(name: Column) -> Column:
+    return F.concat(F.lit(f"https://{EVENT_HOST}/"), spread(name), F.lit("/"), name, F.lit(".png"))
+
+
 def _stage_contents(events: DataFrame, name: Column, base: str) -> None:
     """Contents of the events' keys: a fourth of the users has none, and for another the objects are there."""
     kind = F.col("user_id") % 4
     keys = events.select(*EVENT_KEY).distinct().select(kind.alias("kind"), name.alias("name"))
-    content, key = F.concat(F.lit(f"{base}/contents/{EVENT_HOST}/"), "name", F.lit(".png")), F.concat(F.lit(f"{base}/objects/{KEY_PREFIX}/"), "name", F.lit(".png"))
+    content = staged_path(f"{base}/contents", _event_url(F.col("name")))
+    key = F.concat(F.lit(f"{base}/objects/{KEY_PREFIX}/"), "name", F.lit(".png"))
     staged = keys.where("kind <> 0").select(content.alias("path"), F.col("name").alias("text"))
     there = keys.where("kind = 1").select(key.alias("path"), F.lit("old").alias("text"))
-    write_contents(staged.unionByName(there)).agg(F.sum("bytes")).collect()  # one number
+    files = staged.unionByName(there).repartition(put_tasks(events.sparkSession, 0), "path")
+    write_contents(files).agg(F.sum("bytes")).collect()  # one number
 
 
 def _replay(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -695,7 +704,7 @@ def _replay(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
                 spec=EVENT_TABLE,
                 spark=spark,
                 name=name,
-                url=F.concat(F.lit(f"https://{EVENT_HOST}/"), name, F.lit(".png")),
+                url=_event_url(name),
             ),
         )
     return f"{base}/table", f"{base}/audit"
