@@ -367,3 +367,16 @@ def test_objects_are_put_without_parts_left_over(spark, tmp_path):
         store.stage(i)
     assert store.publish("r1", limit=10**9) == (2, 1, 0)
     assert sorted(os.listdir(f"{store.objects}/wallpapers")) == ["a.png", "b.png"]
+
+
+def test_contents_of_events_lie_in_many_folders(spark, tmp_path):
+    from tidemark.plans.queries import _event_url, _stage_contents
+    from tidemark.sources.blobs import FOLDERS, staged_path
+
+    events = spark.range(2000).select(F.col("id").alias("user_id"), F.lit("view").alias("event_type"))
+    name = F.concat_ws("-", "event_type", "user_id")
+    _stage_contents(events, name, str(tmp_path))
+    found = events.select("user_id", staged_path(str(tmp_path / "contents"), _event_url(name)).alias("path")).collect()
+    assert len({os.path.dirname(r.path) for r in found}) > FOLDERS * 9 // 10
+    assert all(os.path.isfile(r.path) == (r.user_id % 4 != 0) for r in found)
+    assert len(os.listdir(tmp_path / "objects" / "wallpapers")) == 500
