@@ -455,6 +455,26 @@ def test_units_grow_with_the_words(spark):
     assert lm_score.unit_count(10**8) > lm_score.unit_count(10**6) > lm_score.UNITS
 
 
+def test_classes_grow_with_the_units(spark, monkeypatch):
+    """A place costs as many exponentials as there are classes and members of one; every unit keeps its probability."""
+    for units in (lm_score.UNITS * k for k in (1, 2, 3, 4, 5, 7, 8, 16, 27, 256, 1_000)):
+        classes, left = lm_score.class_count(units), units % lm_score.class_count(units)
+        assert left == 0 and classes + units // classes <= 2.5 * np.sqrt(units)
+    units = 1 << 16
+    net = lm_score.initial(np.arange(units))
+    net = net.shaped(net.flat() + np.random.default_rng(4).normal(size=net.flat().size).astype(np.float32) * 0.1)
+    tokens = np.tile([5, 70, 0, 9_000, 60_000], units)
+    tokens[2::5] = np.arange(units)
+    assert abs(np.exp(lm_score.log_probabilities(tokens, np.arange(2, len(tokens), 5), net)).sum() - 1) < 1e-3
+    monkeypatch.setattr(lm_score, "unit_count", lambda words: 1 << 15)
+    docs = spark.createDataFrame([(i, f"x{i % 50} y{i % 50} z{i}") for i in range(2_000)], "doc_id long, text string")
+    known, trained = lm_score.train(docs)
+    assert trained.members.shape == (128, lm_score.HIDDEN + 1, 256)
+    tokens, sizes = lm_score.numbered([f"x{i} y{i} z{i}" for i in range(50)], known)
+    plain, at = lm_score.initial(lm_score.vocabulary(docs)[1]), lm_score._targets(sizes)
+    assert lm_score.log_probabilities(tokens, at, trained).mean() > lm_score.log_probabilities(tokens, at, plain).mean()
+
+
 def test_every_place_is_trained_on(spark):
     docs = spark.createDataFrame([(i, f"x{i} y{i}") for i in range(1_700)], "doc_id long, text string").coalesce(1)
     units, net = lm_score.train(docs)
