@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -527,6 +528,53 @@ def test_exponents_with_and_without_the_row_maximum(monkeypatch):
     assert np.allclose(plain, lm_score.log_probabilities(tokens, at, net), atol=1e-3)
 
 
+def test_powers_of_two_without_an_exponential():
+    """The range that needs no row maximum, and logits far beyond it."""
+    z = np.linspace(-lm_score.LARGE, lm_score.LARGE, 200_001, dtype=np.float32)[None, 1:-1]
+    e, sums, top = lm_score._exponentials(z.copy())
+    true = np.exp2(z.astype(float))
+    assert top == 0 and np.allclose(e * 2.0**-lm_score.RAISED, true, rtol=1e-6) and np.allclose(sums * 2.0**-lm_score.RAISED, true.sum(), rtol=1e-5)
+    far = np.array([[900, 899, -900, 0], [-500, -500, -500, -501]], dtype=np.float32)
+    e, sums, top = lm_score._exponentials(far.copy())
+    assert np.allclose(e / sums[:, None], [[2 / 3, 1 / 3, 0, 0], [2 / 7, 2 / 7, 2 / 7, 1 / 7]], atol=1e-6) and top.tolist() == [900, -500]
+
+
+def test_slopes_are_those_of_the_log_probability():
+    """Each weight's change is its slope, by differences, over the root of the summed squares."""
+    rng = np.random.default_rng(5)
+    net = lm_score.initial(np.arange(lm_score.UNITS))
+    net = net.shaped(net.flat() + rng.normal(size=net.flat().size).astype(np.float32) * 0.3)
+    tokens = rng.integers(1, lm_score.UNITS, 44)
+    at, own = np.arange(2, 42), net.shaped(net.flat().copy())
+    lm_score._step(tokens, at, own, 1.0)
+    cls, member = np.divmod(tokens[7], lm_score.MEMBERS)
+    for part, place in (("classes", (3, cls)), ("classes", (lm_score.HIDDEN, 1)), ("members", (cls, 2, member)), ("mix", (1, 2, 3)), ("mix_bias", (4,))):
+        moved = (getattr(own, part) - getattr(net, part))[place]
+        change, by = [], 1e-2
+        for sign in (1, -1):
+            near = net.shaped(net.flat().copy())
+            getattr(near, part)[place] += sign * by
+            change.append(lm_score.log_probabilities(tokens, at, near).sum())
+        slope = (change[0] - change[1]) / (2 * by)
+        assert abs(moved - slope / np.sqrt(1 + slope**2)) < 5e-3
+
+
+def test_tokens_are_those_of_the_expression(monkeypatch):
+    """Any character as a sign, within a word, as a blank; few and many different ones at once."""
+    every = [chr(i) for i in range(sys.maxunicode + 1) if not 0xD800 <= i < 0xE000]
+    plain = lambda texts: [lm_score._tokens(t.lower()) for t in texts]
+    some = "".join(f"a{c}b {c}{c}1_{c}" for c in every)
+    assert lm_score.tokens_of([some, ""]) == plain([some, ""])
+    rng = random.Random(6)
+    for _ in range(300):
+        pool = [*rng.choices(every, k=30), *" \n\t_.,-\u00a0\u2028\u03a3A1"]
+        texts = ["".join(rng.choices(pool, k=n)) for n in (0, 1, 50, 200)]
+        assert lm_score.tokens_of(texts) == plain(texts)
+    monkeypatch.setattr(lm_score, "SIGNS", sys.maxunicode)
+    some = "".join(f"a{c}b {c}{c}1_{c}" for c in every[:3_000])
+    assert lm_score.tokens_of([some]) == plain([some])
+
+
 # ---- 7: neighbours
 
 
