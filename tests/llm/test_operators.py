@@ -559,6 +559,29 @@ def test_slopes_are_those_of_the_log_probability():
         assert abs(moved - slope / np.sqrt(1 + slope**2)) < 5e-3
 
 
+def test_a_step_costs_no_more_than_the_classes_that_occur(monkeypatch):
+    """Only their members' weights are gone through, and move as they would among all."""
+    rng = np.random.default_rng(7)
+    net = lm_score.initial(np.arange(1 << 16))
+    net = net.shaped(net.flat() + rng.normal(size=net.flat().size).astype(np.float32) * 0.3)
+    there, members = [0, 1, 2, 100, 255], net.members.shape[2]
+    tokens = rng.choice(there, 604) * members + rng.integers(0, members, 604)
+    at, own, squares = np.arange(2, 602), net.shaped(net.flat().copy()), lm_score._start(net)
+    climbed, climb = [], lm_score._climb
+    monkeypatch.setattr(lm_score, "_climb", lambda w, *rest: (climbed.append(w), climb(w, *rest)))
+    lm_score._step(tokens, at, own, 1.0, squares)
+    assert sum(len(w) for w in climbed if w.shape[1:] == net.members.shape[1:]) == len(there) < len(net.members)
+    seen = net.embed[tokens[at[:, None] + np.array(lm_score.PLACES)]].reshape(len(at), -1).astype(float)
+    hidden = np.c_[np.tanh(seen @ net.mix.reshape(-1, lm_score.HIDDEN) + net.mix_bias), np.ones(len(at))]
+    for c in range(len(net.members)):
+        here = tokens[at] // members == c
+        e = np.exp(hidden[here] @ net.members[c])
+        slope = hidden[here].T @ (np.eye(members)[tokens[at][here] % members] - e / e.sum(axis=1, keepdims=True))
+        assert here.any() == (c in there)
+        assert np.allclose(own.members[c] - net.members[c], slope / np.sqrt(1 + slope**2), atol=1e-3)
+        assert np.allclose(squares.members[c], 1 + slope**2, rtol=1e-2, atol=1e-3)
+
+
 def test_tokens_are_those_of_the_expression(monkeypatch):
     """Any character as a sign, within a word, as a blank; few and many different ones at once."""
     every = [chr(i) for i in range(sys.maxunicode + 1) if not 0xD800 <= i < 0xE000]
