@@ -598,6 +598,36 @@ def test_tokens_are_those_of_the_expression(monkeypatch):
     assert lm_score.tokens_of([some]) == plain([some])
 
 
+def test_words_and_numbers_by_arrays(spark, monkeypatch):
+    """Counts, numbers and rare words of texts are those of their tokens one by one, and no token becomes an object."""
+    every = [chr(i) for i in range(sys.maxunicode + 1) if not 0xD800 <= i < 0xE000]
+    rng = random.Random(8)
+    pool = [*rng.choices(every, k=200), *"aab \n\t_.,-\u03a3\u0130\x1c\x85"]
+    texts = ["", "\n", "".join(f"a{c}b {c}{c}1_{c}" for c in every), *("".join(rng.choices(pool, k=n % 90)) for n in range(400)), ""]
+    plain = [lm_score._tokens(t.lower()) for t in texts]
+    found, sizes = lm_score.tokens_in(texts)
+    assert [w.decode() for w in found.to_pylist()] == [w for f in plain for w in f] and sizes.tolist() == [len(f) for f in plain]
+    assert lm_score.tokens_in([])[1].tolist() == [] and lm_score.tokens_in([""])[1].tolist() == [0]
+
+    def refused(texts):
+        raise AssertionError("tokens one by one")
+
+    monkeypatch.setattr(lm_score, "tokens_of", refused)
+    for known in ({}, {w: i + 1 for i, (w, _) in enumerate(Counter(w for f in plain for w in f).most_common(300))}):
+        units = lm_score.Units(known)
+        rows = lm_score._in_numbers(texts, units)
+        for f, (_, r) in zip(plain, rows.iterrows(), strict=True):
+            assert r["n_tokens"] == len(f) and np.frombuffer(r["ids"], np.uint16).tolist() == [units[w] for w in f]
+            rare = Counter(w for w in f if w not in known)
+            assert r["words"] == list(rare) and r["times"] == list(rare.values())
+    monkeypatch.setattr(lm_score, "COUNTED_AT_ONCE", 50)
+    some = [t for t in texts if "\x00" not in t]
+    docs = spark.createDataFrame([*((t,) for t in some), (None,)], "text string")
+    counted = {r["word"]: r["n"] for r in lm_score.word_counts(docs).collect()}
+    assert counted == Counter(w for t in some for w in lm_score._tokens(t.lower()))
+    assert lm_score.word_counts(docs.limit(0)).collect() == []
+
+
 # ---- 7: neighbours
 
 
